@@ -34,6 +34,11 @@ def _clean(df: DataFrame, c: str) -> Column:
     return col
 
 
+def _as_double(c: Column) -> Column:
+    """Report value as double; ``+ 0.0`` turns -0.0 into 0.0 (equal values, one spelling)."""
+    return c.cast("double") + F.lit(0.0)
+
+
 def profile_aggs(df: DataFrame, columns: list[str], prefix: str = "") -> list[Column]:
     aggs = [F.count(F.lit(1)).alias(f"{prefix}row_count")]
     for c in columns:
@@ -54,8 +59,8 @@ def extreme_values(df: DataFrame, table_name: str, columns: list[str] | None = N
             F.struct(
                 F.lit(c).alias("column_name"),
                 F.lit(i + 1).alias("ordinal"),
-                F.col(f"min__{c}").cast("double").alias("min_value"),
-                F.col(f"max__{c}").cast("double").alias("max_value"),
+                _as_double(F.col(f"min__{c}")).alias("min_value"),
+                _as_double(F.col(f"max__{c}")).alias("max_value"),
             )
             for i, c in enumerate(columns)
         ]
@@ -96,10 +101,10 @@ def extreme_pairs(paired: DataFrame, table_name: str, columns: list[str]) -> Dat
         *[
             F.struct(
                 F.lit(c).alias("column_name"),
-                F.col(f"s_min__{c}").cast("double").alias("source_min"),
-                F.col(f"s_max__{c}").cast("double").alias("source_max"),
-                F.col(f"t_min__{c}").cast("double").alias("target_min"),
-                F.col(f"t_max__{c}").cast("double").alias("target_max"),
+                _as_double(F.col(f"s_min__{c}")).alias("source_min"),
+                _as_double(F.col(f"s_max__{c}")).alias("source_max"),
+                _as_double(F.col(f"t_min__{c}")).alias("target_min"),
+                _as_double(F.col(f"t_max__{c}")).alias("target_max"),
                 (
                     F.col(f"s_min__{c}").eqNullSafe(F.col(f"t_min__{c}"))
                     & F.col(f"s_max__{c}").eqNullSafe(F.col(f"t_max__{c}"))
