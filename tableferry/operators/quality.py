@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableferry.functions import typemap, values
 
@@ -25,6 +26,21 @@ def _c(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def _numeric_view(df: DataFrame, name: str) -> Column:
+    """The column as a number for range checks: numeric columns as they are, anything
+    else through ``try_cast`` (a non-number is a type problem, not a range problem)."""
+    dt = df.schema[name].dataType
+    if isinstance(dt, (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType,
+                       T.DoubleType, T.FloatType)):
+        return _c(name)
+    return _c(name).try_cast("decimal(38,0)")
+
+
+def _out_of(df: DataFrame, name: str, lo: int, hi: int) -> Column:
+    v = _numeric_view(df, name)
+    return (v < F.lit(lo)) | (v > F.lit(hi))
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Key values that occur more than once (partial aggregation: a hot key is
     pre-counted in every task before the shuffle)."""
@@ -81,7 +97,7 @@ def too_long(df: DataFrame, key: str, limits: dict[str, int]) -> DataFrame:
 def out_of_range(df: DataFrame, key: str, ranges: dict[str, tuple[int, int]]) -> DataFrame:
     """D3 (error 1264): numbers outside the target type's range."""
     checks = [
-        (c, (_c(c) < F.lit(lo)) | (_c(c) > F.lit(hi)), _c(c).cast("string"), "1264")
+        (c, _out_of(df, c, lo, hi), _c(c).cast("string"), "1264")
         for c, (lo, hi) in ranges.items()
     ]
     return _violations(df, key, checks).select(key, "column_name", "value")
@@ -120,7 +136,7 @@ def suspect_cells(df: DataFrame, key: str, target_types: dict[str, str]) -> Data
         (c, F.length(_c(c)) > F.lit(n), values.preview_text(_c(c)), "1406") for c, n in limits.items()
     ]
     checks += [
-        (c, (_c(c) < F.lit(lo)) | (_c(c) > F.lit(hi)), _c(c).cast("string"), "1264")
+        (c, _out_of(df, c, lo, hi), _c(c).cast("string"), "1264")
         for c, (lo, hi) in ranges.items()
     ]
     checks += [
@@ -142,14 +158,17 @@ def row_problems(df: DataFrame, target_types: dict[str, str]) -> Column:
         if c not in df.columns:
             continue
         spark_t = typemap.spark_type_for(t)
-        parts.append(
-            F.when(_c(c).isNotNull() & _c(c).try_cast(spark_t).isNull(), F.lit(f"{c}:type"))
-        )
-        if c in limits:
-            parts.append(F.when(F.length(_c(c)) > F.lit(limits[c]), F.lit(f"{c}:length")))
         if c in ranges:
+            # Integer targets: a number outside the range is a range problem only.
             lo, hi = ranges[c]
-            parts.append(F.when((_c(c) < F.lit(lo)) | (_c(c) > F.lit(hi)), F.lit(f"{c}:range")))
+            parts.append(F.when(_c(c).isNotNull() & _numeric_view(df, c).isNull(), F.lit(f"{c}:type")))
+            parts.append(F.when(_out_of(df, c, lo, hi), F.lit(f"{c}:range")))
+        else:
+            parts.append(
+                F.when(_c(c).isNotNull() & _c(c).try_cast(spark_t).isNull(), F.lit(f"{c}:type"))
+            )
+        if c in limits:
+            parts.append(F.when(F.length(_c(c)) > F.lit(limits[c]), F.lit(f"{c}:length")))
     return F.concat_ws(",", *parts) if parts else F.lit("")
 
 

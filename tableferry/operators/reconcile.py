@@ -262,16 +262,20 @@ def content_diff(
     source: DataFrame,
     target: DataFrame,
     keys: list[str],
-    buckets: int = 4096,
+    buckets: int = 1 << 16,
     exact: bool = False,
+    max_dirty_fraction: float = 0.25,
 ) -> DataFrame:
     """Rows missing from the target, extra in the target, or changed (with the names
     of the differing columns). Keys must be unique on each side.
 
     Digest first: both sides are summarised per key bucket (count, xor and sum of a
-    64-bit row hash) — a one-pass aggregate whose result is ``buckets`` rows. Only
-    buckets whose digests differ are joined row by row, so identical data never crosses
-    the network. ``exact=True`` skips the digest and joins everything."""
+    64-bit row hash) — a one-pass aggregate whose shuffle carries at most ``buckets``
+    rows per task. The ids of the buckets whose digests differ come back to the driver
+    (at most ``buckets * max_dirty_fraction`` of them, a hard bound); only rows of those
+    buckets are then joined, so identical data never crosses the network. When more
+    buckets differ than the bound, the full outer join of all rows is the cheaper plan
+    and is used instead; ``exact=True`` always uses it."""
     value_cols = [c for c in source.columns if c not in keys]
     tgt = target.select(
         *[F.col(f"`{c}`").cast(source.schema[c].dataType).alias(c) for c in source.columns if c in target.columns]
@@ -295,9 +299,8 @@ def content_diff(
                 )
             )
 
-        ds, dt = digest(src, "s"), digest(tgt, "t")
         differ = (
-            ds.join(dt, "_b", "full")
+            digest(src, "s").join(digest(tgt, "t"), "_b", "full")
             .filter(
                 ~(
                     F.col("s_n").eqNullSafe(F.col("t_n"))
@@ -307,9 +310,12 @@ def content_diff(
             )
             .select("_b")
         )
-        # `differ` has at most `buckets` rows: a bounded broadcast.
-        src = src.withColumn("_b", bucket).join(F.broadcast(differ), "_b", "left_semi").drop("_b")
-        tgt = tgt.withColumn("_b", bucket).join(F.broadcast(differ), "_b", "left_semi").drop("_b")
+        max_ids = max(1, int(buckets * max_dirty_fraction))
+        dirty = [r["_b"] for r in differ.limit(max_ids + 1).collect()]
+        if len(dirty) <= max_ids:
+            # A bounded id list: an IN-set filter applied while scanning both sides.
+            src = src.filter(bucket.isin(dirty))
+            tgt = tgt.filter(bucket.isin(dirty))
     s = src.withColumn("_s", F.lit(1)).alias("s")
     t = tgt.withColumn("_t", F.lit(1)).alias("t")
     cond = reduce(lambda a, b: a & b, [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys])

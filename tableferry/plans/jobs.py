@@ -62,6 +62,15 @@ def table_target_types(mapped_catalog: DataFrame, table: str) -> dict[str, str]:
     return {r["column_name"]: r["target_type"] for r in rows}
 
 
+def all_target_types(mapped_catalog: DataFrame) -> dict[str, dict[str, str]]:
+    """Target types of every table in one collect (metadata: one row per column)."""
+    out: dict[str, dict[str, str]] = {}
+    rows = mapped_catalog.select("table_name", "column_name", "target_type", "ordinal_position").collect()
+    for r in sorted(rows, key=lambda r: (r["table_name"], r["ordinal_position"])):
+        out.setdefault(r["table_name"], {})[r["column_name"]] = r["target_type"]
+    return out
+
+
 def strict_conform(df: DataFrame, target_types: dict[str, str]) -> DataFrame:
     """Cast every column to its target carrier with ANSI ``cast``: a value that does not fit
     fails the task, so the table's write commits nothing (W1 rollback semantics)."""
@@ -79,7 +88,7 @@ def transfer_table(
     source: Database,
     table: str,
     target_root: str,
-    mapped_catalog: DataFrame,
+    mapped_catalog: DataFrame | dict,
     on_bad_values: str = "fail",
 ) -> dict:
     """JOB1: catalog -> map -> conform -> load -> result row.
@@ -93,7 +102,10 @@ def transfer_table(
         result["error"] = "invalid target table name"
         return result
     try:
-        types = table_target_types(mapped_catalog, table)
+        types = (
+            mapped_catalog.get(table, {}) if isinstance(mapped_catalog, dict)
+            else table_target_types(mapped_catalog, table)
+        )
         if not types:
             result["error"] = "no column information"
             return result
@@ -145,14 +157,13 @@ def transfer_all(
     The catalog of all tables is built and mapped once; table loads run concurrently."""
     names = list(names) if names is not None else source.names()
     db = source.subset(names)
-    mapped = ddl.map_types(cat.column_catalog(spark, db)).cache()
-    mapped.count()  # one profiling job for all tables; the driver then reads metadata only
+    # One profiling job for all tables; the driver then holds metadata only.
+    types = all_target_types(ddl.map_types(cat.column_catalog(spark, db)))
     with ThreadPoolExecutor(max_workers=max(1, parallel_tables)) as pool:
         futures = [
-            pool.submit(transfer_table, spark, db, t, target_root, mapped, on_bad_values) for t in names
+            pool.submit(transfer_table, spark, db, t, target_root, types, on_bad_values) for t in names
         ]
         rows = [f.result() for f in futures]
-    mapped.unpersist()
     results = spark.createDataFrame(rows, RESULT_SCHEMA)
     ok = [(r["source_table"].split(".", 1)[1], r["target_table"]) for r in rows if r["success"]]
     target = read_target(spark, target_root, [t for _, t in ok])
