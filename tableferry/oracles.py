@@ -413,6 +413,19 @@ FROM catalog"""
 SELECT table_schema, table_name, column_name, data_type, character_maximum_length, numeric_precision,
        numeric_scale, is_nullable, column_default, ordinal_position FROM catalog"""
     )
+    o["column_catalog_sys"] = (
+        "WITH " + catalog_cte() + """
+SELECT table_schema, table_name, column_name, data_type,
+       CASE WHEN data_type IN ('varchar', 'nvarchar', 'char', 'nchar') THEN
+            CASE WHEN character_maximum_length = -1 THEN NULL
+                 WHEN data_type IN ('nvarchar', 'nchar') THEN character_maximum_length * 2
+                 ELSE character_maximum_length END END AS character_maximum_length,
+       CASE WHEN data_type IN ('decimal', 'numeric', 'float', 'real') THEN numeric_precision END AS numeric_precision,
+       CASE WHEN data_type IN ('decimal', 'numeric') THEN numeric_scale END AS numeric_scale,
+       is_nullable, column_default, ordinal_position
+FROM catalog"""
+    )
+    o["stream_transfer"] = "SELECT * FROM orders"
     o["schema_probe"] = """SELECT * FROM (VALUES (1, 'doc_id', -5, 'varchar', 'YES'), (2, 'text', 12, 'varchar', 'YES'),
   (3, 'lang', 12, 'varchar', 'YES'), (4, 'source', 12, 'varchar', 'YES'), (5, 'n_chars', -5, 'varchar', 'YES'))
   AS t(ordinal_position, column_name, type_code, data_type, is_nullable)

@@ -109,6 +109,11 @@ def q_column_catalog_legacy(spark, sf_dir):
     return cat.column_catalog_legacy(cat.column_catalog(spark, _db(spark, sf_dir)))
 
 
+def q_column_catalog_sys(spark, sf_dir):
+    frames = cat.sys_catalog_frames(cat.column_catalog(spark, _db(spark, sf_dir)))
+    return cat.column_catalog_sys(*frames)
+
+
 def q_schema_probe(spark, sf_dir):
     return cat.schema_probe(spark, _db(spark, sf_dir, ["documents"]).table("documents"))
 
@@ -445,6 +450,17 @@ def q_sample_rows(spark, sf_dir):
 # --------------------------------------------------------------------------- jobs
 
 
+def q_stream_transfer(spark, sf_dir):
+    from tableferry.streaming.incremental import stream_copy
+
+    db = _db(spark, sf_dir, ["orders"])
+    types = jobs.table_target_types(ddl.map_types(cat.column_catalog(spark, db)), "orders")
+    root = new_run_dir(spark, "stream_transfer")
+    stream_copy(spark, sf_dir, "orders.parquet", db.table("orders").schema, f"{root}/dbo_orders",
+                f"{root}/_checkpoint", types, max_files_per_trigger=1)
+    return spark.read.parquet(f"{root}/dbo_orders")
+
+
 def q_transfer_table(spark, sf_dir):
     db = _db(spark, sf_dir, ["orders"])
     mapped = ddl.map_types(cat.column_catalog(spark, db))

@@ -67,3 +67,12 @@ def shared_dir(spark: SparkSession) -> str:
 def new_run_dir(spark: SparkSession, label: str) -> str:
     """A fresh, unique folder below the shared folder (never reused, never cleared)."""
     return f"{shared_dir(spark)}/tableferry/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df):
+    """Cut lineage: write ``df`` under the shared checkpoint folder and read it back.
+
+    For small results reused by several downstream plans (the column catalog): the
+    profiling job runs once, and a lost executor does not recompute it."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

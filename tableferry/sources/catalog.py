@@ -90,11 +90,12 @@ def length_profile(db: Database) -> DataFrame | None:
     return reduce(DataFrame.unionByName, parts)
 
 
-def column_catalog(spark: SparkSession, db: Database) -> DataFrame:
+def column_catalog(spark: SparkSession, db: Database, materialized: bool = True) -> DataFrame:
     """INFORMATION_SCHEMA.COLUMNS of a parquet source, declared lengths from the data.
 
     Text longer than 4000 characters (binary longer than 8000 bytes) is declared as
-    ``(max)``, reported as -1, as the source system does."""
+    ``(max)``, reported as -1, as the source system does. The result (one row per
+    column) is checkpointed so that its consumers do not re-run the profiling scan."""
     base = schema_rows(spark, db)
     profile = length_profile(db)
     if profile is None:
@@ -109,7 +110,7 @@ def column_catalog(spark: SparkSession, db: Database) -> DataFrame:
     declared = F.when(F.col("max_length") > limit, F.lit(-1).cast("bigint")).otherwise(
         F.col("max_length")
     )
-    return base.select(
+    out = base.select(
         "table_schema",
         "table_name",
         "column_name",
@@ -122,6 +123,11 @@ def column_catalog(spark: SparkSession, db: Database) -> DataFrame:
         "is_identity",
         "column_default",
     )
+    if materialized:
+        from tableferry.session import materialize
+
+        out = materialize(out)
+    return out
 
 
 def column_info(catalog: DataFrame) -> DataFrame:
@@ -272,6 +278,51 @@ def column_catalog_sys(
     )
 
 
+# Storage bytes of fixed-size source types (sys.columns.max_length).
+_FIXED_BYTES = {"int": 4, "bigint": 8, "smallint": 2, "tinyint": 1, "bit": 1, "float": 8, "real": 4,
+                "datetime2": 8, "datetimeoffset": 10, "date": 3}
+
+
+def sys_catalog_frames(catalog_df: DataFrame):
+    """The catalog in the source system's ``sys.*`` form, derived with DataFrame ops:
+    (sys_columns, sys_types, sys_tables, sys_schemas, sys_default_constraints).
+
+    Ids are 64-bit hashes of the names; text lengths are in bytes as the system stores
+    them (nvarchar: 2 per character; (max) = -1)."""
+    spark = catalog_df.sparkSession
+    obj = F.xxhash64("table_schema", "table_name")
+    sch = F.xxhash64("table_schema")
+    typ = F.xxhash64("data_type")
+    fixed = F.try_element_at(
+        F.create_map(*[x for k, v in _FIXED_BYTES.items() for x in (F.lit(k), F.lit(v))]), F.col("data_type")
+    )
+    length = F.col("character_maximum_length")
+    max_length = (
+        F.when(length == -1, F.lit(-1))
+        .when(F.col("data_type").isin("nvarchar", "nchar"), length * 2)
+        .when(length.isNotNull(), length)
+        .otherwise(F.coalesce(fixed, F.lit(16)))
+    ).cast("int")
+    sys_columns = catalog_df.select(
+        obj.alias("object_id"),
+        F.col("ordinal_position").alias("column_id"),
+        F.col("column_name").alias("name"),
+        typ.alias("user_type_id"),
+        max_length.alias("max_length"),
+        F.coalesce("numeric_precision", F.lit(0)).alias("precision"),
+        F.coalesce("numeric_scale", F.lit(0)).alias("scale"),
+        (F.upper("is_nullable") == "YES").cast("int").alias("is_nullable"),
+        F.lit(0).cast("bigint").alias("default_object_id"),
+    )
+    sys_types = catalog_df.select(typ.alias("user_type_id"), F.col("data_type").alias("name")).distinct()
+    sys_tables = catalog_df.select(
+        obj.alias("object_id"), sch.alias("schema_id"), F.col("table_name").alias("name")
+    ).distinct()
+    sys_schemas = catalog_df.select(sch.alias("schema_id"), F.col("table_schema").alias("name")).distinct()
+    defaults = spark.createDataFrame([], "object_id bigint, definition string")
+    return sys_columns, sys_types, sys_tables, sys_schemas, defaults
+
+
 # ODBC type codes of a result-set description -> source type (legacy probe).
 ODBC_TYPE_CODES = {
     1: "varchar",

@@ -83,3 +83,34 @@ def test_jdbc_staged_load_round_trip(spark, source):
     back = back.toDF(*df.columns)
     assert back.count() == df.count()
     assert df.exceptAll(back).count() == 0 and back.exceptAll(df).count() == 0
+
+
+def test_spark_ddl_creates_mapped_table(spark, source):
+    db = source.subset(["customer"])
+    defs = ddl.column_definitions(cat.column_catalog(spark, db))
+    stmt = ddl.spark_table_ddl(defs).first()
+    assert stmt.target_table == "dbo_customer"
+    spark.sql("DROP TABLE IF EXISTS dbo_customer")
+    spark.sql(stmt.ddl)
+    cols = {c.name: c.dataType for c in spark.catalog.listColumns("dbo_customer")}
+    assert cols == {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int",
+                    "c_acctbal": "double", "c_mktsegment": "string"}
+    spark.sql("DROP TABLE dbo_customer")
+
+
+def test_report_and_quarantine_sinks(spark, source):
+    from tableferry import fixtures
+    from tableferry.operators import quality
+    from tableferry.plans import report
+
+    src = source.subset(["region", "customer"])
+    validation = reconcile.validate_tables(src, fixtures.damaged_target(src))
+    root = new_run_dir(spark, "test-report")
+    report.write_validation_report(validation, reconcile.validate_database(validation), root + "/report")
+    lines = [r.value for r in spark.read.text(root + "/report").collect()]
+    assert lines[0].startswith("<table>") and lines[-1] == "</table>" and len(lines) == 4
+    assert "status-error" in lines[1] and "status-ok" in lines[2]
+    tagged = quality.quarantine(source.table("documents"), {"text": "VARCHAR(255)"})
+    counts = load.write_quarantined(tagged, root + "/docs")
+    assert counts["good"] + counts["bad"] == source.table("documents").count()
+    assert spark.read.parquet(root + "/docs").filter("cast(rejected as boolean)").count() == counts["bad"]
