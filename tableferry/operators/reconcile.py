@@ -258,35 +258,66 @@ def sample_diff(source: DataFrame, target: DataFrame, key: str, n: int = SAMPLE_
 # --------------------------------------------------------------------------- X1
 
 
+def _aligned_target(source: DataFrame, target: DataFrame) -> DataFrame:
+    """The target in the source's column order and types (compare in one type, Q20)."""
+    cols = []
+    for c in source.columns:
+        t = source.schema[c].dataType
+        cols.append(F.col(f"`{c}`").cast(t).alias(c) if c in target.columns else F.lit(None).cast(t).alias(c))
+    return target.select(*cols)
+
+
+def _row_level_diff(src: DataFrame, tgt: DataFrame, keys: list[str], value_cols: list[str]) -> DataFrame:
+    s = src.withColumn("_s", F.lit(1)).alias("s")
+    t = tgt.withColumn("_t", F.lit(1)).alias("t")
+    cond = reduce(lambda a, b: a & b, [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys])
+    status, changed = _status_expr(value_cols)
+    return (
+        s.join(t, cond, "full")
+        .select(
+            *[F.coalesce(F.col(f"s.{k}"), F.col(f"t.{k}")).alias(k) for k in keys],
+            status.alias("status"),
+            F.when(status == "changed", changed).alias("changed_columns"),
+        )
+        .filter(F.col("status").isNotNull())
+    )
+
+
 def content_diff(
     source: DataFrame,
     target: DataFrame,
     keys: list[str],
+    mode: str = "hash",
     buckets: int = 1 << 16,
-    exact: bool = False,
     max_dirty_fraction: float = 0.25,
+    exact: bool = False,
 ) -> DataFrame:
     """Rows missing from the target, extra in the target, or changed (with the names
     of the differing columns). Keys must be unique on each side.
 
-    Digest first: both sides are summarised per key bucket (count, xor and sum of a
-    64-bit row hash) — a one-pass aggregate whose shuffle carries at most ``buckets``
-    rows per task. The ids of the buckets whose digests differ come back to the driver
-    (at most ``buckets * max_dirty_fraction`` of them, a hard bound); only rows of those
-    buckets are then joined, so identical data never crosses the network. When more
-    buckets differ than the bound, the full outer join of all rows is the cheaper plan
-    and is used instead; ``exact=True`` always uses it."""
+    ``mode="hash"`` (default): each side is reduced to (key, 64-bit hash of the row) and
+    only those narrow rows are shuffled and full-outer-joined; full rows are fetched
+    back only for keys whose hashes differ, to name the changed columns.
+
+    ``mode="digest"``: for nearly identical tables. Each side is first summarised per key
+    bucket (count, xor and two sums of the row hash — one-pass aggregates whose
+    shuffle carries at most ``buckets`` rows per task). The ids of the differing
+    buckets (at most ``buckets``) come back to the driver. When at most
+    ``max_dirty_fraction`` of them differ, only rows of those buckets are compared;
+    identical data never crosses the network. Otherwise it falls back to ``hash``.
+
+    ``mode="exact"`` (or ``exact=True``): full rows are joined and compared column by
+    column, no hashing. The hash modes miss a changed row only if its 64-bit hash
+    collides (probability 2^-64 per changed row)."""
+    mode = "exact" if exact else mode
     value_cols = [c for c in source.columns if c not in keys]
-    tgt = target.select(
-        *[F.col(f"`{c}`").cast(source.schema[c].dataType).alias(c) for c in source.columns if c in target.columns]
-    )
-    for c in source.columns:
-        if c not in target.columns:
-            tgt = tgt.withColumn(c, F.lit(None).cast(source.schema[c].dataType))
+    tgt = _aligned_target(source, target)
     src = source
-    if not exact:
+    if mode == "exact":
+        return _row_level_diff(src, tgt, keys, value_cols)
+    row_h = _row_digest(source, source.columns)
+    if mode == "digest":
         bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets))
-        row_h = _row_digest(source, source.columns)
 
         def digest(df: DataFrame, tag: str) -> DataFrame:
             return (
@@ -295,40 +326,44 @@ def content_diff(
                 .agg(
                     F.count(F.lit(1)).alias(f"{tag}_n"),
                     F.bit_xor("_h").alias(f"{tag}_x"),
-                    F.sum(F.col("_h").cast("decimal(38,0)")).alias(f"{tag}_s"),
+                    F.sum(F.shiftright("_h", 32)).alias(f"{tag}_hi"),
+                    F.sum(F.col("_h").bitwiseAND(F.lit(0xFFFFFFFF))).alias(f"{tag}_lo"),
                 )
             )
 
-        differ = (
-            digest(src, "s").join(digest(tgt, "t"), "_b", "full")
-            .filter(
-                ~(
-                    F.col("s_n").eqNullSafe(F.col("t_n"))
-                    & F.col("s_x").eqNullSafe(F.col("t_x"))
-                    & F.col("s_s").eqNullSafe(F.col("t_s"))
-                )
-            )
-            .select("_b")
-        )
-        max_ids = max(1, int(buckets * max_dirty_fraction))
-        dirty = [r["_b"] for r in differ.limit(max_ids + 1).collect()]
-        if len(dirty) <= max_ids:
-            # A bounded id list: an IN-set filter applied while scanning both sides.
-            src = src.filter(bucket.isin(dirty))
-            tgt = tgt.filter(bucket.isin(dirty))
-    s = src.withColumn("_s", F.lit(1)).alias("s")
-    t = tgt.withColumn("_t", F.lit(1)).alias("t")
-    cond = reduce(lambda a, b: a & b, [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys])
-    joined = s.join(t, cond, "full")
-    status, changed = _status_expr(value_cols)
-    return (
-        joined.select(
-            *[F.coalesce(F.col(f"s.{k}"), F.col(f"t.{k}")).alias(k) for k in keys],
-            status.alias("status"),
-            F.when(status == "changed", changed).alias("changed_columns"),
+        same = reduce(
+            lambda a, b: a & b,
+            [F.col(f"s_{x}").eqNullSafe(F.col(f"t_{x}")) for x in ("n", "x", "hi", "lo")],
         )
-        .filter(F.col("status").isNotNull())
+        differ = digest(src, "s").join(digest(tgt, "t"), "_b", "full").filter(~same).select("_b")
+        dirty = [r["_b"] for r in differ.collect()]  # at most `buckets` ids by construction
+        if not dirty:
+            return _row_level_diff(src.limit(0), tgt.limit(0), keys, value_cols)
+        if len(dirty) <= buckets * max_dirty_fraction:
+            # A bounded id table (<= buckets * max_dirty_fraction rows): broadcast semi join.
+            ids = F.broadcast(source.sparkSession.createDataFrame([(b,) for b in dirty], "_b long"))
+            src = src.withColumn("_b", bucket).join(ids, "_b", "left_semi").drop("_b")
+            tgt = tgt.withColumn("_b", bucket).join(ids, "_b", "left_semi").drop("_b")
+    # Narrow comparison: only (key, hash) rows cross the shuffle.
+    s = src.select(*keys, row_h.alias("_hs"))
+    t = tgt.select(*[F.col(k).alias(f"_t_{k}") for k in keys], row_h.alias("_ht"))
+    cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_t_{k}") for k in keys])
+    narrow = s.join(t, cond, "full").select(
+        *[F.coalesce(F.col(k), F.col(f"_t_{k}")).alias(k) for k in keys],
+        F.when(F.col("_hs").isNull(), F.lit("extra"))
+        .when(F.col("_ht").isNull(), F.lit("missing"))
+        .when(F.col("_hs") != F.col("_ht"), F.lit("changed"))
+        .alias("status"),
+    ).filter(F.col("status").isNotNull())
+    one_sided = narrow.filter(F.col("status") != "changed").withColumn(
+        "changed_columns", F.lit(None).cast("string")
+    )
+    changed_keys = narrow.filter(F.col("status") == "changed").select(*keys)
+    # Full rows only for changed keys (AQE broadcasts the key set when it is small).
+    detail = _row_level_diff(
+        src.join(changed_keys, keys, "left_semi"), tgt.join(changed_keys, keys, "left_semi"), keys, value_cols
     )
+    return one_sided.unionByName(detail)
 
 
 def content_diff_keyless(source: DataFrame, target: DataFrame) -> DataFrame:

@@ -204,6 +204,8 @@ def row_counts(db: Database, names=None) -> DataFrame:
         )
         for t in names
     ]
+    if not parts:
+        return SparkSession.getActiveSession().createDataFrame([], "table_name string, row_count bigint")
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -34,11 +34,12 @@ def test_content_diff_digest_equals_exact(spark, source):
     tgt = fixtures.damaged_target(source)
     fast = reconcile.content_diff(source.table("orders"), tgt.table("orders"), ["o_orderkey"])
     exact = reconcile.content_diff(source.table("orders"), tgt.table("orders"), ["o_orderkey"], exact=True)
-    forced = reconcile.content_diff(
-        source.table("orders"), tgt.table("orders"), ["o_orderkey"], buckets=4, max_dirty_fraction=0.25
+    digest = reconcile.content_diff(source.table("orders"), tgt.table("orders"), ["o_orderkey"], mode="digest")
+    fallback = reconcile.content_diff(
+        source.table("orders"), tgt.table("orders"), ["o_orderkey"], mode="digest", buckets=4
     )
-    a, b, c = (sorted(map(tuple, d.collect())) for d in (fast, exact, forced))
-    assert a == b == c
+    a, b, c, d = (sorted(map(tuple, x.collect())) for x in (fast, exact, digest, fallback))
+    assert a == b == c == d
     assert {r[1] for r in a} == {"missing", "changed"}
 
 
@@ -49,6 +50,9 @@ def test_content_diff_extra_rows_and_identical(spark):
     out = {r.id: (r.status, r.changed_columns) for r in reconcile.content_diff(s, t, ["id"]).collect()}
     assert out == {2: ("missing", None), 3: ("changed", "v"), 4: ("extra", None)}
     assert reconcile.content_diff(s, s, ["id"]).count() == 0
+    assert reconcile.content_diff(s, s, ["id"], mode="digest").count() == 0
+    dig = {r.id: (r.status, r.changed_columns) for r in reconcile.content_diff(s, t, ["id"], mode="digest").collect()}
+    assert dig == out
 
 
 def test_keyless_diff_counts_duplicates(spark):
