@@ -149,7 +149,7 @@ def transfer_all(
     source: Database,
     target_root: str,
     names: list[str] | None = None,
-    parallel_tables: int = 4,
+    parallel_tables: int = 8,
     on_bad_values: str = "fail",
 ) -> TransferRun:
     """JOB2: every table of the source, failures isolated, then summary and verification.
@@ -157,16 +157,28 @@ def transfer_all(
     The catalog of all tables is built and mapped once; table loads run concurrently."""
     names = list(names) if names is not None else source.names()
     db = source.subset(names)
-    # One profiling job for all tables; the driver then holds metadata only.
-    types = all_target_types(ddl.map_types(cat.column_catalog(spark, db)))
+    # One profiling job for all tables; the driver then holds metadata only (one row per
+    # column), so the catalog is collected once and needs no checkpoint.
+    types = all_target_types(ddl.map_types(cat.column_catalog(spark, db, materialized=False)))
+    # Widest tables first: the longest load starts first and small ones fill in around it.
+    order = sorted(names, key=lambda t: -len(types.get(t, {})))
+
+    def load_and_open(t):
+        row = transfer_table(spark, db, t, target_root, types, on_bad_values)
+        frame = None
+        if row["success"]:
+            frame = read_target(spark, target_root, [row["target_table"]]).tables.get(row["target_table"])
+        return row, frame
+
     with ThreadPoolExecutor(max_workers=max(1, parallel_tables)) as pool:
-        futures = [
-            pool.submit(transfer_table, spark, db, t, target_root, types, on_bad_values) for t in names
-        ]
-        rows = [f.result() for f in futures]
+        done = dict(zip(order, pool.map(load_and_open, order)))
+    rows = [done[t][0] for t in names]
     results = spark.createDataFrame(rows, RESULT_SCHEMA)
     ok = [(r["source_table"].split(".", 1)[1], r["target_table"]) for r in rows if r["success"]]
-    target = read_target(spark, target_root, [t for _, t in ok])
+    target = Database(
+        "target",
+        {done[t][0]["target_table"]: done[t][1] for t in names if done[t][1] is not None},
+    )
     if ok:
         verification = reconcile.verify_tables(spark, db, target, ok)
     else:

@@ -120,14 +120,11 @@ def read_jdbc_table(
         reader = reader.option(key, value)
     if partition_column is not None:
         if lower_bound is None or upper_bound is None:
-            bounds = (
-                spark.read.format("jdbc")
-                .options(url=url, **(properties or {}))
-                .option("query", f"SELECT MIN({partition_column}) AS lo, MAX({partition_column}) AS hi FROM {table}")
-                .load()
-                .first()
-            )
-            lower_bound, upper_bound = bounds["LO"] if "LO" in bounds else bounds[0], bounds[1]
+            # One aggregate query run by the server; only two values come back.
+            bounds = read_jdbc_query(
+                spark, url, f"SELECT MIN({partition_column}) AS LO, MAX({partition_column}) AS HI FROM {table}", properties
+            ).first()
+            lower_bound, upper_bound = bounds[0], bounds[1]
         reader = (
             reader.option("partitionColumn", partition_column)
             .option("lowerBound", str(lower_bound))

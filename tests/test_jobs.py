@@ -114,3 +114,20 @@ def test_report_and_quarantine_sinks(spark, source):
     counts = load.write_quarantined(tagged, root + "/docs")
     assert counts["good"] + counts["bad"] == source.table("documents").count()
     assert spark.read.parquet(root + "/docs").filter("cast(rejected as boolean)").count() == counts["bad"]
+
+
+def test_jdbc_partitioned_source_read(spark, source):
+    from tableferry.sources.tables import read_jdbc_table
+
+    url = "jdbc:derby:memory:tfsrc;create=true"
+    props = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    orders = source.table("orders")
+    load.write_jdbc_atomic(orders, url, "ORDERS_S", props)
+    df = read_jdbc_table(spark, url, "ORDERS_S", props, partition_column='"o_orderkey"', num_partitions=4)
+    assert df.rdd.getNumPartitions() == 4
+    assert df.count() == orders.count()
+    assert df.toDF(*orders.columns).exceptAll(orders).count() == 0
+    pushed = df.filter(F.col("o_orderkey") < 10).select("o_orderkey")
+    plan = pushed._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan and "o_orderkey" in plan
+    assert pushed.count() == orders.filter("o_orderkey < 10").count()
