@@ -426,18 +426,25 @@ SELECT table_schema, table_name, column_name, data_type,
 FROM catalog"""
     )
     o["stream_transfer"] = "SELECT * FROM orders"
-    o["schema_probe"] = """SELECT * FROM (VALUES (1, 'doc_id', -5, 'varchar', 'YES'), (2, 'text', 12, 'varchar', 'YES'),
+    o["schema_probe"] = """SELECT p.ordinal_position, p.column_name, p.type_code, p.data_type,
+       CASE p.column_name WHEN 'text' THEN (SELECT CAST(max(length(text)) AS BIGINT) FROM documents)
+                          WHEN 'lang' THEN (SELECT CAST(max(length(lang)) AS BIGINT) FROM documents)
+                          WHEN 'source' THEN (SELECT CAST(max(length(source)) AS BIGINT) FROM documents) END
+         AS max_length, p.is_nullable
+FROM (VALUES (1, 'doc_id', -5, 'varchar', 'YES'), (2, 'text', 12, 'varchar', 'YES'),
   (3, 'lang', 12, 'varchar', 'YES'), (4, 'source', 12, 'varchar', 'YES'), (5, 'n_chars', -5, 'varchar', 'YES'))
-  AS t(ordinal_position, column_name, type_code, data_type, is_nullable)
-WHERE (SELECT count(*) FROM (SELECT * FROM documents LIMIT 0)) = 0"""
+  AS p(ordinal_position, column_name, type_code, data_type, is_nullable)"""
     o["top_n_preview"] = "SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_custkey LIMIT 3"
-    src_names = " UNION ALL ".join(f"SELECT '{t}' AS table_name" for t in ALL)
-    tgt_list = ", ".join(f"'{t}'" for t in TPCH)
+    src_names = f"SELECT table_name FROM ({cnt}) WHERE row_count IS NOT NULL"
+    tgt_counts = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {damaged(t)}" for t in TPCH
+    )
+    tgt_list = f"SELECT table_name FROM ({tgt_counts}) WHERE row_count IS NOT NULL"
     o["known_tables"] = f"SELECT table_name FROM ({src_names}) WHERE table_name IN ({tgt_list})"
     o["unknown_tables"] = f"SELECT table_name FROM ({src_names}) WHERE table_name NOT IN ({tgt_list})"
     o["missing_tables"] = (
         f"SELECT table_name FROM ({src_names}) WHERE lower(table_name) NOT IN "
-        f"(SELECT lower(upper(x)) FROM (VALUES {', '.join('(' + _q(t) + ')' for t in TPCH)}) v(x))"
+        f"(SELECT lower(upper(table_name)) FROM ({tgt_list}))"
     )
     o["load_batched"] = "SELECT * FROM customer"
     first = "c_mktsegment IN ('AUTOMOBILE', 'BUILDING')"

@@ -115,7 +115,7 @@ def q_column_catalog_sys(spark, sf_dir):
 
 
 def q_schema_probe(spark, sf_dir):
-    return cat.schema_probe(spark, _db(spark, sf_dir, ["documents"]).table("documents"))
+    return cat.schema_probe(spark, _db(spark, sf_dir, ["documents"]).table("documents"), "documents")
 
 
 def q_table_row_counts(spark, sf_dir):
@@ -128,8 +128,9 @@ def q_top_n_preview(spark, sf_dir):
 
 
 def _name_frames(spark, sf_dir):
-    src = spark.createDataFrame([(t,) for t in _db(spark, sf_dir).names()], "table_name string")
-    tgt = spark.createDataFrame([(t,) for t in _target(spark, sf_dir).names()], "table_name string")
+    """Source and target listings: the tables that can be read and counted."""
+    src = cat.row_counts(_db(spark, sf_dir)).filter(F.col("row_count").isNotNull()).select("table_name")
+    tgt = cat.row_counts(_target(spark, sf_dir)).filter(F.col("row_count").isNotNull()).select("table_name")
     return src, tgt
 
 

@@ -346,9 +346,11 @@ _SPARK_TO_ODBC = {
 }
 
 
-def schema_probe(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Names and coarse types from a zero-row read (``limit(0).schema``); unknown
-    codes fall back to varchar."""
+def schema_probe(spark: SparkSession, df: DataFrame, name: str = "t") -> DataFrame:
+    """Names, coarse types and display sizes as a one-row probe's result description
+    reports them. Names and types come from ``limit(0).schema``; unknown codes fall back
+    to varchar; the display size of a text column is its longest value (one aggregate
+    over the text columns, the same profile as the column catalog)."""
     fields = df.limit(0).schema.fields
     rows = [
         (pos, f.name, _SPARK_TO_ODBC.get(f.dataType.simpleString(), 1111),
@@ -356,9 +358,17 @@ def schema_probe(spark: SparkSession, df: DataFrame) -> DataFrame:
          "YES" if f.nullable else "NO")
         for pos, f in enumerate(fields, start=1)
     ]
-    return spark.createDataFrame(
+    described = spark.createDataFrame(
         rows, "ordinal_position int, column_name string, type_code int, data_type string, is_nullable string"
     )
+    sizes = length_profile(Database("probe", {name: df}))
+    if sizes is None:
+        return described.withColumn("max_length", F.lit(None).cast("bigint"))
+    # One row per text column: bounded by the schema.
+    return described.join(F.broadcast(sizes.drop("table_name")), "column_name", "left").select(
+        "ordinal_position", "column_name", "type_code", "data_type",
+        F.when(F.col("max_length") > 0, F.col("max_length")).alias("max_length"), "is_nullable",
+    )
 
 
 def primary_keys(
