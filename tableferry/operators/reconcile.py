@@ -238,20 +238,25 @@ def _status_expr(src_cols: list[str]) -> tuple[Column, Column]:
 def sample_diff(source: DataFrame, target: DataFrame, key: str, n: int = SAMPLE_SIZE) -> DataFrame:
     """The reproducible sample of the source, looked up in the target by key.
 
-    Status per sampled row: ``match``, ``changed`` (with the differing columns) or
-    ``missing``. Only n keys are joined: the target side is semi-joined to them first."""
+    Status per sampled row: ``match``, ``changed`` (with the differing columns),
+    ``missing`` or ``duplicate`` (the key occurs more than once in the target; its rows
+    are counted, not paired). Only the n sampled keys reach the join: the target is
+    semi-joined to them and reduced to one row per key first."""
     sample = sample_rows(source, key, n)
     value_cols = [c for c in source.columns if c != key]
-    tgt = target.select(key, *[F.col(f"`{c}`").cast(source.schema[c].dataType).alias(c) for c in value_cols])
-    tgt = tgt.join(sample.select(key), key, "left_semi")
+    tgt = _aligned_target(source, target).join(sample.select(key), key, "left_semi")
+    per_key = tgt.groupBy(key).agg(
+        F.count(F.lit(1)).alias("_nt"), F.any_value(F.struct(*value_cols)).alias("_row")
+    )
+    t = per_key.select(key, "_nt", *[F.col("_row")[c].alias(c) for c in value_cols]).withColumn("_t", F.lit(1))
     s = sample.withColumn("_s", F.lit(1)).alias("s")
-    t = tgt.withColumn("_t", F.lit(1)).alias("t")
-    joined = s.join(t, F.col(f"s.{key}") == F.col(f"t.{key}"), "left")
+    joined = s.join(t.alias("t"), F.col(f"s.{key}") == F.col(f"t.{key}"), "left")
     status, changed = _status_expr(value_cols)
+    final = F.when(F.col("t._nt") > 1, F.lit("duplicate")).otherwise(F.coalesce(status, F.lit("match")))
     return joined.select(
         F.col(f"s.{key}").alias(key),
-        F.coalesce(status, F.lit("match")).alias("status"),
-        F.when(status == "changed", changed).alias("changed_columns"),
+        final.alias("status"),
+        F.when(final == "changed", changed).alias("changed_columns"),
     )
 
 
@@ -268,6 +273,7 @@ def _aligned_target(source: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def _row_level_diff(src: DataFrame, tgt: DataFrame, keys: list[str], value_cols: list[str]) -> DataFrame:
+    """Column-by-column comparison of rows whose keys are unique on both sides."""
     s = src.withColumn("_s", F.lit(1)).alias("s")
     t = tgt.withColumn("_t", F.lit(1)).alias("t")
     cond = reduce(lambda a, b: a & b, [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys])
@@ -283,6 +289,16 @@ def _row_level_diff(src: DataFrame, tgt: DataFrame, keys: list[str], value_cols:
     )
 
 
+def _per_key(df: DataFrame, keys: list[str], row_h: Column, tag: str) -> DataFrame:
+    """One row per key: how many rows carry it and their hash range (partial aggregation,
+    so a key held by a third of the table is pre-counted in every task)."""
+    return df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(f"_n{tag}"),
+        F.min(row_h).alias(f"_h{tag}"),
+        F.max(row_h).alias(f"_m{tag}"),
+    )
+
+
 def content_diff(
     source: DataFrame,
     target: DataFrame,
@@ -292,29 +308,26 @@ def content_diff(
     max_dirty_fraction: float = 0.25,
     exact: bool = False,
 ) -> DataFrame:
-    """Rows missing from the target, extra in the target, or changed (with the names
-    of the differing columns). Keys must be unique on each side.
-
-    ``mode="hash"`` (default): each side is reduced to (key, 64-bit hash of the row) and
-    only those narrow rows are shuffled and full-outer-joined; full rows are fetched
-    back only for keys whose hashes differ, to name the changed columns.
-
-    ``mode="digest"``: for nearly identical tables. Each side is first summarised per key
-    bucket (count, xor and two sums of the row hash — one-pass aggregates whose
-    shuffle carries at most ``buckets`` rows per task). The ids of the differing
-    buckets (at most ``buckets``) come back to the driver. When at most
-    ``max_dirty_fraction`` of them differ, only rows of those buckets are compared;
-    identical data never crosses the network. Otherwise it falls back to ``hash``.
-
-    ``mode="exact"`` (or ``exact=True``): full rows are joined and compared column by
-    column, no hashing. The hash modes miss a changed row only if its 64-bit hash
-    collides (probability 2^-64 per changed row)."""
+    """Per key, rows ``missing`` from the target, ``extra`` in the target, ``changed``
+    (with the names of the differing columns) or ``duplicate`` (the key is not unique on
+    a side — e.g. a table loaded twice; such keys are reported, never paired row by row).
+
+    Both sides are first reduced to one row per key (count and 64-bit row hash); the
+    key-level join is therefore 1:1 whatever the key distribution, and only the narrow
+    (key, count, hash) rows cross the shuffle. Full rows are fetched back only for keys
+    whose single rows differ, to name the changed columns.
+
+    ``mode="hash"`` (default) flags changes by row hash (a changed row is missed only on
+    a 64-bit collision); ``mode="exact"`` (or ``exact=True``) compares every 1:1 key
+    column by column. ``mode="digest"`` is for nearly identical tables: each side is
+    first summarised per key bucket (count, xor and sums of the row hash; at most
+    ``buckets`` rows cross the shuffle); when at most ``max_dirty_fraction`` of the
+    buckets differ, only rows of those buckets are compared — identical data never
+    crosses the network — otherwise it proceeds as ``hash``."""
     mode = "exact" if exact else mode
     value_cols = [c for c in source.columns if c not in keys]
     tgt = _aligned_target(source, target)
     src = source
-    if mode == "exact":
-        return _row_level_diff(src, tgt, keys, value_cols)
     row_h = _row_digest(source, source.columns)
     if mode == "digest":
         bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets))
@@ -337,33 +350,32 @@ def content_diff(
         )
         differ = digest(src, "s").join(digest(tgt, "t"), "_b", "full").filter(~same).select("_b")
         dirty = [r["_b"] for r in differ.collect()]  # at most `buckets` ids by construction
-        if not dirty:
-            return _row_level_diff(src.limit(0), tgt.limit(0), keys, value_cols)
         if len(dirty) <= buckets * max_dirty_fraction:
             # A bounded id table (<= buckets * max_dirty_fraction rows): broadcast semi join.
             ids = F.broadcast(source.sparkSession.createDataFrame([(b,) for b in dirty], "_b long"))
             src = src.withColumn("_b", bucket).join(ids, "_b", "left_semi").drop("_b")
             tgt = tgt.withColumn("_b", bucket).join(ids, "_b", "left_semi").drop("_b")
-    # Narrow comparison: only (key, hash) rows cross the shuffle.
-    s = src.select(*keys, row_h.alias("_hs"))
-    t = tgt.select(*[F.col(k).alias(f"_t_{k}") for k in keys], row_h.alias("_ht"))
-    cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_t_{k}") for k in keys])
-    narrow = s.join(t, cond, "full").select(
-        *[F.coalesce(F.col(k), F.col(f"_t_{k}")).alias(k) for k in keys],
-        F.when(F.col("_hs").isNull(), F.lit("extra"))
-        .when(F.col("_ht").isNull(), F.lit("missing"))
-        .when(F.col("_hs") != F.col("_ht"), F.lit("changed"))
+    per_key = _per_key(src, keys, row_h, "s").join(_per_key(tgt, keys, row_h, "t"), keys, "full")
+    one_to_one = (F.col("_ns") == 1) & (F.col("_nt") == 1)
+    hashes_differ = F.col("_hs") != F.col("_ht")
+    classified = per_key.select(
+        *keys,
+        F.when(F.col("_ns").isNull(), F.lit("extra"))
+        .when(F.col("_nt").isNull(), F.lit("missing"))
+        .when((F.col("_ns") > 1) | (F.col("_nt") > 1), F.lit("duplicate"))
+        .when(one_to_one & (F.lit(mode == "exact") | hashes_differ), F.lit("compare"))
         .alias("status"),
     ).filter(F.col("status").isNotNull())
-    one_sided = narrow.filter(F.col("status") != "changed").withColumn(
+    settled = classified.filter(F.col("status") != "compare").withColumn(
         "changed_columns", F.lit(None).cast("string")
     )
-    changed_keys = narrow.filter(F.col("status") == "changed").select(*keys)
-    # Full rows only for changed keys (AQE broadcasts the key set when it is small).
+    to_compare = classified.filter(F.col("status") == "compare").select(*keys)
+    # Full rows only for keys to compare (1:1 by construction; AQE broadcasts the key set
+    # when it is small at run time).
     detail = _row_level_diff(
-        src.join(changed_keys, keys, "left_semi"), tgt.join(changed_keys, keys, "left_semi"), keys, value_cols
+        src.join(to_compare, keys, "left_semi"), tgt.join(to_compare, keys, "left_semi"), keys, value_cols
     )
-    return one_sided.unionByName(detail)
+    return settled.unionByName(detail)
 
 
 def content_diff_keyless(source: DataFrame, target: DataFrame) -> DataFrame:

@@ -55,6 +55,20 @@ def test_content_diff_extra_rows_and_identical(spark):
     assert dig == out
 
 
+def test_duplicate_keys_are_reported_not_paired(spark):
+    # A target loaded twice plus a hot key: no key group is expanded into row pairs.
+    s = spark.range(2000).select(F.col("id"), (F.col("id") % 7).alias("v"))
+    hot = spark.range(3000).select(F.lit(5).cast("long").alias("id"), F.lit(5).cast("long").alias("v"))
+    t = s.union(s.filter("id < 10")).union(hot)
+    for mode in ("hash", "exact", "digest"):
+        out = reconcile.content_diff(s, t, ["id"], mode=mode)
+        rows = {r.id: r.status for r in out.collect()}
+        assert rows == {i: "duplicate" for i in range(10)}, mode
+    tgt_dup = reconcile.sample_diff(s, t, "id", n=2000)
+    assert {r.status for r in tgt_dup.filter("id < 10").collect()} == {"duplicate"}
+    assert tgt_dup.count() == 2000
+
+
 def test_keyless_diff_counts_duplicates(spark):
     s = spark.createDataFrame([(1,), (1,), (2,)], "v int")
     t = spark.createDataFrame([(1,), (3,)], "v int")
