@@ -299,6 +299,29 @@ def _per_key(df: DataFrame, keys: list[str], row_h: Column, tag: str) -> DataFra
     )
 
 
+def _exact_per_key(src: DataFrame, tgt: DataFrame, keys: list[str], value_cols: list[str]) -> DataFrame:
+    """Single pass: each side reduced to (key, count, one row) by partial aggregation,
+    joined 1:1 and compared column by column."""
+    def side(df: DataFrame, tag: str) -> DataFrame:
+        return df.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias(f"_n{tag}"), F.any_value(F.struct(*value_cols)).alias(f"_r{tag}")
+        )
+
+    j = side(src, "s").join(side(tgt, "t"), keys, "full")
+    changed = F.concat_ws(
+        ",", *[F.when(~F.col("_rs")[c].eqNullSafe(F.col("_rt")[c]), F.lit(c)) for c in value_cols]
+    )
+    status = (
+        F.when(F.col("_ns").isNull(), F.lit("extra"))
+        .when(F.col("_nt").isNull(), F.lit("missing"))
+        .when((F.col("_ns") > 1) | (F.col("_nt") > 1), F.lit("duplicate"))
+        .when(changed != "", F.lit("changed"))
+    )
+    return j.select(
+        *keys, status.alias("status"), F.when(status == "changed", changed).alias("changed_columns")
+    ).filter(F.col("status").isNotNull())
+
+
 def content_diff(
     source: DataFrame,
     target: DataFrame,
@@ -328,6 +351,8 @@ def content_diff(
     value_cols = [c for c in source.columns if c not in keys]
     tgt = _aligned_target(source, target)
     src = source
+    if mode == "exact":
+        return _exact_per_key(src, tgt, keys, value_cols)
     row_h = _row_digest(source, source.columns)
     if mode == "digest":
         bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets))
