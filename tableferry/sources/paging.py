@@ -3,16 +3,17 @@
 The legacy tool pages with ``ORDER BY pk OFFSET k FETCH NEXT n`` — a re-sort per page.
 Here a page number is derived from a *distributed* row index:
 
-1. bucket bounds = approximate quantiles of the leading key (one narrow pass);
-   ``bucket`` is a monotone function of the key, so buckets are ordered like keys;
-2. rows per bucket (partial aggregation; one row per bucket reaches the driver side);
+1. bucket bounds = sorted keys picked from a bounded sample of the (full, composite)
+   key; ``bucket`` = number of bounds below the row's key, a monotone function of the
+   key evaluated by a balanced decision tree (O(log bounds) comparisons per row);
+2. rows per bucket (partial aggregation; one row per task and bucket is shuffled);
 3. offset of a bucket = exclusive running sum over the bucket counts. The bucket
-   table is bounded by the bucket count we choose, so broadcasting it is safe;
+   table has at most MAX_BUCKETS + 1 rows by construction, so broadcasting it is safe;
 4. ``row_no = offset + row_number() over (partition by bucket order by key)``.
 
-No step funnels the table through one partition (a global ``Window.orderBy`` would);
-a hot key cannot form a giant bucket because bounds come from quantiles of the data,
-and a single repeated key value is still spread by the hash exchange of its bucket only.
+No step funnels the table through one partition (a global ``Window.orderBy`` would).
+Bounds are ranges of the whole key, so with a unique key a leading value that holds a
+third of the rows is still split across buckets by the following key columns.
 """
 
 from __future__ import annotations
@@ -29,55 +30,56 @@ CHUNK_SIZE = 100              # rows per executemany chunk
 COMMIT_EVERY = 50             # pages between commits
 
 ROWS_PER_BUCKET = 2_000_000   # target rows sorted by one window task
-MAX_BUCKETS = 100_000
-MAX_BUCKETS_GENERIC = 512     # non-numeric keys: bounds compared one by one
-
-
-def _is_numeric(dt: T.DataType) -> bool:
-    return isinstance(dt, (T.IntegerType, T.LongType, T.ShortType, T.ByteType,
-                           T.DoubleType, T.FloatType, T.DecimalType))
+MAX_BUCKETS = 1024            # bounds held by the bucket expression (depth 10 tree)
+SAMPLES_PER_BUCKET = 32       # sampled keys per bucket when choosing bounds
 
 
 def _bucket_count(n_rows: int, min_buckets: int) -> int:
     return max(min_buckets, min(MAX_BUCKETS, math.ceil(n_rows / ROWS_PER_BUCKET)))
 
 
-def _numeric_bucket(df: DataFrame, lead: str, n_buckets: int, rel_err: float) -> DataFrame:
-    from pyspark.ml.feature import Bucketizer
-
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = sorted(set(q for q in df.stat.approxQuantile(lead, probs, rel_err) if q == q))
-    splits = [-math.inf] + bounds + [math.inf]
-    tmp = "__tf_key_double"
-    with_double = df.withColumn(tmp, F.coalesce(F.col(lead).cast("double"), F.lit(0.0)))
-    bucketed = Bucketizer(splits=splits, inputCol=tmp, outputCol="__tf_b", handleInvalid="keep").transform(
-        with_double
+def _key_bounds(df: DataFrame, order_cols: list[str], n_buckets: int, n_rows: int) -> list[tuple]:
+    """Sorted bucket bounds on the full (composite) key from a bounded sample: about
+    SAMPLES_PER_BUCKET * n_buckets keys reach the driver, never the table."""
+    want = SAMPLES_PER_BUCKET * n_buckets
+    fraction = min(1.0, 2.0 * want / max(n_rows, 1))
+    sample = (
+        df.select(*order_cols).sample(False, fraction, seed=17)
+        .orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
+        .limit(2 * want)
+        .collect()
     )
-    return bucketed.withColumn(
-        "_bucket",
-        F.when(F.col(lead).isNull(), F.lit(-1)).otherwise(F.col("__tf_b").cast("int")),
-    ).drop(tmp, "__tf_b")
+    if not sample:
+        return []
+    step = max(1, len(sample) // n_buckets)
+    bounds, seen = [], set()
+    for row in sample[step::step][: n_buckets - 1]:
+        t = tuple(row)
+        if t not in seen:
+            seen.add(t)
+            bounds.append(t)
+    return bounds
 
 
-def _generic_bucket(df: DataFrame, lead: str, n_buckets: int, n_rows: int) -> DataFrame:
-    # Bounds from a sample: at most n_buckets values reach the driver.
-    fraction = min(1.0, 20.0 * n_buckets / max(n_rows, 1))
-    sample = (
-        df.select(lead).where(F.col(lead).isNotNull()).sample(False, fraction, seed=17)
-        .distinct().orderBy(lead)
-    )
-    values = [r[0] for r in sample.collect()]
-    step = max(1, len(values) // n_buckets)
-    bounds = values[step::step][: n_buckets - 1]
-    arr = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast(
-        T.ArrayType(df.schema[lead].dataType)
-    )
-    return df.withColumn(
-        "_bucket",
-        F.when(F.col(lead).isNull(), F.lit(-1)).otherwise(
-            F.size(F.filter(arr, lambda b: b < F.col(lead)))
-        ),
-    )
+def _bucket_expr(order_cols: list[str], bounds: list[tuple], types: dict | None = None):
+    """Number of bounds below the row's key, as a balanced decision tree of struct
+    comparisons (lexicographic, NULLs first): O(log bounds) per row, JVM-side."""
+    key = F.struct(*[F.col(c) for c in order_cols])
+    types = types or {}
+
+    def lit(v, c):
+        x = F.lit(v)
+        return (x.cast(types[c]) if c in types else x).alias(c)
+
+    lits = [F.struct(*[lit(v, c) for v, c in zip(b, order_cols)]) for b in bounds]
+
+    def tree(lo: int, hi: int):
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(lits[mid] < key, tree(mid + 1, hi)).otherwise(tree(lo, mid))
+
+    return tree(0, len(bounds))
 
 
 def row_index(
@@ -85,32 +87,29 @@ def row_index(
     order_cols: list[str],
     index_col: str = "row_no",
     n_buckets: int | None = None,
-    rel_err: float = 0.001,
 ) -> DataFrame:
     """Add a 1-based global position by ``order_cols`` (ascending, NULLs first).
 
-    Equals ``row_number() over (order by order_cols)`` — ties beyond ``order_cols`` are
-    ordered arbitrarily, as in SQL."""
-    lead = order_cols[0]
-    n_rows = df.count() if n_buckets is None else 0
-    if _is_numeric(df.schema[lead].dataType):
-        nb = n_buckets or _bucket_count(n_rows, df.sparkSession.sparkContext.defaultParallelism)
-        b = _numeric_bucket(df, lead, nb, rel_err)
-    else:
-        nb = min(n_buckets or _bucket_count(n_rows, 8), MAX_BUCKETS_GENERIC)
-        b = _generic_bucket(df, lead, nb, n_rows)
+    Equals ``row_number() over (order by order_cols)``; ties beyond ``order_cols`` are
+    ordered arbitrarily, as in SQL. Buckets are ranges of the full key, so with a unique
+    key (a primary key, as paging uses) no bucket holds much more than rows/buckets —
+    a leading column value shared by a third of the rows is split across buckets by the
+    following key columns."""
+    n_rows = df.count()
+    nb = n_buckets or _bucket_count(n_rows, df.sparkSession.sparkContext.defaultParallelism)
+    bounds = _key_bounds(df, order_cols, nb, n_rows)
+    types = {c: df.schema[c].dataType for c in order_cols}
+    b = df.withColumn("_bucket", _bucket_expr(order_cols, bounds, types))
     counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per bucket (<= MAX_BUCKETS + 1): a single ordered window over it is cheap.
     offsets = counts.select(
         "_bucket",
         F.coalesce(
-            F.sum("_n").over(
-                Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-            ),
+            F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0),
         ).alias("_offset"),
     )
     w = Window.partitionBy("_bucket").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-    # offsets has one row per bucket: its size is bounded by nb, never by the data.
     return (
         b.join(F.broadcast(offsets), "_bucket")
         .withColumn(index_col, (F.col("_offset") + F.row_number().over(w)).cast("bigint"))
