@@ -3,17 +3,18 @@
 The legacy tool pages with ``ORDER BY pk OFFSET k FETCH NEXT n`` — a re-sort per page.
 Here a page number is derived from a *distributed* row index:
 
-1. bucket bounds = sorted keys picked from a bounded sample of the (full, composite)
-   key; ``bucket`` = number of bounds below the row's key, a monotone function of the
-   key evaluated by a balanced decision tree (O(log bounds) comparisons per row);
+1. range buckets of the leading key column at quantiles of a bounded key sample,
+   assigned by Spark ML's Bucketizer (a compiled binary search); the bucket is a
+   monotone function of the key. A leading value that fills more than one range (a hot
+   value) gets its own bucket, ranged again by the next key column;
 2. rows per bucket (partial aggregation; one row per task and bucket is shuffled);
-3. offset of a bucket = exclusive running sum over the bucket counts. The bucket
-   table has at most MAX_BUCKETS + 1 rows by construction, so broadcasting it is safe;
+3. offset of a bucket = exclusive running sum over the bucket counts (a table with one
+   row per bucket, bounded by construction, so broadcasting it is safe);
 4. ``row_no = offset + row_number() over (partition by bucket order by key)``.
 
 No step funnels the table through one partition (a global ``Window.orderBy`` would).
-Bounds are ranges of the whole key, so with a unique key a leading value that holds a
-third of the rows is still split across buckets by the following key columns.
+Text keys use Spark's range partitioner on the full key instead, pinned by a
+checkpoint so that the counting and numbering passes agree.
 """
 
 from __future__ import annotations
@@ -30,56 +31,82 @@ CHUNK_SIZE = 100              # rows per executemany chunk
 COMMIT_EVERY = 50             # pages between commits
 
 ROWS_PER_BUCKET = 2_000_000   # target rows sorted by one window task
-MAX_BUCKETS = 1024            # bounds held by the bucket expression (depth 10 tree)
-SAMPLES_PER_BUCKET = 32       # sampled keys per bucket when choosing bounds
+MAX_BUCKETS = 100_000         # range buckets of the leading key column
+MAX_SAMPLE = 200_000          # sampled keys that reach the driver to place bounds
+MAX_HOT = 16                  # leading values split further by the next key column
+_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 
 
 def _bucket_count(n_rows: int, min_buckets: int) -> int:
     return max(min_buckets, min(MAX_BUCKETS, math.ceil(n_rows / ROWS_PER_BUCKET)))
 
 
-def _key_bounds(df: DataFrame, order_cols: list[str], n_buckets: int, n_rows: int) -> list[tuple]:
-    """Sorted bucket bounds on the full (composite) key from a bounded sample: about
-    SAMPLES_PER_BUCKET * n_buckets keys reach the driver, never the table."""
-    want = SAMPLES_PER_BUCKET * n_buckets
+def _sample_keys(df: DataFrame, cols: list[str], n_rows: int, want: int) -> list[tuple]:
+    """A bounded, sorted sample of key tuples (NULL-free): at most MAX_SAMPLE rows."""
+    want = min(want, MAX_SAMPLE)
     fraction = min(1.0, 2.0 * want / max(n_rows, 1))
-    sample = (
-        df.select(*order_cols).sample(False, fraction, seed=17)
-        .orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
-        .limit(2 * want)
-        .collect()
-    )
-    if not sample:
-        return []
-    step = max(1, len(sample) // n_buckets)
-    bounds, seen = [], set()
-    for row in sample[step::step][: n_buckets - 1]:
-        t = tuple(row)
-        if t not in seen:
-            seen.add(t)
-            bounds.append(t)
-    return bounds
-
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(c).isNotNull()
+    rows = df.select(*cols).where(cond).sample(False, fraction, seed=17).limit(2 * want).collect()
+    return sorted(tuple(r) for r in rows)
 
-def _bucket_expr(order_cols: list[str], bounds: list[tuple], types: dict | None = None):
-    """Number of bounds below the row's key, as a balanced decision tree of struct
-    comparisons (lexicographic, NULLs first): O(log bounds) per row, JVM-side."""
-    key = F.struct(*[F.col(c) for c in order_cols])
-    types = types or {}
 
-    def lit(v, c):
-        x = F.lit(v)
-        return (x.cast(types[c]) if c in types else x).alias(c)
+def _quantile_splits(values: list, n: int) -> list[float]:
+    if not values:
+        return []
+    step = max(1, len(values) // n)
+    return sorted({float(v) for v in values[step::step]})
 
-    lits = [F.struct(*[lit(v, c) for v, c in zip(b, order_cols)]) for b in bounds]
 
-    def tree(lo: int, hi: int):
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(lits[mid] < key, tree(mid + 1, hi)).otherwise(tree(lo, mid))
+def _bucketize(df: DataFrame, col: str, splits: list[float], out: str) -> DataFrame:
+    """``out`` = index of the range of ``splits`` holding ``col`` (a compiled binary
+    search in the JVM: Spark ML's Bucketizer); NULL -> -1 (NULLs sort first)."""
+    from pyspark.ml.feature import Bucketizer
 
-    return tree(0, len(bounds))
+    full = [-math.inf] + [x for x in splits if math.isfinite(x)] + [math.inf]
+    tmp = f"{out}__in"
+    b = Bucketizer(splits=full, inputCol=tmp, outputCol=f"{out}__b", handleInvalid="keep").transform(
+        df.withColumn(tmp, F.coalesce(F.col(col).cast("double"), F.lit(0.0)))
+    )
+    return b.withColumn(
+        out, F.when(F.col(col).isNull(), F.lit(-1)).otherwise(F.col(f"{out}__b").cast("int"))
+    ).drop(tmp, f"{out}__b")
+
+
+def with_bucket(df: DataFrame, order_cols: list[str], n_buckets: int, n_rows: int) -> DataFrame:
+    """Add ``_b1``, ``_b2``: a bucket pair that is monotone in the key (ordering rows by
+    (_b1, _b2, key) orders them by key).
+
+    ``_b1`` ranges the leading column at quantiles of a bounded sample. A leading value
+    that fills more than one range (a hot value) gets a bucket of its own, [h, next(h)),
+    and — when the next key column is numeric — its rows are ranged again by that column
+    in ``_b2``, so no single window task has to sort the hot value's rows."""
+    lead = order_cols[0]
+    sample = _sample_keys(df, order_cols[:2], n_rows, 32 * n_buckets)
+    leads = [t[0] for t in sample]
+    splits = _quantile_splits(leads, n_buckets)
+    per_bucket = max(1, len(leads) // n_buckets)
+    counts: dict = {}
+    for v in leads:
+        counts[v] = counts.get(v, 0) + 1
+    hot = sorted((v for v, c in counts.items() if c > 2 * per_bucket), key=lambda v: -counts[v])[:MAX_HOT]
+    for h in hot:
+        splits += [float(h), float(math.nextafter(float(h), math.inf))]
+    out = _bucketize(df, lead, sorted(set(splits)), "_b1")
+    second_numeric = len(order_cols) > 1 and isinstance(df.schema[order_cols[1]].dataType, _NUMERIC)
+    b2 = F.lit(0)
+    if hot and second_numeric:
+        second = order_cols[1]
+        for i, h in enumerate(hot):
+            sub = [t[1] for t in sample if t[0] == h]
+            sub_splits = _quantile_splits(sub, max(2, math.ceil(counts[h] / per_bucket)))
+            out = _bucketize(out, second, sub_splits, f"_h{i}")
+            b2 = F.when(F.col(lead) == F.lit(h), F.col(f"_h{i}")).otherwise(b2)
+        out = out.withColumn("_b2", b2).drop(*[f"_h{i}" for i in range(len(hot))])
+    else:
+        out = out.withColumn("_b2", b2)
+    return out
 
 
 def row_index(
@@ -91,29 +118,35 @@ def row_index(
     """Add a 1-based global position by ``order_cols`` (ascending, NULLs first).
 
     Equals ``row_number() over (order by order_cols)``; ties beyond ``order_cols`` are
-    ordered arbitrarily, as in SQL. Buckets are ranges of the full key, so with a unique
-    key (a primary key, as paging uses) no bucket holds much more than rows/buckets —
-    a leading column value shared by a third of the rows is split across buckets by the
-    following key columns."""
+    ordered arbitrarily, as in SQL."""
     n_rows = df.count()
     nb = n_buckets or _bucket_count(n_rows, df.sparkSession.sparkContext.defaultParallelism)
-    bounds = _key_bounds(df, order_cols, nb, n_rows)
-    types = {c: df.schema[c].dataType for c in order_cols}
-    b = df.withColumn("_bucket", _bucket_expr(order_cols, bounds, types))
-    counts = b.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per bucket (<= MAX_BUCKETS + 1): a single ordered window over it is cheap.
+    if isinstance(df.schema[order_cols[0]].dataType, _NUMERIC):
+        b = with_bucket(df, order_cols, nb, n_rows)
+    else:
+        # Text (or other non-numeric) leading column: Spark's range partitioner samples
+        # the full key, so a unique key always splits evenly. Its partition id is pinned
+        # by a checkpoint in the shared folder, so counts and row numbers below read the
+        # same assignment even when tasks are retried or executors lost.
+        from tableferry.session import materialize
+
+        ranged = df.repartitionByRange(nb, *[F.col(c).asc_nulls_first() for c in order_cols])
+        b = materialize(ranged.withColumns({"_b1": F.spark_partition_id(), "_b2": F.lit(0)}))
+    counts = b.groupBy("_b1", "_b2").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per bucket (bounded by buckets + hot sub-buckets): an ordered window over it is cheap.
     offsets = counts.select(
-        "_bucket",
+        "_b1",
+        "_b2",
         F.coalesce(
-            F.sum("_n").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)),
+            F.sum("_n").over(Window.orderBy("_b1", "_b2").rowsBetween(Window.unboundedPreceding, -1)),
             F.lit(0),
         ).alias("_offset"),
     )
-    w = Window.partitionBy("_bucket").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
+    w = Window.partitionBy("_b1", "_b2").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
     return (
-        b.join(F.broadcast(offsets), "_bucket")
+        b.join(F.broadcast(offsets), ["_b1", "_b2"])
         .withColumn(index_col, (F.col("_offset") + F.row_number().over(w)).cast("bigint"))
-        .drop("_bucket", "_offset")
+        .drop("_b1", "_b2", "_offset")
     )
 
 
