@@ -191,8 +191,8 @@ def boundary_rows(pages: DataFrame, target: DataFrame, key: str) -> DataFrame:
     wanted = bounds.select(F.col("first_key").alias("_k")).union(bounds.select(F.col("last_key").alias("_k")))
     present = (
         target.select(F.col(key).alias("_k"))
+        .distinct()  # map-side de-duplication: a hot key is one row per task
         .join(wanted, "_k", "left_semi")
-        .distinct()
         .withColumn("_p", F.lit(True))
     )
     fk = present.select(F.col("_k").alias("first_key"), F.col("_p").alias("first_present"))
