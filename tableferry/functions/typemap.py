@@ -175,20 +175,6 @@ def auto_increment(is_identity, preserve_values: bool = True) -> Column:
     return ident & F.lit(not preserve_values)
 
 
-def length_limit(target_type) -> Column:
-    """Longest text (characters) or binary (bytes) a target type holds; NULL = unbounded.
-
-    Used by the pre-load quality checks (D2) and the quarantine split (W4)."""
-    t = F.upper(_n(target_type))
-    n = F.regexp_extract(t, r"^(?:VARCHAR|CHAR|BINARY|VARBINARY)\((\d+)\)$", 1)
-    return (
-        F.when(n != "", n.cast("bigint"))
-        .when(t == "TEXT", F.lit(65535).cast("bigint"))
-        .when(t == "VARCHAR(36)", F.lit(36).cast("bigint"))
-        .otherwise(F.lit(None).cast("bigint"))
-    )
-
-
 # Signed integer ranges of the target integer types.
 INTEGER_RANGES = {
     "TINYINT": (-128, 127),

@@ -129,9 +129,30 @@ def target_rules(df: DataFrame, target_types: dict[str, str]):
     return limits, ranges
 
 
-def suspect_cells(df: DataFrame, key: str, target_types: dict[str, str]) -> DataFrame:
-    """(key, column, value, code) for every cell that D2-D4 flag, one pass."""
-    limits, ranges = target_rules(df, target_types)
+def legacy_rules(df: DataFrame):
+    """The legacy error analysis' fixed rules: any text longer than 255 characters,
+    any number whose absolute value exceeds 2147483647."""
+    limits, ranges = {}, {}
+    for f in df.schema.fields:
+        if isinstance(f.dataType, T.StringType):
+            limits[f.name] = LEGACY_TEXT_LIMIT
+        elif isinstance(f.dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType,
+                                     T.DecimalType, T.DoubleType, T.FloatType)):
+            ranges[f.name] = (-LEGACY_INT_LIMIT, LEGACY_INT_LIMIT)
+    return limits, ranges
+
+
+def key_suspects(df: DataFrame) -> list[str]:
+    """D1 suspects of the legacy analysis: columns whose name contains ``id`` or ``name``."""
+    return [c for c in df.columns if "id" in c.lower() or "name" in c.lower()]
+
+
+def suspect_cells(df: DataFrame, key: str, target_types: dict[str, str] | None = None) -> DataFrame:
+    """(key, column, value, code) for every cell that D2-D4 flag, one pass.
+
+    With ``target_types`` the limits come from the mapped target types; without, the
+    legacy analysis' fixed rules apply (:func:`legacy_rules`)."""
+    limits, ranges = target_rules(df, target_types) if target_types is not None else legacy_rules(df)
     checks = [
         (c, F.length(_c(c)) > F.lit(n), values.preview_text(_c(c)), "1406") for c, n in limits.items()
     ]

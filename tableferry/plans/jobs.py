@@ -264,12 +264,11 @@ def migrate_database(
     order = [("planned", i + 1, t) for i, t in enumerate(planned)] + [
         ("remaining", len(planned) + i + 1, t) for i, t in enumerate(remaining)
     ]
-    catalog_df = cat.column_catalog(spark, source.subset(available)).cache()
+    catalog_df = cat.column_catalog(spark, source.subset(available))
     structure = {
         r["table_name"]: r["n"] > 0
         for r in catalog_df.groupBy("table_name").agg(F.count(F.lit(1)).alias("n")).collect()
     }
-    catalog_df.unpersist()
 
     def run(item):
         phase, pos, t = item

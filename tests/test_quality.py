@@ -87,3 +87,28 @@ def test_preview_text(spark):
     df = spark.createDataFrame([("a" * 50,), ("b" * 51,)], "s string")
     out = [r.p for r in df.select(V.preview_text("s").alias("p")).collect()]
     assert out[0] == "a" * 50 and out[1] == "b" * 47 + "..." and not math.isnan(len(out[1]))
+
+
+def test_legacy_suspect_rules(spark):
+    df = spark.createDataFrame(
+        [(1, "x" * 256, 5, "ok"), (2, "y", 3_000_000_000, "ok"), (3, "z", -3_000_000_000, "fine")],
+        "order_id long, note string, amount long, customer_name string",
+    )
+    cells = {(r.order_id, r.column_name, r.code) for r in quality.suspect_cells(df, "order_id").collect()}
+    assert cells == {(1, "note", "1406"), (2, "amount", "1264"), (3, "amount", "1264")}
+    assert quality.key_suspects(df) == ["order_id", "customer_name"]
+
+
+def test_target_column_info_caps_lengths(spark):
+    from tableferry.sources import catalog as cat
+
+    c = spark.createDataFrame(
+        [("dbo", "t", "a", "longtext", 4294967295, None, None, "YES", 1, 0, None),
+         ("dbo", "t", "b", "VARCHAR", 20, None, None, "NO", 2, 0, None)],
+        "table_schema string, table_name string, column_name string, data_type string, "
+        "character_maximum_length bigint, numeric_precision int, numeric_scale int, is_nullable string, "
+        "ordinal_position int, is_identity int, column_default string",
+    )
+    out = {r.column_name: r for r in cat.target_column_info(c).collect()}
+    assert out["a"].max_length == -1 and out["b"].max_length == 20
+    assert out["b"].data_type == "varchar" and out["b"].is_nullable is False
