@@ -11,7 +11,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tableferry.operators import profile
 from tableferry.sources import catalog
