@@ -115,15 +115,27 @@ def bad_dates(df: DataFrame, key: str, columns: list[str] | None = None) -> Data
     return _violations(df, key, checks).select(key, "column_name", "value")
 
 
+_SOURCE_RANGES = {
+    T.ByteType: typemap.INTEGER_RANGES["TINYINT"],
+    T.ShortType: typemap.INTEGER_RANGES["SMALLINT"],
+    T.IntegerType: typemap.INTEGER_RANGES["INT"],
+    T.LongType: typemap.INTEGER_RANGES["BIGINT"],
+}
+
+
 def target_rules(df: DataFrame, target_types: dict[str, str]):
-    """Length limits and integer ranges implied by target types."""
+    """Length limits and integer ranges implied by target types (a range check is left
+    out when the source integer type cannot exceed the target's range)."""
     limits, ranges = {}, {}
     for c, t in target_types.items():
         if c not in df.columns:
             continue
         tt = t.strip().upper()
         if tt in typemap.INTEGER_RANGES:
-            ranges[c] = typemap.INTEGER_RANGES[tt]
+            lo, hi = typemap.INTEGER_RANGES[tt]
+            src = _SOURCE_RANGES.get(type(df.schema[c].dataType))
+            if src is None or src[0] < lo or src[1] > hi:
+                ranges[c] = (lo, hi)
         elif tt.startswith(("VARCHAR(", "CHAR(")):
             limits[c] = int(tt[tt.index("(") + 1:-1])
     return limits, ranges

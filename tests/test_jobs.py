@@ -131,3 +131,18 @@ def test_jdbc_partitioned_source_read(spark, source):
     plan = pushed._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "o_orderkey" in plan
     assert pushed.count() == orders.filter("o_orderkey < 10").count()
+
+
+def test_stream_copy_is_exactly_once_on_rerun(spark, source):
+    from tests.conftest import SF_SMALL
+    from tableferry.streaming.incremental import stream_copy
+
+    orders = source.table("orders")
+    root = new_run_dir(spark, "test-stream")
+    log = stream_copy(spark, SF_SMALL, "orders.parquet", orders.schema, root + "/out", root + "/_ckpt",
+                      {"o_totalprice": "DOUBLE"}, max_files_per_trigger=1)
+    assert sum(r.n_rows for r in log.collect()) == orders.count()
+    again = stream_copy(spark, SF_SMALL, "orders.parquet", orders.schema, root + "/out", root + "/_ckpt")
+    assert sum(r.n_rows for r in again.collect()) == 0  # checkpoint: nothing is copied twice
+    out = spark.read.parquet(root + "/out")
+    assert out.count() == orders.count() and out.exceptAll(orders).count() == 0
