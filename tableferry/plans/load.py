@@ -43,7 +43,8 @@ def load_rowwise(frames: list[DataFrame], path: str) -> int:
     from functools import reduce
 
     merged = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return write_table(merged, path, mode="append")
+    # A row without any value is skipped, as the row-wise loader skips empty rows.
+    return write_table(merged.dropna(how="all"), path, mode="append")
 
 
 def _jdbc_execute(spark: SparkSession, url: str, properties: dict, statements: list[str]) -> None:

@@ -196,16 +196,23 @@ def list_views(tables: DataFrame) -> DataFrame:
 
 
 def row_counts(db: Database, names=None) -> DataFrame:
-    """Exact row count per table, all tables in one job (bigint counts)."""
-    names = list(names) if names is not None else db.names()
+    """Exact row count per table, all tables in one job (bigint counts).
+    Listed tables that could not be read appear with a NULL count."""
+    names_given = list(names) if names is not None else None
+    names = [t for t in names_given if t in db.tables] if names_given is not None else db.names()
     parts = [
         db.table(t).agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(t).alias("table_name"), "row_count"
         )
         for t in names
     ]
+    spark = SparkSession.getActiveSession()
+    flagged = [t for t in (db.unreadable if names_given is None else names_given) if t in db.unreadable]
+    if flagged:
+        # Listed but unreadable: a row with a NULL count (S12 flags them).
+        parts.append(spark.createDataFrame([(t, None) for t in flagged], "table_name string, row_count bigint"))
     if not parts:
-        return SparkSession.getActiveSession().createDataFrame([], "table_name string, row_count bigint")
+        return spark.createDataFrame([], "table_name string, row_count bigint")
     return reduce(DataFrame.unionByName, parts)
 
 

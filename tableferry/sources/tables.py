@@ -58,6 +58,7 @@ class Database:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     primary_keys: dict[str, list[str]] = field(default_factory=dict)
     table_types: dict[str, str] = field(default_factory=dict)
+    unreadable: dict[str, str] = field(default_factory=dict)  # listed, but could not be read
 
     def table(self, name: str) -> DataFrame:
         return self.tables[name]
@@ -75,6 +76,7 @@ class Database:
             {n: self.tables[n] for n in keep},
             {n: self.primary_keys.get(n, []) for n in keep},
             {n: self.table_types.get(n, "BASE TABLE") for n in keep},
+            {n: e for n, e in self.unreadable.items() if n in set(names)},
         )
 
 
@@ -86,13 +88,22 @@ def read_parquet_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame
 def read_database(
     spark: SparkSession, sf_dir: str, tables=ALL_TABLES, schema: str = "dbo"
 ) -> Database:
-    """The fixture folder as a source database (lazy; schemas are read from footers)."""
-    frames = {t: read_parquet_table(spark, sf_dir, t) for t in tables}
+    """The fixture folder as a source database (lazy; schemas are read from footers).
+
+    A listed table that cannot be opened is kept in ``unreadable`` with its error, so
+    listings can flag it while every other table stays usable."""
+    frames, errors = {}, {}
+    for t in tables:
+        try:
+            frames[t] = read_parquet_table(spark, sf_dir, t)
+        except Exception as exc:  # noqa: BLE001 — the error is reported as data
+            errors[t] = (str(exc).strip().splitlines() or [type(exc).__name__])[0][:300]
     return Database(
         schema,
         frames,
-        {t: list(PRIMARY_KEYS.get(t, [])) for t in tables},
-        {t: "BASE TABLE" for t in tables},
+        {t: list(PRIMARY_KEYS.get(t, [])) for t in frames},
+        {t: "BASE TABLE" for t in frames},
+        errors,
     )
 
 

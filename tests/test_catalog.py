@@ -126,3 +126,13 @@ def test_table_structure_and_probe(spark, source):
     probe = cat.schema_probe(spark, source.table("orders")).collect()
     assert [(r.column_name, r.data_type) for r in probe][:2] == [("o_orderkey", "varchar"), ("o_custkey", "varchar")]
     assert dict((r.column_name, r.type_code) for r in probe)["o_totalprice"] == 8
+
+
+def test_unreadable_tables_are_flagged(spark):
+    from tests.conftest import SF_SMALL
+    from tableferry.sources.tables import read_database
+
+    db = read_database(spark, SF_SMALL, ["region", "no_such_table"])
+    assert db.names() == ["region"] and "no_such_table" in db.unreadable
+    counts = {r.table_name: r.row_count for r in cat.row_counts(db).collect()}
+    assert counts == {"region": 5, "no_such_table": None}
