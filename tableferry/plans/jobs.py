@@ -309,17 +309,22 @@ def migration_verdict(migration: DataFrame) -> DataFrame:
 
 
 def list_target_tables(spark: SparkSession, target_root: str, candidates: list[str]) -> DataFrame:
-    """The target listing (SHOW TABLES): candidate names that exist as readable tables."""
-    found = [t for t in candidates if _exists(spark, f"{target_root}/{t}")]
-    return spark.createDataFrame([(t,) for t in found], "table_name string")
+    """The target listing (SHOW TABLES): candidate names that have parquet data files.
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
+    One listing of the target folder (file paths only; contents are not read)."""
+    empty = spark.createDataFrame([], "table_name string")
     try:
-        spark.read.parquet(path).schema  # noqa: B018 — reads the footer only
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+        files = (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", "*.parquet")
+            .option("recursiveFileLookup", "true")
+            .load(target_root)
+            .select(F.regexp_extract("path", r"/([^/]+)/[^/]+\.parquet$", 1).alias("table_name"))
+        )
+    except Exception:  # noqa: BLE001 — no target folder yet: no tables
+        return empty
+    wanted = spark.createDataFrame([(t,) for t in candidates], "table_name string")
+    return files.distinct().join(wanted, "table_name", "left_semi")
 
 
 def validate_action(
@@ -357,7 +362,7 @@ def maintenance_report(spark: SparkSession, target_root: str, names: list[str])
 def optimize_action(spark: SparkSession, source: Database, target_root: str, plan: list[str]) -> DataFrame:
     """JOB6: migrate first when the target has no tables, then maintain every table."""
     names = source.names()
-    if list_target_tables(spark, target_root, names).count() == 0:
+    if list_target_tables(spark, target_root, names).isEmpty():
         migrate_database(spark, source, target_root, plan)
     return maintenance_report(spark, target_root, names)
 
