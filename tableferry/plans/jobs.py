@@ -90,11 +90,17 @@ def transfer_table(
     target_root: str,
     mapped_catalog: DataFrame | dict,
     on_bad_values: str = "fail",
+    max_errors: int = 10,
 ) -> dict:
     """JOB1: catalog -> map -> conform -> load -> result row.
 
     Zero columns = failure; zero rows = success (an empty target table is written); an
-    illegal target name or any error = a failed result row (quirks Q1, Q4)."""
+    illegal target name or any error = a failed result row (quirks Q1, Q4).
+
+    ``on_bad_values``: ``"fail"`` (a value that does not fit fails the table, nothing is
+    committed), ``"null"`` (it becomes NULL) or ``"quarantine"`` (rows that do not fit go
+    to ``<target>__rejects`` with their reasons; more than ``max_errors`` rejects fail the
+    table, as the legacy row-by-row fallback gives up after ten errors)."""
     full = f"{source.schema}.{table}"
     tname = target_name(source.schema, table)
     result = {"source_table": full, "target_table": tname, "success": False, "row_count": None, "error": None}
@@ -110,6 +116,8 @@ def transfer_table(
             result["error"] = "no column information"
             return result
         df = source.table(table)
+        if on_bad_values == "quarantine":
+            return _transfer_quarantined(df, types, result, f"{target_root}/{tname}", max_errors)
         conformed = (
             strict_conform(df, types) if on_bad_values == "fail" else conform.conform_table(df, types)
         )
@@ -120,6 +128,29 @@ def transfer_table(
     return result
 
 
+def _transfer_quarantined(df: DataFrame, types: dict, result: dict, path: str, max_errors: int) -> dict:
+    """W4 inside JOB1: good rows conformed into the target; the same pass counts rejects.
+
+    Only when there are rejects does a second pass write them (original values and the
+    reasons) to ``<target>__rejects`` — the target table keeps exactly the source columns."""
+    from pyspark.sql import Observation
+
+    from tableferry.operators import quality
+
+    obs = Observation("quarantine")
+    tagged = quality.quarantine(df, types).observe(
+        obs, F.count_if(F.col("reject_reasons").isNotNull()).alias("bad")
+    )
+    good = conform.conform_table(tagged.filter(F.col("reject_reasons").isNull()).drop("reject_reasons"), types)
+    result["row_count"] = load.write_table(good, path)
+    bad = int(obs.get["bad"])
+    if bad:
+        load.write_table(quality.quarantine_bad(df, types), f"{path}__rejects")
+        result["error"] = f"{bad} rows quarantined"
+    result["success"] = bad <= max_errors
+    return result
+
+
 def run_summary(results: DataFrame) -> DataFrame:
     """A3: successes, failures, tables, rows of successful tables, failed list."""
     return results.agg(

@@ -146,3 +146,18 @@ def test_stream_copy_is_exactly_once_on_rerun(spark, source):
     assert sum(r.n_rows for r in again.collect()) == 0  # checkpoint: nothing is copied twice
     out = spark.read.parquet(root + "/out")
     assert out.count() == orders.count() and out.exceptAll(orders).count() == 0
+
+
+def test_transfer_with_quarantine_keeps_good_rows(spark):
+    rows = [(i, 300 if i % 4 == 0 else i % 100) for i in range(1, 41)]
+    src = Database("dbo", {"t": spark.createDataFrame(rows, "id long, v long")}, {"t": ["id"]})
+    types = {"t": {"id": "BIGINT", "v": "TINYINT"}}
+    root = new_run_dir(spark, "test-quarantine")
+    r = jobs.transfer_table(spark, src, "t", root, types, on_bad_values="quarantine")
+    assert r["row_count"] == 30 and r["error"] == "10 rows quarantined" and r["success"]
+    good = spark.read.parquet(f"{root}/dbo_t")
+    assert good.count() == 30 and good.columns == ["id", "v"] and dict(good.dtypes)["v"] == "tinyint"
+    bad = spark.read.parquet(f"{root}/dbo_t__rejects")
+    assert {x.reject_reasons for x in bad.collect()} == {"v:range"} and {x.v for x in bad.collect()} == {300}
+    strict = jobs.transfer_table(spark, src, "t", root, types, on_bad_values="quarantine", max_errors=5)
+    assert not strict["success"]
