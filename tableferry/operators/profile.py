@@ -15,7 +15,12 @@ from pyspark.sql import types as T
 
 from tableferry.functions import typemap
 
-ONE = "_one"
+
+
+def side_by_side(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Two one-row aggregates as one row: the right side's values enter as scalar
+    subqueries (computed once, merged into a single subquery job) — no join."""
+    return left.select("*", *[right.select(F.col(f"`{c}`")).scalar().alias(c) for c in right.columns])
 
 
 def numeric_columns(df: DataFrame, source_types=typemap.EXTREME_SOURCE_TYPES) -> list[str]:
@@ -71,8 +76,8 @@ def extreme_values(df: DataFrame, table_name: str, columns: list[str] | None = N
 def paired_profile(src: DataFrame, tgt: DataFrame, columns: list[str]) -> DataFrame:
     """One row: the fused profile of source (``s_``) and target (``t_``) side by side.
 
-    Each side is one aggregate (a one-row result); they are joined on a constant."""
-    s = src.agg(*profile_aggs(src, columns, "s_")).withColumn(ONE, F.lit(1))
+    Each side is one aggregate (a one-row result); the target's enters as scalar subqueries."""
+    s = src.agg(*profile_aggs(src, columns, "s_"))
     # Compare in the source's types (quirk Q20): cast target columns first.
     tgt_cast = tgt.select(
         *[F.col(f"`{c}`").cast(src.schema[c].dataType).alias(c) for c in columns if c in tgt.columns]
@@ -80,8 +85,8 @@ def paired_profile(src: DataFrame, tgt: DataFrame, columns: list[str]) -> DataFr
     missing = [c for c in columns if c not in tgt.columns]
     for c in missing:
         tgt_cast = tgt_cast.withColumn(c, F.lit(None).cast(src.schema[c].dataType))
-    t = tgt_cast.agg(*profile_aggs(tgt_cast, columns, "t_")).withColumn(ONE, F.lit(1))
-    return s.join(t, ONE).drop(ONE)
+    t = tgt_cast.agg(*profile_aggs(tgt_cast, columns, "t_"))
+    return side_by_side(s, t)
 
 
 def extremes_equal(columns: list[str]) -> Column:

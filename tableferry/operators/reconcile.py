@@ -17,7 +17,6 @@ from tableferry.sources import catalog
 from tableferry.sources.tables import Database
 
 SAMPLE_SIZE = 100
-ONE = "_one"
 
 
 # --------------------------------------------------------------------------- V1, V2
@@ -70,7 +69,7 @@ def verification_summary(verification: DataFrame, transfers: DataFrame | None =
     if transfers is None:
         return v.withColumn("overall_success", F.col("verify_failed") == 0)
     t = transfers.agg(F.count_if(~F.col("success")).cast("bigint").alias("transfer_failed"))
-    return v.withColumn(ONE, F.lit(1)).join(t.withColumn(ONE, F.lit(1)), ONE).select(
+    return profile.side_by_side(v, t).select(
         "verify_passed",
         "verify_failed",
         "verify_total",
@@ -134,10 +133,10 @@ def sample_match(source: Database, target: Database, names=None) -> DataFrame:
     names = list(names) if names is not None else source.names()
     parts = []
     for n in names:
-        s = source.table(n).agg(F.count(F.lit(1)).alias("sc")).withColumn(ONE, F.lit(1))
-        t = target.table(n).agg(F.count(F.lit(1)).alias("tc")).withColumn(ONE, F.lit(1))
+        s = source.table(n).agg(F.count(F.lit(1)).alias("sc"))
+        t = target.table(n).agg(F.count(F.lit(1)).alias("tc"))
         parts.append(
-            s.join(t, ONE).select(
+            profile.side_by_side(s, t).select(
                 F.lit(n).alias("table_name"),
                 F.least("sc", F.lit(SAMPLE_SIZE)).cast("bigint").alias("source_sample"),
                 F.least("tc", F.lit(SAMPLE_SIZE)).cast("bigint").alias("target_sample"),

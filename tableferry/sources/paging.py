@@ -178,9 +178,9 @@ def chunk_plan(pages: DataFrame, chunk_size: int = CHUNK_SIZE, commit_every: int
 
     1 row -> single insert; <= chunk_size rows -> one executemany; else chunks of
     chunk_size. A commit follows every ``commit_every`` pages and the last page."""
-    last = pages.agg(F.max("batch_no").alias("_last")).withColumn("_one", F.lit(1))
+    last = pages.agg(F.max("batch_no")).scalar()  # a scalar subquery, computed once
     n = F.col("n_rows")
-    return pages.withColumn("_one", F.lit(1)).join(F.broadcast(last), "_one").select(
+    return pages.withColumn("_last", last).select(
         "batch_no",
         "n_rows",
         F.ceil(n / F.lit(chunk_size)).cast("bigint").alias("n_chunks"),
