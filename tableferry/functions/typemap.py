@@ -209,7 +209,7 @@ def spark_type_for(target_type: str, time_enabled: bool = False) -> T.DataType:
     if t == "DATE":
         return T.DateType()
     if t == "TIME":
-        return T.StringType() if not time_enabled else T._parse_datatype_string("time(6)")
+        return T.TimeType(6) if time_enabled else T.StringType()
     if t.startswith(("BINARY", "VARBINARY")) or t == "LONGBLOB":
         return T.BinaryType()
     return T.StringType()

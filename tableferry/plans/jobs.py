@@ -382,9 +382,14 @@ def validate_action(
 
 def maintenance_report(spark: SparkSession, target_root: str, names: list[str]) -> DataFrame:
     """Analyze every target table; report its exact row count and status."""
-    status = [load.maintain_table(spark, f"tf_{n}", f"{target_root}/{n}") for n in names]
+    import hashlib
+
+    run = hashlib.md5(target_root.encode()).hexdigest()[:10]  # catalog names unique per target
+    status = []
+    for n in names:
+        row = load.maintain_table(spark, f"tf_{run}_{n}", f"{target_root}/{n}")
+        status.append({**row, "table_name": n})
     status_df = spark.createDataFrame(status, "table_name string, status string, error string")
-    status_df = status_df.withColumn("table_name", F.regexp_replace("table_name", "^tf_", ""))
     target = read_target(spark, target_root, names)
     counts = cat.row_counts(target) if target.tables else spark.createDataFrame([], "table_name string, row_count bigint")
     return status_df.join(counts, "table_name", "left").select("table_name", "row_count", "status")

@@ -131,3 +131,12 @@ def test_to_target_datetime_keeps_whole_seconds(spark):
     assert v.microsecond == 0 and v.second == 0
     v6 = df.select(typemap.to_target(F.col("ts"), "DATETIME(6)").alias("x")).first().x
     assert v6.microsecond == 789000
+
+
+def test_time_carrier_is_flagged():
+    from pyspark.sql import types as T
+
+    assert typemap.spark_type_for("TIME") == T.StringType()
+    assert typemap.spark_type_for("TIME", time_enabled=True) == T.TimeType(6)
+    assert typemap.spark_type_for("DECIMAL(19,4)") == T.DecimalType(19, 4)
+    assert typemap.spark_type_for("TINYINT(1)") == T.BooleanType()
