@@ -620,6 +620,8 @@ FROM (SELECT o_orderkey, strftime(o_orderdate, '%Y/%-m/%-d') AS o_orderdate_text
            AS changed_columns
   FROM customer s FULL JOIN {damaged('customer')} t ON s.c_custkey = t.c_custkey)
 WHERE status IS NOT NULL"""
+    o["content_diff_digest"] = o["content_diff"]
+    o["content_diff_exact"] = o["content_diff"]
     ovals = [c for c, _ in SCHEMAS["orders"] if c != "o_orderkey"]
     ochanged = "concat_ws(',', " + ", ".join(
         f"CASE WHEN s.{c} IS DISTINCT FROM t.{c} THEN '{c}' END" for c in ovals

@@ -408,6 +408,20 @@ def q_content_diff(spark, sf_dir):
     return reconcile.content_diff(src.table("customer"), tgt.table("customer"), ["c_custkey"])
 
 
+def q_content_diff_digest(spark, sf_dir):
+    """X1, the digest plan (for nearly identical large tables)."""
+    src = _db(spark, sf_dir, ["customer"])
+    tgt = fixtures.damaged_target(src)
+    return reconcile.content_diff(src.table("customer"), tgt.table("customer"), ["c_custkey"], mode="digest")
+
+
+def q_content_diff_exact(spark, sf_dir):
+    """X1, the exact plan (column-by-column, no hashing)."""
+    src = _db(spark, sf_dir, ["customer"])
+    tgt = fixtures.damaged_target(src)
+    return reconcile.content_diff(src.table("customer"), tgt.table("customer"), ["c_custkey"], mode="exact")
+
+
 def q_sample_diff(spark, sf_dir):
     src = _db(spark, sf_dir, ["orders"])
     tgt = fixtures.damaged_target(src)
