@@ -195,6 +195,9 @@ def transfer_all(
     order = sorted(names, key=lambda t: -len(types.get(t, {})))
 
     def load_and_open(t):
+        # One scheduler pool per table: under spark.scheduler.mode=FAIR the tables share
+        # executors instead of queueing behind each other (no effect under FIFO).
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"tableferry-{t}")
         row = transfer_table(spark, db, t, target_root, types, on_bad_values)
         frame = None
         if row["success"]:
