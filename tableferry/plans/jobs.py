@@ -182,15 +182,20 @@ def transfer_all(
     names: list[str] | None = None,
     parallel_tables: int = 8,
     on_bad_values: str = "fail",
+    profile_lengths: bool = True,
 ) -> TransferRun:
     """JOB2: every table of the source, failures isolated, then summary and verification.
 
-    The catalog of all tables is built and mapped once; table loads run concurrently."""
+    The catalog of all tables is built and mapped once; table loads run concurrently.
+    ``profile_lengths=False`` declares text as (max) instead of profiling it first, so
+    each table is read once (for very large sources)."""
     names = list(names) if names is not None else source.names()
     db = source.subset(names)
     # One profiling job for all tables; the driver then holds metadata only (one row per
     # column), so the catalog is collected once and needs no checkpoint.
-    types = all_target_types(ddl.map_types(cat.column_catalog(spark, db, materialized=False)))
+    types = all_target_types(
+        ddl.map_types(cat.column_catalog(spark, db, materialized=False, profile_lengths=profile_lengths))
+    )
     # Widest tables first: the longest load starts first and small ones fill in around it.
     order = sorted(names, key=lambda t: -len(types.get(t, {})))
 

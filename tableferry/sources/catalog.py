@@ -90,13 +90,29 @@ def length_profile(db: Database) -> DataFrame | None:
     return reduce(DataFrame.unionByName, parts)
 
 
-def column_catalog(spark: SparkSession, db: Database, materialized: bool = True) -> DataFrame:
+def column_catalog(
+    spark: SparkSession, db: Database, materialized: bool = True, profile_lengths: bool = True
+) -> DataFrame:
     """INFORMATION_SCHEMA.COLUMNS of a parquet source, declared lengths from the data.
 
     Text longer than 4000 characters (binary longer than 8000 bytes) is declared as
     ``(max)``, reported as -1, as the source system does. The result (one row per
-    column) is checkpointed so that its consumers do not re-run the profiling scan."""
+    column) is checkpointed so that its consumers do not re-run the profiling scan.
+
+    ``profile_lengths=False`` skips the scan: text and binary are declared ``(max)`` (-1),
+    which maps to LONGTEXT / LONGBLOB — nothing can be too long, and a transfer reads each
+    table once."""
     base = schema_rows(spark, db)
+    if not profile_lengths:
+        base = base.withColumn(
+            "character_maximum_length",
+            F.when(F.col("length_kind").isNotNull(), F.lit(-1)).cast("bigint"),
+        )
+        return base.select(
+            "table_schema", "table_name", "column_name", "data_type", "character_maximum_length",
+            "numeric_precision", "numeric_scale", "is_nullable", "ordinal_position", "is_identity",
+            "column_default",
+        )
     profile = length_profile(db)
     if profile is None:
         base = base.withColumn("max_length", F.lit(None).cast("bigint"))

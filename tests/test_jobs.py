@@ -161,3 +161,12 @@ def test_transfer_with_quarantine_keeps_good_rows(spark):
     assert {x.reject_reasons for x in bad.collect()} == {"v:range"} and {x.v for x in bad.collect()} == {300}
     strict = jobs.transfer_table(spark, src, "t", root, types, on_bad_values="quarantine", max_errors=5)
     assert not strict["success"]
+
+
+def test_transfer_without_length_profile(spark, source):
+    db = source.subset(["customer", "documents"])
+    c = cat.column_catalog(spark, db, profile_lengths=False)
+    mapped = {r.column_name: r.target_type for r in ddl.map_types(c).collect()}
+    assert mapped["c_name"] == "LONGTEXT" and mapped["text"] == "LONGTEXT" and mapped["c_custkey"] == "BIGINT"
+    run = jobs.transfer_all(spark, db, new_run_dir(spark, "test-noprofile"), profile_lengths=False)
+    assert all(r.is_valid for r in jobs.transfer_report(run).collect())
