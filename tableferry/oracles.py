@@ -653,6 +653,7 @@ FROM pages"""
         "count(*) AS row_count, CAST(NULL AS VARCHAR) AS error FROM orders"
     )
     o["transfer_all"] = _transfer_rows()
+    o["transfer_all_single_pass"] = _transfer_rows()
     o["run_summary"] = (
         f"SELECT CAST(count(*) FILTER (WHERE success) AS BIGINT) AS success_count, "
         f"CAST(count(*) FILTER (WHERE NOT success) AS BIGINT) AS fail_count, count(*) AS table_count, "

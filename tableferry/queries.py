@@ -492,6 +492,13 @@ def q_transfer_all(spark, sf_dir):
     return jobs.transfer_report(_transfer_run(spark, sf_dir))
 
 
+def q_transfer_all_single_pass(spark, sf_dir):
+    """JOB2 without the length profile: text declared (max), each table read once."""
+    db = _db(spark, sf_dir, TPCH_TABLES)
+    run = jobs.transfer_all(spark, db, new_run_dir(spark, "transfer_all_1p"), profile_lengths=False)
+    return jobs.transfer_report(run)
+
+
 def q_run_summary(spark, sf_dir):
     return _transfer_run(spark, sf_dir).summary
 
