@@ -83,6 +83,7 @@ def test_jdbc_staged_load_round_trip(spark, source):
     back = back.toDF(*df.columns)
     assert back.count() == df.count()
     assert df.exceptAll(back).count() == 0 and back.exceptAll(df).count() == 0
+    assert reconcile.content_diff(df, back, ["c_custkey"]).count() == 0  # X1 empty after the round trip
 
 
 def test_spark_ddl_creates_mapped_table(spark, source):
