@@ -53,9 +53,12 @@ def write_validation_report(validation: DataFrame, overall: DataFrame, path: str
         F.col("html_row").alias("value"), F.lit(1).alias("_o"), F.col("table_name").alias("_n")
     )
     footer = overall.select(F.lit("</table>").alias("value"), F.lit(2).alias("_o"), F.lit("").alias("_n"))
-    header.unionByName(rows).unionByName(footer).orderBy("_o", "_n").select("value").coalesce(1).write.mode(
-        "overwrite"
-    ).text(path)
+    # A handful of rows: one partition, sorted inside it, so the file's line order is fixed.
+    (
+        header.unionByName(rows).unionByName(footer)
+        .repartition(1).sortWithinPartitions("_o", "_n")
+        .select("value").write.mode("overwrite").text(path)
+    )
 
 
 def batch_errors(paged_quarantine: DataFrame, table_name: str) -> DataFrame:
