@@ -133,11 +133,9 @@ def _transfer_quarantined(df: DataFrame, types: dict, result: dict, path: str, m
 
     Only when there are rejects does a second pass write them (original values and the
     reasons) to ``<target>__rejects`` — the target table keeps exactly the source columns."""
-    from pyspark.sql import Observation
-
     from tableferry.operators import quality
 
-    obs = Observation("quarantine")
+    obs = load.observation("quarantine")
     tagged = quality.quarantine(df, types).observe(
         obs, F.count_if(F.col("reject_reasons").isNotNull()).alias("bad")
     )

@@ -11,6 +11,8 @@ F12), so they are loaded into a staging table and swapped in by rename.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,16 +20,22 @@ from pyspark.sql import functions as F
 JDBC_BATCH_SIZE = 500
 
 
+def observation(label: str) -> Observation:
+    """A uniquely named observation: loads run concurrently from several threads, and each
+    must read back its own metrics."""
+    return Observation(f"{label}-{uuid.uuid4().hex}")
+
+
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet") -> int:
     """W1 (files): write ``df`` as one table; returns the rows written (same pass)."""
-    obs = Observation("load")
+    obs = observation("load")
     df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt).save(path)
     return int(obs.get["rows"])
 
 
 def write_quarantined(df: DataFrame, path: str) -> dict:
     """W4 sink: good and rejected rows in one pass, partitioned by ``rejected``."""
-    obs = Observation("quarantine")
+    obs = observation("quarantine")
     tagged = df.withColumn("rejected", F.col("reject_reasons").isNotNull())
     tagged.observe(
         obs,
@@ -80,7 +88,7 @@ def write_jdbc_atomic(
     the target by a rename. A failure before the swap leaves the old target untouched."""
     props = dict(properties or {})
     stage = f"{table}__STAGE"
-    obs = Observation("jdbc_load")
+    obs = observation("jdbc_load")
     writer = (
         df.observe(obs, F.count(F.lit(1)).alias("rows"))
         .write.format("jdbc")
