@@ -77,3 +77,11 @@ def test_batch_progress_running_sum(spark):
     assert small[30].total_rows == 29500
     two_level = paging.running_sum(log, ["table_name"], "batch_no", "n_rows", "cum", bucket_width=7)
     assert {r.batch_no: r.cum for r in two_level.collect()}[30] == 29500
+
+
+def test_row_index_timestamp_key(spark, source):
+    ev = source.table("events").select("event_id", "ts")
+    got = paging.row_index(ev, ["ts", "event_id"], n_buckets=5)
+    exp = _global(ev, ["ts", "event_id"])
+    assert got.join(exp, ["event_id", "ts"]).filter(F.col("row_no") != F.col("expected")).count() == 0
+    assert got.count() == ev.count()
