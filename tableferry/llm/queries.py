@@ -6,12 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableferry.llm import contamination, language
+from tableferry.llm import contamination, language, neardup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": contamination.q_op5,
+    "op7_near_duplicates": neardup.q_op7,
     "op10_language_id": language.q_op10,
 }
 ORACLES: dict[str, str] = {
     "op5_decontaminate": contamination.OP5_SQL,
+    "op7_near_duplicates": neardup.OP7_SQL,
 }
