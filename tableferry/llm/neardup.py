@@ -4,12 +4,16 @@
    number of leading zeros and ten mantissa bits, packed into two bytes; an order-free digest names the whole set.
 2. Equal sets collapse to one node, so exact copies of any number cost one node and one link each.
 3. A band is four neighbouring registers; nodes that share a band which is not empty are candidates. At the threshold of
-   0.85 a pair misses all 32 bands with a probability below 1e-10, at 0.8 below 1e-7.
-4. Each node meets the smallest node of its bands first; verified links make components. Inside a band only pairs of
-   different components are left: all of them where they are few for the band's size, else the band is divided by a
-   second (third) shared band, and at the last level all of them whatever their number.
-5. Candidates pass a size bound and the collision-corrected estimate with six standard deviations to spare; what passes
-   is compared on the full shingle sets.
+   0.85 a pair misses all 32 bands with a probability below 1e-10, at 0.8 below 1e-7. Each node meets the smallest node
+   of each of its bands; pairs that pass a size bound and the collision-corrected estimate (six standard deviations to
+   spare) make families.
+4. Inside a family all members are compared in full with one member, then with the hub, the member nearest to that one.
+   With D(x) the shingles in which x and the hub differ, two members differ by |D(x)| + |D(y)| - 2 |D(x) & D(y)|: a link
+   that does not run through the hub needs a known overlap of D(x) and D(y), so a prefix of each, the shingles that the
+   hub lacks first, must meet. Only those pairs are compared, by their D; no family is ever paired with itself.
+5. Pairs of different families in one band: all of them where they are few for the band's size, else the band is
+   divided by a second (third) shared band, and at the last level all of them whatever their number. What passes the
+   estimate is compared on the full sets.
 
 Defined results: null text and text without words form an empty set, linked with nothing; fewer words than a shingle:
 the whole sequence is one shingle; repeated rows are linked (equal sets); a null id never becomes a component's id while
@@ -121,10 +125,10 @@ def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFram
     return sized.select("a", "b", "ra", "rb").mapInArrow(run, "a long, b long")
 
 
-def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, shingle: int, threshold: float) -> DataFrame:
-    """The pairs whose full shingle sets reach the threshold, compared in whole hundredths."""
+def _sets(nodes: DataFrame, docs: DataFrame, doc_id: str, text: str, shingle: int) -> DataFrame:
+    """(node, shingles): the full set of each of ``nodes``, its sorted hashes as bytes, read from the row that stands for the node."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for low, high, raw, bounds in chunks(batch.column(1)):
@@ -133,7 +137,15 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str,
                 out += [value[cut[i] : cut[i + 1]].tobytes() for i in range(high - low)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["node", "shingles"])
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
+    of_node = texts.join(nodes.select("node", "id", "text_digest"), texts["doc"].eqNullSafe(F.col("id")) & (F.md5(texts["text"].cast("binary")) == F.col("text_digest")))
+    return of_node.select("node", "text").mapInArrow(run, "node long, shingles binary").dropDuplicates(["node"])
+
+
+def _compared(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of the pairs whose full sets reach the threshold, compared in whole hundredths."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
             for one, two in zip(batch.column(2), batch.column(3), strict=True):
@@ -142,64 +154,100 @@ def _verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str,
                 good.append(100 * both >= percent * (len(x) + len(y) - both))
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(good, pa.bool_())) for i in (0, 1)], ["a", "b"])
 
-    percent = round(100 * threshold)
-    wanted = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi").select("node", "id", "text_digest")
-    texts = docs.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
-    of_node = texts.join(wanted, texts["doc"].eqNullSafe(wanted["id"]) & (F.md5(texts["text"].cast("binary")) == wanted["text_digest"]))
-    full = stored(of_node.select("node", "text").mapInArrow(sets, "node long, shingles binary").dropDuplicates(["node"]), "sets")
-    one, two = (full.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long")
+    one, two = (sets.select(F.col("node").alias(x), F.col("shingles").alias(f"s{x}")) for x in "ab")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb").mapInArrow(run, "a long, b long")
+
+
+def _differences(members: DataFrame, centre: DataFrame, percent: int, listed: bool) -> DataFrame:
+    """(node, family, n, d, linked, diff): each member against its family's centre; diff: what the centre lacks, then what the member lacks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, d, linked, diff = [], [], [], []
+            for one, two in zip(batch.column(2), batch.column(3), strict=True):
+                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (one, two))
+                more, less = np.setdiff1d(x, y, assume_unique=True), np.setdiff1d(y, x, assume_unique=True)
+                both = len(x) - len(more)
+                n.append(len(x))
+                d.append(len(more) + len(less))
+                linked.append(100 * both >= percent * (len(x) + len(y) - both))
+                diff.append(np.concatenate([more, less]).view(np.int64) if listed else [])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(d, pa.int64()), pa.array(linked, pa.bool_()), pa.array(diff, pa.list_(pa.int64()))], ["node", "family", "n", "d", "linked", "diff"])
+
+    return members.join(centre, "family").select("node", "family", "shingles", "centre").mapInArrow(run, "node long, family long, n long, d long, linked boolean, diff array<long>")
+
+
+def _cross_pairs(held: DataFrame, last: bool) -> tuple[DataFrame, DataFrame]:
+    """From (key, node, comp, ...): the pairs (a > b) of different comps under one key, where they are few for the key's
+    nodes or ``last``; and the rows of the other keys. One side of a pair is never of the key's largest comp."""
+    mixed = held.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+    held = stored(held.join(mixed, "key", "left_semi"), "mixed")
+    sizes = held.groupBy("key", "comp").agg(F.count("*").alias("c"))
+    keys = sizes.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.max(F.struct("c", "comp"))["comp"].alias("main"))
+    few = F.lit(True) if last else (F.col("m") * F.col("m") - F.col("squares")) / 2 <= PER_NODE * F.col("m")
+    told = held.join(stored(keys.select("key", "main", few.alias("few")), "keys"), "key")
+    one = told.where("few AND comp <> main").select("key", "main", F.col("node").alias("x"), F.col("comp").alias("cx"))
+    two = told.where("few").select("key", F.col("node").alias("y"), F.col("comp").alias("cy"))
+    pairs = one.join(two, "key").where("cx <> cy AND (cy = main OR x < y)").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
+    return stored(pairs.distinct(), "pairs"), told.where("NOT few").drop("main", "few", "comp")
+
+
+def _family_links(families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that connect what is connected inside each family of ``families`` (node, family)."""
+    members = stored(families.join(sets, "node"), "members")
+    centre = members.where("node = family").select("family", F.col("shingles").alias("centre"))
+    first = stored(_differences(members, centre, percent, False), "first")
+    hubs = first.where("node <> family").groupBy("family").agg(F.min(F.struct("d", "node"))["node"].alias("hub"))
+    centre = members.join(hubs, "family").where("node = hub").select("family", F.col("shingles").alias("centre"))
+    second = stored(_differences(members, centre, percent, True), "second")
+    links = first.where("linked AND node <> family").select(F.col("node").alias("a"), F.col("family").alias("b"))
+    links = stored(links.unionByName(second.join(hubs, "family").where("linked AND node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))), "links")
+    # Members x and y are linked if they share (f(x) + f(y)) / (2 (100 + percent)) shingles of their D at least.
+    scored = second.withColumn("f", (100 + percent) * F.col("d") - (100 - percent) * F.col("n"))
+    stats = scored.groupBy("family").agg(F.min(F.when(~F.col("linked"), F.col("f"))).alias("least_far"), F.min("f").alias("least")).where("least_far IS NOT NULL")
+    need = F.greatest(F.lit(1), F.ceil((F.col("f") + F.when(F.col("linked"), F.col("least_far")).otherwise(F.col("least"))) / (2 * (100 + percent))))
+    open_ = scored.join(stats, "family").withColumn("need", need.cast("int")).where("need <= d")
+    comps = components(links)
+    named = open_.join(comps, "node", "left").select("node", "family", F.coalesce("comp", "node").alias("comp"), F.explode(F.slice("diff", 1, F.size("diff") - F.col("need") + 1)).alias("shingle"))
+    pairs, _ = _cross_pairs(named.select(F.xxhash64("family", "shingle").alias("key"), "node", "comp"), last=True)
+    one, two = (scored.select(F.col("node").alias(x), F.col("f").alias(f"f{x}"), F.col("diff").alias(f"d{x}")) for x in "ab")
+    near = pairs.join(one, "a").join(two, "b").where(2 * (100 + percent) * F.size(F.array_intersect("da", "db")) >= F.col("fa") + F.col("fb"))
+    return stored(links.unionByName(near.select("a", "b")), "links")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, threshold: float = 0.8) -> DataFrame:
     """(id, text_digest, n_shingles, set_digest, component_id) of every row of ``docs``; component_id: the smallest id reachable.
 
     ``docs`` is read again for the exact comparison; give a table, or a plan that returns the same rows again."""
+    percent = round(100 * threshold)
     rows = stored(sketch(docs, doc_id, text, shingle), "sketch")
     classes = rows.where("n > 0").groupBy("set_digest").agg(F.min(F.struct(F.col("id").isNull().alias("blank"), "id", "text_digest", "n", "registers")).alias("x"))
     nodes = stored(classes.select("set_digest", "x.id", "x.text_digest", "x.n", "x.registers").withColumn("node", F.monotonically_increasing_id()), "nodes")
-    bands = stored(_bands(nodes), "bands")
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        near = stored(_estimated(pairs, nodes, threshold), "near")
-        return stored(_verified(near, nodes, docs, doc_id, text, shingle, threshold), "links")
-
-    def grouped(links: DataFrame) -> DataFrame:
-        found = components(links)
-        return stored(nodes.select("node").join(found, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")), "comps")
-
-    # Each node and the smallest node that any of its bands holds.
-    first = bands.groupBy("key").agg(F.min("node").alias("b"), F.count("*").alias("m")).where("m > 1").select("key", "b")
-    links = verified(bands.join(first, "key").where("node > b").select(F.col("node").alias("a"), "b").distinct().transform(lambda x: stored(x, "stars")))
-    comps = grouped(links)
-    level, held = 0, bands
+    bands = _bands(nodes)
+    crowded = bands.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("m")).where("m > 1").select("key", "least")
+    bands = stored(bands.join(crowded, "key"), "bands")
+    stars = bands.where("node > least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
+    near = stored(_estimated(stars, nodes, threshold), "near")
+    families = stored(components(near).select("node", F.col("comp").alias("family")), "families")
+    held, crossing, level = bands.join(families, "node", "left").select("key", "node", "band", F.coalesce("family", "node").alias("comp")), None, 0
     while True:
         level += 1
-        held = held.join(comps, "node")
-        mixed = held.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-        held = stored(held.join(mixed, "key", "left_semi"), "mixed")
-        if held.isEmpty():
+        pairs, rest = _cross_pairs(held, last=level == LEVELS)
+        close = _estimated(pairs, nodes, threshold)
+        crossing = stored(close if crossing is None else crossing.unionByName(close).distinct(), "crossing")
+        if level == LEVELS or rest.isEmpty():
             break
-        sizes = held.groupBy("key", "comp").agg(F.count("*").alias("c"))
-        keys = sizes.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.max(F.struct("c", "comp"))["comp"].alias("main"))
-        few = F.lit(True) if level == LEVELS else (F.col("m") * F.col("m") - F.col("squares")) / 2 <= PER_NODE * F.col("m")
-        keys = stored(keys.select("key", "main", few.alias("few")), "keys")
-        told = held.join(keys, "key")
-        one = told.where("few AND comp <> main").select("key", "main", F.col("node").alias("x"), F.col("comp").alias("cx"))
-        two = told.where("few").select("key", F.col("node").alias("y"), F.col("comp").alias("cy"))
-        pairs = one.join(two, "key").where("cx <> cy AND (cy = main OR x < y)").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
-        links = stored(links.unionByName(verified(stored(pairs, "pairs"))), "links")
-        comps = grouped(links)
-        rest = told.where("NOT few").select("node", "band", "key")
         other = bands.select("node", F.col("band").alias("next"), F.col("key").alias("other"))
         held = rest.join(other, "node").where("next > band").select("node", F.col("next").alias("band"), F.xxhash64("key", "other").alias("key"))
-        if level == LEVELS:
-            break
-    named = nodes.join(comps, "node")
+        held = held.join(families, "node", "left").select("key", "node", "band", F.coalesce("family", "node").alias("comp"))
+    wanted = families.select("node").unionByName(crossing.select(F.col("a").alias("node"))).unionByName(crossing.select(F.col("b").alias("node"))).distinct()
+    sets = stored(_sets(nodes.join(wanted, "node", "left_semi"), docs, doc_id, text, shingle), "sets")
+    links = _family_links(families, sets, percent).unionByName(_compared(crossing, sets, percent))
+    named = nodes.join(components(links), "node", "left").select("set_digest", "id", F.coalesce("comp", "node").alias("comp"))
     smallest = named.groupBy("comp").agg(F.min("id").alias("component_id"))
-    of_set = named.join(smallest, "comp").select("set_digest", "component_id")
-    out = rows.join(of_set, "set_digest", "left").select("id", "text_digest", F.col("n").alias("n_shingles"), "set_digest", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
-    return out
+    of_set = stored(named.join(smallest, "comp").select("set_digest", "component_id"), "classes")
+    out = rows.join(of_set, "set_digest", "left")
+    return out.select("id", "text_digest", F.col("n").alias("n_shingles"), "set_digest", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, threshold: float = 0.8) -> DataFrame:
