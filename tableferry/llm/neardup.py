@@ -1,19 +1,20 @@
 """Operator 7, near-duplicate detection: HyperMinHash registers, banding, corrected estimate, exact verification.
 
-1. :func:`sketch` hashes each text's distinct word shingles and keeps, for each of 128 buckets, the smallest hash as its
+1. :func:`sketch` hashes each text's distinct word shingles and keeps, for each of 256 buckets, the smallest hash as its
    number of leading zeros and ten mantissa bits, packed into two bytes; an order-free digest names the whole set.
 2. Equal sets collapse to one node, so exact copies of any number cost one node and one link each.
-3. A band is four neighbouring registers; nodes that share a band which is not empty are candidates. At the threshold of
-   0.85 a pair misses all 32 bands with a probability below 1e-10, at 0.8 below 1e-7. Each node meets the smallest node
+3. A band is six neighbouring registers (empty ones borrow from others); nodes that share a band are candidates. At the threshold of
+   0.85 a pair misses all 42 bands with a probability below 3e-9, at 0.8 below 3e-6. Each node meets the smallest node
    of each of its bands; pairs that pass a size bound and the collision-corrected estimate (six standard deviations to
    spare) make families.
-4. Inside a family all members are compared in full with one member, then with the hub, the member nearest to that one.
+4. Inside a family all members are compared in full with one member, then with the hub, the member nearest to what most hold.
    With D(x) the shingles in which x and the hub differ, two members differ by |D(x)| + |D(y)| - 2 |D(x) & D(y)|: a link
-   that does not run through the hub needs a known overlap of D(x) and D(y), so a prefix of each, the shingles that the
-   hub lacks first, must meet. Only those pairs are compared, by their D; no family is ever paired with itself.
-5. Pairs of different families in one band: all of them where they are few for the band's size, else the band is
-   divided by a second (third) shared band, and at the last level all of them whatever their number. What passes the
-   estimate is compared on the full sets.
+   that does not run through the hub needs a known overlap of D(x) and D(y), so a prefix of each, its rarest
+   shingles in the family, must meet. Only those pairs are compared, by their D; no family is ever paired with itself.
+5. A node in one band with members of another family becomes a guest of the largest family there and is compared by its
+   hub too. Other pairs of different families in one band: all of them where they are few for the band's size, else the
+   band is divided by a second (third) shared band, and at the last level all of them whatever their number. What passes
+   the estimate is compared on the full sets.
 
 Defined results: null text and text without words form an empty set, linked with nothing; fewer words than a shingle:
 the whole sequence is one shingle; repeated rows are linked (equal sets); a null id never becomes a component's id while
@@ -26,19 +27,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.llm.components import components
 from tableferry.llm.textkit import LOWER, SPACED_WORD, chunks, find_words, mix, read_table, row_of, shingle_hashes, stored, word_hashes
 
-BUCKET_BITS = 7
+BUCKET_BITS = 8
 MANTISSA = 10
 REGISTERS = 1 << BUCKET_BITS
-ROWS = 4
+ROWS = 6
 BANDS = REGISTERS // ROWS
 #: Pairs that a band may list directly, for each of its nodes.
-PER_NODE = 32
+PER_NODE = 16
 LEVELS = 3
 #: Two hashes that differ fall into one register value with a probability of about this (leading zeros and mantissa equal).
 COLLISION = 0.17 / (1 << MANTISSA)
@@ -65,7 +66,7 @@ def shingle_sets(raw: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarra
 
 
 def _registers(row: np.ndarray, value: np.ndarray, rows: int) -> np.ndarray:
-    """rows x 128 registers: 0 where the bucket is empty, else leading zeros (from 1) and mantissa of its smallest hash."""
+    """rows x 256 registers: 0 where the bucket is empty, else leading zeros (from 1) and mantissa of its smallest hash."""
     out = np.zeros(rows * REGISTERS, np.uint16)
     slot = row * REGISTERS + (value >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
     head = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]]) if len(slot) else np.empty(0, int)
@@ -101,10 +102,38 @@ def sketch(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle:
     return named.mapInArrow(run, "id long, text_digest string, n long, set_digest binary, registers binary")
 
 
+def _filled(registers: np.ndarray) -> np.ndarray:
+    """Empty registers borrow the value of a bucket that is not, by the same random tries for every row, so that any register
+    of two rows is equal about as often as their sets overlap, also where a set has fewer shingles than there are buckets."""
+    out, tries = registers.copy(), mix(np.arange(REGISTERS * 96, dtype=np.uint64).reshape(96, REGISTERS)) % np.uint64(REGISTERS)
+    for source in tries.astype(np.int64):
+        rows, at = np.nonzero(out == 0)
+        if not len(rows):
+            return out
+        out[rows, at] = registers[rows, source[at]]
+    for shift in range(1, REGISTERS):  # very few shingles: the next bucket that holds one
+        rows, at = np.nonzero(out == 0)
+        if not len(rows):
+            break
+        out[rows, at] = registers[rows, (at + shift) % REGISTERS]
+    return out
+
+
 def _bands(nodes: DataFrame) -> DataFrame:
-    """(node, band, key): one row for each band of a node that holds a register."""
-    width = 2 * ROWS
-    return nodes.select("node", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.substr("registers", i * width + 1, F.lit(width)))).alias("band", "part")).where(F.hex("part") != "0" * 2 * width).select("node", "band", F.xxhash64("band", "part").alias("key"))
+    """(node, band, key): a row for each band of each node."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, 2048):
+                part = batch.slice(low, 2048)
+                full = _filled(np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint16).reshape(-1, REGISTERS))[:, : BANDS * ROWS]
+                key = np.zeros((len(full), BANDS), np.uint64) + np.arange(BANDS, dtype=np.uint64)
+                for j in range(ROWS):
+                    key = mix(key ^ (full[:, j::ROWS].astype(np.uint64) + np.uint64(j << 32)))
+                band = np.tile(np.arange(BANDS, dtype=np.int32), len(full))
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(part.column(0).to_numpy(), BANDS)), pa.array(band), pa.array(key.view(np.int64).ravel())], ["node", "band", "key"])
+
+    return nodes.select("node", "registers").mapInArrow(run, "node long, band int, key long")
 
 
 def _estimated(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
@@ -177,41 +206,64 @@ def _differences(members: DataFrame, centre: DataFrame, percent: int, listed: bo
     return members.join(centre, "family").select("node", "family", "shingles", "centre").mapInArrow(run, "node long, family long, n long, d long, linked boolean, diff array<long>")
 
 
-def _cross_pairs(held: DataFrame, last: bool) -> tuple[DataFrame, DataFrame]:
-    """From (key, node, comp, ...): the pairs (a > b) of different comps under one key, where they are few for the key's
-    nodes or ``last``; and the rows of the other keys. One side of a pair is never of the key's largest comp."""
+def _cross_pairs(held: DataFrame, last: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """From (key, node, comp, ...), for keys with several comps: (node, comp) of each node and the key's largest comp, if not its
+    own; the pairs (a > b) of different smaller comps, where they are few for the key's nodes or ``last``; the rows of the other keys."""
     mixed = held.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     held = stored(held.join(mixed, "key", "left_semi"), "mixed")
     sizes = held.groupBy("key", "comp").agg(F.count("*").alias("c"))
-    keys = sizes.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.max(F.struct("c", "comp"))["comp"].alias("main"))
-    few = F.lit(True) if last else (F.col("m") * F.col("m") - F.col("squares")) / 2 <= PER_NODE * F.col("m")
-    told = held.join(stored(keys.select("key", "main", few.alias("few")), "keys"), "key")
-    one = told.where("few AND comp <> main").select("key", "main", F.col("node").alias("x"), F.col("comp").alias("cx"))
+    keys = sizes.groupBy("key").agg(F.sum("c").alias("m"), F.sum(F.col("c") * F.col("c")).alias("squares"), F.max(F.struct("c", "comp")).alias("main"))
+    left = (F.col("m") - F.col("main.c")) * (F.col("m") - F.col("main.c")) - F.col("squares") + F.col("main.c") * F.col("main.c")
+    keys = keys.select("key", F.col("main.comp").alias("main"), (F.lit(True) if last else left / 2 <= PER_NODE * F.col("m")).alias("few"))
+    told = stored(held.join(keys, "key").where("comp <> main"), "told")
+    guests = told.select("node", F.col("main").alias("comp")).distinct()
+    one = told.where("few").select("key", F.col("node").alias("x"), F.col("comp").alias("cx"))
     two = told.where("few").select("key", F.col("node").alias("y"), F.col("comp").alias("cy"))
-    pairs = one.join(two, "key").where("cx <> cy AND (cy = main OR x < y)").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
-    return stored(pairs.distinct(), "pairs"), told.where("NOT few").drop("main", "few", "comp")
+    pairs = one.join(two, "key").where("cx < cy").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
+    return guests, stored(pairs.distinct(), "pairs"), told.where("NOT few").drop("main", "few", "comp")
 
 
-def _family_links(families: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links that connect what is connected inside each family of ``families`` (node, family)."""
-    members = stored(families.join(sets, "node"), "members")
+def _family_links(families: DataFrame, guests: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links that connect what is connected inside each family of ``families`` (node, family), its ``guests`` (node, family) included."""
+    members = stored(families.withColumn("own", F.lit(True)).unionByName(guests.withColumn("own", F.lit(False))).join(sets, "node"), "members")
     centre = members.where("node = family").select("family", F.col("shingles").alias("centre"))
-    first = stored(_differences(members, centre, percent, False), "first")
-    hubs = first.where("node <> family").groupBy("family").agg(F.min(F.struct("d", "node"))["node"].alias("hub"))
+    first = stored(_differences(members.where("own"), centre, percent, True), "first")
+    # The hub: the member nearest to what more than half of the family hold.
+    told = first.select("node", "family", F.explode("diff").alias("shingle"))
+    most = told.groupBy("family", "shingle").agg(F.count("*").alias("c")).join(first.groupBy("family").agg(F.count("*").alias("m")), "family").where("2 * c > m")
+    common = told.join(most, ["family", "shingle"], "left_semi").groupBy("node", "family").agg(F.count("*").alias("c"))
+    off = first.where("node <> family").join(common, ["node", "family"], "left").select("node", "family", (F.col("d") - 2 * F.coalesce("c", F.lit(0))).alias("off"))
+    hubs = stored(off.groupBy("family").agg(F.min(F.struct("off", "node"))["node"].alias("hub")), "hubs")
     centre = members.join(hubs, "family").where("node = hub").select("family", F.col("shingles").alias("centre"))
-    second = stored(_differences(members, centre, percent, True), "second")
+    second = stored(_differences(members, centre, percent, True).join(members.select("node", "family", "own"), ["node", "family"]), "second")
     links = first.where("linked AND node <> family").select(F.col("node").alias("a"), F.col("family").alias("b"))
     links = stored(links.unionByName(second.join(hubs, "family").where("linked AND node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b"))), "links")
     # Members x and y are linked if they share (f(x) + f(y)) / (2 (100 + percent)) shingles of their D at least.
     scored = second.withColumn("f", (100 + percent) * F.col("d") - (100 - percent) * F.col("n"))
+    reach = scored.where("own").groupBy("family").agg(F.max((100 + percent) * F.col("d") + (100 - percent) * F.col("n")).alias("reach"))
+    scored = scored.join(reach, "family").where("own OR f <= reach")  # else no member's D is large enough for the overlap
     stats = scored.groupBy("family").agg(F.min(F.when(~F.col("linked"), F.col("f"))).alias("least_far"), F.min("f").alias("least")).where("least_far IS NOT NULL")
-    need = F.greatest(F.lit(1), F.ceil((F.col("f") + F.when(F.col("linked"), F.col("least_far")).otherwise(F.col("least"))) / (2 * (100 + percent))))
-    open_ = scored.join(stats, "family").withColumn("need", need.cast("int")).where("need <= d")
+
+    def need(least: Column) -> Column:
+        return F.greatest(F.lit(1), F.ceil((F.col("f") + least) / (2 * (100 + percent)))).cast("int")
+
+    # A pair has one member at least that is not linked with the hub: "far". Far members keep the prefix that any partner
+    # asks for, and mark the shorter one that far partners ask for; the others keep what far partners ask for.
+    open_ = scored.join(stats, "family").withColumn("among_far", need(F.col("least_far"))).withColumn("need", F.when(F.col("linked"), F.col("among_far")).otherwise(need(F.col("least"))))
+    each = stored(open_.where("need <= d").select("node", "family", "linked", "need", "among_far", F.explode("diff").alias("shingle")), "shingles")
+    ranked = each.join(each.groupBy("family", "shingle").agg(F.count("*").alias("rarity")), ["family", "shingle"])
+    prefix = ranked.groupBy("node", "family", "linked", "need", "among_far").agg(F.array_sort(F.collect_list(F.struct("rarity", "shingle"))).alias("s"))
     comps = components(links)
-    named = open_.join(comps, "node", "left").select("node", "family", F.coalesce("comp", "node").alias("comp"), F.explode(F.slice("diff", 1, F.size("diff") - F.col("need") + 1)).alias("shingle"))
-    pairs, _ = _cross_pairs(named.select(F.xxhash64("family", "shingle").alias("key"), "node", "comp"), last=True)
-    one, two = (scored.select(F.col("node").alias(x), F.col("f").alias(f"f{x}"), F.col("diff").alias(f"d{x}")) for x in "ab")
-    near = pairs.join(one, "a").join(two, "b").where(2 * (100 + percent) * F.size(F.array_intersect("da", "db")) >= F.col("fa") + F.col("fb"))
+    keyed = prefix.join(comps, "node", "left").select("node", "family", "linked", F.coalesce("comp", "node").alias("comp"), (F.size("s") - F.col("among_far")).alias("last"), F.posexplode(F.slice("s", 1, F.size("s") - F.col("need") + 1)).alias("at", "x"))
+    keyed = keyed.where("x.rarity > 1").select("family", F.col("x.shingle").alias("shingle"), "node", "comp", "linked", (F.col("at") <= F.col("last")).alias("short"))
+    mixed = keyed.groupBy("family", "shingle").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("family", "shingle")
+    keyed = stored(keyed.join(mixed, ["family", "shingle"], "left_semi"), "prefixes")
+    one = keyed.where("NOT linked").select("family", "shingle", F.col("node").alias("x"), F.col("comp").alias("cx"), F.col("short").alias("sx"))
+    two = keyed.select("family", "shingle", F.col("node").alias("y"), F.col("comp").alias("cy"), "linked", F.col("short").alias("sy"))
+    pairs = one.join(two, ["family", "shingle"]).where("cx <> cy AND (linked OR sx AND sy AND x < y)").select("family", F.col("x").alias("a"), F.col("y").alias("b"))
+    pairs = stored(pairs.distinct(), "family_pairs")
+    one, two = (scored.select("family", F.col("node").alias(x), F.col("f").alias(f"f{x}"), F.col("diff").alias(f"d{x}")) for x in "ab")
+    near = pairs.join(one, ["family", "a"]).join(two, ["family", "b"]).where(2 * (100 + percent) * F.size(F.array_intersect("da", "db")) >= F.col("fa") + F.col("fb"))
     return stored(links.unionByName(near.select("a", "b")), "links")
 
 
@@ -229,20 +281,25 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     stars = bands.where("node > least").select(F.col("node").alias("a"), F.col("least").alias("b")).distinct()
     near = stored(_estimated(stars, nodes, threshold), "near")
     families = stored(components(near).select("node", F.col("comp").alias("family")), "families")
-    held, crossing, level = bands.join(families, "node", "left").select("key", "node", "band", F.coalesce("family", "node").alias("comp")), None, 0
+    held = bands.join(families, "node", "left").select("key", "node", "band", F.coalesce("family", "node").alias("comp"))
+    crossing, guests, level = None, None, 0
     while True:
         level += 1
-        pairs, rest = _cross_pairs(held, last=level == LEVELS)
-        close = _estimated(pairs, nodes, threshold)
+        visits, pairs, rest = _cross_pairs(held, last=level == LEVELS)
+        hosts = families.select(F.col("family").alias("comp")).distinct()
+        lone = visits.join(hosts, "comp", "left_anti").select(F.greatest("node", "comp").alias("a"), F.least("node", "comp").alias("b"))
+        close = _estimated(pairs.unionByName(lone).distinct(), nodes, threshold)
+        visits = visits.join(hosts, "comp", "left_semi").select("node", F.col("comp").alias("family"))
         crossing = stored(close if crossing is None else crossing.unionByName(close).distinct(), "crossing")
+        guests = stored(visits if guests is None else guests.unionByName(visits).distinct(), "guests")
         if level == LEVELS or rest.isEmpty():
             break
         other = bands.select("node", F.col("band").alias("next"), F.col("key").alias("other"))
         held = rest.join(other, "node").where("next > band").select("node", F.col("next").alias("band"), F.xxhash64("key", "other").alias("key"))
         held = held.join(families, "node", "left").select("key", "node", "band", F.coalesce("family", "node").alias("comp"))
-    wanted = families.select("node").unionByName(crossing.select(F.col("a").alias("node"))).unionByName(crossing.select(F.col("b").alias("node"))).distinct()
+    wanted = families.select("node").unionByName(guests.select("node")).unionByName(crossing.select(F.col("a").alias("node"))).unionByName(crossing.select(F.col("b").alias("node"))).distinct()
     sets = stored(_sets(nodes.join(wanted, "node", "left_semi"), docs, doc_id, text, shingle), "sets")
-    links = _family_links(families, sets, percent).unionByName(_compared(crossing, sets, percent))
+    links = _family_links(families, guests, sets, percent).unionByName(_compared(crossing, sets, percent))
     named = nodes.join(components(links), "node", "left").select("set_digest", "id", F.coalesce("comp", "node").alias("comp"))
     smallest = named.groupBy("comp").agg(F.min("id").alias("component_id"))
     of_set = stored(named.join(smallest, "comp").select("set_digest", "component_id"), "classes")
