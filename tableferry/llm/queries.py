@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableferry.llm import contamination, language, neardup
+from tableferry.llm import contamination, language, neardup, substrings, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_repeated_substrings": substrings.q_op3,
     "op5_decontaminate": contamination.q_op5,
     "op7_near_duplicates": neardup.q_op7,
+    "op9_top_k": vectors.q_op9,
     "op10_language_id": language.q_op10,
 }
 ORACLES: dict[str, str] = {
     "op5_decontaminate": contamination.OP5_SQL,
     "op7_near_duplicates": neardup.OP7_SQL,
+    "op9_top_k": vectors.OP9_SQL,
 }
