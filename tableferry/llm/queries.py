@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableferry.llm import contamination, language, neardup, pii, substrings, vectors
+from tableferry.llm import contamination, html, language, neardup, pii, substrings, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": pii.q_op1,
     "op3_repeated_substrings": substrings.q_op3,
     "op5_decontaminate": contamination.q_op5,
     "op7_near_duplicates": neardup.q_op7,
+    "op8_main_text": html.q_op8,
     "op9_top_k": vectors.q_op9,
     "op10_language_id": language.q_op10,
 }
