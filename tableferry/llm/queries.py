@@ -6,19 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableferry.llm import contamination, html, language, neardup, pii, substrings, vectors
+from tableferry.llm import contamination, html, language, licenses, mixing, neardup, pii, substrings, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": pii.q_op1,
     "op3_repeated_substrings": substrings.q_op3,
+    "op4_mix_sources": mixing.q_op4,
     "op5_decontaminate": contamination.q_op5,
+    "op6_license_scan": licenses.q_op6,
     "op7_near_duplicates": neardup.q_op7,
     "op8_main_text": html.q_op8,
     "op9_top_k": vectors.q_op9,
     "op10_language_id": language.q_op10,
 }
 ORACLES: dict[str, str] = {
+    "op4_mix_sources": mixing.OP4_SQL,
     "op5_decontaminate": contamination.OP5_SQL,
+    "op6_license_scan": licenses.OP6_SQL,
     "op7_near_duplicates": neardup.OP7_SQL,
     "op9_top_k": vectors.OP9_SQL,
 }
