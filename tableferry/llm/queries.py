@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableferry.llm import contamination, html, language, licenses, mixing, neardup, pii, substrings, vectors
+from tableferry.llm import contamination, html, language, licenses, mixing, neardup, pii, sharding, substrings, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": pii.q_op1,
+    "op2_shards": sharding.q_op2,
     "op3_repeated_substrings": substrings.q_op3,
     "op4_mix_sources": mixing.q_op4,
     "op5_decontaminate": contamination.q_op5,
