@@ -7,8 +7,9 @@ enough for a task:
 2. Every window of ``length`` bytes is assigned to its anchor, the leftmost of its ``ANCHOR``-byte grams with the smallest
    hash. Equal windows have equal anchors at the same offset, so windows with different anchors need not be compared and
    an anchor that occurs once can be dropped. Neighbouring windows with one anchor are one string of the collection; equal
-   strings are one string with a count.
-3. The strings of some anchors form a collection (:func:`repeated_columns`). Aligned at their anchors they are inserted one
+   strings (128 bits of hash, of the anchor and of the string) are one string with a count. Where an anchor has a single
+   string, the count tells; no two of its own windows are equal, since the anchor stands elsewhere in each.
+3. The other strings of some anchors form a collection (:func:`repeated_columns`). Aligned at their anchors they are inserted one
    symbol for each string and round, from the last column to the first: the order of all suffixes is updated by a stable
    sort of the column in the order of the round before (the step of the BWT), the common prefixes of neighbours by range
    minima over the prefixes before, all in sequential passes over arrays of one entry for each string. Neighbours with
@@ -25,7 +26,6 @@ lose everything if long enough; other columns play no part.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,8 +43,8 @@ COLLECTION_BYTES = 16 << 20
 
 
 def _anchors(raw: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """(row, start, n, anchor, hash): the runs of windows with one anchor; positions count from the row's start."""
-    none = tuple(np.empty(0, np.int64) for _ in range(5))
+    """(row, start, n, offset of the anchor, hash of the anchor, hash of the string): the runs of windows with one anchor."""
+    none = tuple(np.empty(0, np.int64) for _ in range(6))
     if len(raw) < length:
         return none
     power, inverse = powers(len(raw) + 1)
@@ -69,21 +69,23 @@ def _anchors(raw: np.ndarray, bounds: np.ndarray, length: int) -> tuple[np.ndarr
         return none
     value, at = value[window], at[window].astype(np.int64)
     head = np.flatnonzero(np.r_[True, (at[1:] != at[:-1]) | (row[1:] != row[:-1])])
-    first = bounds[row[head]]
-    return row[head], window[head] - first, np.diff(np.r_[head, len(window)]), at[head] - first, value[head].view(np.int64)
+    low, n = window[head], np.diff(np.r_[head, len(window)])
+    whole = mix((total[low + n + length - 1] - total[low]) * inverse[low] + n.astype(np.uint64))
+    return row[head], low - bounds[row[head]], n, at[head] - low, value[head].view(np.int64), whole.view(np.int64)
 
 
 def anchored(texts: DataFrame, length: int) -> DataFrame:
-    """(id, copies, start, n, anchor, key) of every run of windows with one anchor in ``texts`` (id, copies, text)."""
+    """(id, copies, start, n, offset, key, digest) of every run of windows with one anchor in ``texts`` (id, copies, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, copies = (batch.column(i).to_numpy() for i in (0, 1))
             for low, _, raw, bounds in chunks(batch.column(2)):
-                row, start, n, anchor, key = _anchors(raw, bounds, length)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids[low + row], copies[low + row], start.astype(np.int32), n.astype(np.int32), anchor.astype(np.int32), key)], ["id", "copies", "start", "n", "anchor", "key"])
+                row, start, n, offset, key, digest = _anchors(raw, bounds, length)
+                columns = ids[low + row], copies[low + row], start.astype(np.int32), n.astype(np.int16), offset.astype(np.int16), key, digest
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], ["id", "copies", "start", "n", "offset", "key", "digest"])
 
-    return texts.select("id", "copies", "text").mapInArrow(run, "id long, copies long, start int, n int, anchor int, key long")
+    return texts.select("id", F.least("copies", F.lit(2)).cast("short").alias("copies"), "text").mapInArrow(run, "id long, copies short, start int, n short, offset short, key long, digest long")
 
 
 def repeated_columns(raw: np.ndarray, bounds: np.ndarray, anchor: np.ndarray, copies: np.ndarray, length: int) -> np.ndarray:
@@ -121,7 +123,7 @@ def repeated_columns(raw: np.ndarray, bounds: np.ndarray, anchor: np.ndarray, co
 
 
 def _collections(strings: DataFrame, length: int) -> DataFrame:
-    """(digest, spans): per string the byte spans covered by windows that are repeated; a collection is one partition."""
+    """(key, digest, low, high): the byte spans of each string covered by windows that are repeated; a collection is one partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = [x for x in batches if x.num_rows]
@@ -134,11 +136,10 @@ def _collections(strings: DataFrame, length: int) -> DataFrame:
         edge = np.diff(np.pad(found, ((0, 0), (1, 1))).astype(np.int8), axis=1)
         row, start = np.nonzero(edge == 1)
         _, stop = np.nonzero(edge == -1)
-        digest = table.column("digest").take(pa.array(row))
-        for batch in pa.table([digest, pa.array(start.astype(np.int32)), pa.array((stop - 1 + length).astype(np.int32))], ["digest", "low", "high"]).to_batches():
-            yield batch
+        named = [table.column(x).take(pa.array(row)) for x in ("key", "digest")]
+        yield from pa.table([*named, pa.array(start.astype(np.int32)), pa.array((stop - 1 + length).astype(np.int32))], ["key", "digest", "low", "high"]).to_batches()
 
-    return strings.select("digest", "offset", "copies", "bytes").mapInArrow(run, "digest binary, low int, high int")
+    return strings.select("key", "digest", "offset", "copies", "bytes").mapInArrow(run, "key long, digest long, low int, high int")
 
 
 def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
@@ -148,38 +149,38 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     texts = stored(texts.withColumn("id", F.monotonically_increasing_id()), "texts")
     runs = stored(anchored(texts, length), "anchors")
     twice = runs.groupBy("key").agg(F.sum("copies").alias("c")).where("c > 1").select("key")
-    wanted = runs.join(twice, "key").groupBy("id").agg(F.collect_list(F.struct("start", "n", "anchor", "key")).alias("runs"))
+    places = stored(runs.join(twice, "key"), "places")
+    strings = places.groupBy("key", "digest").agg(F.sum("copies").alias("copies"), F.min(F.struct("id", "start", "n", "offset")).alias("x")).select("key", "digest", "copies", "x.*")
+    strings = stored(strings, "strings")
+    kinds = stored(strings.groupBy("key").agg(F.count("*").alias("kinds")).where("kinds > 1"), "kinds")
+    mixed = stored(strings.join(kinds, "key"), "mixed")
+    total = mixed.agg(F.sum(F.col("n") + length - 1)).first()[0] or 0
+    wanted = mixed.groupBy("id").agg(F.collect_list(F.struct("start", "n", "offset", "copies", "key", "digest", "kinds")).alias("runs"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw, bounds = text_bytes(batch.column(2))
-            listed, data = batch.column(3), raw.tobytes()
+            raw, bounds = text_bytes(batch.column(0))
+            listed, data = batch.column(1), raw.tobytes()
             ends, values = listed.offsets.to_numpy(), listed.values
-            start, n, anchor, key = (values.field(i).to_numpy() for i in range(4))
-            row = np.repeat(np.arange(batch.num_rows), np.diff(ends))
-            start, n, anchor, key = (x[ends[0] : ends[-1]] for x in (start, n, anchor, key))
-            for low in range(0, len(row), 20_000):
+            start, n, *rest = (values.field(i).to_numpy()[ends[0] : ends[-1]] for i in range(7))
+            at = np.repeat(bounds[:-1], np.diff(ends)) + start
+            for low in range(0, len(at), 20_000):
                 part = slice(low, low + 20_000)
-                at = bounds[row[part]] + start[part]
-                strings = [data[a : a + m] for a, m in zip(at.tolist(), (n[part] + length - 1).tolist(), strict=True)]
-                offset = anchor[part] - start[part]
-                digest = [hashlib.blake2b(x, digest_size=16, salt=int(o).to_bytes(2, "little")).digest() for x, o in zip(strings, offset, strict=True)]
-                ids, copies = (batch.column(i).to_numpy()[row[part]] for i in (0, 1))
-                columns = [pa.array(ids), pa.array(copies), pa.array(start[part]), pa.array(offset), pa.array(key[part]), pa.array(digest, pa.binary()), pa.array(strings, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "copies", "start", "offset", "key", "digest", "bytes"])
-
-    places = stored(texts.join(wanted, "id").select("id", "copies", F.col("text").cast("binary").alias("text"), "runs").mapInArrow(cut, "id long, copies long, start int, offset int, key long, digest binary, bytes binary"), "places")
-    strings = stored(places.groupBy("digest").agg(F.first(F.struct("key", "offset", "bytes")).alias("x"), F.sum("copies").alias("copies")).select("digest", "x.*", "copies"), "strings")
-    total = strings.agg(F.sum(F.length("bytes"))).first()[0] or 0
-    crowded = stored(strings.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > CROWD).select("key"), "crowded")
-    spans = _collections(strings.join(crowded, "key", "left_anti").repartition(max(1, -(-total // COLLECTION_BYTES)), "key"), length)
-    if not crowded.isEmpty():
-        single = strings.join(crowded, "key", "left_semi").select("digest", "copies", "bytes", F.explode(F.sequence(F.lit(0), F.length("bytes") - length)).alias("low"))
-        single = stored(single.select("digest", "copies", "low", F.unhex(F.sha2(F.substring("bytes", F.col("low") + 1, F.lit(length)), 256)).alias("window")), "windows")
+                strings = [data[a : a + m] for a, m in zip(at[part].tolist(), (n[part].astype(int) + length - 1).tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays([*(pa.array(x[part]) for x in rest), pa.array(strings, pa.binary())], ["offset", "copies", "key", "digest", "kinds", "bytes"])
+
+    joined = texts.join(wanted, "id").select(F.col("text").cast("binary").alias("text"), "runs")
+    cut_out = joined.mapInArrow(cut, "offset short, copies long, key long, digest long, kinds long, bytes binary")
+    spans = _collections(cut_out.where(F.col("kinds") <= CROWD).repartition(max(1, -(-total // COLLECTION_BYTES)), "key"), length)
+    if not kinds.where(F.col("kinds") > CROWD).isEmpty():
+        single = cut_out.where(F.col("kinds") > CROWD).select("key", "digest", "copies", "bytes", F.explode(F.sequence(F.lit(0), F.length("bytes") - length)).alias("low"))
+        single = stored(single.select("key", "digest", "copies", "low", F.unhex(F.sha2(F.substring("bytes", F.col("low") + 1, F.lit(length)), 256)).alias("window")), "windows")
         again = single.groupBy("window").agg(F.sum("copies").alias("c")).where("c > 1").select("window")
-        spans = spans.unionByName(single.join(again, "window").select("digest", "low", (F.col("low") + length).alias("high")))
-    found = places.select("id", "start", "digest").join(spans, "digest")
-    return texts, stored(found.select("id", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high")), "spans")
+        spans = spans.unionByName(single.join(again, "window").select("key", "digest", "low", (F.col("low") + length).alias("high")))
+    spans = stored(spans, "repeated")
+    found = places.join(spans, ["key", "digest"]).select("id", (F.col("start") + F.col("low")).alias("low"), (F.col("start") + F.col("high")).alias("high"))
+    alone = places.join(kinds, "key", "left_anti").select("id", F.col("start").alias("low"), (F.col("start") + F.col("n") + (length - 1)).alias("high"))
+    return texts, stored(found.unionByName(alone), "spans")
 
 
 def removed(docs: DataFrame, text: str = "text", length: int = LENGTH) -> DataFrame:

@@ -34,9 +34,12 @@ SPACED_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once as Parquet below the shared folder and read back: cuts the lineage, survives lost executors."""
+    """``df`` written once as Parquet below the shared folder and read back: cuts the lineage, survives lost executors.
+
+    A collection of the driver's garbage follows, so that Spark's cleaner drops the shuffle files that the write leaves behind."""
     path = f"{new_run_dir(df.sparkSession, label)}/{uuid.uuid4().hex[:8]}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
