@@ -148,7 +148,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", length: int = LENGTH) ->
     texts = docs.select(whole.alias("text")).groupBy(F.md5(F.col("text").cast("binary")).alias("digest")).agg(F.first("text").alias("text"), F.count("*").alias("copies"))
     texts = stored(texts.withColumn("id", F.monotonically_increasing_id()), "texts")
     runs = stored(anchored(texts, length), "anchors")
-    twice = runs.groupBy("key").agg(F.sum("copies").alias("c")).where("c > 1").select("key")
+    twice = stored(runs.groupBy("key").agg(F.sum("copies").alias("c")).where("c > 1").select("key"), "twice")
     places = stored(runs.join(twice, "key"), "places")
     strings = places.groupBy("key", "digest").agg(F.sum("copies").alias("copies"), F.min(F.struct("id", "start", "n", "offset")).alias("x")).select("key", "digest", "copies", "x.*")
     strings = stored(strings, "strings")
