@@ -118,7 +118,7 @@ def top_k(rows: DataFrame, edges: DataFrame, queries: DataFrame, k: int) -> Data
     if found is None:
         return rows.sparkSession.createDataFrame([], "query long, vec_id long, score long, rank int")
     some = found.groupBy("query", F.expr(f"part div {FAN_IN}").alias("part")).agg(_best(F.col("top"), k).alias("top"))
-    limits = some.groupBy("query").agg(F.element_at(_best(F.col("top"), k), -1).alias("limit"), F.sum(F.size("top")).alias("m"))
+    limits = some.groupBy("query").agg(F.try_element_at(_best(F.col("top"), k), F.lit(-1)).alias("limit"), F.sum(F.size("top")).alias("m"))
     # The kth certain candidate; fewer than k rows: no limit.
     limits = limits.select("query", F.when(F.col("m") >= k, F.struct("limit.bound", "limit.vec_id", "limit.row")).alias("limit"))
     left = found.join(limits, "query").select("query", F.explode(F.filter("found", lambda c: F.col("limit").isNull() | (c <= F.col("limit")))).alias("c")).select("query", "c.*")
