@@ -50,7 +50,7 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int, rounds: int = ROU
     for turn in range(rounds):
         placed = links.join(state, "vertex")
         held = placed.groupBy("key", "shard").agg(F.sum("weight").alias("n"))
-        best = held.groupBy("key").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "shard")), asc=False), 1, BEST).alias("best"))
+        best = stored(held.groupBy("key").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "shard")), asc=False), 1, BEST).alias("best")), "best")  # a stored side lets the join split a key that many vertices share
         seen = placed.join(best, "key").select("vertex", "weight", F.col("shard").alias("own"), F.explode("best").alias("x"))
         votes = seen.groupBy("vertex", "weight", "own", F.col("x.shard").alias("shard")).agg(F.sum(F.col("x.n") - F.when(F.col("own") == F.col("x.shard"), F.col("weight")).otherwise(0)).alias("n"))
         top = votes.groupBy("vertex", "weight", "own").agg(F.max(F.struct("n", (F.col("shard") == F.col("own")).alias("stay"), (-F.col("shard")).alias("least"), "shard")).alias("best"), F.max(F.when(F.col("shard") == F.col("own"), F.col("n"))).alias("now"))
