@@ -11,8 +11,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableferry.operators import profile
+from tableferry.session import materialize
 from tableferry.sources import catalog
 from tableferry.sources.tables import Database
 
@@ -103,6 +105,20 @@ def _table_validation(src: DataFrame, tgt: DataFrame, name: str, empty_ok: bool)
     )
 
 
+def _missing_target(src: DataFrame, name: str) -> DataFrame:
+    """The row of a table without a target: nothing matches."""
+    no = F.lit(False)
+    return src.agg(F.count(F.lit(1)).alias("source_count")).select(
+        F.lit(name).alias("table_name"),
+        "source_count",
+        F.lit(None).cast("bigint").alias("target_count"),
+        no.alias("record_count_match"),
+        no.alias("sample_data_match"),
+        no.alias("extreme_values_match"),
+        no.alias("data_consistency"),
+    )
+
+
 def validate_tables(
     source: Database, target: Database, names=None, empty_ok: bool = True, exclude=()
 ) -> DataFrame:
@@ -116,7 +132,10 @@ def validate_tables(
     for n in names:
         if n in exclude:
             continue
-        parts.append(_table_validation(source.table(n), target.table(n), n, empty_ok))
+        if n in target.tables:
+            parts.append(_table_validation(source.table(n), target.table(n), n, empty_ok))
+        else:
+            parts.append(_missing_target(source.table(n), n))
     out = reduce(DataFrame.unionByName, parts)
     if exclude:
         spark = out.sparkSession
@@ -134,13 +153,16 @@ def sample_match(source: Database, target: Database, names=None) -> DataFrame:
     parts = []
     for n in names:
         s = source.table(n).agg(F.count(F.lit(1)).alias("sc"))
-        t = target.table(n).agg(F.count(F.lit(1)).alias("tc"))
+        t = (
+            target.table(n).agg(F.count(F.lit(1)).alias("tc"))
+            if n in target.tables else source.table(n).agg(F.max(F.lit(None).cast("bigint")).alias("tc"))
+        )
         parts.append(
             profile.side_by_side(s, t).select(
                 F.lit(n).alias("table_name"),
                 F.least("sc", F.lit(SAMPLE_SIZE)).cast("bigint").alias("source_sample"),
-                F.least("tc", F.lit(SAMPLE_SIZE)).cast("bigint").alias("target_sample"),
-                (F.least("sc", F.lit(SAMPLE_SIZE)) == F.least("tc", F.lit(SAMPLE_SIZE))).alias("sample_match"),
+                F.when(F.col("tc").isNotNull(), F.least("tc", F.lit(SAMPLE_SIZE))).cast("bigint").alias("target_sample"),
+                F.coalesce(F.when(F.col("tc").isNotNull(), F.least("sc", F.lit(SAMPLE_SIZE)) == F.least("tc", F.lit(SAMPLE_SIZE))), F.lit(False)).alias("sample_match"),
             )
         )
     return reduce(DataFrame.unionByName, parts)
@@ -151,7 +173,9 @@ def extreme_match(source: Database, target: Database, names=None) -> DataFrame:
     names = list(names) if names is not None else source.names()
     parts = []
     for n in names:
-        src, tgt = source.table(n), target.table(n)
+        src = source.table(n)
+        # Without a target: the source's columns without any row, so every extreme is NULL there.
+        tgt = target.tables.get(n, src.where("false"))
         cols = profile.numeric_columns(src)
         if cols:
             parts.append(profile.extreme_pairs(profile.paired_profile(src, tgt, cols), n, cols))
@@ -206,9 +230,9 @@ def boundary_rows(pages: DataFrame, target: DataFrame, key: str) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, key: str, n: int = SAMPLE_SIZE) -> DataFrame:
-    """L4, reproducible form: the n rows first by ``md5(key)`` then key (the reference
-    draws ``ORDER BY NEWID()``, which no two runs repeat)."""
-    return df.orderBy(F.md5(F.col(key).cast("string")), F.col(key)).limit(n)
+    """L4, reproducible form: the n rows first by ``md5('sample:' || key)`` then key (the
+    reference draws ``ORDER BY NEWID()``, which no two runs repeat)."""
+    return df.orderBy(F.md5(F.concat(F.lit("sample:"), F.col(key).cast("string"))), F.col(key)).limit(n)
 
 
 def limit_n(df: DataFrame, n: int = SAMPLE_SIZE) -> DataFrame:
@@ -216,8 +240,19 @@ def limit_n(df: DataFrame, n: int = SAMPLE_SIZE) -> DataFrame:
     return df.limit(n)
 
 
+def _plain(df: DataFrame, name: str) -> Column:
+    """A value as it is compared: -0.0 is 0.0 (NaN equals NaN in Spark's comparisons and hashes)."""
+    c = F.col(f"`{name}`")
+    return c + F.lit(0.0).cast(df.schema[name].dataType) if isinstance(df.schema[name].dataType, (T.DoubleType, T.FloatType)) else c
+
+
+def _value_hash(df: DataFrame, name: str) -> Column:
+    """64 bits of one value; NULL has a hash of its own (``xxhash64`` skips NULLs)."""
+    return F.xxhash64(_plain(df, name), F.col(f"`{name}`").isNull())
+
+
 def _row_digest(df: DataFrame, cols: list[str]) -> Column:
-    return F.xxhash64(*[F.col(f"`{c}`") for c in cols]) if cols else F.lit(0).cast("bigint")
+    return F.xxhash64(*[_value_hash(df, c) for c in cols]) if cols else F.lit(0).cast("bigint")
 
 
 def _status_expr(src_cols: list[str]) -> tuple[Column, Column]:
@@ -270,135 +305,108 @@ def _aligned_target(source: DataFrame, target: DataFrame) -> DataFrame:
     return target.select(*cols)
 
 
-def _row_level_diff(src: DataFrame, tgt: DataFrame, keys: list[str], value_cols: list[str]) -> DataFrame:
-    """Column-by-column comparison of rows whose keys are unique on both sides."""
-    s = src.withColumn("_s", F.lit(1)).alias("s")
-    t = tgt.withColumn("_t", F.lit(1)).alias("t")
-    cond = reduce(lambda a, b: a & b, [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys])
-    status, changed = _status_expr(value_cols)
-    return (
-        s.join(t, cond, "full")
-        .select(
-            *[F.coalesce(F.col(f"s.{k}"), F.col(f"t.{k}")).alias(k) for k in keys],
-            status.alias("status"),
-            F.when(status == "changed", changed).alias("changed_columns"),
-        )
-        .filter(F.col("status").isNotNull())
-    )
+def _full_by_key(one: DataFrame, two: DataFrame, keys: list[str]) -> DataFrame:
+    """Full join on equal keys, NULL key parts equal to each other; one column per key."""
+    two = two.withColumnsRenamed({k: f"_t_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(f"`{k}`").eqNullSafe(F.col(f"`_t_{k}`")) for k in keys])
+    joined = one.join(two, same, "full")
+    rest = [F.col(f"`{c}`") for c in joined.columns if c not in keys and c not in {f"_t_{k}" for k in keys}]
+    return joined.select(*[F.coalesce(f"`{k}`", f"`_t_{k}`").alias(k) for k in keys], *rest)
 
 
-def _per_key(df: DataFrame, keys: list[str], row_h: Column, tag: str) -> DataFrame:
-    """One row per key: how many rows carry it and their hash range (partial aggregation,
-    so a key held by a third of the table is pre-counted in every task)."""
-    return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(f"_n{tag}"),
-        F.min(row_h).alias(f"_h{tag}"),
-        F.max(row_h).alias(f"_m{tag}"),
+def _key_status(changed: Column) -> Column:
+    return (
+        F.when(F.col("_ns").isNull(), F.lit("extra"))
+        .when(F.col("_nt").isNull(), F.lit("missing"))
+        .when((F.col("_ns") > 1) | (F.col("_nt") > 1), F.lit("duplicate"))
+        .when(changed != "", F.lit("changed"))
     )
 
 
-def _exact_per_key(src: DataFrame, tgt: DataFrame, keys: list[str], value_cols: list[str]) -> DataFrame:
-    """Single pass: each side reduced to (key, count, one row) by partial aggregation,
-    joined 1:1 and compared column by column."""
+def _diff_per_key(src: DataFrame, tgt: DataFrame, keys: list[str], value_cols: list[str], exact: bool) -> DataFrame:
+    """Each side reduced to one row per key by partial aggregation (count, and per value
+    column its value or its hash), joined 1:1 and compared column by column."""
+
     def side(df: DataFrame, tag: str) -> DataFrame:
-        return df.groupBy(*keys).agg(
-            F.count(F.lit(1)).alias(f"_n{tag}"), F.any_value(F.struct(*value_cols)).alias(f"_r{tag}")
-        )
+        held = [
+            (F.any_value(F.struct(_plain(df, c))) if exact else F.min(_value_hash(df, c))).alias(f"_{tag}{i}")
+            for i, c in enumerate(value_cols)
+        ]
+        return df.groupBy(*[f"`{k}`" for k in keys]).agg(F.count(F.lit(1)).alias(f"_n{tag}"), *held)
 
-    j = side(src, "s").join(side(tgt, "t"), keys, "full")
+    joined = _full_by_key(side(src, "s"), side(tgt, "t"), keys)
     changed = F.concat_ws(
-        ",", *[F.when(~F.col("_rs")[c].eqNullSafe(F.col("_rt")[c]), F.lit(c)) for c in value_cols]
-    )
-    status = (
-        F.when(F.col("_ns").isNull(), F.lit("extra"))
-        .when(F.col("_nt").isNull(), F.lit("missing"))
-        .when((F.col("_ns") > 1) | (F.col("_nt") > 1), F.lit("duplicate"))
-        .when(changed != "", F.lit("changed"))
+        ",", *[F.when(~F.col(f"_s{i}").eqNullSafe(F.col(f"_t{i}")), F.lit(c)) for i, c in enumerate(value_cols)]
     )
-    return j.select(
-        *keys, status.alias("status"), F.when(status == "changed", changed).alias("changed_columns")
+    status = _key_status(changed)
+    return joined.select(
+        *[f"`{k}`" for k in keys], status.alias("status"), F.when(status == "changed", changed).alias("changed_columns")
     ).filter(F.col("status").isNotNull())
 
 
+def _dirty_buckets(src: DataFrame, tgt: DataFrame, keys: list[str], buckets: int) -> DataFrame:
+    """Ids of key buckets (at most ``buckets``) whose rows differ or that hold a key twice."""
+
+    def bucket(df: DataFrame) -> Column:
+        return F.pmod(_row_digest(df, keys), F.lit(buckets))
+
+    def digest(df: DataFrame, tag: str) -> DataFrame:
+        return (
+            df.select(bucket(df).alias("_b"), _row_digest(df, df.columns).alias("_h"))
+            .groupBy("_b")
+            .agg(
+                F.count(F.lit(1)).alias(f"{tag}_n"),
+                F.bit_xor("_h").alias(f"{tag}_x"),
+                F.sum(F.shiftright("_h", 32)).alias(f"{tag}_hi"),
+                F.sum(F.col("_h").bitwiseAND(F.lit(0xFFFFFFFF))).alias(f"{tag}_lo"),
+            )
+        )
+
+    def twice(df: DataFrame) -> DataFrame:
+        """Only 8 bytes per key cross the shuffle; a hash shared by two keys is looked at for nothing."""
+        held = df.select(_row_digest(df, keys).alias("_k")).groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+        return held.filter("_n > 1").select(F.pmod("_k", F.lit(buckets)).alias("_b"))
+
+    same = reduce(
+        lambda a, b: a & b,
+        [F.col(f"s_{x}").eqNullSafe(F.col(f"t_{x}")) for x in ("n", "x", "hi", "lo")],
+    )
+    differ = digest(src, "s").join(digest(tgt, "t"), "_b", "full").filter(~same).select("_b")
+    return differ.unionByName(twice(src)).unionByName(twice(tgt)).distinct()
+
+
 def content_diff(
     source: DataFrame,
     target: DataFrame,
     keys: list[str],
     mode: str = "hash",
     buckets: int = 1 << 16,
-    max_dirty_fraction: float = 0.25,
     exact: bool = False,
 ) -> DataFrame:
     """Per key, rows ``missing`` from the target, ``extra`` in the target, ``changed``
     (with the names of the differing columns) or ``duplicate`` (the key is not unique on
     a side — e.g. a table loaded twice; such keys are reported, never paired row by row).
+    NULL key parts are equal to each other, as are NULL values, NaNs and signed zeros.
 
-    Both sides are first reduced to one row per key (count and 64-bit row hash); the
-    key-level join is therefore 1:1 whatever the key distribution, and only the narrow
-    (key, count, hash) rows cross the shuffle. Full rows are fetched back only for keys
-    whose single rows differ, to name the changed columns.
-
-    ``mode="hash"`` (default) flags changes by row hash (a changed row is missed only on
-    a 64-bit collision); ``mode="exact"`` (or ``exact=True``) compares every 1:1 key
-    column by column. ``mode="digest"`` is for nearly identical tables: each side is
-    first summarised per key bucket (count, xor and sums of the row hash; at most
-    ``buckets`` rows cross the shuffle); when at most ``max_dirty_fraction`` of the
-    buckets differ, only rows of those buckets are compared — identical data never
-    crosses the network — otherwise it proceeds as ``hash``."""
+    Each side is read once and reduced to one row per key (count and a 64-bit hash of each
+    value column, NULL hashed apart); status and changed columns come from one 1:1 join
+    whatever the key distribution, and no value crosses the shuffle.
+
+    ``mode="hash"`` (default) misses a changed value only on a 64-bit collision;
+    ``mode="exact"`` (or ``exact=True``) carries the values instead of their hashes.
+    ``mode="digest"`` is for nearly identical tables: both sides are first summarised per
+    key bucket (count, xor and sums of the row hash), and only rows of buckets that differ
+    or hold a key twice are compared. All modes report the same rows."""
     mode = "exact" if exact else mode
     value_cols = [c for c in source.columns if c not in keys]
-    tgt = _aligned_target(source, target)
-    src = source
-    if mode == "exact":
-        return _exact_per_key(src, tgt, keys, value_cols)
-    row_h = _row_digest(source, source.columns)
+    src, tgt = source, _aligned_target(source, target)
     if mode == "digest":
-        bucket = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(buckets))
-
-        def digest(df: DataFrame, tag: str) -> DataFrame:
-            return (
-                df.select(bucket.alias("_b"), row_h.alias("_h"))
-                .groupBy("_b")
-                .agg(
-                    F.count(F.lit(1)).alias(f"{tag}_n"),
-                    F.bit_xor("_h").alias(f"{tag}_x"),
-                    F.sum(F.shiftright("_h", 32)).alias(f"{tag}_hi"),
-                    F.sum(F.col("_h").bitwiseAND(F.lit(0xFFFFFFFF))).alias(f"{tag}_lo"),
-                )
-            )
-
-        same = reduce(
-            lambda a, b: a & b,
-            [F.col(f"s_{x}").eqNullSafe(F.col(f"t_{x}")) for x in ("n", "x", "hi", "lo")],
+        ids = F.broadcast(materialize(_dirty_buckets(src, tgt, keys, buckets)))  # at most `buckets` ids
+        src, tgt = (
+            df.withColumn("_b", F.pmod(_row_digest(df, keys), F.lit(buckets))).join(ids, "_b", "left_semi").drop("_b")
+            for df in (src, tgt)
         )
-        differ = digest(src, "s").join(digest(tgt, "t"), "_b", "full").filter(~same).select("_b")
-        dirty = [r["_b"] for r in differ.collect()]  # at most `buckets` ids by construction
-        if len(dirty) <= buckets * max_dirty_fraction:
-            # A bounded id table (<= buckets * max_dirty_fraction rows): broadcast semi join.
-            ids = F.broadcast(source.sparkSession.createDataFrame([(b,) for b in dirty], "_b long"))
-            src = src.withColumn("_b", bucket).join(ids, "_b", "left_semi").drop("_b")
-            tgt = tgt.withColumn("_b", bucket).join(ids, "_b", "left_semi").drop("_b")
-    per_key = _per_key(src, keys, row_h, "s").join(_per_key(tgt, keys, row_h, "t"), keys, "full")
-    one_to_one = (F.col("_ns") == 1) & (F.col("_nt") == 1)
-    hashes_differ = F.col("_hs") != F.col("_ht")
-    classified = per_key.select(
-        *keys,
-        F.when(F.col("_ns").isNull(), F.lit("extra"))
-        .when(F.col("_nt").isNull(), F.lit("missing"))
-        .when((F.col("_ns") > 1) | (F.col("_nt") > 1), F.lit("duplicate"))
-        .when(one_to_one & (F.lit(mode == "exact") | hashes_differ), F.lit("compare"))
-        .alias("status"),
-    ).filter(F.col("status").isNotNull())
-    settled = classified.filter(F.col("status") != "compare").withColumn(
-        "changed_columns", F.lit(None).cast("string")
-    )
-    to_compare = classified.filter(F.col("status") == "compare").select(*keys)
-    # Full rows only for keys to compare (1:1 by construction; AQE broadcasts the key set
-    # when it is small at run time).
-    detail = _row_level_diff(
-        src.join(to_compare, keys, "left_semi"), tgt.join(to_compare, keys, "left_semi"), keys, value_cols
-    )
-    return settled.unionByName(detail)
+    return _diff_per_key(src, tgt, keys, value_cols, mode == "exact")
 
 
 def content_diff_keyless(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -412,33 +420,64 @@ def content_diff_keyless(source: DataFrame, target: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- X4
 
 
+def _listed(columns) -> list[str]:
+    return [columns] if isinstance(columns, str) else list(columns)
+
+
+def _comparable(child: DataFrame, c: str, parent: DataFrame, p: str) -> tuple[Column, Column]:
+    """Both key columns in one type that loses nothing: their own if equal or both numeric
+    (compared in the wider one), else text."""
+    one, two = child.schema[c].dataType, parent.schema[p].dataType
+    if one == two or isinstance(one, T.NumericType) and isinstance(two, T.NumericType):
+        return F.col(f"`{c}`"), F.col(f"`{p}`")
+    return F.col(f"`{c}`").cast("string"), F.col(f"`{p}`").cast("string")
+
+
+def _reported(df: DataFrame, columns: list[str]) -> Column:
+    """A key as reported: bigint where it is one whole number, else its parts as text."""
+    if len(columns) == 1 and isinstance(df.schema[columns[0]].dataType, T.IntegralType):
+        return F.col(f"`{columns[0]}`").cast("bigint")
+    return F.concat_ws(",", *[F.col(f"`{c}`").cast("string") for c in columns])
+
+
 def orphan_rows(
     database: Database, foreign_keys, child_key: dict[str, str] | None = None
 ) -> DataFrame:
-    """Child rows whose non-NULL foreign-key value has no parent row.
+    """Child rows whose foreign key has no parent row (a key with a NULL part refers to
+    nothing and is left out). Keys are single columns or lists of them, compared in their
+    own types.
 
     Distinct FK values are found first (map-side de-duplication collapses hot values),
     anti-joined with the parent keys, then the child rows are semi-joined to that
     orphan-value set (AQE broadcasts it when it is small at run time)."""
     parts = []
-    for child, fk_col, parent, pk_col in foreign_keys:
+    for child, fk, parent, pk in foreign_keys:
         if child not in database.tables or parent not in database.tables:
             continue
-        c = database.table(child)
-        p = database.table(parent).select(F.col(pk_col).cast("bigint").alias("_v"))
-        values = c.select(F.col(fk_col).cast("bigint").alias("_v")).where(F.col("_v").isNotNull()).distinct()
-        orphan_values = values.join(p, "_v", "left_anti")
-        ck = (child_key or {}).get(child) or (database.keys(child) or [fk_col])[0]
+        c, p = database.table(child), database.table(parent)
+        fk_cols, pk_cols = _listed(fk), _listed(pk)
+        pairs = [_comparable(c, a, p, b) for a, b in zip(fk_cols, pk_cols)]
+        names = [f"_v{i}" for i in range(len(pairs))]
+        parents = p.select(*[x[1].alias(f"_p{i}") for i, x in enumerate(pairs)])
+        values = c.select(*[x[0].alias(n) for x, n in zip(pairs, names)]).dropna(how="any").distinct()
+        same = reduce(lambda a, b: a & b, [F.col(n) == F.col(f"_p{i}") for i, n in enumerate(names)])
+        orphan_values = values.join(parents, same, "left_anti")
+        ck = _listed((child_key or {}).get(child) or database.keys(child) or fk_cols)
         rows = c.select(
-            F.col(ck).cast("bigint").alias("child_key"), F.col(fk_col).cast("bigint").alias("_v")
-        ).join(orphan_values, "_v", "left_semi")
+            _reported(c, ck).alias("child_key"),
+            _reported(c, fk_cols).alias("fk_value"),
+            *[x[0].alias(n) for x, n in zip(pairs, names)],
+        ).join(orphan_values, names, "left_semi")
         parts.append(
             rows.select(
                 F.lit(child).alias("child_table"),
-                F.lit(fk_col).alias("fk_column"),
+                F.lit(",".join(fk_cols)).alias("fk_column"),
                 F.lit(parent).alias("parent_table"),
                 "child_key",
-                F.col("_v").alias("fk_value"),
+                "fk_value",
             )
         )
+    kinds = {f.dataType for x in parts for f in x.schema.fields if f.name in ("child_key", "fk_value")}
+    if len(kinds) > 1:
+        parts = [x.withColumns({n: F.col(n).cast("string") for n in ("child_key", "fk_value")}) for x in parts]
     return reduce(DataFrame.unionByName, parts)
