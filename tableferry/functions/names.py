@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed value: a valid target name is letters, decimal digits and underscore.
-VALID_NAME_PATTERN = r"^[\p{L}\p{Nd}_]+$"
+VALID_NAME_PATTERN = r"^[\p{L}\p{Nd}_]+\z"
 
 
 def _n(value) -> Column:

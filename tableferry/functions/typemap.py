@@ -7,6 +7,8 @@ map expression: it stays inside whole-stage codegen and needs no join or shuffle
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -199,7 +201,9 @@ def spark_type_for(target_type: str, time_enabled: bool = False) -> T.DataType:
         return T.LongType()
     if t.startswith("DECIMAL("):
         p, s = (int(x) for x in t[len("DECIMAL("):-1].split(","))
-        return T.DecimalType(min(p, 38), min(s, 38))
+        if p > 38 or s > 38:
+            raise ValueError(f"{t}: more digits than a decimal of 38 holds")
+        return T.DecimalType(p, s)
     if t == "DOUBLE":
         return T.DoubleType()
     if t == "FLOAT":
@@ -215,13 +219,34 @@ def spark_type_for(target_type: str, time_enabled: bool = False) -> T.DataType:
     return T.StringType()
 
 
+# Bytes that the text types hold.
+TEXT_BYTES = {"TINYTEXT": 255, "TEXT": 65535, "MEDIUMTEXT": 16777215}
+
+
+def _over_long(v: Column, target_type: str) -> Column | None:
+    """Whether a cast value is longer than its target type holds; None where nothing limits it."""
+    t = target_type.strip().upper()
+    declared = re.match(r"(?:VAR)?(CHAR|BINARY)\((\d+)\)", t)
+    if declared:
+        size = F.char_length(v) if declared[1] == "CHAR" else F.octet_length(v)
+        return size > int(declared[2])
+    return F.octet_length(v) > TEXT_BYTES[t] if t in TEXT_BYTES else None
+
+
 def to_target(c: Column, target_type: str, strict: bool = False) -> Column:
-    """A value as stored in ``target_type``: cast to the Spark carrier (``try_cast``, or
-    ANSI ``cast`` when ``strict``); DATETIME without fractional digits keeps whole seconds."""
+    """A value as stored in ``target_type``: cast to the Spark carrier; DATETIME without
+    fractional digits keeps whole seconds. A value that does not fit, by its type or by its
+    length, becomes NULL, or fails the task when ``strict``."""
     v = c.cast(spark_type_for(target_type)) if strict else c.try_cast(spark_type_for(target_type))
     if target_type.strip().upper() == "DATETIME":
         v = F.date_trunc("second", v).cast("timestamp_ntz")
-    return v
+    over = _over_long(v, target_type)
+    if over is None:
+        return v
+    if strict:
+        failed = F.raise_error(F.lit(f"value too long for {target_type}")).cast(spark_type_for(target_type))
+        return F.when(over, failed).otherwise(v)
+    return F.when(~over, v)
 
 
 def source_type_of(dt: T.DataType) -> tuple[str, int | None, int | None, str | None]:

@@ -41,7 +41,7 @@ def conform_failures(df: DataFrame, target_types: dict[str, str]) -> DataFrame:
     cols = [c for c in df.columns if c in target_types]
     one = df.agg(
         *[
-            F.count_if(_c(c).isNotNull() & _c(c).try_cast(typemap.spark_type_for(target_types[c])).isNull())
+            F.count_if(_c(c).isNotNull() & typemap.to_target(_c(c), target_types[c]).isNull())
             .cast("bigint").alias(c)
             for c in cols
         ]
@@ -80,20 +80,22 @@ def format_timestamps(df: DataFrame) -> DataFrame:
 
 
 def parse_date_columns(df: DataFrame) -> DataFrame:
-    """Text columns whose name contains ``date`` are parsed per value and rendered
-    ``yyyy-MM-dd`` (unparseable -> NULL)."""
+    """In text columns whose name contains ``date``, values that are dates are rendered
+    ``yyyy-MM-dd``; every other value stays as it is."""
     return df.select(
         *[
-            values.parse_date_text(_c(f.name)).alias(f.name)
+            F.coalesce(F.when(values.looks_like_date(_c(f.name)), values.parse_date_text(_c(f.name))), _c(f.name)).alias(f.name)
             if "date" in f.name.lower() and isinstance(f.dataType, T.StringType) else _c(f.name)
             for f in df.schema.fields
         ]
     )
 
 
-def preprocess_legacy(df: DataFrame) -> DataFrame:
-    """The legacy per-page preprocessing as one projection: P11, then P12, then P13."""
-    return parse_date_columns(format_timestamps(normalize_nulls(df)))
+def preprocess_legacy(df: DataFrame, timestamps_as_text: bool = False) -> DataFrame:
+    """The legacy per-page preprocessing as one projection: P11, P13, and P12 where asked for
+    (timestamps keep their type and microseconds otherwise)."""
+    df = normalize_nulls(df)
+    return parse_date_columns(format_timestamps(df) if timestamps_as_text else df)
 
 
 def align_columns(frames: list[DataFrame], columns: list[str]) -> DataFrame:

@@ -58,6 +58,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     spark.conf.set(CHECKPOINT_CONF, local)
     spark.sparkContext.setCheckpointDir(local)

@@ -49,6 +49,9 @@ def stream_copy(
                 for c in stream.columns
             ]
         )
+    kept = "spark.sql.streaming.numRecentProgressUpdates"  # else only the newest batches stay in the log
+    before = spark.conf.get(kept)
+    spark.conf.set(kept, str((1 << 31) - 1))
     query = (
         stream.writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
@@ -56,5 +59,6 @@ def stream_copy(
         .start(target_path)
     )
     query.awaitTermination()
+    spark.conf.set(kept, before)
     log = [(int(p["batchId"]), int(p["numInputRows"])) for p in query.recentProgress]
     return spark.createDataFrame(log, "batch_id long, n_rows long")
