@@ -129,23 +129,24 @@ def transfer_table(
 
 
 def _transfer_quarantined(df: DataFrame, types: dict, result: dict, path: str, max_errors: int) -> dict:
-    """W4 inside JOB1: good rows conformed into the target; the same pass counts rejects.
+    """W4 inside JOB1: rejects are counted first, so that a load which the stop rule fails
+    leaves the target as it was; then good rows are conformed into the target.
 
-    Only when there are rejects does a second pass write them (original values and the
-    reasons) to ``<target>__rejects`` — the target table keeps exactly the source columns."""
+    Rejects go with their original values and the reasons to ``<target>__rejects`` — the
+    target table keeps exactly the source columns."""
     from tableferry.operators import quality
 
-    obs = load.observation("quarantine")
-    tagged = quality.quarantine(df, types).observe(
-        obs, F.count_if(F.col("reject_reasons").isNotNull()).alias("bad")
-    )
-    good = conform.conform_table(tagged.filter(F.col("reject_reasons").isNull()).drop("reject_reasons"), types)
-    result["row_count"] = load.write_table(good, path)
-    bad = int(obs.get["bad"])
+    tagged = quality.quarantine(df, types)
+    bad = tagged.where(F.col("reject_reasons").isNotNull()).count()
     if bad:
         load.write_table(quality.quarantine_bad(df, types), f"{path}__rejects")
         result["error"] = f"{bad} rows quarantined"
-    result["success"] = bad <= max_errors
+    else:
+        load.drop_path(df.sparkSession, f"{path}__rejects")  # of an earlier load
+    if bad <= max_errors:
+        good = conform.conform_table(tagged.filter(F.col("reject_reasons").isNull()).drop("reject_reasons"), types)
+        result["row_count"] = load.write_table(good, path)
+        result["success"] = True
     return result
 
 
@@ -189,19 +190,41 @@ def transfer_all(
     each table is read once (for very large sources)."""
     names = list(names) if names is not None else source.names()
     db = source.subset(names)
-    # One profiling job for all tables; the driver then holds metadata only (one row per
-    # column), so the catalog is collected once and needs no checkpoint.
-    types = all_target_types(
-        ddl.map_types(cat.column_catalog(spark, db, materialized=False, profile_lengths=profile_lengths))
-    )
+    listed = list(names) + [t for t in source.unreadable if t not in names and names == source.names()]
     # Widest tables first: the longest load starts first and small ones fill in around it.
-    order = sorted(names, key=lambda t: -len(types.get(t, {})))
+    order = sorted(listed, key=lambda t: -len(db.tables[t].columns) if t in db.tables else 0)
+    # Sources that would share a target folder are refused before anything is loaded.
+    taken: dict[str, list[str]] = {}
+    for t in listed:
+        taken.setdefault((target_name(source.schema, t) or "").lower(), []).append(t)
+
+    def refused(t: str) -> str | None:
+        if t in source.unreadable:
+            return source.unreadable[t]
+        if t not in db.tables:
+            return "no such table"
+        name = target_name(source.schema, t)
+        others = [x for x in taken[(name or "").lower()] if x != t] if name else []
+        return f"target name {name} is also that of {', '.join(others)}" if others else None
+
+    def types_of(t: str) -> dict:
+        """Profiled and mapped table by table: one that can't be read fails alone."""
+        one = cat.column_catalog(spark, db.subset([t]), materialized=False, profile_lengths=profile_lengths)
+        return all_target_types(ddl.map_types(one))
 
     def load_and_open(t):
         # One scheduler pool per table: under spark.scheduler.mode=FAIR the tables share
         # executors instead of queueing behind each other (no effect under FIFO).
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"tableferry-{t}")
-        row = transfer_table(spark, db, t, target_root, types, on_bad_values)
+        row = {
+            "source_table": f"{source.schema}.{t}", "target_table": target_name(source.schema, t),
+            "success": False, "row_count": None, "error": refused(t),
+        }
+        if row["error"] is None:
+            try:
+                row = transfer_table(spark, db, t, target_root, types_of(t), on_bad_values)
+            except Exception as exc:  # the profile's failure is this table's own
+                row["error"] = _short(exc)
         frame = None
         if row["success"]:
             frame = read_target(spark, target_root, [row["target_table"]]).tables.get(row["target_table"])
@@ -209,12 +232,12 @@ def transfer_all(
 
     with ThreadPoolExecutor(max_workers=max(1, parallel_tables)) as pool:
         done = dict(zip(order, pool.map(load_and_open, order)))
-    rows = [done[t][0] for t in names]
+    rows = [done[t][0] for t in listed]
     results = spark.createDataFrame(rows, RESULT_SCHEMA)
     ok = [(r["source_table"].split(".", 1)[1], r["target_table"]) for r in rows if r["success"]]
     target = Database(
         "target",
-        {done[t][0]["target_table"]: done[t][1] for t in names if done[t][1] is not None},
+        {done[t][0]["target_table"]: done[t][1] for t in listed if done[t][1] is not None},
     )
     if ok:
         verification = reconcile.verify_tables(spark, db, target, ok)
@@ -270,10 +293,11 @@ def migrate_table(
     out = {"table_name": table, "total_records": 0, "migrated_rows": 0, "batches": 0,
            "success": False, "error": None}
     try:
-        df = source.table(table)
+        read = load.observation("read")
+        df = source.table(table).observe(read, F.count(F.lit(1)).alias("rows"))
         prepared = conform.preprocess_legacy(df)
         written = load.write_table(prepared, f"{target_root}/{table}")
-        out.update(total_records=written, migrated_rows=written,
+        out.update(total_records=int(read.get["rows"]), migrated_rows=written,
                    batches=math.ceil(written / page_size), success=True)
     except Exception as exc:
         out["error"] = _short(exc)
@@ -301,11 +325,7 @@ def migrate_database(
     order = [("planned", i + 1, t) for i, t in enumerate(planned)] + [
         ("remaining", len(planned) + i + 1, t) for i, t in enumerate(remaining)
     ]
-    catalog_df = cat.column_catalog(spark, source.subset(available))
-    structure = {
-        r["table_name"]: r["n"] > 0
-        for r in catalog_df.groupBy("table_name").agg(F.count(F.lit(1)).alias("n")).collect()
-    }
+    structure = {t: len(source.table(t).columns) > 0 for t in available}  # schemas only, no data read
 
     def run(item):
         phase, pos, t = item
@@ -315,11 +335,13 @@ def migrate_database(
         return (t, phase, pos, True, r["success"], r["total_records"], r["migrated_rows"],
                 r["batches"], r["error"])
 
-    # Data of planned tables goes in plan order (parents before children); the
-    # remaining tables have no order constraint and run concurrently.
-    rows = [run(item) for item in order if item[0] == "planned"]
+    # File targets enforce no foreign keys: tables run concurrently, submitted in plan order.
     with ThreadPoolExecutor(max_workers=max(1, parallel_tables)) as pool:
-        rows += list(pool.map(run, [item for item in order if item[0] == "remaining"]))
+        rows = list(pool.map(run, order))
+    rows += [
+        (t, "unreadable", len(order) + i + 1, False, False, 0, 0, 0, e)
+        for i, (t, e) in enumerate(sorted(source.unreadable.items()))
+    ]
     return spark.createDataFrame(rows, MIGRATION_SCHEMA)
 
 
@@ -346,22 +368,25 @@ def migration_verdict(migration: DataFrame) -> DataFrame:
 
 
 def list_target_tables(spark: SparkSession, target_root: str, candidates: list[str]) -> DataFrame:
-    """The target listing (SHOW TABLES): candidate names that have parquet data files.
+    """The target listing (SHOW TABLES): candidate names with a data file in their folder.
 
-    One listing of the target folder (file paths only; contents are not read)."""
-    empty = spark.createDataFrame([], "table_name string")
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", "*.parquet")
-            .option("recursiveFileLookup", "true")
-            .load(target_root)
-            .select(F.regexp_extract("path", r"/([^/]+)/[^/]+\.parquet$", 1).alias("table_name"))
-        )
-    except Exception:  # noqa: BLE001 — no target folder yet: no tables
-        return empty
-    wanted = spark.createDataFrame([(t,) for t in candidates], "table_name string")
-    return files.distinct().join(wanted, "table_name", "left_semi")
+    One look at each folder; a folder that is not there is no table, and any other listing
+    error rises (a target that can't be listed must not read as empty)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+
+    def holds_data(table: str) -> bool:
+        path = jvm.org.apache.hadoop.fs.Path(f"{target_root}/{table}")
+        fs = path.getFileSystem(conf)
+        if not fs.exists(path):
+            return False
+        files = fs.listFiles(path, True)
+        while files.hasNext():
+            if files.next().getPath().getName().endswith(".parquet"):
+                return True
+        return False
+
+    return spark.createDataFrame([(t,) for t in candidates if holds_data(t)], "table_name string")
 
 
 def validate_action(
@@ -376,13 +401,14 @@ def validate_action(
     if reconcile.missing_tables(src_names, tgt_names).count() > 0:
         migrate_database(spark, source, target_root, plan)
     target = read_target(spark, target_root, names)
-    conformed_source = Database(
+    # Against the source as it is; only NaN counts as the NULL it is stored as.
+    plain = Database(
         source.schema,
-        {t: conform.preprocess_legacy(source.table(t)) for t in names},
+        {t: conform.normalize_nulls(source.table(t)) for t in names},
         source.primary_keys,
         source.table_types,
     )
-    validation = reconcile.validate_tables(conformed_source, target, names, empty_ok=empty_ok)
+    validation = reconcile.validate_tables(plain, target, names, empty_ok=empty_ok)
     return validation, reconcile.validate_database(validation)
 
 
@@ -391,10 +417,12 @@ def maintenance_report(spark: SparkSession, target_root: str, names: list[str])
     import hashlib
 
     run = hashlib.md5(target_root.encode()).hexdigest()[:10]  # catalog names unique per target
-    status = []
-    for n in names:
-        row = load.maintain_table(spark, f"tf_{run}_{n}", f"{target_root}/{n}")
-        status.append({**row, "table_name": n})
+
+    def maintain(n):
+        return {**load.maintain_table(spark, f"tf_{run}_{n}", f"{target_root}/{n}"), "table_name": n}
+
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        status = list(pool.map(maintain, names))
     status_df = spark.createDataFrame(status, "table_name string, status string, error string")
     target = read_target(spark, target_root, names)
     counts = cat.row_counts(target) if target.tables else spark.createDataFrame([], "table_name string, row_count bigint")

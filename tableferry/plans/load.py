@@ -15,6 +15,7 @@ import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Fixed value: rows per INSERT batch of the current loader.
 JDBC_BATCH_SIZE = 500
@@ -33,6 +34,12 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "p
     return int(obs.get["rows"])
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove one folder of the target, if it is there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def write_quarantined(df: DataFrame, path: str) -> dict:
     """W4 sink: good and rejected rows in one pass, partitioned by ``rejected``."""
     obs = observation("quarantine")
@@ -74,6 +81,27 @@ def _jdbc_execute(spark: SparkSession, url: str, properties: dict, statements: l
         conn.close()
 
 
+def _jdbc_exists(spark: SparkSession, url: str, table: str, properties: dict) -> bool:
+    """Whether the server's own listing has the table (in any letter case, as servers fold names)."""
+    jvm = spark.sparkContext._jvm
+    props = jvm.java.util.Properties()
+    for k, v in properties.items():
+        if k in ("user", "password"):
+            props.setProperty(k, v)
+    conn = jvm.java.sql.DriverManager.getConnection(url, props)
+    try:
+        wanted = [p.strip('`"') for p in table.split(".")]
+        found = conn.getMetaData().getTables(None, None, "%", None)
+        while found.next():
+            if found.getString("TABLE_NAME").lower() == wanted[-1].lower() and (
+                len(wanted) == 1 or wanted[-2].lower() in ((found.getString("TABLE_SCHEM") or "").lower(), (found.getString("TABLE_CAT") or "").lower())
+            ):
+                return True
+        return False
+    finally:
+        conn.close()
+
+
 def write_jdbc_atomic(
     df: DataFrame,
     url: str,
@@ -84,8 +112,9 @@ def write_jdbc_atomic(
     rename_sql: str = "RENAME TABLE {stage} TO {table}",
     drop_sql: str = "DROP TABLE {table}",
 ) -> int:
-    """W1 (JDBC): load into ``<table>__STAGE`` in ``batch_size``-row batches, then replace
-    the target by a rename. A failure before the swap leaves the old target untouched."""
+    """W1 (JDBC): load into ``<table>__STAGE`` in ``batch_size``-row batches, then rename the
+    old target away, the stage in, and drop the old one. A failure before or in the swap
+    leaves the old target; any error of the server rises."""
     props = dict(properties or {})
     stage = f"{table}__STAGE"
     obs = observation("jdbc_load")
@@ -104,27 +133,65 @@ def write_jdbc_atomic(
         writer = writer.option(k, v)
     writer.save()
     spark = df.sparkSession
-    try:
-        _jdbc_execute(spark, url, props, [drop_sql.format(table=table)])
-    except Exception:  # the target did not exist yet
-        pass
-    _jdbc_execute(spark, url, props, [rename_sql.format(stage=stage, table=table)])
+    old = f"{table}__OLD"
+    if _jdbc_exists(spark, url, table, props):
+        if _jdbc_exists(spark, url, old, props):  # of a swap that broke off
+            _jdbc_execute(spark, url, props, [drop_sql.format(table=old)])
+        _jdbc_execute(spark, url, props, [rename_sql.format(stage=table, table=old)])
+        try:
+            _jdbc_execute(spark, url, props, [rename_sql.format(stage=stage, table=table)])
+        except Exception:
+            _jdbc_execute(spark, url, props, [rename_sql.format(stage=old, table=table)])
+            raise
+        _jdbc_execute(spark, url, props, [drop_sql.format(table=old)])
+    else:
+        _jdbc_execute(spark, url, props, [rename_sql.format(stage=stage, table=table)])
     return int(obs.get["rows"])
 
 
-def maintain_table(spark: SparkSession, name: str, path: str, compact_files: int | None = None) -> dict:
-    """Register, analyze (table and column statistics) and recount one target table.
+def maintain_table(
+    spark: SparkSession, name: str, path: str, compact_files: int | None = None, columns: list[str] | None = None
+) -> dict:
+    """Analyze one target table (row count and statistics of ``columns``; by default all
+    that have a simple type) under a temporary catalog name.
 
-    Compaction (the counterpart of OPTIMIZE) rewrites the table into ``compact_files``
-    files when asked; statistics let the optimizer size joins on the target."""
+    ``compact_files`` (the counterpart of OPTIMIZE) first rewrites a table of more files into
+    that many, in a folder beside it, and swaps the folders: a failed rewrite leaves the
+    table as it was. The status is ``optimized`` only where all steps went through."""
     try:
         if compact_files:
-            tmp = f"{path}__compact"
-            spark.read.parquet(path).repartition(compact_files).write.mode("overwrite").parquet(tmp)
-            spark.read.parquet(tmp).write.mode("overwrite").parquet(path)
+            compact_table(spark, path, compact_files)
+        frame = spark.read.parquet(path)
+        simple = [f.name for f in frame.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))]
+        wanted = simple if columns is None else [c for c in columns if c in simple]
         spark.sql(f"DROP TABLE IF EXISTS `{name}`")
         spark.sql(f"CREATE TABLE `{name}` USING parquet LOCATION '{path}'")
-        spark.sql(f"ANALYZE TABLE `{name}` COMPUTE STATISTICS FOR ALL COLUMNS")
+        try:
+            spark.sql(f"ANALYZE TABLE `{name}` COMPUTE STATISTICS")
+            if wanted:
+                spark.sql(f"ANALYZE TABLE `{name}` COMPUTE STATISTICS FOR COLUMNS {', '.join(f'`{c}`' for c in wanted)}")
+        finally:
+            spark.sql(f"DROP TABLE IF EXISTS `{name}`")
         return {"table_name": name, "status": "optimized", "error": None}
     except Exception as exc:  # one table's failure is its own result row
         return {"table_name": name, "status": "error", "error": str(exc).splitlines()[0][:200]}
+
+
+def compact_table(spark: SparkSession, path: str, files: int) -> bool:
+    """Rewrite a table of more than ``files`` data files; True where it was rewritten."""
+    frame = spark.read.parquet(path)
+    if len(frame.inputFiles()) <= files:
+        return False
+    stage, old = f"{path}__compact", f"{path}__before"
+    frame.repartition(files).write.mode("overwrite").parquet(stage)
+    fs_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = fs_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(fs_path(old), True)
+    if not fs.rename(fs_path(path), fs_path(old)):
+        raise OSError(f"cannot move {path}")
+    if not fs.rename(fs_path(stage), fs_path(path)):
+        fs.rename(fs_path(old), fs_path(path))
+        raise OSError(f"cannot replace {path}")
+    fs.delete(fs_path(old), True)
+    spark.catalog.refreshByPath(path)
+    return True
