@@ -231,7 +231,7 @@ def _preview(col) -> str:
     return f"CASE WHEN length({col}) > 50 THEN substring({col}, 1, 47) || '...' ELSE {col} END"
 
 
-def _validation_rows(tables=TPCH, source=None, target=None) -> str:
+def _validation_rows(tables=ALL, source=None, target=None) -> str:
     """Per table: counts, and extremes equality (only evaluated when counts match)."""
     parts = []
     for t in tables:
@@ -258,7 +258,7 @@ def _validation_rows(tables=TPCH, source=None, target=None) -> str:
 
 def _verify_rows() -> str:
     parts = []
-    for t in TPCH:
+    for t in ALL:
         ncol = len(SCHEMAS[t])
         parts.append(
             f"SELECT 'dbo.{t}' AS source_table, '{t}' AS target_table, "
@@ -274,7 +274,7 @@ def _verify_rows() -> str:
 
 def _transfer_rows() -> str:
     parts = []
-    for t in TPCH:
+    for t in ALL:
         ncol = len(SCHEMAS[t])
         parts.append(
             f"SELECT 'dbo.{t}' AS source_table, 'dbo_{t}' AS target_table, true AS success, "
@@ -437,7 +437,7 @@ FROM (VALUES (1, 'doc_id', -5, 'varchar', 'YES'), (2, 'text', 12, 'varchar', 'YE
     o["top_n_preview"] = "SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_custkey LIMIT 3"
     src_names = f"SELECT table_name FROM ({cnt}) WHERE row_count IS NOT NULL"
     tgt_counts = " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {damaged(t)}" for t in TPCH
+        f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {damaged(t)}" for t in ALL
     )
     tgt_list = f"SELECT table_name FROM ({tgt_counts}) WHERE row_count IS NOT NULL"
     o["known_tables"] = f"SELECT table_name FROM ({src_names}) WHERE table_name IN ({tgt_list})"
@@ -593,7 +593,7 @@ FROM (SELECT o_orderkey, strftime(o_orderdate, '%Y/%-m/%-d') AS o_orderdate_text
         f"SELECT '{t}' AS table_name, least(s, 100) AS source_sample, least(d, 100) AS target_sample, "
         f"least(s, 100) = least(d, 100) AS sample_match FROM (SELECT count(*) AS s FROM {t}), "
         f"(SELECT count(*) AS d FROM {damaged(t)})"
-        for t in TPCH
+        for t in ALL
     )
     o["extreme_match"] = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST(smin AS DOUBLE) + 0.0 AS source_min, "
@@ -602,7 +602,7 @@ FROM (SELECT o_orderkey, strftime(o_orderdate, '%Y/%-m/%-d') AS o_orderdate_text
         f"smin IS NOT DISTINCT FROM tmin AND smax IS NOT DISTINCT FROM tmax AS match "
         f"FROM (SELECT min({c}) AS smin, max({c}) AS smax FROM {t}), "
         f"(SELECT min({c}) AS tmin, max({c}) AS tmax FROM {damaged(t)})"
-        for t in TPCH for c in _numeric(t)
+        for t in ALL for c in _numeric(t)
     )
     o["validate_database"] = (
         "SELECT count(*) AS tables, count(*) FILTER (WHERE data_consistency) AS consistent_tables, "
@@ -626,10 +626,11 @@ WHERE status IS NOT NULL"""
     ochanged = "concat_ws(',', " + ", ".join(
         f"CASE WHEN s.{c} IS DISTINCT FROM t.{c} THEN '{c}' END" for c in ovals
     ) + ")"
+    o["limit_n"] = "SELECT least(100, count(*)) AS n_rows, least(100, count(*)) AS n_keys, least(100, count(*)) AS n_known FROM orders"
     o["sample_diff"] = f"""SELECT s.o_orderkey,
   CASE WHEN t.o_orderkey IS NULL THEN 'missing' WHEN {ochanged} <> '' THEN 'changed' ELSE 'match' END AS status,
   CASE WHEN t.o_orderkey IS NOT NULL AND {ochanged} <> '' THEN {ochanged} END AS changed_columns
-FROM (SELECT * FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 100) s
+FROM (SELECT * FROM orders ORDER BY md5('sample:' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 100) s
 LEFT JOIN {damaged('orders')} t ON s.o_orderkey = t.o_orderkey"""
     o["boundary_rows"] = f"""WITH {pages_cte()}, tgt AS (SELECT o_orderkey FROM {damaged('orders')})
 SELECT batch_no, first_key, last_key,
@@ -647,7 +648,7 @@ FROM pages"""
         f"SELECT t AS table_name, CAST(p AS INTEGER) AS pos FROM (VALUES {plan_vals}) v(p, t) "
         f"WHERE t IN (SELECT table_name FROM ({src_names}))"
     )
-    o["sample_rows"] = "SELECT * FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 100"
+    o["sample_rows"] = "SELECT * FROM orders ORDER BY md5('sample:' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 100"
     o["transfer_table"] = (
         "SELECT 'dbo.orders' AS source_table, 'dbo_orders' AS target_table, true AS success, "
         "count(*) AS row_count, CAST(NULL AS VARCHAR) AS error FROM orders"
@@ -677,16 +678,16 @@ SELECT 'orders' AS table_name, batch_no, n_rows,
         / CAST(sum(n_rows) OVER () AS DOUBLE), CAST(100.0 AS DOUBLE)) AS percent,
   batch_no % 50 = 0 OR batch_no = max(batch_no) OVER () AS logged
 FROM pages"""
-    same = _validation_rows(TPCH, source=lambda t: t, target=lambda t: t)
+    same = _validation_rows(ALL, source=lambda t: t, target=lambda t: t)
     o["validate_action"] = same
     maint = " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, count(*) AS row_count, 'optimized' AS status FROM {t}" for t in TPCH
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, 'optimized' AS status FROM {t}" for t in ALL
     )
     o["maintenance_report"] = maint
     o["optimize_action"] = maint
     o["run_all"] = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, true AS data_ok, count(*) AS migrated_rows, true AS data_consistency, "
-        f"'optimized' AS status FROM {t}" for t in TPCH
+        f"'optimized' AS status FROM {t}" for t in ALL
     )
     o["validation_report"] = f"SELECT table_name, {_html()} AS html_row FROM ({_validation_rows()})"
     o["error_log_json"] = f"""WITH paged AS (

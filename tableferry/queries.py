@@ -25,7 +25,6 @@ from tableferry.sources.tables import (
     ALL_TABLES,
     FOREIGN_KEYS,
     PRIMARY_KEYS,
-    TPCH_TABLES,
     read_database,
 )
 
@@ -50,7 +49,7 @@ def _db(spark, sf_dir, tables=ALL_TABLES):
 
 
 def _target(spark, sf_dir):
-    return fixtures.damaged_target(_db(spark, sf_dir, TPCH_TABLES))
+    return fixtures.damaged_target(_db(spark, sf_dir, ALL_TABLES))
 
 
 def _declared_catalog(spark, db) -> DataFrame:
@@ -375,8 +374,8 @@ def _pairs(names):
 
 
 def q_verify_tables(spark, sf_dir):
-    src = _db(spark, sf_dir, TPCH_TABLES)
-    return reconcile.verify_tables(spark, src, fixtures.damaged_target(src), _pairs(TPCH_TABLES))
+    src = _db(spark, sf_dir, ALL_TABLES)
+    return reconcile.verify_tables(spark, src, fixtures.damaged_target(src), _pairs(ALL_TABLES))
 
 
 def q_verification_summary(spark, sf_dir):
@@ -384,17 +383,17 @@ def q_verification_summary(spark, sf_dir):
 
 
 def q_validate_tables(spark, sf_dir):
-    src = _db(spark, sf_dir, TPCH_TABLES)
+    src = _db(spark, sf_dir, ALL_TABLES)
     return reconcile.validate_tables(src, fixtures.damaged_target(src))
 
 
 def q_sample_match(spark, sf_dir):
-    src = _db(spark, sf_dir, TPCH_TABLES)
+    src = _db(spark, sf_dir, ALL_TABLES)
     return reconcile.sample_match(src, fixtures.damaged_target(src))
 
 
 def q_extreme_match(spark, sf_dir):
-    src = _db(spark, sf_dir, TPCH_TABLES)
+    src = _db(spark, sf_dir, ALL_TABLES)
     return reconcile.extreme_match(src, fixtures.damaged_target(src))
 
 
@@ -455,7 +454,14 @@ def q_planned_tables(spark, sf_dir):
 
 
 def q_limit_n(spark, sf_dir):
-    return reconcile.limit_n(_db(spark, sf_dir, ["orders"]).table("orders"))
+    """L3 as a checkable fact: how many rows came, how many differ, how many are source rows."""
+    orders = _db(spark, sf_dir, ["orders"]).table("orders")
+    some = reconcile.limit_n(orders)
+    return some.join(orders.select("o_orderkey").distinct().withColumn("known", F.lit(1)), "o_orderkey", "left").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.countDistinct("o_orderkey").alias("n_keys"),
+        F.count("known").alias("n_known"),
+    )
 
 
 def q_sample_rows(spark, sf_dir):
@@ -484,7 +490,7 @@ def q_transfer_table(spark, sf_dir):
 
 
 def _transfer_run(spark, sf_dir):
-    db = _db(spark, sf_dir, TPCH_TABLES)
+    db = _db(spark, sf_dir, ALL_TABLES)
     return jobs.transfer_all(spark, db, new_run_dir(spark, "transfer_all"))
 
 
@@ -494,7 +500,7 @@ def q_transfer_all(spark, sf_dir):
 
 def q_transfer_all_single_pass(spark, sf_dir):
     """JOB2 without the length profile: text declared (max), each table read once."""
-    db = _db(spark, sf_dir, TPCH_TABLES)
+    db = _db(spark, sf_dir, ALL_TABLES)
     run = jobs.transfer_all(spark, db, new_run_dir(spark, "transfer_all_1p"), profile_lengths=False)
     return jobs.transfer_report(run)
 
@@ -528,24 +534,24 @@ def q_batch_progress(spark, sf_dir):
 
 def q_validate_action(spark, sf_dir):
     validation, _ = jobs.validate_action(
-        spark, _db(spark, sf_dir, TPCH_TABLES), new_run_dir(spark, "validate_action"), PLAN
+        spark, _db(spark, sf_dir, ALL_TABLES), new_run_dir(spark, "validate_action"), PLAN
     )
     return validation
 
 
 def q_maintenance_report(spark, sf_dir):
     root = new_run_dir(spark, "maintenance")
-    db = _db(spark, sf_dir, TPCH_TABLES)
+    db = _db(spark, sf_dir, ALL_TABLES)
     jobs.migrate_database(spark, db, root, PLAN)
     return jobs.maintenance_report(spark, root, db.names())
 
 
 def q_optimize_action(spark, sf_dir):
-    return jobs.optimize_action(spark, _db(spark, sf_dir, TPCH_TABLES), new_run_dir(spark, "optimize"), PLAN)
+    return jobs.optimize_action(spark, _db(spark, sf_dir, ALL_TABLES), new_run_dir(spark, "optimize"), PLAN)
 
 
 def q_run_all(spark, sf_dir):
-    return jobs.run_all(spark, _db(spark, sf_dir, TPCH_TABLES), new_run_dir(spark, "run_all"), PLAN)
+    return jobs.run_all(spark, _db(spark, sf_dir, ALL_TABLES), new_run_dir(spark, "run_all"), PLAN)
 
 
 def q_validation_report(spark, sf_dir):
