@@ -50,3 +50,17 @@ def damaged_target(source: Database, schema: str = "target") -> Database:
         {n: source.keys(n) for n in tables},
         {n: "BASE TABLE" for n in tables},
     )
+
+
+def scrambled_customer(customer: DataFrame) -> DataFrame:
+    """The damaged customers with what a faulty copy adds: rows whose md5 starts with ``d``
+    have their name in the segment column (and NULL as name), those with ``a`` are there
+    twice, those with ``b`` also under a key that the source does not have."""
+    first = F.substring(key_digest("c_custkey"), 1, 1)
+    copied = damage_table(customer, "c_custkey", DAMAGED_COLUMNS["customer"])
+    moved = copied.withColumns({
+        "c_name": F.when(first != "d", F.col("c_name")),
+        "c_mktsegment": F.when(first == "d", F.col("c_name")).otherwise(F.col("c_mktsegment")),
+    })
+    extra = moved.where(first == "b").withColumn("c_custkey", -1 - F.col("c_custkey"))
+    return moved.unionByName(moved.where(first == "a")).unionByName(extra)

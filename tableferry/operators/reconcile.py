@@ -204,26 +204,42 @@ def missing_tables(source_names: DataFrame, target_names: DataFrame) -> DataFram
     )
 
 
-def boundary_rows(pages: DataFrame, target: DataFrame, key: str) -> DataFrame:
+def boundary_rows(pages: DataFrame, target: DataFrame, key: str | list[str]) -> DataFrame:
     """The first and last row of each page must exist in the target by key.
 
-    ``pages`` is a page summary (batch_no, first_key, last_key). The target side is
-    reduced to the boundary keys first (a semi join), so only 2 keys per page move."""
-    bounds = pages.select("batch_no", "first_key", "last_key")
-    wanted = bounds.select(F.col("first_key").alias("_k")).union(bounds.select(F.col("last_key").alias("_k")))
-    present = (
-        target.select(F.col(key).alias("_k"))
-        .distinct()  # map-side de-duplication: a hot key is one row per task
-        .join(wanted, "_k", "left_semi")
-        .withColumn("_p", F.lit(True))
+    ``pages`` is a page summary (batch_no, first_key, last_key), stored first so that it is
+    numbered once. ``key`` is a column or, where the summary's ends are structs, a list of
+    them; NULL parts equal each other. One semi join reduces the target to the boundary
+    keys, two per page, before anything else is done with it."""
+    keys = _listed(key)
+    names = [f"_w{i}" for i in range(len(keys))]
+    bounds = materialize(pages.select("batch_no", "first_key", "last_key"))
+
+    def end(side: str) -> DataFrame:
+        parts = [side] if isinstance(key, str) else [f"{side}.`{k}`" for k in keys]
+        return bounds.select(
+            "batch_no", "first_key", "last_key", F.lit(side).alias("_side"), *[F.col(p).alias(n) for p, n in zip(parts, names)]
+        )
+
+    ends = end("first_key").unionByName(end("last_key"))
+    wanted = ends.select(*names).distinct()
+    pairs = [_comparable(target, k, wanted, n) for k, n in zip(keys, names)]
+    there = target.select(*[x[0].alias(f"_t{i}") for i, x in enumerate(pairs)])
+    looked_up = wanted.select(*[x[1].alias(n) for x, n in zip(pairs, names)])
+    present = there.join(
+        looked_up, reduce(lambda a, b: a & b, [F.col(f"_t{i}").eqNullSafe(F.col(n)) for i, n in enumerate(names)]), "left_semi"
+    ).distinct().withColumn("_found", F.lit(True))
+    same = reduce(lambda a, b: a & b, [x[1].eqNullSafe(F.col(f"_t{i}")) for i, x in enumerate(pairs)])
+
+    def found(side: str) -> Column:
+        return F.coalesce(F.bool_or(F.when(F.col("_side") == side, F.col("_found"))), F.lit(False))
+
+    return (
+        ends.join(present, same, "left")
+        .groupBy("batch_no", "first_key", "last_key")
+        .agg(found("first_key").alias("first_present"), found("last_key").alias("last_present"))
+        .withColumn("batch_ok", F.col("first_present") & F.col("last_present"))
     )
-    fk = present.select(F.col("_k").alias("first_key"), F.col("_p").alias("first_present"))
-    lk = present.select(F.col("_k").alias("last_key"), F.col("_p").alias("last_present"))
-    out = bounds.join(fk, "first_key", "left").join(lk, "last_key", "left")
-    fp = F.coalesce("first_present", F.lit(False))
-    lp = F.coalesce("last_present", F.lit(False))
-    return out.select("batch_no", "first_key", "last_key", fp.alias("first_present"),
-                      lp.alias("last_present"), (fp & lp).alias("batch_ok"))
 
 
 # --------------------------------------------------------------------------- L3, L4, X2

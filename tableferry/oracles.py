@@ -2,8 +2,7 @@
 
 Each entry computes the same result as ``queries.QUERIES[name]`` directly from the
 fixture tables with plain SQL — windows, joins and aggregates written out by hand —
-so a mismatch points at the Spark operator. Queries without an entry (``limit_n``:
-any 100 rows) get the driver's rows-only check.
+so a mismatch points at the Spark operator.
 """
 
 from __future__ import annotations
@@ -216,7 +215,10 @@ name_inputs AS (
     SELECT table_schema || '.' || table_name || '.' || column_name AS name FROM catalog
     UNION ALL SELECT table_schema || '.' || table_name FROM catalog
     UNION ALL SELECT '[' || table_schema || '].[' || table_name || ']' FROM catalog
-    UNION ALL SELECT table_name FROM catalog))"""
+    UNION ALL SELECT table_name FROM catalog
+    UNION ALL SELECT c_mktsegment || CASE WHEN c_custkey % 2 = 0 THEN '.' ELSE '_' END || 'C' || (c_custkey // 3) FROM customer
+    UNION ALL SELECT CASE s_suppkey % 5 WHEN 0 THEN '  ' WHEN 1 THEN '[dbo].[' || s_name || ']' WHEN 2 THEN '.S' || s_suppkey
+      WHEN 3 THEN 'S' || s_suppkey || '.' ELSE 'dbo.Händler_' || s_suppkey END FROM supplier))"""
 
 
 def _target_name(col="name") -> str:
@@ -435,11 +437,17 @@ FROM (VALUES (1, 'doc_id', -5, 'varchar', 'YES'), (2, 'text', 12, 'varchar', 'YE
   (3, 'lang', 12, 'varchar', 'YES'), (4, 'source', 12, 'varchar', 'YES'), (5, 'n_chars', -5, 'varchar', 'YES'))
   AS p(ordinal_position, column_name, type_code, data_type, is_nullable)"""
     o["top_n_preview"] = "SELECT c_custkey, c_name, c_acctbal FROM customer ORDER BY c_custkey LIMIT 3"
-    src_names = f"SELECT table_name FROM ({cnt}) WHERE row_count IS NOT NULL"
+    src_names = (
+        f"SELECT table_name FROM ({cnt}) WHERE row_count IS NOT NULL "
+        "UNION ALL SELECT 'customer_' || c_custkey FROM customer"
+    )
     tgt_counts = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {damaged(t)}" for t in ALL
     )
-    tgt_list = f"SELECT table_name FROM ({tgt_counts}) WHERE row_count IS NOT NULL"
+    tgt_list = (
+        f"SELECT table_name FROM ({tgt_counts}) WHERE row_count IS NOT NULL "
+        f"UNION ALL SELECT 'customer_' || c_custkey FROM {damaged('customer')}"
+    )
     o["known_tables"] = f"SELECT table_name FROM ({src_names}) WHERE table_name IN ({tgt_list})"
     o["unknown_tables"] = f"SELECT table_name FROM ({src_names}) WHERE table_name NOT IN ({tgt_list})"
     o["missing_tables"] = (
@@ -523,7 +531,8 @@ SELECT name, nullif(regexp_extract({stripped}, '^(.*)\\.[^.]*$', 1), '') AS sche
     )
     o["table_part"] = (
         "WITH " + names_cte() + f"""
-SELECT name, coalesce(nullif(regexp_extract({stripped}, '\\.([^.]+)$', 1), ''), {stripped}) AS table_part
+SELECT name, CASE WHEN NOT regexp_full_match(name, '\\s*')
+  THEN coalesce(nullif(regexp_extract({stripped}, '\\.([^.]+)$', 1), ''), {stripped}) END AS table_part
 FROM name_inputs"""
     )
     o["name_collisions"] = (
@@ -547,7 +556,8 @@ FROM flat WHERE target_table IS NOT NULL GROUP BY target_table HAVING count(*) >
         "WHERE p_size < -2147483648 OR p_size > 2147483647"
     )
     o["bad_dates"] = """SELECT o_orderkey, 'o_orderdate' AS column_name, v AS value
-FROM (SELECT o_orderkey, CAST(o_orderdate AS VARCHAR) AS v FROM orders)
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN strftime(o_orderdate, '%Y-13-%d')
+             WHEN o_orderkey % 11 = 0 THEN 'n/a' ELSE CAST(o_orderdate AS VARCHAR) END AS v FROM orders)
 WHERE v IS NOT NULL AND coalesce(try_strptime(v, '%Y-%m-%d %H:%M:%S'), try_strptime(v, '%Y-%m-%d %H:%M:%S.%f'),
       try_strptime(v, '%Y-%m-%d'), try_strptime(v, '%Y/%m/%d')) IS NULL"""
     o["suspect_cells"] = (
@@ -567,7 +577,7 @@ FROM mapped m WHERE m.table_name = 'part'"""
   CASE WHEN isnan(l_quantity) THEN NULL ELSE l_quantity END AS l_quantity,
   CASE WHEN isnan(l_extendedprice) THEN NULL ELSE l_extendedprice END AS l_extendedprice,
   CASE WHEN isnan(l_discount) THEN NULL ELSE l_discount END AS l_discount,
-  CASE WHEN isnan(l_tax) THEN NULL ELSE l_tax END AS l_tax,
+  CASE WHEN l_orderkey % 5 = 0 OR isnan(l_tax) THEN NULL ELSE l_tax END AS l_tax,
   l_returnflag, l_linestatus, l_shipdate FROM lineitem"""
     o["format_timestamps"] = (
         "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts, user_id, event_type, value, props FROM events"
@@ -612,14 +622,20 @@ FROM (SELECT o_orderkey, strftime(o_orderdate, '%Y/%-m/%-d') AS o_orderdate_text
     changed = "concat_ws(',', " + ", ".join(
         f"CASE WHEN s.{c} IS DISTINCT FROM t.{c} THEN '{c}' END" for c in vals
     ) + ")"
-    o["content_diff"] = f"""SELECT * FROM (
+    first = "substring(md5(CAST(c_custkey AS VARCHAR)), 1, 1)"
+    o["content_diff"] = f"""WITH moved AS (
+  SELECT c_custkey, CASE WHEN {first} <> 'd' THEN c_name END AS c_name, c_nationkey, c_acctbal,
+         CASE WHEN {first} = 'd' THEN c_name ELSE c_mktsegment END AS c_mktsegment FROM {damaged('customer')}),
+target AS (SELECT * FROM moved UNION ALL SELECT * FROM moved WHERE {first} = 'a'
+  UNION ALL SELECT -1 - c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM moved WHERE {first} = 'b'),
+t AS (SELECT c_custkey, count(*) AS n, {", ".join(f"first({c}) AS {c}" for c in vals)} FROM target GROUP BY c_custkey),
+both_sides AS (
   SELECT coalesce(s.c_custkey, t.c_custkey) AS c_custkey,
-         CASE WHEN s.c_custkey IS NULL THEN 'extra' WHEN t.c_custkey IS NULL THEN 'missing'
-              WHEN {changed} <> '' THEN 'changed' END AS status,
-         CASE WHEN s.c_custkey IS NOT NULL AND t.c_custkey IS NOT NULL AND {changed} <> '' THEN {changed} END
-           AS changed_columns
-  FROM customer s FULL JOIN {damaged('customer')} t ON s.c_custkey = t.c_custkey)
-WHERE status IS NOT NULL"""
+         CASE WHEN s.c_custkey IS NULL THEN 'extra' WHEN t.c_custkey IS NULL THEN 'missing' WHEN t.n > 1 THEN 'duplicate'
+              WHEN {changed} <> '' THEN 'changed' END AS status, {changed} AS columns
+  FROM customer s FULL JOIN t ON s.c_custkey = t.c_custkey)
+SELECT c_custkey, status, CASE WHEN status = 'changed' THEN columns END AS changed_columns
+FROM both_sides WHERE status IS NOT NULL"""
     o["content_diff_digest"] = o["content_diff"]
     o["content_diff_exact"] = o["content_diff"]
     ovals = [c for c, _ in SCHEMAS["orders"] if c != "o_orderkey"]
@@ -639,14 +655,25 @@ SELECT batch_no, first_key, last_key,
   EXISTS (SELECT 1 FROM tgt WHERE o_orderkey = first_key) AND EXISTS (SELECT 1 FROM tgt WHERE o_orderkey = last_key)
     AS batch_ok
 FROM pages"""
+    o["boundary_rows_composite"] = """WITH tgt AS (SELECT conv_id, turn FROM conversations
+  WHERE substring(md5(conv_id || ':' || turn), 1, 1) <> '0'),
+numbered AS (SELECT conv_id, turn, row_number() OVER (ORDER BY conv_id, turn) AS rn FROM conversations),
+pages AS (SELECT (rn - 1) // 100 + 1 AS batch_no, arg_min(conv_id, rn) AS conv_id, arg_min(turn, rn) AS turn,
+  arg_max(conv_id, rn) AS last_conv_id, arg_max(turn, rn) AS last_turn FROM numbered GROUP BY 1),
+looked AS (SELECT *, EXISTS (SELECT 1 FROM tgt t WHERE t.conv_id = p.conv_id AND t.turn = p.turn) AS first_present,
+  EXISTS (SELECT 1 FROM tgt t WHERE t.conv_id = p.last_conv_id AND t.turn = p.last_turn) AS last_present FROM pages p)
+SELECT *, first_present AND last_present AS batch_ok FROM looked"""
     o["orphan_rows"] = _orphans()
     plan_vals = ", ".join(f"({i}, {_q(t)})" for i, t in enumerate(PLAN, start=1))
+    plan_rows = (
+        f"SELECT t AS table_name, CAST(p AS INTEGER) AS pos FROM (VALUES {plan_vals}) v(p, t) "
+        f"UNION ALL SELECT 'customer_' || c_custkey, CAST(c_custkey + {len(PLAN) + 1} AS INTEGER) FROM customer WHERE c_custkey % 4 = 0"
+    )
     o["remaining_tables"] = (
-        f"SELECT table_name FROM ({src_names}) WHERE table_name NOT IN (SELECT t FROM (VALUES {plan_vals}) v(p, t))"
+        f"SELECT table_name FROM ({tgt_list}) WHERE table_name NOT IN (SELECT table_name FROM ({plan_rows}))"
     )
     o["planned_tables"] = (
-        f"SELECT t AS table_name, CAST(p AS INTEGER) AS pos FROM (VALUES {plan_vals}) v(p, t) "
-        f"WHERE t IN (SELECT table_name FROM ({src_names}))"
+        f"SELECT table_name, pos FROM ({plan_rows}) WHERE table_name IN (SELECT table_name FROM ({tgt_list}))"
     )
     o["sample_rows"] = "SELECT * FROM orders ORDER BY md5('sample:' || CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT 100"
     o["transfer_table"] = (

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tableferry.functions import typemap
 from tableferry.operators import conform, ddl, reconcile
-from tableferry.plans import load
+from tableferry.plans import load, report
 from tableferry.sources import catalog as cat
 from tableferry.sources import paging
 from tableferry.sources.tables import Database
@@ -182,12 +182,14 @@ def transfer_all(
     parallel_tables: int = 8,
     on_bad_values: str = "fail",
     profile_lengths: bool = True,
+    error_log: str | None = None,
 ) -> TransferRun:
     """JOB2: every table of the source, failures isolated, then summary and verification.
 
-    The catalog of all tables is built and mapped once; table loads run concurrently.
+    Each table is profiled, mapped and loaded on its own; table loads run concurrently.
     ``profile_lengths=False`` declares text as (max) instead of profiling it first, so
-    each table is read once (for very large sources)."""
+    each table is read once (for very large sources). ``error_log`` is a folder to which
+    the errors of this run are added as JSON lines (W9)."""
     names = list(names) if names is not None else source.names()
     db = source.subset(names)
     listed = list(names) + [t for t in source.unreadable if t not in names and names == source.names()]
@@ -234,6 +236,8 @@ def transfer_all(
         done = dict(zip(order, pool.map(load_and_open, order)))
     rows = [done[t][0] for t in listed]
     results = spark.createDataFrame(rows, RESULT_SCHEMA)
+    if error_log and any(r["error"] for r in rows):
+        report.write_error_log(report.load_errors(results), error_log)
     ok = [(r["source_table"].split(".", 1)[1], r["target_table"]) for r in rows if r["success"]]
     target = Database(
         "target",

@@ -79,11 +79,26 @@ def batch_errors(paged_quarantine: DataFrame, table_name: str) -> DataFrame:
 
 
 def error_log_rows(errors: DataFrame) -> DataFrame:
-    """Each batch error as one JSON object (table_name, batch_number, error_message).
-
-    The wall-clock timestamp the reference adds is left to the writer."""
+    """Each batch error as one JSON object (table_name, batch_number, error_message);
+    :func:`write_error_log` adds the time."""
     return errors.select(
         "table_name",
         "batch_number",
         F.to_json(F.struct("table_name", "batch_number", "error_message")).alias("json"),
     )
+
+
+def load_errors(results: DataFrame) -> DataFrame:
+    """W9 input: the tables of a run that were not loaded, or not as a whole (no batch number)."""
+    return results.where(F.col("error").isNotNull()).select(
+        F.col("source_table").alias("table_name"),
+        F.lit(None).cast("bigint").alias("batch_number"),
+        F.col("error").alias("error_message"),
+    )
+
+
+def write_error_log(errors: DataFrame, path: str) -> None:
+    """W9 sink: one JSON line per error with the time of the write, added to the log at ``path``."""
+    errors.select(
+        F.current_timestamp().alias("timestamp"), "table_name", "batch_number", "error_message"
+    ).write.mode("append").option("ignoreNullFields", "false").json(path)

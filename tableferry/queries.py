@@ -84,7 +84,7 @@ def q_scan_full(spark, sf_dir):
 
 
 def q_scan_paged(spark, sf_dir):
-    paged = paging.scan_paged(_db(spark, sf_dir, ["orders"]).table("orders"), ["o_orderkey"])
+    paged = paging.page_index(_db(spark, sf_dir, ["orders"]).table("orders"), ["o_orderkey"])
     return paging.page_summary(paged, "o_orderkey")
 
 
@@ -126,11 +126,25 @@ def q_top_n_preview(spark, sf_dir):
     return setops.top_n_preview(df, ["c_custkey", "c_name", "c_acctbal"], "c_custkey", 3)
 
 
+def _listing(db) -> DataFrame:
+    """The tables that can be read and counted (S12), and one table per customer, as a source
+    that is split by customer would list them."""
+    tables = cat.row_counts(db).filter(F.col("row_count").isNotNull()).select("table_name")
+    return tables.union(db.table("customer").select(F.concat(F.lit("customer_"), F.col("c_custkey").cast("string"))))
+
+
 def _name_frames(spark, sf_dir):
-    """Source and target listings: the tables that can be read and counted."""
-    src = cat.row_counts(_db(spark, sf_dir)).filter(F.col("row_count").isNotNull()).select("table_name")
-    tgt = cat.row_counts(_target(spark, sf_dir)).filter(F.col("row_count").isNotNull()).select("table_name")
-    return src, tgt
+    return _listing(_db(spark, sf_dir)), _listing(_target(spark, sf_dir))
+
+
+def _plan_frame(spark, sf_dir):
+    """The legacy plan, then the tables of every fourth customer."""
+    split = _db(spark, sf_dir, ["customer"]).table("customer").where("c_custkey % 4 = 0")
+    rest = split.select(
+        F.concat(F.lit("customer_"), F.col("c_custkey").cast("string")).alias("table_name"),
+        (F.col("c_custkey") + len(PLAN) + 1).cast("int").alias("pos"),
+    )
+    return setops.ordered_plan(spark, PLAN).select("table_name", F.col("pos").cast("int")).unionByName(rest)
 
 
 def q_known_tables(spark, sf_dir):
@@ -177,7 +191,7 @@ def q_align_columns(spark, sf_dir):
 
 
 def q_load_chunk_plan(spark, sf_dir):
-    paged = paging.scan_paged(_db(spark, sf_dir, ["orders"]).table("orders"), ["o_orderkey"])
+    paged = paging.page_index(_db(spark, sf_dir, ["orders"]).table("orders"), ["o_orderkey"])
     return paging.chunk_plan(paging.page_summary(paged, "o_orderkey"))
 
 
@@ -254,7 +268,22 @@ def _name_inputs(spark, sf_dir):
     tables = c.select(F.concat_ws(".", "table_schema", "table_name").alias("name"))
     bracketed = c.select(F.concat(F.lit("["), "table_schema", F.lit("].["), "table_name", F.lit("]")).alias("name"))
     bare = c.select(F.col("table_name").alias("name"))
-    return dotted.union(tables).union(bracketed).union(bare).distinct()
+    db = _db(spark, sf_dir, ["customer", "supplier"])
+    # Names made of rows: dots and underscores that meet in one target name, blanks, signs
+    # that no name may hold, dots at either end, letters beyond ASCII.
+    per_customer = db.table("customer").select(F.concat(
+        F.col("c_mktsegment"), F.when(F.col("c_custkey") % 2 == 0, F.lit(".")).otherwise(F.lit("_")),
+        F.lit("C"), F.floor(F.col("c_custkey") / 3).cast("string"),
+    ).alias("name"))
+    key, number = F.col("s_suppkey") % 5, F.col("s_suppkey").cast("string")
+    per_supplier = db.table("supplier").select(
+        F.when(key == 0, F.lit("  "))
+        .when(key == 1, F.concat(F.lit("[dbo].["), "s_name", F.lit("]")))
+        .when(key == 2, F.concat(F.lit(".S"), number))
+        .when(key == 3, F.concat(F.lit("S"), number, F.lit(".")))
+        .otherwise(F.concat(F.lit("dbo.Händler_"), number)).alias("name")
+    )
+    return dotted.union(tables).union(bracketed).union(bare).union(per_customer).union(per_supplier).distinct()
 
 
 def q_target_names(spark, sf_dir):
@@ -319,7 +348,12 @@ def q_out_of_range(spark, sf_dir):
 
 def q_bad_dates(spark, sf_dir):
     o = _db(spark, sf_dir, ["orders"]).table("orders")
-    as_text = o.select("o_orderkey", F.col("o_orderdate").cast("string").alias("o_orderdate"))
+    text = (
+        F.when(F.col("o_orderkey") % 7 == 0, F.date_format("o_orderdate", "yyyy-'13'-dd"))
+        .when(F.col("o_orderkey") % 11 == 0, F.lit("n/a"))
+        .otherwise(F.col("o_orderdate").cast("string"))
+    )
+    as_text = o.select("o_orderkey", text.alias("o_orderdate"))
     return quality.bad_dates(as_text, "o_orderkey")
 
 
@@ -341,7 +375,9 @@ def q_conform_failures(spark, sf_dir):
 
 
 def q_normalize_nulls(spark, sf_dir):
-    return conform.normalize_nulls(_db(spark, sf_dir, ["lineitem"]).table("lineitem"))
+    li = _db(spark, sf_dir, ["lineitem"]).table("lineitem")
+    with_nan = li.withColumn("l_tax", F.when(F.col("l_orderkey") % 5 == 0, F.lit(float("nan"))).otherwise(F.col("l_tax")))
+    return conform.normalize_nulls(with_nan)
 
 
 def q_format_timestamps(spark, sf_dir):
@@ -401,24 +437,23 @@ def q_validate_database(spark, sf_dir):
     return reconcile.validate_database(q_validate_tables(spark, sf_dir))
 
 
+def _customer_diff(spark, sf_dir, mode):
+    customer = _db(spark, sf_dir, ["customer"]).table("customer")
+    return reconcile.content_diff(customer, fixtures.scrambled_customer(customer), ["c_custkey"], mode=mode)
+
+
 def q_content_diff(spark, sf_dir):
-    src = _db(spark, sf_dir, ["customer"])
-    tgt = fixtures.damaged_target(src)
-    return reconcile.content_diff(src.table("customer"), tgt.table("customer"), ["c_custkey"])
+    return _customer_diff(spark, sf_dir, "hash")
 
 
 def q_content_diff_digest(spark, sf_dir):
     """X1, the digest plan (for nearly identical large tables)."""
-    src = _db(spark, sf_dir, ["customer"])
-    tgt = fixtures.damaged_target(src)
-    return reconcile.content_diff(src.table("customer"), tgt.table("customer"), ["c_custkey"], mode="digest")
+    return _customer_diff(spark, sf_dir, "digest")
 
 
 def q_content_diff_exact(spark, sf_dir):
     """X1, the exact plan (column-by-column, no hashing)."""
-    src = _db(spark, sf_dir, ["customer"])
-    tgt = fixtures.damaged_target(src)
-    return reconcile.content_diff(src.table("customer"), tgt.table("customer"), ["c_custkey"], mode="exact")
+    return _customer_diff(spark, sf_dir, "exact")
 
 
 def q_sample_diff(spark, sf_dir):
@@ -430,10 +465,22 @@ def q_sample_diff(spark, sf_dir):
 def q_boundary_rows(spark, sf_dir):
     src = _db(spark, sf_dir, ["orders"])
     tgt = fixtures.damaged_target(src)
-    pages = paging.page_summary(paging.scan_paged(src.table("orders"), ["o_orderkey"]), "o_orderkey")
+    pages = paging.page_summary(paging.page_index(src.table("orders"), ["o_orderkey"]), "o_orderkey")
     return reconcile.boundary_rows(pages, tgt.table("orders"), "o_orderkey")
 
 
+def q_boundary_rows_composite(spark, sf_dir):
+    """J4 on a key of two columns; the target lacks rows by the md5 of both."""
+    turns, keys = _db(spark, sf_dir, ["conversations"]).table("conversations"), ["conv_id", "turn"]
+    digest = F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in keys]).cast("binary"))
+    target = turns.where(F.substring(digest, 1, 1) != fixtures.DROP_PREFIX)
+    pages = paging.page_summary(paging.page_index(turns, keys, 100), keys)
+    return reconcile.boundary_rows(pages, target, keys).select(
+        "batch_no", "first_key.*", "first_present",
+        *[F.col(f"last_key.{k}").alias(f"last_{k}") for k in keys], "last_present", "batch_ok",
+    )
+
+
 def q_missing_tables(spark, sf_dir):
     src, tgt = _name_frames(spark, sf_dir)
     return reconcile.missing_tables(src, tgt.select(F.upper("table_name").alias("table_name")))
@@ -444,13 +491,13 @@ def q_orphan_rows(spark, sf_dir):
 
 
 def q_remaining_tables(spark, sf_dir):
-    src, _ = _name_frames(spark, sf_dir)
-    return setops.remaining_tables(src, setops.ordered_plan(spark, PLAN))
+    _, tgt = _name_frames(spark, sf_dir)
+    return setops.remaining_tables(tgt, _plan_frame(spark, sf_dir))
 
 
 def q_planned_tables(spark, sf_dir):
-    src, _ = _name_frames(spark, sf_dir)
-    return setops.planned_tables(setops.ordered_plan(spark, PLAN), src)
+    _, tgt = _name_frames(spark, sf_dir)
+    return setops.planned_tables(_plan_frame(spark, sf_dir), tgt)
 
 
 def q_limit_n(spark, sf_dir):
@@ -525,7 +572,7 @@ def q_migration_verdict(spark, sf_dir):
 
 
 def q_batch_progress(spark, sf_dir):
-    paged = paging.scan_paged(_db(spark, sf_dir, ["orders"]).table("orders"), ["o_orderkey"])
+    paged = paging.page_index(_db(spark, sf_dir, ["orders"]).table("orders"), ["o_orderkey"])
     log = paging.page_summary(paged, "o_orderkey").select(
         F.lit("orders").alias("table_name"), "batch_no", "n_rows", F.lit(True).alias("ok")
     )

@@ -3,110 +3,54 @@
 The legacy tool pages with ``ORDER BY pk OFFSET k FETCH NEXT n`` — a re-sort per page.
 Here a page number is derived from a *distributed* row index:
 
-1. range buckets of the leading key column at quantiles of a bounded key sample,
-   assigned by Spark ML's Bucketizer (a compiled binary search); the bucket is a
-   monotone function of the key. A leading value that fills more than one range (a hot
-   value) gets its own bucket, ranged again by the next key column;
-2. rows per bucket (partial aggregation; one row per task and bucket is shuffled);
-3. offset of a bucket = exclusive running sum over the bucket counts (a table with one
-   row per bucket, bounded by construction, so broadcasting it is safe);
-4. ``row_no = offset + row_number() over (partition by bucket order by key)``.
-
-No step funnels the table through one partition (a global ``Window.orderBy`` would).
-Text keys use Spark's range partitioner on the full key instead, pinned by a
-checkpoint so that the counting and numbering passes agree.
+1. Spark's range partitioner over the full key in its own types (it samples the key to
+   place the bounds); rows of one key value are ranged further by a hash of their other
+   columns, so a hot value is split too;
+2. each range is sorted (spilling to disk where it must), its rows are numbered and the
+   result is pinned by a checkpoint in the shared folder: retried tasks and lost executors
+   can't change a number that has been given;
+3. rows per range, and their exclusive running sum (a table with one row per range, bounded
+   by the partition count, so broadcasting it is safe);
+4. ``row_no = offset of the range + position in it``.
+
+No step funnels the table through one partition (a global ``Window.orderBy`` would). The
+checkpoint holds the frame's columns: number a frame of the key columns where no others
+are needed (:func:`page_index`).
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from tableferry.session import materialize
 
 # Fixed values of the legacy loader.
 DEFAULT_PAGE_SIZE = 1000      # rows per read page
 CHUNK_SIZE = 100              # rows per executemany chunk
 COMMIT_EVERY = 50             # pages between commits
 
-ROWS_PER_BUCKET = 2_000_000   # target rows sorted by one window task
-MAX_BUCKETS = 100_000         # range buckets of the leading key column
-MAX_SAMPLE = 200_000          # sampled keys that reach the driver to place bounds
-MAX_HOT = 16                  # leading values split further by the next key column
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
-
-
-def _bucket_count(n_rows: int, min_buckets: int) -> int:
-    return max(min_buckets, min(MAX_BUCKETS, math.ceil(n_rows / ROWS_PER_BUCKET)))
-
-
-def _sample_keys(df: DataFrame, cols: list[str], n_rows: int, want: int) -> list[tuple]:
-    """A bounded, sorted sample of key tuples (NULL-free): at most MAX_SAMPLE rows."""
-    want = min(want, MAX_SAMPLE)
-    fraction = min(1.0, 2.0 * want / max(n_rows, 1))
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(c).isNotNull()
-    rows = df.select(*cols).where(cond).sample(False, fraction, seed=17).limit(2 * want).collect()
-    return sorted(tuple(r) for r in rows)
+_POSITION_BITS = 33           # low bits of monotonically_increasing_id: the row's position in its partition
 
 
-def _quantile_splits(values: list, n: int) -> list[float]:
-    if not values:
-        return []
-    step = max(1, len(values) // n)
-    return sorted({float(v) for v in values[step::step]})
+def _spread(df: DataFrame, order_cols: list[str]) -> list:
+    """A hash of the columns that are not ordered by (maps and variants have none)."""
+    rest = [
+        F.col(f"`{f.name}`") for f in df.schema.fields
+        if f.name not in order_cols and not any(x in f.dataType.simpleString() for x in ("map<", "variant"))
+    ]
+    return [F.xxhash64(*rest)] if rest else []
 
 
-def _bucketize(df: DataFrame, col: str, splits: list[float], out: str) -> DataFrame:
-    """``out`` = index of the range of ``splits`` holding ``col`` (a compiled binary
-    search in the JVM: Spark ML's Bucketizer); NULL -> -1 (NULLs sort first)."""
-    from pyspark.ml.feature import Bucketizer
+def ranged(df: DataFrame, order_cols: list[str], n_buckets: int | None = None) -> DataFrame:
+    """``df`` in sorted ranges of the key (NULLs first), rows of one key by a hash of the rest.
 
-    full = [-math.inf] + [x for x in splits if math.isfinite(x)] + [math.inf]
-    tmp = f"{out}__in"
-    b = Bucketizer(splits=full, inputCol=tmp, outputCol=f"{out}__b", handleInvalid="keep").transform(
-        df.withColumn(tmp, F.coalesce(F.col(col).cast("double"), F.lit(0.0)))
-    )
-    return b.withColumn(
-        out, F.when(F.col(col).isNull(), F.lit(-1)).otherwise(F.col(f"{out}__b").cast("int"))
-    ).drop(tmp, f"{out}__b")
-
-
-def with_bucket(df: DataFrame, order_cols: list[str], n_buckets: int, n_rows: int) -> DataFrame:
-    """Add ``_b1``, ``_b2``: a bucket pair that is monotone in the key (ordering rows by
-    (_b1, _b2, key) orders them by key).
-
-    ``_b1`` ranges the leading column at quantiles of a bounded sample. A leading value
-    that fills more than one range (a hot value) gets a bucket of its own, [h, next(h)),
-    and — when the next key column is numeric — its rows are ranged again by that column
-    in ``_b2``, so no single window task has to sort the hot value's rows."""
-    lead = order_cols[0]
-    sample = _sample_keys(df, order_cols[:2], n_rows, 32 * n_buckets)
-    leads = [t[0] for t in sample]
-    splits = _quantile_splits(leads, n_buckets)
-    per_bucket = max(1, len(leads) // n_buckets)
-    counts: dict = {}
-    for v in leads:
-        counts[v] = counts.get(v, 0) + 1
-    hot = sorted((v for v, c in counts.items() if c > 2 * per_bucket), key=lambda v: -counts[v])[:MAX_HOT]
-    for h in hot:
-        splits += [float(h), float(math.nextafter(float(h), math.inf))]
-    out = _bucketize(df, lead, sorted(set(splits)), "_b1")
-    second_numeric = len(order_cols) > 1 and isinstance(df.schema[order_cols[1]].dataType, _NUMERIC)
-    b2 = F.lit(0)
-    if hot and second_numeric:
-        second = order_cols[1]
-        for i, h in enumerate(hot):
-            sub = [t[1] for t in sample if t[0] == h]
-            sub_splits = _quantile_splits(sub, max(2, math.ceil(counts[h] / per_bucket)))
-            out = _bucketize(out, second, sub_splits, f"_h{i}")
-            b2 = F.when(F.col(lead) == F.lit(h), F.col(f"_h{i}")).otherwise(b2)
-        out = out.withColumn("_b2", b2).drop(*[f"_h{i}" for i in range(len(hot))])
-    else:
-        out = out.withColumn("_b2", b2)
-    return out
+    Without ``n_buckets`` there are ``spark.sql.shuffle.partitions`` ranges, and small
+    neighbours are merged at run time. Only rows that are equal in every column can't be
+    told apart; they share a range, whose sort spills."""
+    order = [F.col(f"`{c}`").asc_nulls_first() for c in order_cols] + _spread(df, order_cols)
+    parts = df.repartitionByRange(n_buckets, *order) if n_buckets else df.repartitionByRange(*order)
+    return parts.sortWithinPartitions(*order)
 
 
 def row_index(
@@ -117,36 +61,18 @@ def row_index(
 ) -> DataFrame:
     """Add a 1-based global position by ``order_cols`` (ascending, NULLs first).
 
-    Equals ``row_number() over (order by order_cols)``; ties beyond ``order_cols`` are
-    ordered arbitrarily, as in SQL."""
-    n_rows = df.count()
-    nb = n_buckets or _bucket_count(n_rows, df.sparkSession.sparkContext.defaultParallelism)
-    if isinstance(df.schema[order_cols[0]].dataType, _NUMERIC):
-        b = with_bucket(df, order_cols, nb, n_rows)
-    else:
-        # Text (or other non-numeric) leading column: Spark's range partitioner samples
-        # the full key, so a unique key always splits evenly. Its partition id is pinned
-        # by a checkpoint in the shared folder, so counts and row numbers below read the
-        # same assignment even when tasks are retried or executors lost.
-        from tableferry.session import materialize
-
-        ranged = df.repartitionByRange(nb, *[F.col(c).asc_nulls_first() for c in order_cols])
-        b = materialize(ranged.withColumns({"_b1": F.spark_partition_id(), "_b2": F.lit(0)}))
-    counts = b.groupBy("_b1", "_b2").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per bucket (bounded by buckets + hot sub-buckets): an ordered window over it is cheap.
-    offsets = counts.select(
-        "_b1",
-        "_b2",
-        F.coalesce(
-            F.sum("_n").over(Window.orderBy("_b1", "_b2").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_offset"),
-    )
-    w = Window.partitionBy("_b1", "_b2").orderBy(*[F.col(c).asc_nulls_first() for c in order_cols])
+    Equals ``row_number() over (order by order_cols)``; ties beyond ``order_cols`` go by a
+    hash of the other columns. The ranged rows are checkpointed when this is called."""
+    pinned = materialize(ranged(df, order_cols, n_buckets).withColumn("_at", F.monotonically_increasing_id()))
+    rows = pinned.withColumn("_range", F.shiftright("_at", _POSITION_BITS))
+    counts = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    position = F.col("_at").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
     return (
-        b.join(F.broadcast(offsets), ["_b1", "_b2"])
-        .withColumn(index_col, (F.col("_offset") + F.row_number().over(w)).cast("bigint"))
-        .drop("_b1", "_b2", "_offset")
+        rows.join(F.broadcast(offsets), "_range")
+        .withColumn(index_col, (F.col("_offset") + position + 1).cast("bigint"))
+        .drop("_at", "_range", "_offset")
     )
 
 
@@ -164,12 +90,19 @@ def scan_paged(df: DataFrame, keys: list[str], page_size: int = DEFAULT_PAGE_SIZ
     )
 
 
-def page_summary(paged: DataFrame, key: str) -> DataFrame:
-    """Per page: rows, first and last key (T3: the pages concatenate to the table)."""
+def page_index(df: DataFrame, keys: list[str], page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
+    """The key columns alone with their ``batch_no``: no other column is read or stored."""
+    return scan_paged(df.select(*[F.col(f"`{k}`") for k in keys]), keys, page_size)
+
+
+def page_summary(paged: DataFrame, key: str | list[str]) -> DataFrame:
+    """Per page: rows, first and last key (T3: the pages concatenate to the table). The
+    ends of a key given as a list are structs of its columns."""
+    k = F.col(f"`{key}`") if isinstance(key, str) else F.struct(*[F.col(f"`{c}`") for c in key])
     return paged.groupBy("batch_no").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.min(key).alias("first_key"),
-        F.max(key).alias("last_key"),
+        F.min(k).alias("first_key"),
+        F.max(k).alias("last_key"),
     )
 
 

@@ -12,6 +12,7 @@ from tableferry.functions import names
 from tableferry.operators import conform, reconcile
 from tableferry.plans import jobs
 from tableferry.session import new_run_dir
+from tableferry.sources import paging
 from tableferry.sources.tables import Database
 from tableferry.streaming.incremental import stream_copy
 
@@ -85,7 +86,10 @@ def test_validation_without_a_target(spark):
 def test_transfer_isolates_collisions_and_unreadable_tables(spark):
     broken = spark.range(3).select(F.col("id"), F.raise_error(F.lit("no disk")).cast("string").alias("s"))
     db = Database("dbo", {"x.y": spark.range(5), "x_y": spark.range(3), "ok": spark.range(7), "broken": broken}, {}, {}, {"lost": "cannot read"})
-    run = jobs.transfer_all(spark, db, new_run_dir(spark, "test-faults"))
+    log = new_run_dir(spark, "test-errors")
+    run = jobs.transfer_all(spark, db, new_run_dir(spark, "test-faults"), error_log=log)
+    logged = spark.read.json(log).collect()
+    assert {r.table_name for r in logged} == {"dbo.x.y", "dbo.x_y", "dbo.broken", "dbo.lost"} and all(r.timestamp and r.error_message for r in logged)
     out = {r.source_table: r for r in run.results.collect()}
     assert set(out) == {"dbo.x.y", "dbo.x_y", "dbo.ok", "dbo.broken", "dbo.lost"}
     assert [t for t, r in out.items() if r.success] == ["dbo.ok"] and out["dbo.ok"].row_count == 7
@@ -138,3 +142,12 @@ def test_stream_log_holds_every_batch(spark, tmp_path):
 def test_name_with_a_newline_is_invalid(spark):
     df = spark.createDataFrame([("dbo_t\n",), ("dbo_t",)], "n string").select(names.is_valid_target_name("n").alias("v"))
     assert [r.v for r in df.collect()] == [False, True]
+
+
+def test_boundary_rows_of_composite_text_and_null_keys(spark):
+    schema = "a string, b long"
+    rows = [(None, 1), (None, 2), ("x", None), ("x", 1), ("y", 5), ("y", 6)]
+    keys, one, two = ["a", "b"], spark.createDataFrame(rows, schema), spark.createDataFrame(rows[:2] + rows[3:] + rows[-1:], schema)
+    pages = paging.page_summary(paging.page_index(one, keys, 2), keys)
+    out = {r.batch_no: (r.first_present, r.last_present, r.batch_ok) for r in reconcile.boundary_rows(pages, two, keys).collect()}
+    assert out == {1: (True, True, True), 2: (False, True, False), 3: (True, True, True)}

@@ -28,13 +28,10 @@ def test_row_index_string_and_composite_keys_with_nulls(spark):
 
 def test_row_index_hot_leading_value_is_split(spark):
     # (k, id) is unique, but k = 7 holds a third of the rows: buckets stay small.
-    from tableferry.sources import paging as P
-
     df = spark.range(6000).select(F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"), "id")
-    b = P.with_bucket(df, ["k", "id"], 12, 6000)
-    sizes = b.groupBy("_b1", "_b2").count().collect()
+    sizes = paging.ranged(df, ["k", "id"], 12).groupBy(F.spark_partition_id()).count().collect()
     assert max(r["count"] for r in sizes) < 6000 / 3
-    got = P.row_index(df, ["k", "id"], n_buckets=12)
+    got = paging.row_index(df, ["k", "id"], n_buckets=12)
     exp = _global(df, ["k", "id"])
     assert got.join(exp, ["k", "id"]).filter(F.col("row_no") != F.col("expected")).count() == 0
 
@@ -85,3 +82,28 @@ def test_row_index_timestamp_key(spark, source):
     exp = _global(ev, ["ts", "event_id"])
     assert got.join(exp, ["event_id", "ts"]).filter(F.col("row_no") != F.col("expected")).count() == 0
     assert got.count() == ev.count()
+
+
+def test_row_index_keys_beyond_double_precision(spark):
+    # 64-bit neighbours that are one double; a hot value among them.
+    base = 2**53
+    key = F.when(F.col("id") % 2 == 0, F.lit(base + 40)).otherwise(F.col("id") + F.lit(base))
+    df = spark.range(5000).select(key.alias("k"), F.md5(F.col("id").cast("string")).alias("t"), "id")
+    got = paging.row_index(df, ["k", "t"], n_buckets=9).orderBy("row_no").select("id", "row_no").collect()
+    assert got == _global(df, ["k", "t"]).orderBy("expected").select("id", "expected").collect()
+
+
+def test_row_index_hot_values_of_any_type_are_split(spark):
+    # Half the rows share the only key column; a text column tells them apart.
+    df = spark.range(6000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"), F.col("id").cast("string").alias("v")
+    ).withColumn("k", F.when(F.col("v") != "9", F.col("k")))
+    sizes = paging.ranged(df, ["k"], 12).groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 8 and max(r["count"] for r in sizes) < 6000 / 4
+    got = paging.row_index(df, ["k"], n_buckets=12).orderBy("row_no").collect()
+    assert [r.row_no for r in got] == list(range(1, 6001)) and got[0].k is None
+    assert [r.k for r in got[1:]] == sorted(r.k for r in got[1:])
+
+
+def test_row_index_of_no_rows(spark):
+    assert paging.row_index(spark.range(0), ["id"]).collect() == []

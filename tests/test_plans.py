@@ -12,10 +12,11 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_page_summary_reads_only_the_key(spark, source):
-    pages = paging.page_summary(paging.scan_paged(source.table("orders"), ["o_orderkey"]), "o_orderkey")
-    plan = _plan(pages)
-    assert "ReadSchema: struct<o_orderkey:bigint>" in plan
+def test_paging_reads_only_the_key_and_sorts_no_whole_table(spark, source):
+    orders = source.table("orders").select("o_orderkey")
+    plan = _plan(paging.ranged(orders, ["o_orderkey"], 8))
+    assert "ReadSchema: struct<o_orderkey:bigint>" in plan and "rangepartitioning(o_orderkey" in plan
+    assert paging.page_index(source.table("orders"), ["o_orderkey"]).columns == ["o_orderkey", "row_no", "batch_no"]
 
 
 def test_table_load_has_no_shuffle(spark, source):
