@@ -137,7 +137,13 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, precision: fl
                     fold.append(int.from_bytes(hashlib.blake2b(value[span[1] : span[2]].encode("utf-8", "replace"), digest_size=2).digest()) % 5)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.bool_()), pa.array(fold, pa.int32())], ["x", "y", "fold"])
 
-    some = docs.select(F.col(text).alias("text")).where(F.col("text").rlike("[0-9@]")).distinct().orderBy(F.xxhash64("text"), "text").limit(sample)
+    named = docs.select(F.col(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
+    # The texts with the smallest hashes; a bound on the hash keeps about twice as many as wanted, so that neither the
+    # shuffle of distinct texts nor the task that merges the smallest grows with the corpus.
+    share = 2 * sample / max(1, named.agg(F.approx_count_distinct(F.xxhash64("text"))).first()[0])
+    if share < 1:
+        named = named.where(F.xxhash64("text") < F.lit(int(share * 2**64) - 2**63))
+    some = named.distinct().orderBy(F.xxhash64("text"), "text").limit(sample)
     learned = some.mapInArrow(rows, "x array<double>, y boolean, fold int").toPandas()
     y = learned["y"].to_numpy(bool)
     if not len(y) or y.all() or not y.any():
