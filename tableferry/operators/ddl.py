@@ -12,8 +12,8 @@ from tableferry.functions import names, typemap
 
 # Table options rendered after the column list.
 CURRENT_TABLE_SUFFIX = "\n) ENGINE=InnoDB DEFAULT CHARSET=utf8mb4 COLLATE=utf8mb4_unicode_ci"
-LEGACY_TABLE_SUFFIX = "\n            ) ENGINE=InnoDB DEFAULT CHARSET=utf8mb4 COLLATE=utf8mb4_bin"
-LEGACY_COLUMN_SEPARATOR = ",\n                "
+LEGACY_TABLE_SUFFIX = "\n) ENGINE=InnoDB DEFAULT CHARSET=utf8mb4 COLLATE=utf8mb4_bin"
+LEGACY_COLUMN_SEPARATOR = ",\n  "
 
 
 def map_types(catalog: DataFrame, profile: str = "current") -> DataFrame:
@@ -105,7 +105,7 @@ def render_ddl_legacy(catalog: DataFrame, primary_keys: DataFrame) -> DataFrame:
     return cols.join(pks, "table_name", "left").select(
         "table_name",
         F.concat(
-            F.lit("CREATE TABLE `"), F.col("table_name"), F.lit("` (\n                "), body,
+            F.lit("CREATE TABLE `"), F.col("table_name"), F.lit("` (\n  "), body,
             F.lit(LEGACY_TABLE_SUFFIX),
         ).alias("ddl"),
     )

@@ -291,7 +291,7 @@ def sample_diff(source: DataFrame, target: DataFrame, key: str, n: int = SAMPLE_
     ``missing`` or ``duplicate`` (the key occurs more than once in the target; its rows
     are counted, not paired). Only the n sampled keys reach the join: the target is
     semi-joined to them and reduced to one row per key first."""
-    sample = sample_rows(source, key, n)
+    sample = materialize(sample_rows(source, key, n))  # n rows, drawn once
     value_cols = [c for c in source.columns if c != key]
     tgt = _aligned_target(source, target).join(sample.select(key), key, "left_semi")
     per_key = tgt.groupBy(key).agg(

@@ -370,7 +370,7 @@ def _lossy_pred(table, c) -> str:
 
 
 def _legacy_ddl() -> str:
-    sep = f"',' || {NL} || '                '"
+    sep = f"',' || {NL} || '  '"
     pk_rows = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, '{', '.join('`' + k + '`' for k in KEYS[t])}' AS pk"
         for t in ALL if KEYS[t]
@@ -381,9 +381,9 @@ pks AS ({pk_rows}),
 ddl_cols AS (SELECT table_name, string_agg('`' || column_name || '` ' || target_type ||
            CASE WHEN is_nullable = 'YES' THEN ' NULL' ELSE ' NOT NULL' END, {sep} ORDER BY ordinal_position) AS body
          FROM mapped GROUP BY table_name)
-SELECT c.table_name, 'CREATE TABLE `' || c.table_name || '` (' || {NL} || '                ' ||
+SELECT c.table_name, 'CREATE TABLE `' || c.table_name || '` (' || {NL} || '  ' ||
        c.body || CASE WHEN p.pk IS NOT NULL THEN {sep} || 'PRIMARY KEY (' || p.pk || ')' ELSE '' END ||
-       {NL} || '            ) ENGINE=InnoDB DEFAULT CHARSET=utf8mb4 COLLATE=utf8mb4_bin' AS ddl
+       {NL} || ') ENGINE=InnoDB DEFAULT CHARSET=utf8mb4 COLLATE=utf8mb4_bin' AS ddl
 FROM ddl_cols c LEFT JOIN pks p ON c.table_name = p.table_name"""
     )
 

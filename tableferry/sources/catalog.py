@@ -280,10 +280,10 @@ def column_catalog_sys(
     d = sys_default_constraints.alias("d")
     tname = F.col("t.name")
     joined = (
-        c.join(F.broadcast(t), F.col("c.user_type_id") == F.col("t.user_type_id"))
-        .join(F.broadcast(tb), F.col("c.object_id") == F.col("tb.object_id"))
-        .join(F.broadcast(s), F.col("tb.schema_id") == F.col("s.schema_id"))
-        .join(F.broadcast(d), F.col("c.default_object_id") == F.col("d.object_id"), "left")
+        c.join(t, F.col("c.user_type_id") == F.col("t.user_type_id"))
+        .join(tb, F.col("c.object_id") == F.col("tb.object_id"))
+        .join(s, F.col("tb.schema_id") == F.col("s.schema_id"))
+        .join(d, F.col("c.default_object_id") == F.col("d.object_id"), "left")
     )
     return joined.select(
         F.col("s.name").alias("table_schema"),
