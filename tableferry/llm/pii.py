@@ -1,11 +1,14 @@
 """Operator 1, personal data: candidates from high-recall generators, scored by boosted trees, selected by a calibrated threshold.
 
 :func:`base_spans` finds what formats and check digits alone decide (email, ip, card, phone). :func:`candidates` proposes more,
-overlapping spans: long tokens with a digit, runs of digits with separators, values assigned to a name. :func:`fit` learns
-from candidates of a bounded sample of texts (:data:`SAMPLE` texts, those with the smallest hash): a candidate is positive if
+overlapping spans: long tokens with letters and digits, runs of digits with separators, and every value of six characters or
+more assigned to a name, whatever its characters, its length and the name's. :func:`fit` learns from candidates of a bounded sample of texts (:data:`SAMPLE` texts, those with the smallest hash): a candidate is positive if
 it is a base span or the value of a credential name; features describe its format and surroundings, not the rules that label it.
 The probability is calibrated on held-out candidates; the threshold is the least that keeps :data:`PRECISION` there. Candidates
-above it become ``secret`` or ``number`` spans unless they meet a base span or a better candidate.
+above it become ``secret`` or ``number`` spans unless they meet a base span, lie inside another of them or meet a better one.
+
+A quoted value ends at its closing quote on the same line, any other at white space or a quote; a value inside a value (a query
+string's, say) is proposed too.
 
 Defined results: null is the empty text, without spans; repeated rows get equal spans; where the sample has no positive or no
 negative candidate only the base spans are found; very long texts are searched whole, in linear time; other columns play no part.
@@ -16,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left, insort
 from collections import Counter
 from collections.abc import Iterator
 
@@ -38,9 +42,14 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ANY = re.compile(r"[0-9@]")
+_SOME = re.compile(r"[0-9=:]")
 _TOKEN = re.compile(r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/-]{8,}+=*+")
 _DIGITS = re.compile(r"[+(]?[0-9](?:[\x20()./-]{0,2}[0-9]){5,}+")
-_VALUE = re.compile(r"(?<![A-Za-z0-9_])([A-Za-z][A-Za-z0-9_-]{1,30}+)[\x20]?[=:][\x20]?[\"']?([^\s\"']{6,200}+)")
+_SET = r"(?<=[A-Za-z0-9_-])[\x20]?[=:][\x20]?"
+_VALUE = re.compile(_SET + r"(?:\"((?:[^\"\\\n]|\\.){6,}+)\"|'((?:[^'\\\n]|\\.){6,}+)'|[\"']?([^\s\"']{6,}+))")
+_INNER = re.compile(_SET + r"[\"']?([^\s\"'&;,?#]{6,}+)")
+_ASSIGNED = re.compile(r"[=:][\x20]?[\"']?$")
+_NAME = re.compile(r"[A-Za-z0-9_-]")
 _CREDENTIAL = re.compile(r"passw|passwd|pwd|secret|token|api|key|auth|credential", re.I)
 _CONTACT = re.compile(r"tel|phone|mobil|call|fax|mail|contact", re.I)
 _PAYMENT = re.compile(r"card|visa|iban|account|konto|cuenta|compte|bank", re.I)
@@ -88,12 +97,27 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
+def _name(text: str, start: int) -> str:
+    """The whole name that the value at ``start`` is assigned to, or an empty string."""
+    sign = _ASSIGNED.search(text[max(0, start - 3) : start])
+    if not sign:
+        return ""
+    end = start - len(sign[0])
+    end -= text[end - 1 : end] == " "
+    at = end
+    while at and _NAME.match(text, at - 1):
+        at -= 1
+    return text[at:end].lstrip("0123456789_-")
+
+
 def candidates(text: str) -> list[Span]:
-    """(kind, start, end), overlapping: tokens and assigned values with digits and letters, runs of six digits or more."""
-    if not _ANY.search(text):
+    """(kind, start, end), overlapping: tokens with digits and letters, values assigned to a name, runs of six digits or more."""
+    if not _SOME.search(text):
         return []
-    out = {("secret", *m.span()) for m in _TOKEN.finditer(text)} | {("secret", *m.span(2)) for m in _VALUE.finditer(text)}
+    out = {("secret", *m.span()) for m in _TOKEN.finditer(text)}
     out = {x for x in out if re.search("[0-9]", text[x[1] : x[2]]) and re.search("[A-Za-z]", text[x[1] : x[2]])}
+    values = {m.span(m.lastindex) for pattern in (_VALUE, _INNER) for m in pattern.finditer(text)}
+    out |= {("secret", *x) for x in values if _name(text, x[0])}
     return sorted(out | {("number", *m.span()) for m in _DIGITS.finditer(text)}, key=lambda x: (x[1], x[2], x[0]))
 
 
@@ -106,12 +130,12 @@ def features(text: str, span: Span) -> list[float]:
     counts = Counter(value)
     entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
     changes = sum(value[i].isdigit() != value[i - 1].isdigit() for i in range(1, n))
-    name = before.rstrip(" \"'=:")
+    name = f"{before.rstrip(' \"\'=:')[-16:]} {_name(text, start)}"
     return [
         float(kind == "number"), float(_luhn(re.sub("[^0-9]", "", value))), n, digits, digits / n, letters / n, hexes / n, sum(c.isupper() for c in value) / n, entropy, len(counts) / n, changes / n,
         value.count("."), value.count("-"), value.count(" "), value.count("("), float(value[0] == "+" or before[-1:] == "+"), float(value[0] == "0"),
         max((len(x) for x in re.findall("[0-9]+", value)), default=0), float(before[-1:] in "\"'"), float(bool(re.search(r"[=:]\s?[\"']?$", before))),
-        float(bool(_CREDENTIAL.search(name[-16:]))), float(bool(_CONTACT.search(name[-16:]))), float(bool(_PAYMENT.search(name[-16:]))),
+        float(bool(_CREDENTIAL.search(name))), float(bool(_CONTACT.search(name))), float(bool(_PAYMENT.search(name))),
         float(after[:1].isalnum()), float("@" in before[-2:] + after), float(bool(re.search(r"https?://\S*$", before))),
     ]
 
@@ -119,12 +143,11 @@ def features(text: str, span: Span) -> list[float]:
 def _label(text: str, span: Span, base: list[Span]) -> bool:
     if any(min(e, span[2]) - max(s, span[1]) >= 0.8 * (max(e, span[2]) - min(s, span[1])) for _, s, e in base):
         return True
-    named = re.search(r"([A-Za-z][A-Za-z0-9_-]*)[\x20]?[=:][\x20]?[\"']?$", text[max(0, span[1] - 40) : span[1]])
-    return bool(span[0] == "secret" and named and _CREDENTIAL.search(named[1]))
+    return bool(span[0] == "secret" and _CREDENTIAL.search(_name(text, span[1])))
 
 
 def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, precision: float = PRECISION) -> tuple[boosting.Trees, float] | None:
-    """(trees, threshold) from the candidates of at most ``sample`` texts with a digit or an @."""
+    """(trees, threshold) from the candidates of at most ``sample`` texts with a digit, an @ or a sign of assignment."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,7 +160,7 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, precision: fl
                     fold.append(int.from_bytes(hashlib.blake2b(value[span[1] : span[2]].encode("utf-8", "replace"), digest_size=2).digest()) % 5)
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.bool_()), pa.array(fold, pa.int32())], ["x", "y", "fold"])
 
-    named = docs.select(F.col(text).alias("text")).where(F.col("text").rlike("[0-9@]"))
+    named = docs.select(F.col(text).alias("text")).where(F.col("text").rlike("[0-9@=:]"))
     # The texts with the smallest hashes; a bound on the hash keeps about twice as many as wanted, so that neither the
     # shuffle of distinct texts nor the task that merges the smallest grows with the corpus.
     share = 2 * sample / max(1, named.agg(F.approx_count_distinct(F.xxhash64("text"))).first()[0])
@@ -159,16 +182,34 @@ def fit(docs: DataFrame, text: str = "text", sample: int = SAMPLE, precision: fl
     return trees, max(0.5, float(chance[order[good[-1]]])) if len(good) else 1.0
 
 
+def _meets(taken: list[tuple[int, int]], start: int, end: int) -> bool:
+    """Whether the span overlaps one of ``taken``, which are sorted and disjoint."""
+    i = bisect_left(taken, (end, 0))
+    return i > 0 and taken[i - 1][1] > start
+
+
 def all_spans(text: str, model: tuple[boosting.Trees, float] | None) -> tuple[list[Span], list[Span]]:
     """(base spans, all spans), both by kind as listed, then start."""
     base = base_spans(text)
-    proposed = [x for x in candidates(text) if all(x[2] <= s or e <= x[1] for _, s, e in base)] if model else []
+    taken: list[tuple[int, int]] = []
+    for start, end in sorted(x[1:] for x in base):
+        if taken and start < taken[-1][1]:
+            taken[-1] = (taken[-1][0], max(end, taken[-1][1]))
+        else:
+            taken.append((start, end))
+    proposed = [x for x in candidates(text) if not _meets(taken, *x[1:])] if model else []
     chosen = list(base)
     if proposed:
         chance = model[0].probability(np.array([features(text, x) for x in proposed]))
-        for i in sorted(range(len(proposed)), key=lambda i: (-chance[i], proposed[i][1], -proposed[i][2], proposed[i][0])):
-            if chance[i] >= model[1] and all(proposed[i][2] <= s or e <= proposed[i][1] for _, s, e in chosen):
+        good, outer = [], (-1, -1)
+        for i in sorted((i for i in range(len(proposed)) if chance[i] >= model[1]), key=lambda i: (proposed[i][1], -proposed[i][2])):
+            if proposed[i][2] > outer[1] or proposed[i][1:] == outer:  # a part of another would leave the rest of it in the text
+                good.append(i)
+                outer = proposed[i][1:]
+        for i in sorted(good, key=lambda i: (-chance[i], proposed[i][1], -proposed[i][2], proposed[i][0])):
+            if not _meets(taken, *proposed[i][1:]):
                 chosen.append(proposed[i])
+                insort(taken, proposed[i][1:])
     return base, sorted(chosen, key=lambda x: (KINDS.index(x[0]), x[1]))
 
 

@@ -86,6 +86,26 @@ def test_pii_model_adds_secrets_and_keeps_base(spark):
     assert len(found) == len(rows) and all(set(map(tuple, x["base"])) <= set(map(tuple, x["spans"])) for x in found.values())
 
 
+def test_pii_takes_whole_values_of_any_name_and_characters(spark):
+    r = random.Random(6)
+    token = ".".join("".join(r.choices("abcdefXYZ0123456789_-", k=124)) for _ in range(4)) + "A"
+    odd = [f'token="{token}" end', 'MY_VERY_LONG_SERVICE_ACCOUNT_PASSWORD_KEY="p@5s!w0rd#" end', "password=correct-horse-battery end", 'secret: "three plain words" end', "see url=https://h.example/?lang=english&api_key=abcdefgh&x=1 end"]
+    whole = [token, "p@5s!w0rd#", "correct-horse-battery", "three plain words", "abcdefgh"]
+    assert len(token) == 500
+    for text, value in zip(odd, whole, strict=True):
+        assert ("secret", text.index(value), text.index(value) + len(value)) in pii.candidates(text)
+    rows = []
+    for i in range(300):
+        value = ["".join(r.choices("0123456789abcdef", k=24)), "-".join(r.choices(["correct", "horse", "battery", "staple"], k=3)), ".".join("".join(r.choices("abcXYZ012345", k=90)) for _ in range(4)), "".join(r.choices("pqrs@#!579", k=9)) + "#"][i // 2 % 4]
+        rows.append((i, f"{prose(i, 5)} {('password', 'colour')[i % 2]}={value} end"))
+    table = spark.createDataFrame([*rows, *((1000 + i, x) for i, x in enumerate(odd[:3]))], "doc_id long, text string")
+    found = {x["doc_id"]: x["spans"] for x in pii.find(table, pii.fit(table), ["doc_id"]).collect()}
+    for i, (text, value) in enumerate(zip(odd[:3], whole[:3], strict=True)):
+        assert [(s["start"], s["stop"]) for s in found[1000 + i]] == [(text.index(value), text.index(value) + len(value))]
+    for text in ("a-" * 100_000, "a='x\"" * 50_000, "key=abcdefg " * 20_000):
+        assert len(pii.candidates(text)) <= 20_000
+
+
 def test_pii_without_labels_or_rows(spark):
     table = spark.createDataFrame([(1, "nothing here")], "doc_id long, text string")
     assert pii.fit(table) is None and pii.fit(table.where("false")) is None
