@@ -2,33 +2,41 @@
 
 Vertices are rows with one text, cut into pieces that are small against a shard, so that a group that holds a third of all rows
 can spread. Vertices are linked through the keys they share (their text, and the lines a query names); a key is a
-vertex of its own, so that no pair of a group is ever listed. :data:`ROUNDS` times:
+vertex of its own, so that no pair of a group is ever listed. In rounds:
 
-1. each key counts the rows of its vertices by shard and keeps the :data:`BEST` strongest shards;
+1. each key counts the rows of its vertices in every shard;
 2. each vertex sums what its keys hold in each shard, leaves itself out, and would move to the best if that is more than in its own;
-3. moves between two shards are limited by a quota, what wants to move the other way plus the room below the mean size;
-   within it those with the most to gain go first, chosen by cells of a histogram (gain, hash) and not by a sort.
+3. moves between two shards are limited by a quota, what wants to move the other way plus its part of the room below the mean size;
+   within it those with the most to gain go first, chosen by cells of a histogram (gain, weight, hash) and not by a sort; a
+   cell that does not fit gives the part that does, a single vertex that does not fit is passed over.
+
+The rounds end when no vertex wishes to move, or when a round brings less than :data:`LEAST` of what all rounds have brought (the
+rows of a key that are together, squared). Moves of one round may undo each other: a round that does not bring rows closer
+together is taken back and tried with half of its moves, at last with one in :data:`DAMPED`.
 
 Then rows are numbered in the order (shard, text, id) by a distributed sort, and equal ranges of the numbers become the shards: counts
 are at most one row apart, and only rows at the borders leave the shard of their vertex.
 
 Defined results: a null text is a text of its own with no bytes and checksum 0; repeated rows take slots of their own; a null id sorts
-first; a null or blank line links nothing; fewer rows than shards leave shards empty; an empty table gives no rows.
+first; lines count without the white space around them, a null or blank one links nothing; fewer rows than shards leave shards empty; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tableferry.llm.textkit import read_table, stored
 
 SHARDS = 24
-ROUNDS = 4
-BEST = 2
-#: Pieces of one text that a shard could hold, and parts of the hash in a quota's histogram.
+#: The smallest part of a round's moves that is tried: one in so many.
+DAMPED = 8
+LEAST = 0.01
+#: Pieces of one text that a shard could hold, parts of the hash in a quota's histogram, and parts of one cell.
 PIECES = 8
 CELLS = 64
+PARTS = 1024
 
 
 def vertices(rows: DataFrame, shards: int) -> DataFrame:
@@ -40,33 +48,77 @@ def vertices(rows: DataFrame, shards: int) -> DataFrame:
     return cut.withColumn("vertex", F.xxhash64("text_key", "piece")).drop("c", "piece")
 
 
-def propagate(nodes: DataFrame, links: DataFrame, shards: int, rounds: int = ROUNDS) -> DataFrame:
-    """(vertex, weight, shard) from nodes (vertex, weight) and links (vertex, key): labels after ``rounds`` of quota-bound moves."""
+def holdings(links: DataFrame, state: DataFrame) -> DataFrame:
+    """(key, held: n and shard of every shard where the key has rows)."""
+    held = links.join(state, "vertex").groupBy("key", "shard").agg(F.sum("weight").alias("n"))
+    return stored(held.groupBy("key").agg(F.collect_list(F.struct("n", "shard")).alias("held")), "held")  # a stored side lets the join split a key that many vertices share
+
+
+def wishes(links: DataFrame, state: DataFrame, held: DataFrame) -> DataFrame:
+    """(vertex, weight, own, to, gain) of the vertices whose keys hold more rows in another shard than, without them, in their own."""
+    seen = links.join(state, "vertex").join(held, "key").select("vertex", "weight", F.col("shard").alias("own"), F.explode("held").alias("x"))
+    votes = seen.groupBy("vertex", "weight", "own", F.col("x.shard").alias("shard")).agg(F.sum(F.col("x.n") - F.when(F.col("own") == F.col("x.shard"), F.col("weight")).otherwise(0)).alias("n"))
+    top = votes.groupBy("vertex", "weight", "own").agg(F.max(F.struct("n", (F.col("shard") == F.col("own")).alias("stay"), (-F.col("shard")).alias("least"), "shard")).alias("best"), F.max(F.when(F.col("shard") == F.col("own"), F.col("n"))).alias("now"))
+    return top.select("vertex", "weight", "own", F.col("best.shard").alias("to"), (F.col("best.n") - F.col("now")).alias("gain")).where("gain > 0 AND own <> to")
+
+
+def _fitting(cells: pd.DataFrame) -> pd.DataFrame:
+    """The cells of one pair of shards with ``part``, how many of :data:`PARTS` fit the quota."""
+    cells = cells.sort_values(["gains", "size", "cell"], ascending=False)
+    room, parts = float(cells["quota"].iloc[0]), []
+    for n, c in zip(cells["n"], cells["c"], strict=True):
+        part = PARTS if n <= room else int(PARTS * room / n) if c > 1 and n <= c * room else 0
+        room -= n * part / PARTS
+        parts.append(part)
+    return cells.assign(part=parts)[["own", "to", "gains", "size", "cell", "part"]]
+
+
+def allowed(wish: DataFrame, state: DataFrame, shards: int, mean: float, turn: int) -> DataFrame:
+    """(vertex, to) of the wishes that the quotas of their pairs of shards let through."""
+    place = F.xxhash64("vertex", F.lit(turn))
+    wish = wish.withColumns({"gains": F.floor(F.log2("gain")).cast("int"), "size": F.floor(F.log2("weight")).cast("int"), "cell": F.pmod(place, F.lit(CELLS)).cast("int"), "at": F.pmod(F.shiftright(place, 20), F.lit(PARTS)).cast("int")})
+    wish = stored(wish, "wishes")
+    cells = stored(wish.groupBy("own", "to", "gains", "size", "cell").agg(F.sum("weight").alias("n"), F.count("*").alias("c")), "cells")
+    asked = cells.groupBy("own", "to").agg(F.sum("n").alias("n"))
+    back = asked.select(F.col("own").alias("to"), F.col("to").alias("own"), F.col("n").alias("back"))
+    loads = state.groupBy("shard").agg(F.sum("weight").alias("load"))
+    room = loads.select(F.col("shard").alias("to"), F.greatest(F.lit(0.0), F.lit(mean) - F.col("load")).alias("room"))
+    part = F.col("n") / F.sum("n").over(Window.partitionBy("to"))  # a row for each pair of shards
+    quota = asked.withColumn("part", part).join(back, ["own", "to"], "left").join(room, "to", "left")
+    quota = quota.select("own", "to", (F.least("n", F.coalesce("back", F.lit(0))) + F.coalesce("room", F.lit(mean)) * F.col("part")).alias("quota"))
+    good = cells.join(quota, ["own", "to"]).groupBy("own", "to").applyInPandas(_fitting, "own int, to int, gains int, size int, cell int, part int")
+    return wish.join(good.where("part > 0"), ["own", "to", "gains", "size", "cell"]).where("at < part").select("vertex", "to")
+
+
+def propagate(nodes: DataFrame, links: DataFrame, shards: int) -> DataFrame:
+    """(vertex, weight, shard) from nodes (vertex, weight) and links (vertex, key): labels after rounds of quota-bound moves."""
     links = links.distinct()
     shared = links.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
     links = stored(links.join(shared, "key"), "links")
     state = stored(nodes.withColumn("shard", F.pmod(F.xxhash64("vertex"), F.lit(shards)).cast("int")), "labels")
     mean = (state.agg(F.sum("weight")).first()[0] or 0) / shards
-    for turn in range(rounds):
-        placed = links.join(state, "vertex")
-        held = placed.groupBy("key", "shard").agg(F.sum("weight").alias("n"))
-        best = stored(held.groupBy("key").agg(F.slice(F.sort_array(F.collect_list(F.struct("n", "shard")), asc=False), 1, BEST).alias("best")), "best")  # a stored side lets the join split a key that many vertices share
-        seen = placed.join(best, "key").select("vertex", "weight", F.col("shard").alias("own"), F.explode("best").alias("x"))
-        votes = seen.groupBy("vertex", "weight", "own", F.col("x.shard").alias("shard")).agg(F.sum(F.col("x.n") - F.when(F.col("own") == F.col("x.shard"), F.col("weight")).otherwise(0)).alias("n"))
-        top = votes.groupBy("vertex", "weight", "own").agg(F.max(F.struct("n", (F.col("shard") == F.col("own")).alias("stay"), (-F.col("shard")).alias("least"), "shard")).alias("best"), F.max(F.when(F.col("shard") == F.col("own"), F.col("n"))).alias("now"))
-        wish = top.select("vertex", "weight", "own", F.col("best.shard").alias("to"), (F.col("best.n") - F.coalesce("now", F.lit(0))).alias("gain")).where("gain > 0 AND own <> to")
-        wish = stored(wish.withColumn("cell", F.floor(F.log2("gain")).cast("int") * CELLS + F.pmod(F.xxhash64("vertex", F.lit(turn)), F.lit(CELLS)).cast("int")), "wishes")
-        asked = wish.groupBy("own", "to").agg(F.sum("weight").alias("n"))
-        back = asked.select(F.col("own").alias("to"), F.col("to").alias("own"), F.col("n").alias("back"))
-        loads = state.groupBy("shard").agg(F.sum("weight").alias("load"))
-        room = loads.select(F.col("shard").alias("to"), (F.greatest(F.lit(0.0), F.lit(mean) - F.col("load")) / shards).alias("room"))
-        quota = asked.join(back, ["own", "to"], "left").join(room, "to", "left").select("own", "to", (F.least("n", F.coalesce("back", F.lit(0))) + F.coalesce("room", F.lit(mean / shards))).alias("quota"))
-        cells = wish.groupBy("own", "to", "cell").agg(F.sum("weight").alias("n"))
-        upto = F.sum("n").over(Window.partitionBy("own", "to").orderBy(F.desc("cell")))
-        good = cells.withColumn("upto", upto).join(quota, ["own", "to"]).where("upto <= quota").select("own", "to", "cell")
-        moves = wish.join(good, ["own", "to", "cell"], "left_semi").select("vertex", "to")
-        state = stored(state.join(moves, "vertex", "left").select("vertex", "weight", F.coalesce("to", "shard").alias("shard")), "labels")
-    return state
+    together = F.aggregate("held", F.lit(0.0), lambda t, x: t + x["n"].cast("double") * x["n"])
+    best, wish, score, first, part, turn = state, None, -1.0, None, 1, 0
+    while True:
+        held = holdings(links, state)
+        now = held.agg(F.sum(together)).first()[0] or 0.0
+        if now > score:
+            first = now if first is None else first
+            over = part == 1 and turn > 0 and now - score < LEAST * (now - first)
+            best, score, part = state, now, 1
+            if over:
+                return best
+            wish = stored(wishes(links, best, held), "wishes")
+            if wish.isEmpty():
+                return best
+        else:
+            part *= 2
+            if part > DAMPED:
+                return best
+        some = wish.where(F.pmod(F.xxhash64("vertex", F.lit(-1 - turn)), F.lit(part)) == 0)
+        moves = stored(allowed(some, best, shards, mean, turn), "moves")
+        turn += 1
+        state = stored(best.join(moves, "vertex", "left").select("vertex", "weight", F.coalesce("to", "shard").alias("shard")), "labels")
 
 
 def numbered(rows: DataFrame, order: list[str], partitions: int) -> DataFrame:
@@ -96,11 +148,10 @@ def shard(rows: DataFrame, links: DataFrame, shards: int = SHARDS) -> DataFrame:
 
 
 def document_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", row: Column | None = None) -> tuple[DataFrame, DataFrame]:
-    """(rows: row, id, text_key, size, text_crc32; links: row, key) of documents; linked by equal first and last lines."""
+    """(rows: row, id, text_key, size, text_crc32; links: row, key) of documents; linked by equal lines."""
     raw = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    line = F.split(F.trim(F.col(text)), "\n")
-    ends = F.array_distinct(F.array(F.get(line, F.lit(0)), F.element_at(line, -1)))
-    keys = F.transform(F.filter(ends, lambda x: x != ""), lambda x: F.xxhash64(F.lit("line"), x))
+    lines = F.array_distinct(F.transform(F.split(F.col(text), "\n"), lambda x: F.btrim(x, F.lit(" \t\r\f\v"))))
+    keys = F.transform(F.filter(lines, lambda x: x != ""), lambda x: F.xxhash64(F.lit("line"), x))
     told = docs.select(
         (F.monotonically_increasing_id() if row is None else row).alias("row"), F.col(doc_id).alias("id"), F.coalesce(F.md5(F.col(text).cast("binary")), F.lit("null")).alias("text_key"),
         (F.octet_length(raw) + 8).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"), F.coalesce(keys, F.array().cast("array<bigint>")).alias("keys"),

@@ -141,6 +141,39 @@ def test_propagation_cuts_less_than_hashing(spark):
     assert together > 12 and found.groupby("shard").size().max() < 1.5 * 250
 
 
+def test_wishes_count_every_shard_of_a_key(spark):
+    """The third shard of both keys is the best place in sum; a better one is found where it exists."""
+    shards = {0: [("k1", 6)], 1: [("k1", 6)], 2: [("k2", 6)], 3: [("k2", 6)], 4: [("k1", 4), ("k2", 4)]}
+    state, links = [(0, 1, 4)], [(0, "k1"), (0, "k2")]
+    for shard, held in shards.items():
+        for key, n in held:
+            for _ in range(n):
+                links.append((len(state), key))
+                state.append((len(state), 1, shard))
+    state, links = spark.createDataFrame(state, "vertex long, weight long, shard int"), spark.createDataFrame(links, "vertex long, key string")
+    found = {x["vertex"]: x for x in sharding.wishes(links, state, sharding.holdings(links, state)).collect()}
+    assert 0 not in found
+    moved = state.withColumn("shard", F.when(F.col("vertex") == 0, 0).otherwise(F.col("shard")))
+    found = {x["vertex"]: x for x in sharding.wishes(links, moved, sharding.holdings(links, moved)).collect()}
+    assert (found[0]["to"], found[0]["gain"]) == (4, 2)
+
+
+def test_quota_passes_over_what_does_not_fit(spark):
+    state = spark.createDataFrame([(0, 500, 0), (1000, 90, 1), *((i, 1, 0) for i in range(1, 41))], "vertex long, weight long, shard int")
+    wish = spark.createDataFrame([(0, 500, 0, 1, 1 << 20), *((i, 1, 0, 1, 3) for i in range(1, 41))], "vertex long, weight long, own int, to int, gain long")
+    moved = {x["vertex"] for x in sharding.allowed(wish, state, 2, 315.0, 0).collect()}
+    assert moved == set(range(1, 41))
+
+
+def test_shards_keep_texts_with_a_common_inner_line_together(spark):
+    rows = [(i, f"{prose(i, 5)}\n  shared line {i % 40}\r\n\n{prose(1000 + i, 5)}") for i in range(400)]
+    texts, links = sharding.document_rows(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert links.groupBy("key").count().where("count = 10").count() == 40 and links.count() == 1200
+    found = sharding.shard(texts, links, 4).toPandas()
+    together = found.assign(g=found["id"] % 40).groupby("g")["shard"].agg(lambda x: x.value_counts().iloc[0]).mean()
+    assert together > 7
+
+
 # 3
 def plain_removed(texts: list[str | None], length: int = 200) -> list[tuple]:
     raw = [(t or "").encode() for t in texts]
