@@ -267,10 +267,8 @@ def _family_links(families: DataFrame, guests: DataFrame, sets: DataFrame, perce
     return stored(links.unionByName(near.select("a", "b")), "links")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, threshold: float = 0.8) -> DataFrame:
-    """(id, text_digest, n_shingles, set_digest, component_id) of every row of ``docs``; component_id: the smallest id reachable.
-
-    ``docs`` is read again for the exact comparison; give a table, or a plan that returns the same rows again."""
+def _grouped(docs: DataFrame, doc_id: str, text: str, shingle: int, threshold: float) -> DataFrame:
+    """The columns of :func:`near_duplicates` and comp, which names the group also where its ids are null or repeated (null: no words)."""
     percent = round(100 * threshold)
     rows = stored(sketch(docs, doc_id, text, shingle), "sketch")
     classes = rows.where("n > 0").groupBy("set_digest").agg(F.min(F.struct(F.col("id").isNull().alias("blank"), "id", "text_digest", "n", "registers")).alias("x"))
@@ -302,18 +300,28 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     links = _family_links(families, guests, sets, percent).unionByName(_compared(crossing, sets, percent))
     named = nodes.join(components(links), "node", "left").select("set_digest", "id", F.coalesce("comp", "node").alias("comp"))
     smallest = named.groupBy("comp").agg(F.min("id").alias("component_id"))
-    of_set = stored(named.join(smallest, "comp").select("set_digest", "component_id"), "classes")
+    of_set = stored(named.join(smallest, "comp").select("set_digest", "component_id", "comp"), "classes")
     out = rows.join(of_set, "set_digest", "left")
-    return out.select("id", "text_digest", F.col("n").alias("n_shingles"), "set_digest", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    return out.select("id", "text_digest", F.col("n").alias("n_shingles"), "set_digest", F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"), "comp")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, threshold: float = 0.8) -> DataFrame:
+    """(id, text_digest, n_shingles, set_digest, component_id) of every row of ``docs``; component_id: the smallest id reachable.
+
+    ``docs`` is read again for the exact comparison; give a table, or a plan that returns the same rows again."""
+    return _grouped(docs, doc_id, text, shingle, threshold).drop("comp")
 
 
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5, threshold: float = 0.8) -> DataFrame:
-    """The documents, every column as it was, one of each group of near duplicates: the row with the smallest id, of repeated rows one.
-    Rows without words are kept; they are linked with nothing."""
-    found = near_duplicates(docs, doc_id, text, shingle, threshold)
-    gone = stored(found.where("n_shingles > 0 AND NOT id <=> component_id").select("id", "text_digest").distinct(), "copies")
+    """The documents, every column as it was, one of each group of near duplicates: the row with the smallest id (null after all
+    others), then the smallest digest of the text; of repeated rows one. Rows without words are kept; they are linked with nothing."""
+    found = stored(_grouped(docs, doc_id, text, shingle, threshold).where("n_shingles > 0").groupBy("comp", "id", "text_digest").agg(F.count("*").alias("c")), "grouped")
+    place = F.struct(F.col("id").isNull().alias("blank"), "id", "text_digest")
+    first = stored(found.groupBy("comp").agg(F.min(place).alias("first")), "first")
+    placed = found.join(first, "comp").withColumn("stays", F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_digest") == F.col("first.text_digest")))
+    gone = stored(placed.where("NOT stays").select("id", "text_digest"), "copies")
     kept = docs.join(gone, docs[doc_id].cast("long").eqNullSafe(gone["id"]) & (F.md5(docs[text].cast("binary")) == gone["text_digest"]), "left_anti")
-    twice = stored(found.where("n_shingles > 0 AND id <=> component_id").groupBy("id", "text_digest").agg(F.count("*").alias("c")).where("c > 1"), "repeated")
+    twice = stored(placed.where("stays AND c > 1").select("id", "text_digest"), "repeated")
     if twice.isEmpty():
         return kept
     same = kept[doc_id].cast("long").eqNullSafe(twice["id"]) & (F.md5(kept[text].cast("binary")) == twice["text_digest"])

@@ -349,6 +349,19 @@ def test_keep_one_keeps_columns_and_blank_rows(docs, empty):
     assert neardup.keep_one(empty).count() == 0
 
 
+def test_keep_one_of_groups_with_null_and_equal_ids(spark):
+    def near(seed: int) -> list[str]:
+        base = prose(seed, 120)
+        return [base, base + " more", base + " more words", base]
+
+    rows = [(None, x) for x in near(70)] + [(5, x) for x in near(71)] + [(i, x) for i, x in zip((None, 9, 8, 8), near(72), strict=True)] + [(None, None), (None, None)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(x) for x in neardup.keep_one(table).collect()]
+    words_kept = [x for x in kept if x[1]]
+    assert len(kept) == 5 and sorted(str(x[0]) for x in words_kept) == ["5", "8", "None"]
+    assert len({x[1].split()[0] + x[1].split()[1] for x in words_kept}) == 3
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7)]
     found = {r["node"]: r["comp"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
