@@ -31,10 +31,16 @@ PAGES = 600
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)>", re.S)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _NAME = re.compile(r"[a-z]+")
-INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp small span strike strong sub sup time tt u var wbr br".split())
+INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q ruby rp rt s samp small span strike strong sub sup time tt u var wbr br".split()) | frozenset(
+    # Formulas and fallback text are part of the paragraph that they stand in.
+    "object canvas math semantics annotation maction menclose merror mfrac mi mmultiscripts mn mo mover mpadded mphantom mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext mtr munder munderover".split()
+)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose content is no text of the page.
-RAW = frozenset("script style template textarea title noscript iframe svg select object canvas math".split())
+#: Elements whose content is raw text up to their end tag, or to the end of the page, and no text of the page.
+RAW = frozenset("script style textarea title iframe noembed noframes".split())
+#: Elements that are seldom content: nodes whose names are features. Without an end tag they are passed over.
+ODD = frozenset("svg select noscript template".split())
+_ODD = re.compile(rf"<(/?)({'|'.join(sorted(ODD))})\b", re.I)
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _SCOPE = frozenset("ul ol dl table div section article main aside nav header footer body form blockquote".split())
 
@@ -54,6 +60,14 @@ def blocks(page: str) -> list[Block]:
     stack: list[tuple[str, tuple[str, ...]]] = []
     parts: list[str] = []
     linked, at, end = 0, 0, len(page)
+    paired: set[int] = set()  # where elements of ODD with an end tag start
+    open_odd: dict[str, list[int]] = {x: [] for x in ODD}
+    for m in _ODD.finditer(page):
+        starts = open_odd[m[2].lower()]
+        if not m[1]:
+            starts.append(m.start())
+        elif starts:
+            paired.add(starts.pop())
 
     def flush() -> None:
         nonlocal linked
@@ -104,7 +118,7 @@ def blocks(page: str) -> list[Block]:
                 inner = [x[0] for x in stack]
                 if other in inner and not any(x in _SCOPE for x in inner[len(inner) - inner[::-1].index(other) :]):
                     close(other)
-        if name not in VOID:
+        if name not in VOID and (name not in ODD or tag.start() in paired) and not (name in ODD and tag[3].rstrip().endswith("/")):
             names = _NAME.findall(" ".join(filter(None, (y for x in _NAMES.findall(tag[3]) for y in x))).lower()) if tag[3] else ()
             stack.append((name, tuple(names)))
     flush()
@@ -251,7 +265,10 @@ def labelled_pages(count: int = PAGES, seed: int = 11) -> Iterator[tuple[str, li
             if kind == "plain":
                 return f"<aside>{block('p', prose(), False)}</aside>"
             if kind == "form":
-                return f"<form>{block(r.choice(['p', 'div', 'legend']), prose(2, 20), False)}<input type=text><select><option>{words(1, 2)}</select>{block('div', f'<button>{words(1, 2)}</button>', False)}</form>"
+                return f"<form>{block(r.choice(['p', 'div', 'legend']), prose(2, 20), False)}<input type=text><select>{block('option', words(1, 2), False)}</select>{block('div', f'<button>{words(1, 2)}</button>', False)}</form>"
+            if kind == "hidden":
+                tag = r.choice(["noscript", "template", "svg"])
+                return f"<{tag}>{block('text' if tag == 'svg' else r.choice(['p', 'div']), prose(2, 20), False)}</{tag}>"
             if kind == "footer":
                 return tagged("footer", r.choice(["", "", "site-footer", "footer"]), "".join(block(r.choice(["p", "div"]), r.choice(["&copy; " + words(1, 3) + " &middot; " + prose(), prose(), words(2, 6)]), False) for _ in range(r.randint(1, 3))))
             said = "".join(tagged(r.choice(["div", "li", "article"]), r.choice(["comment", "reply", "comment-body", "comment"]), (block("p", words(1, 3), False, "author") if r.random() < 0.5 else "") + block("p", prose(), False)) for _ in range(r.randint(1, 5)))
@@ -276,7 +293,7 @@ def labelled_pages(count: int = PAGES, seed: int = 11) -> Iterator[tuple[str, li
                 elif kind < 0.94:
                     out.append(f"<figure><img src=x>{block('figcaption', prose(), True)}</figure>")
                 else:
-                    out.append(noise("ad sidebar notice nav plain form"))
+                    out.append(noise("ad sidebar notice nav plain form hidden"))
             inner = "".join(out)
             if r.random() < 0.2:
                 inner = tagged("div", r.choice(["content", "post-body", "entry-content", "article-body", "text", "body"]), inner)
@@ -290,7 +307,7 @@ def labelled_pages(count: int = PAGES, seed: int = 11) -> Iterator[tuple[str, li
                 return f"<main><article>{inner}</article>{tail}</main>"
             return tagged("div", r.choice(["content", "main-content", "post", "entry", "article", "story", "main", "article-content"]), inner) + tail
 
-        parts = ["".join(noise("nav nav header ad notice") for _ in range(r.randint(0, 4)))]
+        parts = ["".join(noise("nav nav header ad notice hidden") for _ in range(r.randint(0, 4)))]
         if r.random() < 0.97:
             parts.append(article())
         parts.append("".join(noise("ad sidebar comments form nav notice") for _ in range(r.randint(0, 3))))

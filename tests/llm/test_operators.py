@@ -385,6 +385,23 @@ def test_main_text_of_invented_and_odd_pages(spark):
     assert {r["page_id"]: r["text"] for r in found}[2] == "" == {r["page_id"]: r["text"] for r in found}[6]
 
 
+def test_main_text_goes_on_after_unclosed_and_odd_elements():
+    model = html.learn(300)
+
+    def text(page: str) -> list[str]:
+        found = html.blocks(page)
+        return [x.text for x, good in zip(found, model.decode(html.page_features(found, {})), strict=True) if good]
+
+    parts = ["One two three, four five six.", "Seven eight nine, ten eleven.", "Twelve and thirteen follow here."]
+    for stray in ("<svg>", "<select>", "<noscript>", "<template>", "<object>", "<canvas>", "<math>", "<svg/>", "<svg><path d=x></svg>", "<noscript><img src=x></noscript>"):
+        assert text(f"<body><article><p>{parts[0]}</p>{stray}<p>{parts[1]}</p><p>{parts[2]}</p></article></body>") == parts, stray
+    page = "<body><article><p>Where <math><mi>x</mi><mo>=</mo><mn>1</mn></math> holds, it ends.</p><p><object data=x>A drawing of it.</object> <canvas>And a chart.</canvas></p></article></body>"
+    assert text(page) == ["Where x=1 holds, it ends.", "A drawing of it. And a chart."]
+    page = f"<body><article><p>{parts[0]}</p><noscript><p>Please turn it on.</p></noscript><p>{parts[1]}</p></article><form><select><option>A<option>B</select></form></body>"
+    assert text(page) == parts[:2]
+    assert [x.text for x in html.blocks(f"<p>{parts[0]}</p><script>var a; <p>{parts[1]}</p>")] == parts[:1]
+
+
 # 9
 def test_top_k_matches_brute_force(spark):
     r = np.random.default_rng(2)
