@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableferry.llm import contamination, html, language, licenses, mixing, neardup, pii, sharding, substrings, vectors
+from tableferry.llm import centroids, contamination, html, language, licenses, mixing, neardup, pii, sharding, substrings, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": pii.q_op1,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_main_text": html.q_op8,
     "op9_top_k": vectors.q_op9,
     "op10_language_id": language.q_op10,
+    "op11_centroids": centroids.q_op11,
 }
 ORACLES: dict[str, str] = {
     "op4_mix_sources": mixing.OP4_SQL,
@@ -26,4 +27,5 @@ ORACLES: dict[str, str] = {
     "op6_license_scan": licenses.OP6_SQL,
     "op7_near_duplicates": neardup.OP7_SQL,
     "op9_top_k": vectors.OP9_SQL,
+    "op11_centroids": centroids.OP11_SQL,
 }
