@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableferry.llm import centroids, contamination, html, language, licenses, mixing, neardup, periods, pii, sharding, substrings, vectors
+from tableferry.llm import backoff, centroids, contamination, html, language, licenses, mixing, neardup, periods, pii, sharding, substrings, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_personal_data": pii.q_op1,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language_id": language.q_op10,
     "op11_centroids": centroids.q_op11,
     "op12_periodic_runs": periods.q_op12,
+    "op13_model_scores": backoff.q_op13,
 }
 ORACLES: dict[str, str] = {
     "op4_mix_sources": mixing.OP4_SQL,
