@@ -1,19 +1,19 @@
 """Operator 13, language-model scoring: an n-gram model as a weighted backoff automaton, walked once from left to right.
 
-Model (orders 1 to 3, interpolated absolute discounting; sums to 1 over the known tokens and one unknown):
+Model (orders 1 to ``orders``, each smoothed by the next lower one; sums to 1 over the known tokens and one unknown):
   P(w) = (c(w) + 1) / (N + V + 1),
-  P(w | h) = max(c(hw) - D, 0) / c(h.) + D * t(h.) / c(h.) * P(w | h without its first word),
-with c(h.) the tokens and t(h.) the distinct tokens after h in the training texts, D = n1 / (n1 + 2 n2) of the order. Each text begins
-after a start mark, which is only a history, and ends with one end token, which is scored.
+  P(w | h) = (c(hw) + m P(w | h without its first word)) / (c(h) + m) where the training texts hold h, else P(w | h without its first word).
+Each text begins after a start mark, which is only a history, and ends with one end token, which is scored.
 
 1. :func:`blocks` turns texts into blocks of about :data:`BLOCK_BYTES`, or :data:`BLOCK_TOKENS` of a longer text (a block that goes on with
-   a text carries its last two tokens as history), with numbers for the block's words. The blocks are stored.
-2. Each block sends its n-grams of training texts with their counts, one row for each, and Spark adds them up: nothing of the
-   corpus is broadcast or collected but a row of totals for each order.
-3. Each block names the n-grams it holds; a join returns the counts of those that the model knows: the block's part of the automaton.
-   A key is at most one row for each block, so frequent words do not crowd a task.
-4. :func:`walk`: histories are states. A known n-gram is an arc with its log-probability to the state of the longest known history,
-   a state without the arc is left by its failure arc with its backoff weight. One traversal carries the state and adds up.
+   a text carries its last tokens as history), with numbers for the block's words. The blocks are stored.
+2. :func:`counts`: a block sorts its distinct n-grams' 64-bit keys, cuts them into ranges, and sends each range as one packed row of keys and
+   training counts. The task of a range adds up what all blocks sent and answers each block with the totals, in the order of its keys.
+   The number of ranges follows the number of tokens; an n-gram is at most one key for each block, so frequent words do not crowd a
+   task. Nothing of the corpus is broadcast or collected but three totals.
+3. A block's n-grams with their totals are its part of the automaton (:class:`Automaton`): histories are states; a known n-gram is an arc
+   with its log-probability to the state of the longest known history, a state without the arc is left by its failure arc with
+   its backoff weight. One traversal from left to right carries the state and adds up.
 
 Words and n-grams are compared by 64-bit hashes: the odds that any two of 10^8 n-grams meet are about 3e-4.
 
@@ -37,7 +37,11 @@ from tableferry.llm.textkit import LOWER, SPACED_WORD, chunks, find_words, mix,
 
 BLOCK_BYTES = 1 << 22
 BLOCK_TOKENS = 1 << 20
-ORDERS = 3
+#: Longest n-grams, and the weight m of the lower order (the best of 0.1, 0.3, 1, ... 100 on held-out texts of sf0.01).
+ORDERS = 2
+PRIOR = 100.0
+#: Tokens for each range of keys.
+RANGE_TOKENS = 1 << 20
 _U = np.uint64
 #: Stand-ins for the end of a text, a token, and for its start, a history only.
 END, START = mix(np.array([1, 2], _U))
@@ -56,7 +60,7 @@ def _tokens(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.insert(word_hashes(raw, starts, ends), first[1:], END), first + np.arange(len(first))
 
 
-def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out: Column | None = None) -> DataFrame:
+def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out: Column | None = None, orders: int = ORDERS) -> DataFrame:
     """One row for each block: its texts (row, id, held, size with histories, history tokens), token numbers and word hashes; stored."""
     kind = docs.schema[doc_id].dataType.simpleString()
 
@@ -69,15 +73,15 @@ def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out
                     to = min(at + BLOCK_TOKENS, len(tokens))
                     texts = np.arange(np.searchsorted(first, at, "right") - 1, np.searchsorted(first, to, "left"))
                     begin, end = np.maximum(first[texts], at), np.minimum(first[texts + 1], to)
-                    back = np.minimum(begin - first[texts], 2)  # tokens before, of a text that began in an earlier block
-                    lead = np.where(back == 2, 2, back + 1)  # with the start mark, where it is one of the last two
+                    back = np.minimum(begin - first[texts], orders)  # tokens before, of a text that began in an earlier block
+                    lead = np.minimum(back + 1, max(orders - 1, 1))  # with the start mark, where it is near enough
                     size = end - begin + lead
                     place = np.cumsum(size) - size
                     hashes = np.empty(int(size.sum()), _U)
                     step = np.arange(len(hashes)) - np.repeat(place, size)
                     source = np.repeat(begin - lead, size) + step
                     hashes[:] = tokens[np.maximum(source, 0)]
-                    hashes[place[back < 2]] = START
+                    hashes[place[back < lead]] = START
                     numbers, words = pd.factorize(hashes)
                     ids, held = batch.column(0).slice(low + int(texts[0]), len(texts)), batch.column(2).slice(low + int(texts[0]), len(texts))
 
@@ -101,11 +105,11 @@ class Grams:
     """The n-grams of one block. For each order: ``of``, the n-gram that ends at a token (-1: none), ``key``, and ``history`` (the
     (n-1)-gram before the last word), ``shorter`` (the n-gram without its first word) and ``word`` as places in those lists."""
 
-    def __init__(self, numbers: np.ndarray, words: np.ndarray, place: np.ndarray):
+    def __init__(self, numbers: np.ndarray, words: np.ndarray, place: np.ndarray, orders: int):
         k = len(words)
         self.of, self.key = [numbers], [mix(words)]
         self.word, self.history, self.shorter = [np.arange(k)], [np.zeros(k, np.int64)], [np.zeros(k, np.int64)]
-        for order in range(1, ORDERS):
+        for order in range(1, orders):
             at = np.flatnonzero(place >= order)
             code, found = pd.factorize(self.of[-1][at - 1].astype(np.int64) * k + numbers[at])
             of = np.full(len(numbers), -1, np.int64)
@@ -126,82 +130,80 @@ def _read(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.n
     return numbers, words, np.arange(len(numbers)) - np.repeat(np.cumsum(size) - size, size), size, lead
 
 
-def counts(stored_blocks: DataFrame) -> DataFrame:
-    """(n, key, history, c): the n-grams of the training texts and how often they occur; stored."""
+def _packed(keys: np.ndarray) -> bytes:
+    """Sorted keys, byte by byte from the highest: the first bytes hardly differ, so they compress to little."""
+    return np.ascontiguousarray(keys.astype(">u8").view(np.uint8).reshape(-1, 8).T).tobytes()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                numbers, words, place, size, lead = _read(batch, row)
-                grams = Grams(numbers, words, place)
-                learnt = (place >= np.repeat(lead, size)) & ~np.repeat(np.array(batch.column("held")[row].as_py(), bool), size)
-                for order in range(ORDERS):
-                    of = grams.of[order][learnt]
-                    c = np.bincount(of[of >= 0], minlength=len(grams.key[order]))
-                    some = np.flatnonzero(c)
-                    history = grams.key[order - 1][grams.history[order][some]] if order else np.zeros(len(some), _U)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), order + 1, np.int8)), pa.array(grams.key[order][some].view(np.int64)), pa.array(history.view(np.int64)), pa.array(c[some])], ["n", "key", "history", "c"])
 
-    found = stored_blocks.select("held", "sizes", "leads", "numbers", "words").mapInArrow(run, "n tinyint, key long, history long, c long")
-    return stored(found.groupBy("n", "key", "history").agg(F.sum("c").alias("c")), "grams")
+def _unpacked(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(">u8").ravel().astype(_U)
 
 
-def wanted(stored_blocks: DataFrame) -> DataFrame:
-    """(block, key): the n-grams that a block holds, training text or not."""
+def counts(stored_blocks: DataFrame, orders: int = ORDERS) -> DataFrame:
+    """(block, n, part, totals, known): for each block, order and range of keys the training counts of the block's n-grams in the order of
+    their keys, packed; ``known``, in one row of a range, its n-grams that occur in training texts. Stored."""
+    tokens = stored_blocks.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda s, n: s + n))).first()[0] or 0
+    bits = max(6, (tokens // RANGE_TOKENS).bit_length())
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                numbers, words, place, _, _ = _read(batch, row)
-                for key in Grams(numbers, words, place).key:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), batch.column("block")[row].as_py())), pa.array(key.view(np.int64))], ["block", "key"])
-
-    return stored_blocks.select("block", "sizes", "leads", "numbers", "words").mapInArrow(run, "block long, key long")
-
-
-def totals(grams: DataFrame) -> tuple[int, int, list[float]]:
-    """(N, V, discounts of the orders from 2) of the training texts."""
-    rows = grams.groupBy("n").agg(F.sum("c").alias("c"), F.count("*").alias("types"), F.count_if(F.col("c") == 1).alias("n1"), F.count_if(F.col("c") == 2).alias("n2")).collect()
-    told = {r["n"]: r for r in rows}  # a row for each order
-    discounts = []
-    for n in range(2, ORDERS + 1):
-        n1, n2 = (told[n]["n1"], told[n]["n2"]) if n in told else (0, 0)
-        discounts.append(n1 / (n1 + 2 * n2) if n1 and n2 else 0.5)
-    return (told[1]["c"], told[1]["types"], discounts) if 1 in told else (0, 0, discounts)
-
-
-def model(grams: DataFrame) -> DataFrame:
-    """(key, c, after, types): occurrences of an n-gram, tokens and distinct tokens after it as a history."""
-    none = F.lit(0).cast("long")
-    histories = grams.where("n > 1").groupBy("history").agg(F.sum("c").alias("after"), F.count("*").alias("types"))
-    both = grams.select("key", "c", none.alias("after"), none.alias("types")).unionByName(histories.select(F.col("history").alias("key"), none.alias("c"), "after", "types"))
-    return both.groupBy("key").agg(F.sum("c").alias("c"), F.sum("after").alias("after"), F.sum("types").alias("types"))
+                numbers, words, place, size, lead = _read(batch, row)
+                grams = Grams(numbers, words, place, orders)
+                train = ~np.repeat(np.array(batch.column("held")[row].as_py(), bool), size)
+                learnt = train & (place >= np.repeat(lead, size))
+                start = words[numbers] == START
+                # A start mark counts once, where its text's first token is.
+                learnt |= train & start & (place == 0) & np.append(~start[1:] & (place[1:] >= np.repeat(lead, size)[1:]), False)
+                for order in range(orders):
+                    of = grams.of[order][learnt & (grams.of[order] >= 0)]
+                    keys, which = np.unique(grams.key[order], return_inverse=True)
+                    c = np.bincount(which, np.bincount(of, minlength=len(which)), len(keys)).astype(np.uint32)
+                    parts = (keys >> _U(64 - bits)).astype(np.int64)
+                    edges = np.flatnonzero(np.diff(parts, prepend=-1, append=-1))
+                    out = [(int(parts[a]), _packed(keys[a:b]), c[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+                    if not out:  # no text has so many tokens
+                        continue
+                    part, blobs, ns = zip(*out, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(out), batch.column("block")[row].as_py())), pa.array(np.full(len(out), order + 1, np.int8)), pa.array(part, pa.int32()), pa.array(blobs, pa.binary()), pa.array(ns, pa.binary())], ["block", "n", "part", "keys", "c"])
+
+    def answer(asked: pa.Table) -> pa.Table:
+        keys = [_unpacked(k) for k in asked.column("keys").to_pylist()]
+        found, which = np.unique(np.concatenate(keys), return_inverse=True)
+        c = np.bincount(which, np.concatenate([np.frombuffer(x, np.uint32) for x in asked.column("c").to_pylist()]), len(found)).astype(np.int64)
+        ends = np.cumsum([len(k) for k in keys])
+        totals = [c[which[e - len(k) : e]].tobytes() for k, e in zip(keys, ends, strict=True)]
+        known = np.zeros(len(keys), np.int64)
+        known[0] = np.count_nonzero(c)
+        return pa.Table.from_arrays([asked.column("block"), asked.column("n"), asked.column("part"), pa.array(totals, pa.binary()), pa.array(known)], ["block", "n", "part", "totals", "known"])
+
+    asked = stored_blocks.select("block", "held", "sizes", "leads", "numbers", "words").mapInArrow(ask, "block long, n tinyint, part int, keys binary, c binary")
+    return stored(asked.groupBy("n", "part").applyInArrow(answer, "block long, n tinyint, part int, totals binary, known long"), "totals")
 
 
 class Automaton:
     """The part of the model that a block needs. State 0 is the empty history, the others are known histories, shorter ones first."""
 
-    def __init__(self, grams: Grams, c: list[np.ndarray], after: list[np.ndarray], types: list[np.ndarray], total: int, vocabulary: int, discounts: list[float]):
-        self.width = len(c[0])
-        known = [a > 0 for a in after[: ORDERS - 1]]
+    def __init__(self, grams: Grams, c: list[np.ndarray], total: int, vocabulary: int, prior: float):
+        self.width, orders = len(c[0]), len(c)
+        known = [n > 0 for n in c[: orders - 1]]
         offset = np.cumsum([1, *(k.sum() for k in known)])
         state = [np.where(k, np.cumsum(k) - 1 + o, 0) for k, o in zip(known, offset, strict=False)]
-        for order in range(1, ORDERS - 1):  # an unknown history is left for the one without its first word
+        for order in range(1, orders - 1):  # an unknown history is left for the one without its first word
             state[order] = np.where(known[order], state[order], state[order - 1][grams.shorter[order]])
-        base = (c[0] + 1) / (total + vocabulary + 1)
-        self.root_weight, self.root_next = np.log10(base), state[0]
-        probability, keys, weights, nexts, fails, fail_weights = base, [], [], [], [np.zeros(1, np.int64)], [np.zeros(1)]
-        for order in range(1, ORDERS):
-            h, d = grams.history[order], discounts[order - 1]
-            n = np.maximum(after[order - 1], 1)
-            back = np.where(known[order - 1], d * types[order - 1] / n, 1.0)
-            probability = np.maximum(c[order] - d, 0) * (c[order] > 0) / n[h] + back[h] * probability[grams.shorter[order]]
+        probability = (c[0] + 1) / (total + vocabulary + 1)
+        self.root_weight = np.log10(probability)
+        self.root_next = state[0] if state else np.zeros(self.width, np.int64)
+        keys, weights, nexts, fails, fail_weights = [np.empty(0, np.int64)], [np.empty(0)], [np.empty(0, np.int64)], [np.zeros(1, np.int64)], [np.zeros(1)]
+        for order in range(1, orders):
+            h, lower = grams.history[order], probability[grams.shorter[order]]
+            probability = np.where(known[order - 1][h], (c[order] + prior * lower) / (c[order - 1][h] + prior), lower)
             arcs = np.flatnonzero(c[order] > 0)
             keys.append(state[order - 1][h[arcs]] * self.width + grams.word[order][arcs])
             weights.append(np.log10(probability[arcs]))
-            nexts.append(state[min(order, ORDERS - 2)][arcs if order < ORDERS - 1 else grams.shorter[order][arcs]])
+            nexts.append(state[min(order, orders - 2)][arcs if order < orders - 1 else grams.shorter[order][arcs]])
             fails.append((state[order - 2][grams.shorter[order - 1]] if order > 1 else np.zeros(len(known[0]), np.int64))[known[order - 1]])
-            fail_weights.append(np.log10(back[known[order - 1]]))
+            fail_weights.append(np.log10(prior / (c[order - 1][known[order - 1]] + prior)))
         self.arcs = dict(zip(np.concatenate(keys).tolist(), range(sum(map(len, keys))), strict=True))
         self.weight, self.next = np.concatenate(weights).tolist(), np.concatenate(nexts).tolist()
         self.fail, self.fail_weight = np.concatenate(fails).tolist(), np.concatenate(fail_weights).tolist()
@@ -228,27 +230,24 @@ class Automaton:
         return score - before
 
 
-def score(stored_blocks: DataFrame, grams: DataFrame) -> DataFrame:
+def score(stored_blocks: DataFrame, totals: DataFrame, orders: int = ORDERS, prior: float = PRIOR) -> DataFrame:
     """(row, doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each text of the blocks."""
-    total, vocabulary, discounts = totals(grams)
-    arcs = wanted(stored_blocks).join(model(grams), "key")
+    learnt = F.aggregate(F.arrays_zip("sizes", "leads", "held"), F.lit(0).cast("long"), lambda s, p: s + F.when(p["held"], 0).otherwise(p["sizes"] - p["leads"]))
+    total = stored_blocks.agg(F.sum(learnt)).first()[0] or 0
+    # Known tokens; the start mark, known once there is a training text, is none.
+    vocabulary = max(0, (totals.where("n = 1").agg(F.sum("known")).first()[0] or 0) - 1)
     kind = stored_blocks.schema["ids"].dataType.elementType.simpleString()
 
     def run(block: pa.Table, found: pa.Table) -> pa.Table:
         batch = block.combine_chunks().to_batches()[0]
         numbers, words, place, size, lead = _read(batch, 0)
-        grams = Grams(numbers, words, place)
-        key = found.column("key").to_numpy()
-        order = np.argsort(key)
-        key, values = key[order], [found.column(x).to_numpy()[order] for x in ("c", "after", "types")]
-
-        def looked_up(keys: np.ndarray) -> list[np.ndarray]:
-            at = np.minimum(np.searchsorted(key, keys), max(len(key) - 1, 0))
-            hit = key[at] == keys if len(key) else np.zeros(len(keys), bool)
-            return [np.where(hit, v[at], 0) if len(key) else np.zeros(len(keys), np.int64) for v in values]
-
-        c, after, types = zip(*(looked_up(k.view(np.int64)) for k in grams.key), strict=True)
-        automaton = Automaton(grams, list(c), list(after), list(types), total, vocabulary, discounts)
+        grams = Grams(numbers, words, place, orders)
+        found, c = found.sort_by([("n", "ascending"), ("part", "ascending")]), []
+        order_of, blobs = found.column("n").to_numpy(), found.column("totals").to_pylist()
+        for order in range(orders):
+            mine = np.concatenate([np.frombuffer(blobs[i], np.int64) for i in np.flatnonzero(order_of == order + 1)] or [np.empty(0, np.int64)])
+            c.append(mine[np.unique(grams.key[order], return_inverse=True)[1]])
+        automaton = Automaton(grams, c, total, vocabulary, prior)
         base, known = automaton.root_weight, c[0] > 0
         automaton.root_weight, automaton.root_next = automaton.root_weight.tolist(), automaton.root_next.tolist()
         out: list[tuple[int, int, float, float]] = []
@@ -260,7 +259,7 @@ def score(stored_blocks: DataFrame, grams: DataFrame) -> DataFrame:
         columns = [pa.array(np.full(len(out), batch.column("block")[0].as_py())), *lists, pa.array(tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(plain, pa.float64()), pa.array(scores, pa.float64())]
         return pa.Table.from_arrays(columns, ["block", "row", "id", "held", "n_tokens", "n_known", "base_score", "score"])
 
-    pieces = stored_blocks.groupBy("block").cogroup(arcs.groupBy("block")).applyInArrow(run, f"block long, row long, id {kind}, held boolean, n_tokens long, n_known long, base_score double, score double")
+    pieces = stored_blocks.groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(run, f"block long, row long, id {kind}, held boolean, n_tokens long, n_known long, base_score double, score double")
     # A text that fills several blocks has a piece in each; sums go by the order of the blocks.
     whole = pieces.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("block", "id", "held", "n_tokens", "n_known", "base_score", "score"))).alias("p"))
 

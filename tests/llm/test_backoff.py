@@ -21,40 +21,30 @@ def held(doc_id):
 
 
 class Formula:
-    def __init__(self, texts):
-        self.c = [Counter() for _ in range(4)]
+    def __init__(self, texts, orders=backoff.ORDERS, prior=backoff.PRIOR):
+        self.orders, self.prior = orders, prior
+        self.c, self.total = Counter(), 0
         for text in texts:
             t = ["<s>", *tokens(text)]
-            for i in range(1, len(t)):
-                for n in (1, 2, 3):
-                    if i - n + 1 >= 0:
-                        self.c[n][tuple(t[i - n + 1 : i + 1])] += 1
-        self.total, self.vocabulary = sum(self.c[1].values()), len(self.c[1])
-        self.after, self.types, self.d = Counter(), Counter(), {}
-        for n in (2, 3):
-            ones, twos = (sum(v == x for v in self.c[n].values()) for x in (1, 2))
-            self.d[n] = ones / (ones + 2 * twos) if ones and twos else 0.5
-            for gram, v in self.c[n].items():
-                self.after[gram[:-1]] += v
-                self.types[gram[:-1]] += 1
+            self.total += len(t) - 1
+            for n in range(1, orders + 1):
+                self.c.update(tuple(t[i : i + n]) for i in range(len(t) - n + 1))
+        self.words = [k[0] for k in self.c if len(k) == 1 and k != ("<s>",)]
 
     def p(self, history, word):
         if not history:
-            return (self.c[1][(word,)] + 1) / (self.total + self.vocabulary + 1)
-        if history not in self.after:
-            return self.p(history[1:], word)
-        n = len(history) + 1
-        seen = max(self.c[n][history + (word,)] - self.d[n], 0) if history + (word,) in self.c[n] else 0
-        return seen / self.after[history] + self.d[n] * self.types[history] / self.after[history] * self.p(history[1:], word)
+            return (self.c[(word,)] + 1) / (self.total + len(self.words) + 1)
+        lower = self.p(history[1:], word)
+        return (self.c[history + (word,)] + self.prior * lower) / (self.c[history] + self.prior) if self.c[history] else lower
 
     def score(self, text):
         t = ["<s>", *tokens(text)]
-        return sum(math.log10(self.p(tuple(t[max(0, i - 2) : i]), t[i])) for i in range(1, len(t)))
+        return sum(math.log10(self.p(tuple(t[max(0, i - self.orders + 1) : i]), t[i])) for i in range(1, len(t)))
 
     def row(self, doc_id, text):
         t = tokens(text)
         base = sum(math.log10(self.p((), w)) for w in t)
-        return doc_id, held(doc_id), len(t), sum((w,) in self.c[1] for w in t), self.total, base, self.score(text)
+        return doc_id, held(doc_id), len(t), sum((w,) in self.c for w in t), self.total, base, self.score(text)
 
 
 def odd_documents():
@@ -69,20 +59,19 @@ def close(got, expected):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-9, abs=1e-9), (a, b)
 
 
-@pytest.mark.parametrize("limit", [backoff.BLOCK_TOKENS, 7, 1])
-def test_query_on_odd_texts(spark, tmp_path, monkeypatch, limit):
+@pytest.mark.parametrize("limit, orders", [(backoff.BLOCK_TOKENS, 2), (backoff.BLOCK_TOKENS, 3), (7, 3), (1, 2), (1, 3), (2, 1)])
+def test_scores_of_odd_texts(spark, tmp_path, monkeypatch, limit, orders):
     frame = odd_documents()
     frame.to_parquet(tmp_path / "documents.parquet")
     rows = [(None if pd.isna(d) else int(d), t) for d, t in zip(frame.doc_id, frame.text)]
-    formula = Formula([t for d, t in rows if not held(d)])
     docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
     monkeypatch.setattr(backoff, "BLOCK_TOKENS", limit)
     if limit < 100:  # blocks that cut texts anywhere
         docs, rows = docs.where("length(text) < 100 OR text IS NULL"), [(d, t) for d, t in rows if len(t or "") < 100]
-        formula = Formula([t for d, t in rows if not held(d)])
+    formula = Formula([t for d, t in rows if not held(d)], orders)
     is_held = backoff.F.crc32(backoff.F.col("doc_id").cast("string").cast("binary")) % 7 == 2
-    blocks = backoff.blocks(docs, held_out=is_held)
-    got = backoff.score(blocks, backoff.counts(blocks)).drop("row")
+    blocks = backoff.blocks(docs, held_out=is_held, orders=orders)
+    got = backoff.score(blocks, backoff.counts(blocks, orders), orders).drop("row")
     assert got.columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
     close([tuple(r) for r in got.collect()], [formula.row(d, t) for d, t in rows])
 
@@ -98,10 +87,9 @@ def test_query_on_given_texts(spark):
 
 
 def test_probabilities_sum_to_one():
-    formula = Formula(["a b c", "a b", "b c a", None])
-    words = [w for (w,) in formula.c[1]]
+    formula = Formula(["a b c", "a b", "b c a", None], 3)
     for history in [(), ("<s>",), ("a",), ("a", "b"), ("zzz",), ("<s>", "a")]:
-        assert sum(formula.p(history, w) for w in [*words, "unknown"]) == pytest.approx(1)
+        assert sum(formula.p(history, w) for w in [*formula.words, "unknown"]) == pytest.approx(1)
 
 
 def test_no_training_text_and_empty_table(spark, tmp_path):
