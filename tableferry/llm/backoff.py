@@ -60,6 +60,15 @@ def _tokens(raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.insert(word_hashes(raw, starts, ends), first[1:], END), first + np.arange(len(first))
 
 
+def _packed(values: np.ndarray, width: int = 8) -> bytes:
+    """Unsigned values byte by byte from the highest: those of sorted keys and of small numbers hardly differ and compress to little."""
+    return np.ascontiguousarray(values.astype(f">u{width}").view(np.uint8).reshape(-1, width).T).tobytes()
+
+
+def _unpacked(data: bytes, width: int = 8) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(f">u{width}").ravel().astype(f"u{width}")
+
+
 def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out: Column | None = None, orders: int = ORDERS) -> DataFrame:
     """One row for each block: its texts (row, id, held, size with histories, history tokens), token numbers and word hashes; stored."""
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -90,7 +99,7 @@ def blocks(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", held_out
 
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([block]), listed(pa.array(row + texts)), listed(ids), listed(held), listed(pa.array(size.astype(np.int32))), listed(pa.array(lead.astype(np.int32))),
-                         pa.array([numbers.astype(np.int32).tobytes()]), pa.array([np.asarray(words, _U).tobytes()])],
+                         pa.array([_packed(numbers, 4)]), pa.array([np.asarray(words, _U).tobytes()])],
                         ["block", "rows", "ids", "held", "sizes", "leads", "numbers", "words"],
                     )
                     block += 1
@@ -126,19 +135,10 @@ class Grams:
 def _read(batch: pa.RecordBatch, row: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(token numbers, word hashes, place of each token in its piece, size and history of each piece) of a block."""
     size, lead = (np.array(batch.column(c)[row].as_py(), np.int64) for c in ("sizes", "leads"))
-    numbers, words = (np.frombuffer(batch.column(c)[row].as_buffer(), t) for c, t in (("numbers", np.int32), ("words", _U)))
+    numbers, words = _unpacked(batch.column("numbers")[row].as_buffer(), 4).astype(np.int64), np.frombuffer(batch.column("words")[row].as_buffer(), _U)
     return numbers, words, np.arange(len(numbers)) - np.repeat(np.cumsum(size) - size, size), size, lead
 
 
-def _packed(keys: np.ndarray) -> bytes:
-    """Sorted keys, byte by byte from the highest: the first bytes hardly differ, so they compress to little."""
-    return np.ascontiguousarray(keys.astype(">u8").view(np.uint8).reshape(-1, 8).T).tobytes()
-
-
-def _unpacked(data: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(">u8").ravel().astype(_U)
-
-
 def counts(stored_blocks: DataFrame, orders: int = ORDERS) -> DataFrame:
     """(block, n, part, totals, known): for each block, order and range of keys the training counts of the block's n-grams in the order of
     their keys, packed; ``known``, in one row of a range, its n-grams that occur in training texts. Stored."""
@@ -232,6 +232,7 @@ class Automaton:
 
 def score(stored_blocks: DataFrame, totals: DataFrame, orders: int = ORDERS, prior: float = PRIOR) -> DataFrame:
     """(row, doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each text of the blocks."""
+    stored_blocks.sparkSession.sparkContext._jvm.System.gc()  # the files of the counts' shuffle are not needed any more
     learnt = F.aggregate(F.arrays_zip("sizes", "leads", "held"), F.lit(0).cast("long"), lambda s, p: s + F.when(p["held"], 0).otherwise(p["sizes"] - p["leads"]))
     total = stored_blocks.agg(F.sum(learnt)).first()[0] or 0
     # Known tokens; the start mark, known once there is a training text, is none.
