@@ -223,7 +223,7 @@ def spark_type_for(target_type: str, time_enabled: bool = False) -> T.DataType:
 TEXT_BYTES = {"TINYTEXT": 255, "TEXT": 65535, "MEDIUMTEXT": 16777215}
 
 
-def _over_long(v: Column, target_type: str) -> Column | None:
+def over_long(v: Column, target_type: str) -> Column | None:
     """Whether a cast value is longer than its target type holds; None where nothing limits it."""
     t = target_type.strip().upper()
     declared = re.match(r"(?:VAR)?(CHAR|BINARY)\((\d+)\)", t)
@@ -240,7 +240,9 @@ def to_target(c: Column, target_type: str, strict: bool = False) -> Column:
     v = c.cast(spark_type_for(target_type)) if strict else c.try_cast(spark_type_for(target_type))
     if target_type.strip().upper() == "DATETIME":
         v = F.date_trunc("second", v).cast("timestamp_ntz")
-    over = _over_long(v, target_type)
+    if strict and isinstance(spark_type_for(target_type), T.DecimalType):  # NaN and infinity cast to NULL without an error
+        v = F.when(c.isNotNull() & v.isNull(), F.raise_error(F.lit(f"no {target_type}")).cast(spark_type_for(target_type))).otherwise(v)
+    over = over_long(v, target_type)
     if over is None:
         return v
     if strict:

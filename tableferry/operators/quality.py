@@ -9,11 +9,14 @@ however many columns are checked.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tableferry.functions import typemap, values
+from tableferry.sources import paging
 
 # Fixed values of the legacy error analysis.
 LEGACY_TEXT_LIMIT = 255
@@ -84,21 +87,28 @@ def _violations(df: DataFrame, key: str, checks: list[tuple[str, Column, Column,
     )
 
 
-def too_long(df: DataFrame, key: str, limits: dict[str, int]) -> DataFrame:
-    """D2 (error 1406): text longer than its target length, one row per offending cell."""
-    rows = _violations(
-        df, key,
-        [(c, F.length(_c(c)) > F.lit(n), F.length(_c(c)).cast("string"), "1406")
-         for c, n in limits.items()],
-    )
+def _size(df: DataFrame, name: str, limit: int | str) -> tuple[Column, int]:
+    """(measured size, most) of a length rule: characters of text and bytes of binary, or the bytes of a TEXT type."""
+    if isinstance(limit, str):
+        return F.octet_length(_c(name)), typemap.TEXT_BYTES[limit]
+    return F.length(_c(name)), limit
+
+
+def too_long(df: DataFrame, key: str, limits: dict[str, int | str]) -> DataFrame:
+    """D2 (error 1406): values longer than their target holds, one row per offending cell."""
+    checks = []
+    for c, limit in limits.items():
+        size, most = _size(df, c, limit)
+        checks.append((c, size > F.lit(most), size.cast("string"), "1406"))
+    rows = _violations(df, key, checks)
     return rows.select(key, "column_name", F.col("value").cast("bigint").alias("length"))
 
 
-def out_of_range(df: DataFrame, key: str, ranges: dict[str, tuple[int, int]]) -> DataFrame:
-    """D3 (error 1264): numbers outside the target type's range."""
+def out_of_range(df: DataFrame, key: str, ranges: dict[str, tuple[int, int] | str]) -> DataFrame:
+    """D3 (error 1264): numbers outside the target type's range (an integer range, or a DECIMAL type)."""
     checks = [
-        (c, _out_of(df, c, lo, hi), _c(c).cast("string"), "1264")
-        for c, (lo, hi) in ranges.items()
+        (c, reject_code(df, c, r) == "1264" if isinstance(r, str) else _out_of(df, c, *r), _c(c).cast("string"), "1264")
+        for c, r in ranges.items()
     ]
     return _violations(df, key, checks).select(key, "column_name", "value")
 
@@ -124,8 +134,9 @@ _SOURCE_RANGES = {
 
 
 def target_rules(df: DataFrame, target_types: dict[str, str]):
-    """Length limits and integer ranges implied by target types (a range check is left
-    out when the source integer type cannot exceed the target's range)."""
+    """Length limits (CHAR, VARCHAR, BINARY, VARBINARY by their size, TEXT types by name) and number ranges (integers by their
+    ends, DECIMAL by its type) implied by target types. A range check is left out when the source integer
+    type cannot exceed the target's range."""
     limits, ranges = {}, {}
     for c, t in target_types.items():
         if c not in df.columns:
@@ -136,11 +147,61 @@ def target_rules(df: DataFrame, target_types: dict[str, str]):
             src = _SOURCE_RANGES.get(type(df.schema[c].dataType))
             if src is None or src[0] < lo or src[1] > hi:
                 ranges[c] = (lo, hi)
-        elif tt.startswith(("VARCHAR(", "CHAR(")):
+        elif tt.startswith("DECIMAL("):
+            ranges[c] = tt
+        elif tt.startswith(("VARCHAR(", "CHAR(", "VARBINARY(", "BINARY(")):
             limits[c] = int(tt[tt.index("(") + 1:-1])
+        elif tt in typemap.TEXT_BYTES:
+            limits[c] = tt
     return limits, ranges
 
 
+def reject_code(df: DataFrame, name: str, target_type: str) -> Column:
+    """The server's error for a cell that the load rejects, NULL for one that it takes: 1406 too long, 1264 a number out
+    of range, 1292 no date or time, 1366 any other value that the type can't hold.
+
+    Decided by the conversion of the load itself (:func:`typemap.to_target`), so a cell is suspect exactly when its row
+    would be rejected."""
+    value, tt = _c(name), target_type.strip().upper()
+    carrier = typemap.spark_type_for(target_type)
+    failed = value.isNotNull() & typemap.to_target(value, target_type).isNull()
+    over = typemap.over_long(value.try_cast(carrier), target_type)
+    code = F.when(F.lit(False), F.lit(None).cast("string"))
+    if over is not None:
+        code = code.when(over, F.lit("1406"))
+    if isinstance(carrier, (T.TimestampNTZType, T.DateType)):
+        return F.when(failed, code.otherwise(F.lit("1292")))
+    if tt in typemap.INTEGER_RANGES or isinstance(carrier, T.DecimalType):
+        source = df.schema[name].dataType
+        castable = isinstance(source, (T.NumericType, T.StringType, T.BooleanType))
+        number = value.try_cast("double") if castable else F.lit(None).cast("double")
+        if tt in typemap.INTEGER_RANGES:
+            lo, hi = (float(x) for x in typemap.INTEGER_RANGES[tt])
+            wide = (number <= lo - 1) | (number >= hi + 1) | ((F.abs(number) >= 2.0**63) if tt == "BIGINT" else F.lit(False))
+        else:
+            wide = F.abs(number) >= 10.0 ** (carrier.precision - carrier.scale) - 0.5 * 10.0**-carrier.scale
+        code = code.when(~F.isnan(F.coalesce(number, F.lit(0.0))) & wide, F.lit("1264"))
+    return F.when(failed, code.otherwise(F.lit("1366")))
+
+
+def _shown(df: DataFrame, name: str) -> Column:
+    """A cell's value as a report shows it, shortened; bytes as hexadecimal digits."""
+    binary = isinstance(df.schema[name].dataType, T.BinaryType)
+    return values.preview_text(F.hex(_c(name)) if binary else _c(name).cast("string"))
+
+
+def rejected_cells(df: DataFrame, key: str, target_types: dict[str, str]) -> DataFrame:
+    """D5 against a target: (key, column, value, code) of every cell that the load rejects, one pass."""
+    found = [
+        F.struct(F.lit(c).alias("column_name"), _shown(df, c).alias("value"), reject_code(df, c, t).alias("code"))
+        for c, t in target_types.items() if c in df.columns
+    ]
+    if not found:
+        return _violations(df, key, [])
+    cells = F.filter(F.array(*found), lambda s: s["code"].isNotNull())
+    return df.select(_c(key).alias(key), F.inline(cells))
+
+
 def legacy_rules(df: DataFrame):
     """The legacy error analysis' fixed rules: any text longer than 255 characters,
     any number whose absolute value exceeds 2147483647."""
@@ -162,9 +223,11 @@ def key_suspects(df: DataFrame) -> list[str]:
 def suspect_cells(df: DataFrame, key: str, target_types: dict[str, str] | None = None) -> DataFrame:
     """(key, column, value, code) for every cell that D2-D4 flag, one pass.
 
-    With ``target_types`` the limits come from the mapped target types; without, the
+    With ``target_types`` the cells are those that the load rejects (:func:`rejected_cells`); without, the
     legacy analysis' fixed rules apply (:func:`legacy_rules`)."""
-    limits, ranges = target_rules(df, target_types) if target_types is not None else legacy_rules(df)
+    if target_types is not None:
+        return rejected_cells(df, key, target_types)
+    limits, ranges = legacy_rules(df)
     checks = [
         (c, F.length(_c(c)) > F.lit(n), values.preview_text(_c(c)), "1406") for c, n in limits.items()
     ]
@@ -180,28 +243,23 @@ def suspect_cells(df: DataFrame, key: str, target_types: dict[str, str] | None =
     return _violations(df, key, checks)
 
 
+# Names of the error codes in a row's reject reasons.
+_REASONS = {"1406": "length", "1264": "range", "1292": "type", "1366": "type"}
+
+
 def row_problems(df: DataFrame, target_types: dict[str, str]) -> Column:
     """W4 validity: the names of the checks a row fails, comma-joined ('' = loadable).
 
-    A value fails when it cannot be cast to the target's Spark type, is longer than the
-    target length, or is outside the target integer range."""
-    limits, ranges = target_rules(df, target_types)
+    A value fails when the load's own conversion rejects it (:func:`reject_code`)."""
     parts = []
     for c, t in target_types.items():
         if c not in df.columns:
             continue
-        spark_t = typemap.spark_type_for(t)
-        if c in ranges:
-            # Integer targets: a number outside the range is a range problem only.
-            lo, hi = ranges[c]
-            parts.append(F.when(_c(c).isNotNull() & _numeric_view(df, c).isNull(), F.lit(f"{c}:type")))
-            parts.append(F.when(_out_of(df, c, lo, hi), F.lit(f"{c}:range")))
-        else:
-            parts.append(
-                F.when(_c(c).isNotNull() & _c(c).try_cast(spark_t).isNull(), F.lit(f"{c}:type"))
-            )
-        if c in limits:
-            parts.append(F.when(F.length(_c(c)) > F.lit(limits[c]), F.lit(f"{c}:length")))
+        code = reject_code(df, c, t)
+        named = F.when(code.isNull(), F.lit(None).cast("string"))
+        for number, name in _REASONS.items():
+            named = named.when(code == number, F.lit(f"{c}:{name}"))
+        parts.append(named)
     return F.concat_ws(",", *parts) if parts else F.lit("")
 
 
@@ -237,3 +295,29 @@ def reject_summary(bad: DataFrame, max_errors: int = MAX_ERRORS) -> DataFrame:
     return bad.agg(F.count(F.lit(1)).alias("rejected_rows")).withColumn(
         "too_many_errors", F.col("rejected_rows") > max_errors
     )
+
+
+@dataclass
+class OrderedLoad:
+    """Outcome of :func:`load_in_order`: rows with their ``row_no`` in load order."""
+
+    kept: DataFrame
+    errors: DataFrame
+    stop_row: int | None
+
+
+def load_in_order(df: DataFrame, target_types: dict[str, str], order: list[str], max_errors: int = MAX_ERRORS) -> OrderedLoad:
+    """W4, the row-by-row fallback: rows are taken in load order, bad ones are skipped, and the error after ``max_errors``
+    ends the load; the good rows before it are kept, all later ones are not tried.
+
+    No row loop: the distributed row index (:func:`paging.row_index`) gives every row its place, the place of the
+    ending error is the (max_errors + 1)th smallest of the bad rows, and one comparison splits the rest. Rows
+    equal in ``order`` go by a hash of their other columns; without an order the first column is taken, as the
+    legacy loader's paging does."""
+    indexed = paging.row_index(quarantine(df, target_types), order or df.columns[:1], "row_no")
+    bad = indexed.where(F.col("reject_reasons").isNotNull())
+    first = bad.select("row_no").orderBy("row_no").limit(max_errors + 1).collect()  # max_errors + 1 numbers
+    stop = first[-1]["row_no"] if len(first) > max_errors else None
+    tried = F.lit(True) if stop is None else F.col("row_no") <= stop
+    good = indexed.where(F.col("reject_reasons").isNull() & tried)
+    return OrderedLoad(good.drop("reject_reasons"), bad.where(tried), stop)

@@ -52,8 +52,7 @@ def table_catalog(spark: SparkSession, db: Database) -> DataFrame:
     return spark.createDataFrame(rows, TABLES_SCHEMA)
 
 
-def schema_rows(spark: SparkSession, db: Database) -> DataFrame:
-    """Column metadata read from the table schemas only (no data scanned)."""
+def _described(db: Database) -> list[tuple]:
     rows = []
     for t, df in db.tables.items():
         keys = db.keys(t)
@@ -66,7 +65,35 @@ def schema_rows(spark: SparkSession, db: Database) -> DataFrame:
                 (db.schema, t, field.name, data_type, kind, prec, scale,
                  "YES" if field.nullable else "NO", pos, identity, None)
             )
-    return spark.createDataFrame(rows, CATALOG_SCHEMA)
+    return rows
+
+
+def schema_rows(spark: SparkSession, db: Database) -> DataFrame:
+    """Column metadata read from the table schemas only (no data scanned)."""
+    return spark.createDataFrame(_described(db), CATALOG_SCHEMA)
+
+
+def measured_lengths(df: DataFrame) -> dict[str, int | None]:
+    """The longest value of every text and binary column of one table: one aggregate, one row to the driver."""
+    cols = [f.name for f in df.schema.fields if typemap.source_type_of(f.dataType)[3] is not None]
+    if not cols:
+        return {}
+    row = df.agg(*[F.max(F.length(F.col(f"`{c}`"))).cast("bigint").alias(f"l{i}") for i, c in enumerate(cols)]).first()
+    return dict(zip(cols, row))
+
+
+def measured_catalog(spark: SparkSession, db: Database, lengths: dict[str, dict[str, int | None]]) -> DataFrame:
+    """The column catalog of tables whose lengths were measured before (:func:`measured_lengths`): metadata only, no scan
+    and no join, so whole-database jobs map all their tables in one plan. A table that is not in ``lengths`` is
+    declared ``(max)``."""
+    limits = {"chars": typemap.NVARCHAR_DECLARED_MAX, "bytes": typemap.VARBINARY_DECLARED_MAX}
+    rows = []
+    for row in _described(db):
+        schema, table, column, data_type, kind, *rest = row
+        longest = lengths[table].get(column) if table in lengths else -1
+        declared = None if kind is None else -1 if longest is not None and longest > limits[kind] else longest
+        rows.append((schema, table, column, data_type, declared, *rest))
+    return spark.createDataFrame(rows, CATALOG_SCHEMA.simpleString()[7:-1].replace("length_kind:string", "character_maximum_length:bigint"))
 
 
 def length_profile(db: Database) -> DataFrame | None:
