@@ -455,6 +455,36 @@ FROM (VALUES (1, 'doc_id', -5, 'varchar', 'YES'), (2, 'text', 12, 'varchar', 'YE
         f"(SELECT lower(upper(table_name)) FROM ({tgt_list}))"
     )
     o["load_batched"] = "SELECT * FROM customer"
+    o["load_transactional"] = "SELECT *, 1 AS version, true AS second_load_failed FROM customer"
+    keyed = ", ".join(f"('{t}', '{c}', {i})" for t, key in KEYS.items() for i, c in enumerate(key, start=1))
+    created = """
+SELECT m.table_name, m.column_name, m.ordinal_position, m.target_type, k.key_ordinal, k.key_ordinal IS NULL AS takes_null
+FROM mapped m LEFT JOIN (VALUES """ + keyed + """) k(table_name, column_name, key_ordinal) USING (table_name, column_name)"""
+    o["created_tables"] = "WITH " + mapped_cte() + created
+    o["migrate_structures"] = "WITH " + mapped_cte(profile="legacy") + created
+    o["optimize_files"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, count(*) AS row_count, 'optimized' AS status, CAST(NULL AS VARCHAR) AS error, "
+        f"count(*) > 1 AS was_split, 1 AS files_after FROM {t}" for t in ALL
+    )
+    o["file_extremes"] = " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, "
+        f"CAST(min({c}) AS BIGINT) AS min_value, CAST(max({c}) AS BIGINT) AS max_value FROM {t}"
+        for t in ALL for c, kind in SCHEMAS[t] if kind in ("int", "bigint")
+    )
+    in_order = """WITH numbered AS (
+  SELECT row_number() OVER (ORDER BY p_partkey) AS row_no, *, p_partkey < -128 OR p_partkey > 127 AS bad FROM part),
+counted AS (SELECT *, sum(CASE WHEN bad THEN 1 ELSE 0 END) OVER (ORDER BY row_no) AS errors FROM numbered)
+"""
+    o["fallback_rows"] = in_order + "SELECT row_no, p_partkey, p_name FROM counted WHERE NOT bad AND errors <= 10"
+    o["fallback_errors"] = in_order + (
+        "SELECT row_no, p_partkey, 'p_partkey:range' AS reject_reasons, errors = 11 AS stops FROM counted WHERE bad AND errors <= 11"
+    )
+    o["rejected_cells"] = f"""
+SELECT p_partkey, 'p_partkey' AS column_name, CAST(p_partkey AS VARCHAR) AS value, '1264' AS code FROM part WHERE p_partkey > 127
+UNION ALL SELECT p_partkey, 'p_name', {_preview('p_name')}, '1406' FROM part WHERE length(p_name) > 8
+UNION ALL SELECT p_partkey, 'p_brand', {_preview('p_brand')}, '1406' FROM part WHERE strlen(p_brand) > 7
+UNION ALL SELECT p_partkey, 'p_type', {_preview('p_type')}, '1292' FROM part WHERE try_cast(p_type AS DATE) IS NULL AND p_type IS NOT NULL
+UNION ALL SELECT p_partkey, 'p_retailprice', CAST(p_retailprice AS VARCHAR), '1264' FROM part WHERE try_cast(p_retailprice AS DECIMAL(5,2)) IS NULL"""
     first = "c_mktsegment IN ('AUTOMOBILE', 'BUILDING')"
     o["load_rowwise"] = f"""SELECT c_custkey, c_name, c_mktsegment, CAST(length(c_name) AS BIGINT) AS c_name_len,
        CAST(NULL AS INTEGER) AS c_nationkey, CAST(NULL AS DOUBLE) AS c_acctbal FROM customer WHERE {first}
@@ -682,6 +712,7 @@ SELECT *, first_present AND last_present AS batch_ok FROM looked"""
     )
     o["transfer_all"] = _transfer_rows()
     o["transfer_all_single_pass"] = _transfer_rows()
+    o["transfer_transactional"] = _transfer_rows()
     o["run_summary"] = (
         f"SELECT CAST(count(*) FILTER (WHERE success) AS BIGINT) AS success_count, "
         f"CAST(count(*) FILTER (WHERE NOT success) AS BIGINT) AS fail_count, count(*) AS table_count, "

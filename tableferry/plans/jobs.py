@@ -13,13 +13,14 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from tableferry.functions import typemap
-from tableferry.operators import conform, ddl, reconcile
+from tableferry.operators import conform, ddl, quality, reconcile
 from tableferry.plans import load, report
 from tableferry.sources import catalog as cat
-from tableferry.sources import paging
+from tableferry.sources import paging, versioned
 from tableferry.sources.tables import Database
 
 RESULT_SCHEMA = (
@@ -91,8 +92,9 @@ def transfer_table(
     mapped_catalog: DataFrame | dict,
     on_bad_values: str = "fail",
     max_errors: int = 10,
+    sink: str = "parquet",
 ) -> dict:
-    """JOB1: catalog -> map -> conform -> load -> result row.
+    """JOB1: catalog -> map -> create -> conform -> load -> result row.
 
     Zero columns = failure; zero rows = success (an empty target table is written); an
     illegal target name or any error = a failed result row (quirks Q1, Q4).
@@ -100,7 +102,10 @@ def transfer_table(
     ``on_bad_values``: ``"fail"`` (a value that does not fit fails the table, nothing is
     committed), ``"null"`` (it becomes NULL) or ``"quarantine"`` (rows that do not fit go
     to ``<target>__rejects`` with their reasons; more than ``max_errors`` rejects fail the
-    table, as the legacy row-by-row fallback gives up after ten errors)."""
+    table, as the legacy row-by-row fallback gives up after ten errors).
+
+    ``sink="versioned"`` creates the mapped table first (W5, columns counted in what was created) and loads it in one
+    transaction of :mod:`tableferry.sources.versioned`; ``"parquet"`` writes a plain folder."""
     full = f"{source.schema}.{table}"
     tname = target_name(source.schema, table)
     result = {"source_table": full, "target_table": tname, "success": False, "row_count": None, "error": None}
@@ -121,7 +126,14 @@ def transfer_table(
         conformed = (
             strict_conform(df, types) if on_bad_values == "fail" else conform.conform_table(df, types)
         )
-        result["row_count"] = load.write_table(conformed, f"{target_root}/{tname}")
+        if sink == "versioned":
+            path = f"{target_root}/{tname}"
+            made = versioned.create_table(path, versioned.mapped_columns({c: types[c] for c in df.columns if c in types}), source.keys(table))
+            if made != len(df.columns):
+                raise ValueError(f"{made} columns in the target, {len(df.columns)} in the source")
+            result["row_count"] = versioned.load_table(conformed, path, "overwrite")["rows"]
+        else:
+            result["row_count"] = load.write_table(conformed, f"{target_root}/{tname}")
         result["success"] = True
     except Exception as exc:  # isolate the table: its failure is data, not a crash
         result["error"] = _short(exc)
@@ -134,8 +146,6 @@ def _transfer_quarantined(df: DataFrame, types: dict, result: dict, path: str, m
 
     Rejects go with their original values and the reasons to ``<target>__rejects`` — the
     target table keeps exactly the source columns."""
-    from tableferry.operators import quality
-
     tagged = quality.quarantine(df, types)
     bad = tagged.where(F.col("reject_reasons").isNotNull()).count()
     if bad:
@@ -164,14 +174,44 @@ def run_summary(results: DataFrame) -> DataFrame:
 
 
 def read_target(spark: SparkSession, target_root: str, names: list[str], schema: str = "target") -> Database:
-    tables = {}
+    """The tables of a target folder, plain or versioned. One that is not there is missing; any other error of reading
+    is kept in ``unreadable`` with its cause."""
+    tables, errors = {}, {}
     for n in names:
-        if n:
-            try:
-                tables[n] = spark.read.parquet(f"{target_root}/{n}")
-            except Exception:  # noqa: BLE001 — an unreadable target is a missing table
-                continue
-    return Database(schema, tables, {}, {n: "BASE TABLE" for n in tables})
+        if not n:
+            continue
+        path = f"{target_root}/{n}"
+        try:
+            tables[n] = versioned.read_table(spark, path) if versioned.header(path) is not None else spark.read.parquet(path)
+        except AnalysisException as exc:
+            if exc.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                errors[n] = _short(exc)
+        except Exception as exc:  # noqa: BLE001 — kept as data
+            errors[n] = _short(exc)
+    return Database(schema, tables, {}, {n: "BASE TABLE" for n in tables}, errors)
+
+
+def measured_types(
+    spark: SparkSession, db: Database, names: list[str], parallel_tables: int = 8, profile: str = "current", profile_lengths: bool = True
+) -> tuple[dict[str, dict[str, str]], dict[str, str]]:
+    """(target types of every table, errors): one length aggregate for each table, side by side, each failure its own; then all
+    tables are mapped in one plan over their metadata."""
+    errors: dict[str, str] = {}
+
+    def measure(t: str) -> dict:
+        try:
+            return cat.measured_lengths(db.table(t))
+        except Exception as exc:  # the profile's failure is this table's own
+            errors[t] = _short(exc)
+            return {}
+
+    lengths = {}
+    if profile_lengths:
+        with ThreadPoolExecutor(max_workers=max(1, parallel_tables)) as pool:
+            lengths = dict(zip(names, pool.map(measure, names)))
+    good = [t for t in names if t not in errors]
+    types = all_target_types(ddl.map_types(cat.measured_catalog(spark, db.subset(good), lengths), profile)) if good else {}
+    return types, errors
 
 
 def transfer_all(
@@ -183,10 +223,11 @@ def transfer_all(
     on_bad_values: str = "fail",
     profile_lengths: bool = True,
     error_log: str | None = None,
+    sink: str = "parquet",
 ) -> TransferRun:
     """JOB2: every table of the source, failures isolated, then summary and verification.
 
-    Each table is profiled, mapped and loaded on its own; table loads run concurrently.
+    Each table is profiled and loaded on its own, side by side; the metadata of all is mapped in one plan.
     ``profile_lengths=False`` declares text as (max) instead of profiling it first, so
     each table is read once (for very large sources). ``error_log`` is a folder to which
     the errors of this run are added as JSON lines (W9)."""
@@ -209,10 +250,9 @@ def transfer_all(
         others = [x for x in taken[(name or "").lower()] if x != t] if name else []
         return f"target name {name} is also that of {', '.join(others)}" if others else None
 
-    def types_of(t: str) -> dict:
-        """Profiled and mapped table by table: one that can't be read fails alone."""
-        one = cat.column_catalog(spark, db.subset([t]), materialized=False, profile_lengths=profile_lengths)
-        return all_target_types(ddl.map_types(one))
+    errors = {t: refused(t) for t in listed}
+    types, unprofiled = measured_types(spark, db, [t for t in order if errors[t] is None], parallel_tables, profile_lengths=profile_lengths)
+    errors.update(unprofiled)
 
     def load_and_open(t):
         # One scheduler pool per table: under spark.scheduler.mode=FAIR the tables share
@@ -220,13 +260,10 @@ def transfer_all(
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"tableferry-{t}")
         row = {
             "source_table": f"{source.schema}.{t}", "target_table": target_name(source.schema, t),
-            "success": False, "row_count": None, "error": refused(t),
+            "success": False, "row_count": None, "error": errors[t],
         }
         if row["error"] is None:
-            try:
-                row = transfer_table(spark, db, t, target_root, types_of(t), on_bad_values)
-            except Exception as exc:  # the profile's failure is this table's own
-                row["error"] = _short(exc)
+            row = transfer_table(spark, db, t, target_root, types, on_bad_values, sink=sink)
         frame = None
         if row["success"]:
             frame = read_target(spark, target_root, [row["target_table"]]).tables.get(row["target_table"])
@@ -289,20 +326,40 @@ def migrate_table(
     table: str,
     target_root: str,
     page_size: int = paging.DEFAULT_PAGE_SIZE,
+    types: dict[str, str] | None = None,
 ) -> dict:
     """JOB4: legacy copy — count, pre-process (P11-P13), load, counts.
 
     The legacy tool reads ``page_size``-row pages; on Spark the pages are partitions of
-    one pipeline, and ``batches`` reports the page count the legacy run would have made."""
+    one pipeline, and ``batches`` reports the page count the legacy run would have made.
+
+    With ``types`` (P2) the rows go into the versioned table that the structure phase created, in one transaction. If
+    values do not fit, the rows are taken in load order instead (W4): bad ones are skipped, the error after the tenth ends the
+    load, the good rows before it are in the table and the table counts as failed."""
     out = {"table_name": table, "total_records": 0, "migrated_rows": 0, "batches": 0,
            "success": False, "error": None}
     try:
         read = load.observation("read")
-        df = source.table(table).observe(read, F.count(F.lit(1)).alias("rows"))
-        prepared = conform.preprocess_legacy(df)
-        written = load.write_table(prepared, f"{target_root}/{table}")
-        out.update(total_records=int(read.get["rows"]), migrated_rows=written,
-                   batches=math.ceil(written / page_size), success=True)
+        df = source.table(table)
+        prepared = conform.preprocess_legacy(df.observe(read, F.count(F.lit(1)).alias("rows")))
+        if types is None:
+            written = load.write_table(prepared, f"{target_root}/{table}")
+            out.update(total_records=int(read.get["rows"]), success=True)
+        else:
+            path = f"{target_root}/{table}"
+            try:
+                written = versioned.load_table(strict_conform(prepared, types), path, "overwrite")["rows"]
+                out.update(total_records=int(read.get["rows"]), success=True)
+            except Exception:
+                ordered = quality.load_in_order(conform.preprocess_legacy(df), types, source.keys(table))
+                failed = ordered.errors.count()
+                if not failed:  # not a matter of values
+                    raise
+                kept = conform.conform_table(ordered.kept.drop("row_no"), types)
+                written = versioned.load_table(kept, path, "overwrite")["rows"]
+                where = f", stopped at row {ordered.stop_row}" if ordered.stop_row else ""
+                out.update(total_records=df.count(), error=f"{failed} rows failed{where}")
+        out.update(migrated_rows=written, batches=math.ceil(written / page_size))
     except Exception as exc:
         out["error"] = _short(exc)
     return out
@@ -321,21 +378,36 @@ def migrate_database(
     plan: list[str],
     parallel_tables: int = 4,
 ) -> DataFrame:
-    """JOB3: planned tables first (structures, then data, in plan order), then the
-    remaining tables. One row per table; :func:`migration_verdict` summarises."""
+    """JOB3: planned tables first, then the remaining ones, in two phases. Structures: every table is created anew under its
+    legacy types (P2) and primary key (W6), and the columns of the created table are counted against the source. Data:
+    tables with a structure are copied (JOB4). One row per table; :func:`migration_verdict` summarises."""
     available = source.names()
     planned = [t for t in plan if t in available]
     remaining = sorted(t for t in available if t not in plan)
     order = [("planned", i + 1, t) for i, t in enumerate(planned)] + [
         ("remaining", len(planned) + i + 1, t) for i, t in enumerate(remaining)
     ]
-    structure = {t: len(source.table(t).columns) > 0 for t in available}  # schemas only, no data read
+    types, errors = measured_types(spark, source, available, parallel_tables, profile="legacy")
+
+    def create(t):
+        try:
+            fields = source.table(t).schema.fields
+            nullable = {f.name: f.nullable for f in fields}
+            made = versioned.create_table(
+                f"{target_root}/{t}", versioned.mapped_columns(types.get(t, {}), nullable), source.keys(t), replace=True
+            )
+            return None if made == len(fields) else f"{made} of {len(fields)} columns created"
+        except Exception as exc:
+            return _short(exc)
+
+    with ThreadPoolExecutor(max_workers=max(1, parallel_tables)) as pool:
+        errors.update({t: e for t, e in zip(available, pool.map(lambda t: errors.get(t) or create(t), available)) if e})
 
     def run(item):
         phase, pos, t = item
-        if not structure.get(t, False):
-            return (t, phase, pos, False, False, 0, 0, 0, "no column information")
-        r = migrate_table(spark, source, t, target_root)
+        if t in errors:
+            return (t, phase, pos, False, False, 0, 0, 0, errors[t])
+        r = migrate_table(spark, source, t, target_root, types=types[t])
         return (t, phase, pos, True, r["success"], r["total_records"], r["migrated_rows"],
                 r["batches"], r["error"])
 
@@ -372,7 +444,7 @@ def migration_verdict(migration: DataFrame) -> DataFrame:
 
 
 def list_target_tables(spark: SparkSession, target_root: str, candidates: list[str]) -> DataFrame:
-    """The target listing (SHOW TABLES): candidate names with a data file in their folder.
+    """The target listing (SHOW TABLES): candidate names with a data file, or a version, in their folder.
 
     One look at each folder; a folder that is not there is no table, and any other listing
     error rises (a target that can't be listed must not read as empty)."""
@@ -386,7 +458,8 @@ def list_target_tables(spark: SparkSession, target_root: str, candidates: list[s
             return False
         files = fs.listFiles(path, True)
         while files.hasNext():
-            if files.next().getPath().getName().endswith(".parquet"):
+            at = files.next().getPath()
+            if at.getName().endswith(".parquet") or at.getParent().getName() == "_log":
                 return True
         return False
 
@@ -416,21 +489,27 @@ def validate_action(
     return validation, reconcile.validate_database(validation)
 
 
-def maintenance_report(spark: SparkSession, target_root: str, names: list[str]) -> DataFrame:
-    """Analyze every target table; report its exact row count and status."""
+def maintenance_report(spark: SparkSession, target_root: str, names: list[str], target_bytes: int = versioned.TARGET_BYTES) -> DataFrame:
+    """Merge small files, analyze and recount every target table: (table_name, row_count, status, error, files_before,
+    files_after). ``optimized`` means that no files are left to merge and the statistics stand; a table
+    that is not there is ``missing``, one that failed is ``error`` with its cause."""
     import hashlib
 
     run = hashlib.md5(target_root.encode()).hexdigest()[:10]  # catalog names unique per target
 
     def maintain(n):
-        return {**load.maintain_table(spark, f"tf_{run}_{n}", f"{target_root}/{n}"), "table_name": n}
+        return {**load.maintain_table(spark, f"tf_{run}_{n}", f"{target_root}/{n}", target_bytes=target_bytes), "table_name": n}
 
     with ThreadPoolExecutor(max_workers=4) as pool:
         status = list(pool.map(maintain, names))
-    status_df = spark.createDataFrame(status, "table_name string, status string, error string")
+    status_df = spark.createDataFrame(
+        status, "table_name string, status string, error string, files_before int, files_after int"
+    )
     target = read_target(spark, target_root, names)
     counts = cat.row_counts(target) if target.tables else spark.createDataFrame([], "table_name string, row_count bigint")
-    return status_df.join(counts, "table_name", "left").select("table_name", "row_count", "status")
+    return status_df.join(counts, "table_name", "left").select(
+        "table_name", "row_count", "status", "error", "files_before", "files_after"
+    )
 
 
 def optimize_action(spark: SparkSession, source: Database, target_root: str, plan: list[str]) -> DataFrame:

@@ -13,10 +13,13 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tableferry.sources import versioned
+
 # Fixed value: rows per INSERT batch of the current loader.
 JDBC_BATCH_SIZE = 500
 
@@ -150,31 +153,58 @@ def write_jdbc_atomic(
 
 
 def maintain_table(
-    spark: SparkSession, name: str, path: str, compact_files: int | None = None, columns: list[str] | None = None
+    spark: SparkSession, name: str, path: str, target_bytes: int = versioned.TARGET_BYTES, columns: list[str] | None = None
 ) -> dict:
-    """Analyze one target table (row count and statistics of ``columns``; by default all
-    that have a simple type) under a temporary catalog name.
+    """W7 for one target table: its small files are merged, then it is analyzed (row count and statistics of ``columns``, by
+    default all that have a simple type) and stays registered under ``name`` with its statistics.
 
-    ``compact_files`` (the counterpart of OPTIMIZE) first rewrites a table of more files into
-    that many, in a folder beside it, and swaps the folders: a failed rewrite leaves the
-    table as it was. The status is ``optimized`` only where all steps went through."""
+    A versioned table merges bins of files (:func:`versioned.compact`); a plain folder that holds more files than its bytes
+    fill is rewritten into that many and swapped, so a failed rewrite leaves it as it was. The status is
+    ``optimized`` only where nothing is left to merge and the analysis went through."""
+    out = {"table_name": name, "status": "error", "error": None, "files_before": None, "files_after": None}
     try:
-        if compact_files:
-            compact_table(spark, path, compact_files)
-        frame = spark.read.parquet(path)
+        told = versioned.header(path)
+        if told is None:
+            frame = spark.read.parquet(path)
+            out["files_before"] = len(frame.inputFiles())
+            wanted = files_wanted(spark, path, target_bytes)
+            compact_table(spark, path, wanted)
+            frame = spark.read.parquet(path)
+            out["files_after"] = len(frame.inputFiles())
+            left = max(0, out["files_after"] - wanted)
+        else:
+            merged = versioned.compact(spark, path, target_bytes)
+            out.update(files_before=merged["files_before"], files_after=merged["files_after"])
+            frame = versioned.read_table(spark, path)
+            files = versioned.files_of(path, versioned.header(path))
+            left = len(versioned.plan_bins([(f["file"], f["bytes"]) for f in files], target_bytes))
         simple = [f.name for f in frame.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))]
-        wanted = simple if columns is None else [c for c in columns if c in simple]
+        wanted_columns = simple if columns is None else [c for c in columns if c in simple]
         spark.sql(f"DROP TABLE IF EXISTS `{name}`")
-        spark.sql(f"CREATE TABLE `{name}` USING parquet LOCATION '{path}'")
-        try:
+        # The statistics of a versioned table are those of its file list, which each commit brings up to date.
+        if told is None:
+            spark.sql(f"CREATE TABLE `{name}` USING parquet LOCATION '{path}'")
             spark.sql(f"ANALYZE TABLE `{name}` COMPUTE STATISTICS")
-            if wanted:
-                spark.sql(f"ANALYZE TABLE `{name}` COMPUTE STATISTICS FOR COLUMNS {', '.join(f'`{c}`' for c in wanted)}")
-        finally:
-            spark.sql(f"DROP TABLE IF EXISTS `{name}`")
-        return {"table_name": name, "status": "optimized", "error": None}
+            if wanted_columns:
+                spark.sql(f"ANALYZE TABLE `{name}` COMPUTE STATISTICS FOR COLUMNS {', '.join(f'`{c}`' for c in wanted_columns)}")
+        elif frame.count() != versioned.header(path)["rows"]:
+            raise ValueError("the files do not hold the rows of their list")
+        if left:
+            raise ValueError(f"{left} merges are left")
+        out["status"] = "optimized"
+    except AnalysisException as exc:
+        missing = exc.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+        out.update(status="missing" if missing else "error", error=str(exc).splitlines()[0][:200])
     except Exception as exc:  # one table's failure is its own result row
-        return {"table_name": name, "status": "error", "error": str(exc).splitlines()[0][:200]}
+        out["error"] = str(exc).splitlines()[0][:200]
+    return out
+
+
+def files_wanted(spark: SparkSession, path: str, target_bytes: int = versioned.TARGET_BYTES) -> int:
+    """How many files of ``target_bytes`` the bytes of a folder fill."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return max(1, -(-fs.getContentSummary(at).getLength() // target_bytes))
 
 
 def compact_table(spark: SparkSession, path: str, files: int) -> bool:

@@ -9,6 +9,7 @@ folder and read the result back.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +21,7 @@ from tableferry.operators import conform, ddl, profile, quality, reconcile, seto
 from tableferry.plans import jobs, load, report
 from tableferry.session import apply_defaults, new_run_dir
 from tableferry.sources import catalog as cat
-from tableferry.sources import paging
+from tableferry.sources import paging, versioned
 from tableferry.sources.tables import (
     ALL_TABLES,
     FOREIGN_KEYS,
@@ -168,6 +169,80 @@ def q_load_batched(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def q_load_transactional(spark, sf_dir):
+    """Customer in one transaction, then a load whose row with the largest key does not fit: the table stays as it was."""
+    customer = _db(spark, sf_dir, ["customer"]).table("customer")
+    types = jobs.measured_types(spark, _db(spark, sf_dir, ["customer"]), ["customer"])[0]["customer"]
+    path = new_run_dir(spark, "load_transactional") + "/dbo_customer"
+    versioned.create_table(path, versioned.mapped_columns(types), ["c_custkey"])
+    versioned.load_table(jobs.strict_conform(customer, types), path)
+    last = F.col("c_custkey") == customer.agg(F.max("c_custkey")).scalar()
+    bad = customer.withColumn("c_mktsegment", F.when(last, F.repeat("c_mktsegment", 50)).otherwise(F.col("c_mktsegment")))
+    try:
+        versioned.load_table(bad.repartitionByRange(4, "c_custkey"), path, "overwrite")
+        failed = False
+    except Exception:
+        failed = True
+    told = versioned.header(path)
+    return versioned.read_table(spark, path).withColumns({"version": F.lit(told["version"]), "second_load_failed": F.lit(failed)})
+
+
+def _created(spark, root: str, folders: dict[str, str]) -> DataFrame:
+    """The columns of created tables, from their published headers (metadata: one row for each column)."""
+    rows = []
+    for name, folder in folders.items():
+        told = versioned.header(f"{root}/{folder}")
+        for i, c in enumerate(told["columns"], start=1):
+            rows.append((name, c["name"], i, c["type"], told["key"].index(c["name"]) + 1 if c["name"] in told["key"] else None, c["nullable"]))
+    return spark.createDataFrame(
+        rows, "table_name string, column_name string, ordinal_position int, target_type string, key_ordinal int, takes_null boolean"
+    )
+
+
+def q_created_tables(spark, sf_dir):
+    """Every table created under its mapped types, lengths measured in the data, and read back."""
+    db, root = _db(spark, sf_dir), new_run_dir(spark, "created")
+    types, _ = jobs.measured_types(spark, db, db.names())
+    for t in db.names():
+        versioned.create_table(f"{root}/{t}", versioned.mapped_columns(types[t]), PRIMARY_KEYS[t])
+    return _created(spark, root, {t: t for t in db.names()})
+
+
+def q_migrate_structures(spark, sf_dir):
+    """JOB3, structures: the legacy types (P2) and keys of the tables that a whole migration created."""
+    db, root = _db(spark, sf_dir), new_run_dir(spark, "migrate_structures")
+    jobs.migrate_database(spark, db, root, PLAN)
+    return _created(spark, root, {t: t for t in db.names()})
+
+
+def q_optimize_files(spark, sf_dir):
+    """Every table loaded in up to eight files, merged to what its bytes fill, and recounted."""
+    db, root = _db(spark, sf_dir), new_run_dir(spark, "optimize_files")
+    for t in db.names():
+        versioned.load_table(db.table(t).repartition(8), f"{root}/{t}")
+    report = jobs.maintenance_report(spark, root, db.names())
+    return report.select(
+        "table_name", "row_count", "status", "error", (F.col("files_before") > 1).alias("was_split"), "files_after"
+    )
+
+
+def q_file_extremes(spark, sf_dir):
+    """Rows, nulls and extremes of the integer columns of every table, from the file lists of versioned tables alone."""
+    db, root = _db(spark, sf_dir), new_run_dir(spark, "file_extremes")
+    parts = []
+    for t in db.names():
+        whole = [f.name for f in db.table(t).schema.fields if f.dataType.simpleString() in ("int", "bigint")]
+        if whole:
+            versioned.load_table(db.table(t).repartition(4), f"{root}/{t}")
+            listed = versioned.file_list(spark, f"{root}/{t}").select(F.lit(t).alias("table_name"), "rows", F.inline("stats"))
+            parts.append(listed.where(F.col("column").isin(whole)))
+    every = reduce(DataFrame.unionByName, parts)
+    return every.groupBy("table_name", F.col("column").alias("column_name")).agg(
+        F.sum("rows").alias("row_count"), F.sum("nulls").alias("null_count"),
+        F.min(F.col("low").cast("bigint")).alias("min_value"), F.max(F.col("high").cast("bigint")).alias("max_value"),
+    )
+
+
 def _ragged_frames(spark, sf_dir):
     c = _db(spark, sf_dir, ["customer"]).table("customer")
     first = F.col("c_mktsegment").isin("AUTOMOBILE", "BUILDING")
@@ -217,6 +292,29 @@ def q_reject_summary(spark, sf_dir):
     return quality.reject_summary(bad)
 
 
+def _part_in_order(spark, sf_dir):
+    part = _db(spark, sf_dir, ["part"]).table("part")
+    return quality.load_in_order(part, _target_types(spark, sf_dir, "part"), ["p_partkey"])
+
+
+def q_fallback_rows(spark, sf_dir):
+    """The rows that a load row by row keeps, up to the error that ends it."""
+    return _part_in_order(spark, sf_dir).kept.select("row_no", "p_partkey", "p_name")
+
+
+def q_fallback_errors(spark, sf_dir):
+    """The errors of that load, the last one being where it stops."""
+    out = _part_in_order(spark, sf_dir)
+    return out.errors.select("row_no", "p_partkey", "reject_reasons", (F.col("row_no") == F.lit(out.stop_row)).alias("stops"))
+
+
+def q_rejected_cells(spark, sf_dir):
+    """D5 against given target types: numbers, bytes, text and dates that the load rejects."""
+    part = _db(spark, sf_dir, ["part"]).table("part")
+    types = {"p_partkey": "TINYINT", "p_name": "VARCHAR(8)", "p_brand": "BINARY(7)", "p_type": "DATE", "p_retailprice": "DECIMAL(5,2)"}
+    return quality.suspect_cells(part, "p_partkey", types)
+
+
 # --------------------------------------------------------------------------- typemap / ddl
 
 
@@ -552,6 +650,12 @@ def q_transfer_all_single_pass(spark, sf_dir):
     return jobs.transfer_report(run)
 
 
+def q_transfer_transactional(spark, sf_dir):
+    """JOB2 into versioned tables: each is created under its mapped types and loaded in one transaction."""
+    db = _db(spark, sf_dir, ALL_TABLES)
+    return jobs.transfer_report(jobs.transfer_all(spark, db, new_run_dir(spark, "transfer_tx"), sink="versioned"))
+
+
 def q_run_summary(spark, sf_dir):
     return _transfer_run(spark, sf_dir).summary
 
@@ -590,11 +694,12 @@ def q_maintenance_report(spark, sf_dir):
     root = new_run_dir(spark, "maintenance")
     db = _db(spark, sf_dir, ALL_TABLES)
     jobs.migrate_database(spark, db, root, PLAN)
-    return jobs.maintenance_report(spark, root, db.names())
+    return jobs.maintenance_report(spark, root, db.names()).select("table_name", "row_count", "status")
 
 
 def q_optimize_action(spark, sf_dir):
-    return jobs.optimize_action(spark, _db(spark, sf_dir, ALL_TABLES), new_run_dir(spark, "optimize"), PLAN)
+    done = jobs.optimize_action(spark, _db(spark, sf_dir, ALL_TABLES), new_run_dir(spark, "optimize"), PLAN)
+    return done.select("table_name", "row_count", "status")
 
 
 def q_run_all(spark, sf_dir):
