@@ -71,6 +71,8 @@ def main() -> None:
         "content_diff": content_diff,
         "quarantine": quarantine,
     }
+    if os.environ.get("BENCH_ONLY"):
+        benches = {k: v for k, v in benches.items() if k in os.environ["BENCH_ONLY"].split(",")}
     results = {}
     for name, fn in benches.items():
         fn()  # warm-up
@@ -93,7 +95,7 @@ def main() -> None:
                 "unit": "sec",
                 "queries": results,
                 "sf": sf,
-                "transfer_rows_per_sec": round(rows / results["transfer_all"], 1),
+                "transfer_rows_per_sec": round(rows / results["transfer_all"], 1) if "transfer_all" in results else None,
                 "cpus": int(cpus),
             }
         )

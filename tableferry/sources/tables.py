@@ -7,6 +7,7 @@ plan lazy so Catalyst can prune columns and push filters into the scan.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,12 +93,17 @@ def read_database(
 
     A listed table that cannot be opened is kept in ``unreadable`` with its error, so
     listings can flag it while every other table stays usable."""
-    frames, errors = {}, {}
-    for t in tables:
+    def opened(t: str) -> DataFrame | str:
         try:
-            frames[t] = read_parquet_table(spark, sf_dir, t)
+            return read_parquet_table(spark, sf_dir, t)
         except Exception as exc:  # noqa: BLE001 — the error is reported as data
-            errors[t] = (str(exc).strip().splitlines() or [type(exc).__name__])[0][:300]
+            return (str(exc).strip().splitlines() or [type(exc).__name__])[0][:300]
+
+    # Opening a table reads a footer: side by side.
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        found = dict(zip(tables, pool.map(opened, tables)))
+    frames = {t: f for t, f in found.items() if isinstance(f, DataFrame)}
+    errors = {t: e for t, e in found.items() if isinstance(e, str)}
     return Database(
         schema,
         frames,
