@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableferry.llm import contamination, language, mixing, neardup, sharding
-from tableferry.llm.textkit import read_table, stored
+from tableferry.llm.textkit import read_table, with_rows
 from tableferry.session import new_run_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -59,10 +59,10 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with ``shard`` and ``slot`` (columns of these names are replaced)."""
-    docs = stored(_packed(docs.drop("shard", "slot"), "doc_id", "text").withColumn("row", F.monotonically_increasing_id()), "documents")
-    rows, links = sharding.document_rows(docs, row=F.col("row"))
-    found = sharding.shard(rows, links).select("row", "shard", "slot")
-    return docs.select("row", "doc").join(found, "row").select("doc.*", "shard", "slot")
+    docs = _packed(with_rows(docs.drop("shard", "slot"), "__row"), "doc_id", "text", "__row")
+    rows, links = sharding.document_rows(docs, row=F.col("__row"))
+    found = sharding.shard(rows, links).select(F.col("row").alias("__row"), "shard", "slot")
+    return docs.select("__row", "doc").join(found, "__row").select("doc.*", "shard", "slot").drop("__row")
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableferry.llm.textkit import stored
+from tableferry.llm.textkit import discard, stored
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -25,6 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
         new = stored(small.where("a <> b").distinct(), "small")
         before, after = (x.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first() for x in (edges, new))
+        discard(large, edges)
         edges = new
         if before == after:
             break

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tableferry.llm.textkit import read_table, stored
+from tableferry.llm.textkit import discard, read_table, scratch, stored
 
 SHARDS = 24
 #: The smallest part of a round's moves that is tried: one in so many.
@@ -108,6 +108,7 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int) -> DataFrame:
             best, score, part = state, now, 1
             if over:
                 return best
+            discard(wish)
             wish = stored(wishes(links, best, held), "wishes")
             if wish.isEmpty():
                 return best
@@ -115,10 +116,16 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int) -> DataFrame:
             part *= 2
             if part > DAMPED:
                 return best
+        discard(held)
         some = wish.where(F.pmod(F.xxhash64("vertex", F.lit(-1 - turn)), F.lit(part)) == 0)
-        moves = stored(allowed(some, best, shards, mean, turn), "moves")
+        with scratch() as keep:
+            moves = stored(allowed(some, best, shards, mean, turn), "moves")
+            keep.append(moves)
         turn += 1
+        if state is not best:
+            discard(state)
         state = stored(best.join(moves, "vertex", "left").select("vertex", "weight", F.coalesce("to", "shard").alias("shard")), "labels")
+        discard(moves)
 
 
 def numbered(rows: DataFrame, order: list[str], partitions: int) -> DataFrame:
@@ -134,14 +141,18 @@ def numbered(rows: DataFrame, order: list[str], partitions: int) -> DataFrame:
 
 def shard(rows: DataFrame, links: DataFrame, shards: int = SHARDS) -> DataFrame:
     """``rows`` (row, text_key, id, ...) with shard and slot; ``links``: (row, key), rows that share a key are linked."""
-    placed = stored(vertices(rows, shards), "vertices")
-    nodes = placed.groupBy("vertex").agg(F.count("*").alias("weight"))
-    texts = placed.select("vertex", F.xxhash64(F.lit("text"), "text_key").alias("key")).distinct()
-    named = links.join(placed.select("row", "vertex"), "row").select("vertex", "key")
-    labels = propagate(nodes, texts.unionByName(named), shards).select("vertex", F.col("shard").alias("label"))
+    with scratch() as keep:
+        placed = stored(vertices(rows, shards), "vertices")
+        nodes = placed.groupBy("vertex").agg(F.count("*").alias("weight"))
+        texts = placed.select("vertex", F.xxhash64(F.lit("text"), "text_key").alias("key")).distinct()
+        named = links.join(placed.select("row", "vertex"), "row").select("vertex", "key")
+        labels = propagate(nodes, texts.unionByName(named), shards)
+        keep += [placed, labels]
     total = placed.count()
     partitions = max(1, -(-total // 50_000))
-    out = numbered(placed.join(labels, "vertex").drop("vertex"), ["label", "text_key", "id", "row"], partitions)
+    label = labels.select("vertex", F.col("shard").alias("label"))
+    out = numbered(placed.join(label, "vertex").drop("vertex"), ["label", "text_key", "id", "row"], partitions)
+    discard(placed, labels)
     place = F.expr(f"cast(number * {shards} div {max(1, total)} as int)")
     first = F.expr(f"(cast(shard as bigint) * {total} + {shards} - 1) div {shards}")
     return out.withColumn("shard", place).withColumn("slot", F.col("number") - first).drop("number", "label")

@@ -7,13 +7,17 @@ a task's memory follows the longest text and not the partition.
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tableferry.session import new_run_dir
 
@@ -40,7 +44,49 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = f"{new_run_dir(df.sparkSession, label)}/{uuid.uuid4().hex[:8]}"
     df.write.option("compression", "zstd").parquet(path)
     df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    for scope in getattr(_open, "scopes", []):
+        scope.append(table)
+    return table
+
+
+_open = threading.local()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of :func:`stored` that no plan reads any more; any other DataFrame is left alone."""
+    for table in tables:
+        if getattr(table, "stored_at", None):
+            at = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+            at.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            table.stored_at = None
+
+
+@contextmanager
+def scratch() -> Iterator[list[DataFrame]]:
+    """Tables that this thread stores inside are removed at the end, but for those appended to the list that is given."""
+    made: list[DataFrame] = []
+    keep: list[DataFrame] = []
+    _open.scopes = [*getattr(_open, "scopes", []), made]
+    try:
+        yield keep
+    finally:
+        _open.scopes = _open.scopes[:-1]
+        discard(*(t for t in made if not any(t is k for k in keep)))
+
+
+def with_rows(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a number for each row that every reading gives again: the place of its file and its place in the file, so that a
+    narrow result can be joined to it later. What is not read from Parquet files is stored first."""
+    file, at = F.col("_metadata.file_path"), F.col("_metadata.row_index")
+    try:
+        found = docs.select("*", file.alias("__file"), at.alias("__at"))
+    except AnalysisException:
+        return stored(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    files = sorted(r[0] for r in found.select("__file").distinct().collect())  # a row for each file
+    numbers = docs.sparkSession.createDataFrame([(f, i << 40) for i, f in enumerate(files)], "__file string, __first long")
+    return found.join(numbers, "__file").withColumn(name, F.col("__first") + F.col("__at")).drop("__file", "__first", "__at")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
