@@ -288,6 +288,50 @@ def _transfer_rows() -> str:
     return " UNION ALL ".join(parts)
 
 
+_FAMILIES = {"tinyint": "BIGINT", "smallint": "BIGINT", "int": "BIGINT", "bigint": "BIGINT", "float": "DOUBLE", "double": "DOUBLE",
+             "string": "VARCHAR", "date": "DATE", "timestamp": "TIMESTAMP", "timestamp_ntz": "TIMESTAMP"}
+
+
+def _unique_sets(max_size=3) -> str:
+    """Every set of up to ``max_size`` columns of every table, counted; then the unique ones without a unique part."""
+    from itertools import combinations
+
+    sets = []
+    for t in ALL:
+        columns = [c for c, kind in SCHEMAS[t] if kind in _FAMILIES]
+        for size in range(1, max_size + 1):
+            for s in combinations(columns, size):
+                row = s[0] if size == 1 else f"({', '.join(s)})"
+                whole = " AND ".join(f"count({c}) = count(*)" for c in s)
+                listed = ", ".join(f"'{c}'" for c in s)
+                sets.append(f"SELECT '{t}' AS t, [{listed}] AS c, (SELECT count(DISTINCT {row}) = count(*) AND {whole} FROM {t}) AS u")
+    return f"""sets AS MATERIALIZED ({' UNION ALL '.join(sets)}),
+keys AS MATERIALIZED (SELECT t AS table_name, array_to_string(c, ',') AS key_columns, CAST(len(c) AS INTEGER) AS size FROM sets x
+  WHERE u AND NOT EXISTS (SELECT 1 FROM sets y WHERE y.u AND y.t = x.t AND len(y.c) < len(x.c) AND list_has_all(x.c, y.c)))"""
+
+
+def _inclusions() -> str:
+    """Every pair of columns of one family, counted value by value."""
+    parts = []
+    for family in sorted(set(_FAMILIES.values())):
+        values = [
+            f"SELECT DISTINCT '{t}' AS t, '{c}' AS c, CAST({c} AS {family}) AS v FROM {t} WHERE {c} IS NOT NULL"
+            for t in ALL for c, kind in SCHEMAS[t] if _FAMILIES.get(kind) == family
+        ]
+        if values:
+            parts.append(f"""SELECT a.t AS child_table, a.c AS child_column, b.t AS parent_table, b.c AS parent_column, min(n) AS n_values
+  FROM (SELECT *, count(*) OVER (PARTITION BY t, c) AS n FROM ({' UNION ALL '.join(values)})) a JOIN ({' UNION ALL '.join(values)}) b USING (v)
+  WHERE a.t <> b.t OR a.c <> b.c GROUP BY ALL HAVING count(*) = min(n)""")
+    return f"inclusions AS MATERIALIZED ({' UNION ALL '.join(parts)})"
+
+
+def _references() -> str:
+    """Inclusions in the chosen key of another table, names equal but for a prefix of one or two letters."""
+    return """chosen AS (SELECT table_name, min_by(key_columns, (size, key_columns)) AS key_columns FROM keys GROUP BY table_name),
+refs AS MATERIALIZED (SELECT i.* FROM inclusions i JOIN keys k ON k.table_name = parent_table AND k.key_columns = parent_column AND k.size = 1
+  WHERE child_table <> parent_table AND regexp_replace(child_column, '^[a-z]{1,2}_', '') = regexp_replace(parent_column, '^[a-z]{1,2}_', ''))"""
+
+
 def _migration_rows(tables=ALL) -> str:
     planned = [t for t in PLAN if t in tables]
     remaining = sorted(t for t in tables if t not in PLAN)
@@ -454,6 +498,19 @@ FROM (VALUES (1, 'doc_id', -5, 'varchar', 'YES'), (2, 'text', 12, 'varchar', 'YE
         f"SELECT table_name FROM ({src_names}) WHERE lower(table_name) NOT IN "
         f"(SELECT lower(upper(table_name)) FROM ({tgt_list}))"
     )
+    o["minimal_keys"] = f"WITH {_unique_sets()} SELECT * FROM keys"
+    o["inclusion_dependencies"] = f"WITH {_inclusions()} SELECT * FROM inclusions"
+    found = f"WITH RECURSIVE {_unique_sets()},\n{_inclusions()},\n{_references()}"
+    o["primary_keys"] = found + """
+SELECT 'dbo' AS table_schema, table_name, unnest(string_split(key_columns, ',')) AS column_name,
+  CAST(unnest(range(1, len(string_split(key_columns, ',')) + 1)) AS INTEGER) AS key_ordinal FROM chosen"""
+    o["foreign_keys"] = found + """
+SELECT 'dbo' AS table_schema, child_table AS table_name, child_column AS column_name, parent_table AS referenced_table_name,
+  parent_column AS referenced_column_name FROM refs JOIN chosen ON chosen.table_name = parent_table AND key_columns = parent_column"""
+    o["load_levels"] = found + f""",
+paths AS (SELECT t, 0 AS level FROM (VALUES {', '.join(f"('{t}')" for t in ALL)}) x(t)
+  UNION SELECT child_table, level + 1 FROM paths JOIN refs ON parent_table = t WHERE level < 20)
+SELECT t AS table_name, CAST(max(level) AS INTEGER) AS level, CAST(NULL AS VARCHAR) AS ring FROM paths GROUP BY t"""
     o["load_batched"] = "SELECT * FROM customer"
     o["load_transactional"] = "SELECT *, 1 AS version, true AS second_load_failed FROM customer"
     keyed = ", ".join(f"('{t}', '{c}', {i})" for t, key in KEYS.items() for i, c in enumerate(key, start=1))

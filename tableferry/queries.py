@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 from tableferry import fixtures
 from tableferry.functions import names as N
 from tableferry.functions import values as V
-from tableferry.operators import conform, ddl, profile, quality, reconcile, setops
+from tableferry.operators import conform, ddl, discovery, profile, quality, reconcile, setops
 from tableferry.plans import jobs, load, report
-from tableferry.session import apply_defaults, new_run_dir
+from tableferry.session import apply_defaults, materialize, new_run_dir
 from tableferry.sources import catalog as cat
 from tableferry.sources import paging, versioned
 from tableferry.sources.tables import (
@@ -496,6 +496,44 @@ def q_lossy_rows(spark, sf_dir):
     return parts[0].unionByName(parts[1]).select("table_name", "column_name", "target_type", "lossy_rows")
 
 
+# --------------------------------------------------------------------------- keys and references from data
+
+
+def q_minimal_keys(spark, sf_dir):
+    """S10 without a catalog: minimal keys of up to three columns of every table."""
+    return discovery.minimal_keys(spark, _db(spark, sf_dir))
+
+
+def q_inclusion_dependencies(spark, sf_dir):
+    """S11 without a catalog: every column whose values are all in another column, over all tables."""
+    return discovery.inclusion_dependencies(spark, _db(spark, sf_dir))
+
+
+def _discovered(spark, sf_dir):
+    db = _db(spark, sf_dir)
+    keys = materialize(discovery.minimal_keys(spark, db))
+    return keys, materialize(discovery.reference_candidates(discovery.inclusion_dependencies(spark, db), keys))
+
+
+def q_primary_keys(spark, sf_dir):
+    """The primary keys that the constraint rows made of discovered keys name, in key order."""
+    usage, _ = discovery.key_usage("dbo", *_discovered(spark, sf_dir))
+    return cat.primary_keys(usage)
+
+
+def q_foreign_keys(spark, sf_dir):
+    """The foreign keys of the constraint rows made of discovered keys and inclusions."""
+    usage, constraints = discovery.key_usage("dbo", *_discovered(spark, sf_dir))
+    return cat.foreign_keys(constraints, usage)
+
+
+def q_load_levels(spark, sf_dir):
+    """T2, JOB3: the load order that the discovered references of agreeing names ask for."""
+    _, references = _discovered(spark, sf_dir)
+    tables = spark.createDataFrame([(t,) for t in ALL_TABLES], "table_name string")
+    return discovery.load_levels(tables, references.where("same_name"))
+
+
 # --------------------------------------------------------------------------- profile / reconcile
 
 
