@@ -9,8 +9,11 @@
 
 Equal bounds count as beaten by smaller ids, so many equal vectors leave k candidates and not all of them.
 
-Defined results: rows whose vector is null or holds a null, a non-finite component or one that does not fit 28 bits after scaling,
-and rows with a null id, take no part; vectors of different lengths are not compared; a query sees every row but its own, so
+Where the components are so large that a score can leave the whole numbers that doubles hold (2**53), bounds are widened by what
+rounding can cost, and exact scores are Python integers, ordered by their bytes; else all is double and long arithmetic.
+
+Defined results: rows whose vector is null or holds a null or a component that is not finite (before or after scaling), and rows
+with a null id, take no part; a score beyond 64 bits is null, its rank is right; vectors of different lengths are not compared; a query sees every row but its own, so
 repeated rows see each other; fewer than k candidates: all of them; ties go to the smaller id, then to the row met first.
 """
 
@@ -34,17 +37,34 @@ FAN_IN = 64
 
 def quantise(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", scale: int = 64) -> tuple[DataFrame, DataFrame]:
     """(rows: row, vec_id, dim, v, cells; edges: dim, at, lo, hi): scaled integers and the cell of each component."""
-    big = 1 << 28
     x = F.col("x")
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("x")).where("vec_id IS NOT NULL AND x IS NOT NULL")
-    rows = rows.where(F.forall(x, lambda c: F.coalesce(F.abs(c * scale) < big, F.lit(False)) & ~F.isnan(F.coalesce(c, F.lit(float("nan"))))))
-    rows = stored(rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", F.size("x").alias("dim"), F.transform("x", lambda c: F.floor(c * scale).cast("int")).alias("v")), "vectors")
+    rows = rows.where(F.forall(x, lambda c: F.coalesce((F.abs(c * scale) < float("inf")) & ~F.isnan(c), F.lit(False))))
+    whole = F.transform("x", lambda c: _whole(c * scale))
+    rows = stored(rows.select(F.monotonically_increasing_id().alias("row"), "vec_id", F.size("x").alias("dim"), whole.alias("v")), "vectors")
     edges = rows.select("dim", F.posexplode("v").alias("at", "c")).groupBy("dim", "at").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
     listed = stored(edges.groupBy("dim").agg(F.transform(F.array_sort(F.collect_list(F.struct("at", "lo", "hi"))), lambda e: F.struct(e["lo"].alias("lo"), e["hi"].alias("hi"))).alias("edges")), "edges")
-    cell = F.zip_with("v", "edges", lambda c, e: F.floor((c - e["lo"]) * CELLS / (e["hi"] - e["lo"] + 1)).cast("tinyint"))
+    # In halves, which a difference of doubles never leaves.
+    place = lambda c, e: F.floor((c / 2 - e["lo"] / 2) / (e["hi"] / 2 - e["lo"] / 2 + 0.5) * CELLS)
+    cell = F.zip_with("v", "edges", lambda c, e: F.greatest(F.lit(0), F.least(F.lit(CELLS - 1), place(c, e))).cast("tinyint"))
     return stored(rows.join(listed, "dim", "left").withColumn("cells", F.coalesce(cell, F.array().cast("array<tinyint>"))).drop("edges"), "cells"), listed
 
 
+def _whole(c: Column) -> Column:
+    """The floor of a double as a double: one of 2**52 or more is whole."""
+    return F.when(F.abs(c) < 2.0**52, F.floor(F.when(F.abs(c) < 2.0**52, c).otherwise(0.0)).cast("double")).otherwise(c)
+
+
+def _peak(edges: np.ndarray) -> float:
+    """The largest size that a score between vectors within these edges can have."""
+    with np.errstate(over="ignore"):
+        return float((np.abs(edges).max(axis=1, initial=0) ** 2).sum())
+
+
+#: Whole numbers below are exact in doubles.
+EXACT = 2.0**53
+
+
 def _matrix(column: pa.Array, dim: int, kind: type) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(kind).reshape(len(column), dim)
 
@@ -69,35 +89,62 @@ def _scan(cells: DataFrame, queries: list, edges: dict[int, np.ndarray], k: int)
                 part = batch.filter(pa.array(dims == dim)) if (dims != dim).any() else batch
                 part = part.take(pa.array(np.lexsort((part.column(0).to_numpy(), part.column(1).to_numpy()))))  # by id: an earlier row wins ties
                 row, ids, n = part.column(0).to_numpy(), part.column(1).to_numpy(), part.num_rows
-                lo, hi = (ranges[int(dim)][:, i].astype(np.float64) for i in (0, 1)) if dim else (np.zeros(0), np.zeros(0))
-                cell, width = _matrix(part.column(3), int(dim), np.float64), hi - lo + 1
-                low, high = np.ceil(lo + cell * width / CELLS), np.ceil(lo + (cell + 1) * width / CELLS) - 1  # the integers of a cell
+                lo, hi = (ranges[int(dim)][:, i] for i in (0, 1)) if dim else (np.zeros(0), np.zeros(0))
+                cell = _matrix(part.column(3), int(dim), np.float64)
                 numbers = np.array([q[0] for q in mine])
                 vectors = np.array([q[2] for q in mine], np.float64).reshape(len(mine), int(dim))
-                peak = np.abs(vectors).sum(axis=1).max() * max(1.0, np.abs(low).max(initial=0), np.abs(high).max(initial=0))
-                kind = np.float32 if peak < 1 << 24 else np.float64  # whole numbers are exact below
+                reach = _peak(ranges[int(dim)])
+                if reach < EXACT and reach * n < 1 << 62:  # a bound and a place fit 64 bits together
+                    width = hi - lo + 1
+                    low, high = np.ceil(lo + cell * width / CELLS) - 1, np.ceil(lo + (cell + 1) * width / CELLS)  # the integers of a cell, and one more at each end
+                    low, high = np.maximum(low, lo), np.minimum(high, hi)
+                    peak = np.abs(vectors).sum(axis=1).max() * max(1.0, np.abs(low).max(initial=0), np.abs(high).max(initial=0))
+                    kind, slack = np.float32 if peak < 1 << 24 else np.float64, None  # whole numbers are exact below
+                else:
+                    half = hi / 2 - lo / 2 + 0.5
+                    loss = (np.abs(lo) + np.abs(hi)) * 2.0**-45 + 1
+                    low, high = (np.clip(2 * (lo / 2 + (cell + i) * half / CELLS) + side * loss, lo, hi) for i, side in ((0, -1), (1, 1)))
+                    most_of = np.maximum(np.abs(lo), np.abs(hi))
+                    kind, slack = np.float64, (np.abs(vectors) @ most_of) * 2.0**-40
                 low, high, back = low.astype(kind), high.astype(kind), np.arange(n - 1, -1, -1)
                 for at in range(0, len(mine), STEP):
-                    least, most = bounds(vectors[at : at + STEP].astype(kind), low, high)
+                    with np.errstate(over="ignore", invalid="ignore"):
+                        least, most = bounds(vectors[at : at + STEP].astype(kind), low, high)
+                        if slack is not None:
+                            least, most = least - slack[at : at + STEP, None], most + slack[at : at + STEP, None]
+                            least, most = np.where(np.isfinite(least), least, -np.inf), np.where(np.isfinite(most), most, np.inf)
+                    least, most = least.astype(np.float64), most.astype(np.float64)
                     own = numbers[at : at + STEP, None] == row[None, :]
-                    least, most = (x.astype(np.int64) * n + back for x in (least, most))
-                    least[own] = most[own] = np.iinfo(np.int64).min
                     m = min(k, n)
-                    top = np.argpartition(least, n - m, axis=1)[:, n - m :]
-                    limit = np.take_along_axis(least, top, axis=1).min(axis=1)
-                    good = np.take_along_axis(least, top, axis=1) > np.iinfo(np.int64).min
-                    query, place = np.nonzero((most >= limit[:, None]) & ~own)
-                    best = _lists(top[good], np.take_along_axis(least, top, axis=1)[good], n, ids, row, good.sum(axis=1))
-                    found = _lists(place, most[query, place], n, ids, row, np.bincount(query, minlength=len(top)))
+                    # By the bound, then the smaller id: the place decides between equal bounds.
+                    order = np.empty(least.shape, np.int64)
+                    ranked = np.argsort(np.where(own, -np.inf, least), axis=1, kind="stable") if slack is not None else None
+                    if ranked is None:
+                        order = least.astype(np.int64) * n + back
+                        upper = most.astype(np.int64) * n + back
+                        order[own] = upper[own] = np.iinfo(np.int64).min
+                    else:
+                        np.put_along_axis(order, ranked, np.broadcast_to(np.arange(n), order.shape), axis=1)
+                    top = np.argpartition(order, n - m, axis=1)[:, n - m :]
+                    good = ~np.take_along_axis(own, top, axis=1)
+                    if ranked is None:
+                        limit = np.take_along_axis(order, top, axis=1).min(axis=1)
+                        found_at = (upper >= limit[:, None]) & ~own
+                    else:
+                        limit = np.where(good, np.take_along_axis(least, top, axis=1), -np.inf).min(axis=1)
+                        found_at = (most >= limit[:, None]) & ~own
+                    query, place = np.nonzero(found_at)
+                    best = _lists(top[good], np.take_along_axis(least, top, axis=1)[good], ids, row, good.sum(axis=1))
+                    found = _lists(place, most[query, place], ids, row, np.bincount(query, minlength=len(top)))
                     yield pa.RecordBatch.from_arrays([pa.array(numbers[at : at + STEP]), pa.array(np.full(len(top), number, np.int32)), best, found], ["query", "part", "top", "found"])
 
-    entry = "array<struct<bound: long, vec_id: long, row: long>>"
+    entry = "array<struct<bound: double, vec_id: long, row: long>>"
     scanned = cells.select("row", "vec_id", "dim", "cells").mapInArrow(run, f"query long, part int, top {entry}, found {entry}")
     return scanned.withColumn("part", F.spark_partition_id() * 1000 + F.col("part"))
 
 
-def _lists(place: np.ndarray, value: np.ndarray, n: int, ids: np.ndarray, row: np.ndarray, counts: np.ndarray) -> pa.Array:
-    entries = pa.StructArray.from_arrays([pa.array(-(value // n)), pa.array(ids[place]), pa.array(row[place])], ["bound", "vec_id", "row"])
+def _lists(place: np.ndarray, value: np.ndarray, ids: np.ndarray, row: np.ndarray, counts: np.ndarray) -> pa.Array:
+    entries = pa.StructArray.from_arrays([pa.array(0.0 - value), pa.array(ids[place]), pa.array(row[place])], ["bound", "vec_id", "row"])
     return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(counts)].astype(np.int32)), entries)
 
 
@@ -105,14 +152,28 @@ def _best(lists: Column, k: int) -> Column:
     return F.slice(F.array_sort(F.flatten(F.collect_list(lists))), 1, k)
 
 
+#: Bytes of a score of doubles: products of two 1024-bit numbers, and the sums of any dimension.
+SCORE_BYTES = 264
+
+
+def _exact_scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Scores in Python's integers; the key is the score, moved above zero, in bytes from the highest."""
+    for batch in batches:
+        scores = [sum(int(x) * int(y) for x, y in zip(a, b, strict=True)) for a, b in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)]
+        keys = [(s + (1 << (8 * SCORE_BYTES - 1))).to_bytes(SCORE_BYTES, "big") for s in scores]
+        fitting = [s if -(1 << 63) <= s < 1 << 63 else None for s in scores]
+        least = [float(np.nextafter(float(s), -np.inf)) if abs(s) < 1 << 1020 else (np.finfo(float).max if s > 0 else -np.inf) for s in scores]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(fitting, pa.int64()), pa.array(keys, pa.binary()), pa.array(least, pa.float64())], ["query", "row", "vec_id", "score", "key", "least"])
+
+
 def top_k(rows: DataFrame, edges: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(row of the query, vec_id, score, rank) for ``queries`` (rows of ``rows``), from 1 for the largest score."""
-    ranges = {r["dim"]: np.array([(e["lo"], e["hi"]) for e in r["edges"]], np.int64).reshape(-1, 2) for r in edges.collect()}
+    ranges = {r["dim"]: np.array([(e["lo"], e["hi"]) for e in r["edges"]], np.float64).reshape(-1, 2) for r in edges.collect()}
     blocks = -(-queries.count() // QUERY_BLOCK)
     placed = queries.select("row", "dim", "v", F.pmod(F.xxhash64("row"), F.lit(max(1, blocks))).alias("block"))
     found = None
     for block in range(blocks):
-        asked = [(r["row"], r["dim"], np.array(r["v"], np.int32)) for r in placed.where(F.col("block") == block).collect()]
+        asked = [(r["row"], r["dim"], np.array(r["v"], np.float64)) for r in placed.where(F.col("block") == block).collect()]
         part = stored(_scan(rows, asked, ranges, k), "scan")
         found = part if found is None else found.unionByName(part)
     if found is None:
@@ -125,17 +186,22 @@ def top_k(rows: DataFrame, edges: DataFrame, queries: DataFrame, k: int) -> Data
     left = stored(left, "candidates")
     exact = rows.select("row", F.col("v").alias("cv"))
     asked = queries.select(F.col("row").alias("query"), "v")
-    score = F.aggregate(F.zip_with("v", "cv", lambda a, b: a.cast("long") * b), F.lit(0).cast("long"), lambda s, x: s + x)
+    peak = max((_peak(e) for e in ranges.values()), default=0.0)
 
     def read(candidates: DataFrame) -> DataFrame:
-        return candidates.join(exact, "row").join(asked, "query").select("query", "row", "vec_id", score.alias("score"))
+        """(query, row, vec_id, score, key: in the order of the scores, least: a double that the score reaches) of the exact vectors."""
+        both = candidates.join(exact, "row").join(asked, "query")
+        if peak < EXACT:
+            score = F.aggregate(F.zip_with("v", "cv", lambda a, b: a.cast("long") * b.cast("long")), F.lit(0).cast("long"), lambda s, x: s + x)
+            return both.select("query", "row", "vec_id", score.alias("score")).select("*", F.col("score").alias("key"), F.col("score").cast("double").alias("least"))
+        return both.select("query", "row", "vec_id", "v", "cv").mapInArrow(_exact_scores, "query long, row long, vec_id long, score long, key binary, least double")
 
     order = Window.partitionBy("query").orderBy("bound", "vec_id", "row")
     ordered = stored(left.withColumn("at", F.row_number().over(order)), "ordered")
     first = stored(read(ordered.where(F.col("at") <= k)), "read")
-    least = first.groupBy("query").agg(F.min("score").alias("least"), F.count("*").alias("m")).select("query", F.when(F.col("m") >= k, F.col("least")).alias("least"))
+    least = first.groupBy("query").agg(F.min("least").alias("least"), F.count("*").alias("m")).select("query", F.when(F.col("m") >= k, F.col("least")).alias("least"))
     rest = ordered.where(F.col("at") > k).join(least, "query").where(F.coalesce(-F.col("bound") >= F.col("least"), F.lit(True)))
-    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
+    best = Window.partitionBy("query").orderBy(F.desc("key"), "vec_id", "row")
     scored = first.unionByName(read(rest.select("query", "row", "vec_id")))
     return scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query", "vec_id", "score", "rank")
 
