@@ -93,7 +93,7 @@ def _scan(cells: DataFrame, queries: list, edges: dict[int, np.ndarray], k: int)
                 cell = _matrix(part.column(3), int(dim), np.float64)
                 numbers = np.array([q[0] for q in mine])
                 vectors = np.array([q[2] for q in mine], np.float64).reshape(len(mine), int(dim))
-                reach = _peak(ranges[int(dim)])
+                reach = _peak(ranges[int(dim)]) if dim else 0.0
                 if reach < EXACT and reach * n < 1 << 62:  # a bound and a place fit 64 bits together
                     width = hi - lo + 1
                     low, high = np.ceil(lo + cell * width / CELLS) - 1, np.ceil(lo + (cell + 1) * width / CELLS)  # the integers of a cell, and one more at each end
