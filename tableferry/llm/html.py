@@ -44,20 +44,80 @@ _ODD = re.compile(rf"<(/?)({'|'.join(sorted(ODD))})\b", re.I)
 _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 _SCOPE = frozenset("ul ol dl table div section article main aside nav header footer body form blockquote".split())
 
-Path = tuple[tuple[str, tuple[str, ...]], ...]
+class Node:
+    """An open block element below its parent. Equal paths of the pages of one tree are one node, so a path is never copied;
+    ``inherited`` holds the distinct tags and names on it and is shared with the parent where an element adds none."""
+
+    __slots__ = ("tag", "names", "parent", "below", "inherited")
+
+    def __init__(self, tag: str = "", names: tuple[str, ...] = (), parent: Node | None = None):
+        self.tag, self.names, self.parent = tag, names, parent
+        self.below: dict[tuple[str, tuple[str, ...]], Node] = {}
+        above = parent.inherited if parent else frozenset()
+        own = {f"tag {tag}", *(f"name {y}" for y in names)} if parent else set()
+        self.inherited: frozenset[str] = above if own <= above else above | own
+
+    def child(self, tag: str, names: tuple[str, ...]) -> Node:
+        found = self.below.get((tag, names))
+        if found is None:
+            found = self.below[tag, names] = Node(tag, names, self)
+        return found
+
+    def nearest(self, n: int) -> list[Node]:
+        """The last ``n`` elements of the path, from the outermost."""
+        out, at = [], self
+        while at.parent is not None and len(out) < n:
+            out.append(at)
+            at = at.parent
+        return out[::-1]
 
 
 @dataclass
 class Block:
-    path: Path
+    path: Node
     text: str
     linked: int  # characters inside links
 
 
-def blocks(page: str) -> list[Block]:
-    """The leaf blocks in page order, character references decoded, white space joined."""
+class _Open:
+    """The open elements, with the places of each tag, so that looking for one does not go through all of them."""
+
+    def __init__(self, root: Node):
+        self.root, self.stack, self.places, self.scopes = root, [], {}, []
+
+    @property
+    def node(self) -> Node:
+        return self.stack[-1][1] if self.stack else self.root
+
+    def push(self, tag: str, names: tuple[str, ...]) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if tag in _SCOPE:
+            self.scopes.append(len(self.stack))
+        self.stack.append((tag, self.node if tag in INLINE else self.node.child(tag, names)))
+
+    def holds(self, tag: str) -> bool:
+        return bool(self.places.get(tag))
+
+    def in_scope(self, tag: str) -> bool:
+        """Whether ``tag`` is open with no element of :data:`_SCOPE` inside it."""
+        return self.holds(tag) and (not self.scopes or self.scopes[-1] <= self.places[tag][-1])
+
+    def close(self, tag: str) -> None:
+        """Close the innermost ``tag`` and all inside it; without one, nothing."""
+        if not self.holds(tag):
+            return
+        first = self.places[tag][-1]
+        while len(self.stack) > first:
+            inner = self.stack.pop()[0]
+            self.places[inner].pop()
+            if inner in _SCOPE:
+                self.scopes.pop()
+
+
+def blocks(page: str, root: Node | None = None) -> list[Block]:
+    """The leaf blocks in page order, character references decoded, white space joined; paths are nodes of the tree ``root``."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
+    open_ = _Open(root or Node())
     parts: list[str] = []
     linked, at, end = 0, 0, len(page)
     paired: set[int] = set()  # where elements of ODD with an end tag start
@@ -74,22 +134,16 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join(references.unescape("".join(parts)).split())
             if text:
-                out.append(Block(tuple(x for x in stack if x[0] not in INLINE), text, linked))
+                out.append(Block(open_.node, text, linked))
             parts.clear()
         linked = 0
 
-    def close(tag: str) -> None:
-        for i in range(len(stack) - 1, -1, -1):
-            if stack[i][0] == tag:
-                del stack[i:]
-                return
-
     while at < end:
         tag = _TAG.search(page, at)
         text = page[at : tag.start() if tag else end]
         if text:
             parts.append(text)
-            if any(x[0] == "a" for x in stack):
+            if open_.holds("a"):
                 linked += len(text)
         if not tag:
             break
@@ -100,7 +154,7 @@ def blocks(page: str) -> list[Block]:
         if tag[1]:
             if name not in INLINE:
                 flush()
-            close(name)
+            open_.close(name)
             continue
         if name == "br":
             parts.append(" ")
@@ -111,16 +165,12 @@ def blocks(page: str) -> list[Block]:
             continue
         if name not in INLINE:
             flush()
-            open_ = [x[0] for x in stack]
-            if "p" in open_ and not any(x in _SCOPE for x in open_[len(open_) - open_[::-1].index("p") :]):
-                close("p")
-            for other in _CLOSES.get(name, ()):
-                inner = [x[0] for x in stack]
-                if other in inner and not any(x in _SCOPE for x in inner[len(inner) - inner[::-1].index(other) :]):
-                    close(other)
+            for other in ("p", *_CLOSES.get(name, ())):
+                if open_.in_scope(other):
+                    open_.close(other)
         if name not in VOID and (name not in ODD or tag.start() in paired) and not (name in ODD and tag[3].rstrip().endswith("/")):
             names = _NAME.findall(" ".join(filter(None, (y for x in _NAMES.findall(tag[3]) for y in x))).lower()) if tag[3] else ()
-            stack.append((name, tuple(names)))
+            open_.push(name, tuple(names))
     flush()
     return out
 
@@ -129,12 +179,12 @@ def _hash(name: str, bits: int) -> int:
     return zlib.crc32(name.encode()) & ((1 << bits) - 1)
 
 
-def path_features(path: Path, bits: int = BITS) -> list[int]:
+def path_features(path: Node, bits: int = BITS) -> list[int]:
     """Ancestor tags, their names (class, id, role), parent and grandparent."""
-    tags = [x[0] for x in path]
-    found = {f"tag {x}" for x in tags} | {f"name {y}" for x in path for y in x[1]}
-    found |= {f"parent {tags[-1] if tags else ''}", f"above {'/'.join(tags[-2:])}"}
-    found |= {f"near {x[0]} {y}" for x in path[-3:] for y in x[1]}
+    near = path.nearest(3)
+    tags = [x.tag for x in near]
+    found = path.inherited | {f"parent {tags[-1] if tags else ''}", f"above {'/'.join(tags[-2:])}"}
+    found |= {f"near {x.tag} {y}" for x in near for y in x.names}
     return sorted({_hash(x, bits) for x in found})
 
 
@@ -150,7 +200,7 @@ def text_features(block: Block, at: int, n: int, bits: int = BITS) -> list[int]:
     return [_hash(f"text {x}", bits) for x in found]
 
 
-def page_features(page: list[Block], known: dict[Path, list[int]], bits: int = BITS) -> list[list[int]]:
+def page_features(page: list[Block], known: dict[Node, list[int]], bits: int = BITS) -> list[list[int]]:
     out = []
     for i, block in enumerate(page):
         above = known.get(block.path)
@@ -321,10 +371,10 @@ def labelled_pages(count: int = PAGES, seed: int = 11) -> Iterator[tuple[str, li
 
 def learn(count: int = PAGES) -> Crf:
     """The field of the invented pages; pages whose blocks don't match their labels would be a fault of the generator."""
-    known: dict[Path, list[int]] = {}
-    pages = []
+    known: dict[Node, list[int]] = {}
+    root, pages = Node(), []
     for page, labels in labelled_pages(count):
-        found = blocks(page)
+        found = blocks(page, root)
         if len(found) != len(labels):
             raise ValueError(f"{len(found)} blocks for {len(labels)} labels")
         pages.append((page_features(found, known), labels))
@@ -338,13 +388,14 @@ def extract(pages: DataFrame, model: Crf, keep: list[str], html: str = "html") -
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in named.schema.fields[:-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[Path, list[int]] = {}
+        root, known = Node(), {}
         for batch in batches:
             texts, counts = [], []
             for page in batch.column(batch.num_columns - 1).to_pylist():
                 if len(known) > 50_000:
                     known.clear()
-                found = blocks(page or "")
+                    root = Node()
+                found = blocks(page or "", root)
                 kept = [x.text for x, good in zip(found, shared.value.decode(page_features(found, known, shared.value.bits)), strict=True) if good]
                 texts.append("\n\n".join(kept))
                 counts.append(len(kept))
