@@ -60,15 +60,18 @@ def words_of(text: Column) -> Column:
 
 def scan(docs: DataFrame, keep: list[str], text: str = "text", base: dict[str, str] = BASE, notices: dict[str, str] = NOTICES) -> DataFrame:
     """``keep`` columns, n_words and places: array of (label, exact, start, stop, share) of all verified spans, in words."""
-    named = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*keep).alias("kept"), words_of(F.col(text)).alias("words"))
-    hashed = F.transform(F.sequence(F.lit(1), F.size("words") - 1), lambda i: F.xxhash64(F.get("words", i - 1), F.get("words", i)))
-    # The last entry is no 2-gram: it carries rows without any hit.
-    listed = F.concat(F.when(F.size("words") > 1, hashed).otherwise(F.array().cast("array<long>")), F.array(F.lit(None).cast("long")))
-    rolling = named.select("row", "kept", "words", F.posexplode(listed).alias("place", "hash"))
     grams = template_grams(docs.sparkSession, base, notices).withColumn("hash", F.xxhash64("first", "second"))
-    real = (F.get("words", F.col("place")) == F.col("first")) & (F.get("words", F.col("place") + 1) == F.col("second"))
-    hits = rolling.join(F.broadcast(grams), "hash", "left").where(F.col("hash").isNull() | real)
-    votes = hits.select("row", "kept", F.size("words").cast("long").alias("n_words"), "template", "label", "exact", "grams", (F.col("place") - F.col("at")).alias("diagonal"), "place", "at")
+    wanted = [r["hash"] for r in grams.select("hash").distinct().collect()]  # as many as the templates have
+    named = docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*keep).alias("kept"), words_of(F.col(text)).alias("words"))
+    first, second = lambda i: F.get("words", i), lambda i: F.get("words", i + 1)
+    # All rolling 2-gram hashes, of which those of some template go on: neither the words nor the other places leave the row.
+    places = F.filter(F.sequence(F.lit(0), F.size("words") - 2), lambda i: F.xxhash64(first(i), second(i)).isin(wanted))
+    entries = F.transform(places, lambda i: F.struct(i.alias("place"), F.xxhash64(first(i), second(i)).alias("hash"), first(i).alias("one"), second(i).alias("two")))
+    found = named.select("row", "kept", F.size("words").cast("long").alias("n_words"), F.when(F.size("words") > 1, entries).alias("entries"))
+    rolling = found.select("row", "kept", "n_words", F.explode_outer("entries").alias("e")).select("row", "kept", "n_words", "e.*")
+    same = (rolling["hash"] == grams["hash"]) & (F.col("one") == F.col("first")) & (F.col("two") == F.col("second"))
+    hits = rolling.join(F.broadcast(grams), same, "left")  # a row without any entry comes once, without a template
+    votes = hits.select("row", "kept", "n_words", "template", "label", "exact", "grams", (F.col("place") - F.col("at")).alias("diagonal"), "place", "at")
     diagonals = votes.groupBy("row", "kept", "n_words", "template", "label", "exact", "grams", "diagonal").agg(F.min("place").alias("low"), F.max("place").alias("high"), F.collect_set("at").alias("ats"))
     order = Window.partitionBy("row", "template").orderBy("low", "diagonal")
     apart = (F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) > SLACK) | (F.col("low") > F.lag("high").over(order) + GAP)

@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -437,3 +438,23 @@ def test_language_accuracy_and_odd_rows(spark):
     assert odd[900] == odd[901] == odd[902] == "und" and odd[903] == odd[None] == "aa"
     nothing = table.where("false")
     assert language.predict(nothing, language.learn(nothing)).count() == 0 and {x["lang_pred"] for x in language.predict(table, language.learn(nothing)).collect()} == {"und"}
+
+
+def test_parsing_grows_with_the_page_not_its_depth():
+    def seconds(page):
+        begin = time.perf_counter()
+        html.page_features(html.blocks(page), {})
+        return time.perf_counter() - begin
+
+    for piece in ("<div>x y ", "<div class=c>x<p>y ", "<a>x "):
+        short, long = (min(seconds(piece * n) for _ in range(3)) for n in (2_000, 16_000))
+        assert long < 24 * short + 0.2, piece
+
+
+def test_license_scan_of_a_long_text(spark):
+    words = " ".join(f"w{i % 5000}" for i in range(60_000))
+    rows = [(n, f"{words * n} all rights reserved {words}") for n in (1, 4)]
+    found = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string"), ["doc_id"])
+    got = {r.doc_id: (r.n_words, [(p.label, p.start) for p in r.places]) for r in found.collect()}
+    # The copies of a text join at a word, which makes one of two.
+    assert got == {n: (60_000 * (n + 1) + 3 - (n - 1), [("reserved", 60_000 * n - (n - 1))]) for n in (1, 4)}
