@@ -472,6 +472,9 @@ SELECT table_schema, table_name, column_name, data_type,
 FROM catalog"""
     )
     o["stream_transfer"] = "SELECT * FROM orders"
+    o["stream_progress"] = (
+        "SELECT CAST(4 AS BIGINT) AS batches, count(*) AS n_rows, count(*) AS rows_done, CAST(100.0 AS DOUBLE) AS percent, true AS rates_agree FROM orders"
+    )
     o["schema_probe"] = """SELECT p.ordinal_position, p.column_name, p.type_code, p.data_type,
        CASE p.column_name WHEN 'text' THEN (SELECT CAST(max(length(text)) AS BIGINT) FROM documents)
                           WHEN 'lang' THEN (SELECT CAST(max(length(lang)) AS BIGINT) FROM documents)

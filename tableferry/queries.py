@@ -665,6 +665,23 @@ def q_stream_transfer(spark, sf_dir):
     return spark.read.parquet(f"{root}/dbo_orders")
 
 
+def q_stream_progress(spark, sf_dir):
+    """A5: the progress rows of a copy in micro-batches of one file: what does not depend on the clock, and whether the rate
+    is that of the rows and the time that passed."""
+    from tableferry.streaming.incremental import stream_copy, throughput
+
+    orders = _db(spark, sf_dir, ["orders"]).table("orders")
+    root = new_run_dir(spark, "stream_progress")
+    load.write_table(orders.repartitionByRange(4, "o_orderkey"), f"{root}/in")
+    log = stream_copy(spark, f"{root}/in", "*.parquet", orders.schema, f"{root}/out", f"{root}/_checkpoint", max_files_per_trigger=1)
+    found = throughput(log, orders.count())
+    rate = F.abs(F.col("rows_per_second") * F.col("passed_ms") / 1000 - F.col("rows_done")) <= 0.001 * F.col("rows_done") + F.col("passed_ms") / 10_000
+    return found.agg(
+        F.count(F.lit(1)).alias("batches"), F.sum("n_rows").alias("n_rows"), F.max("rows_done").alias("rows_done"),
+        F.max("percent").alias("percent"), F.bool_and((F.col("passed_ms") > 0) & rate).alias("rates_agree"),
+    )
+
+
 def q_transfer_table(spark, sf_dir):
     db = _db(spark, sf_dir, ["orders"])
     mapped = ddl.map_types(cat.column_catalog(spark, db))

@@ -143,6 +143,7 @@ def test_stream_copy_is_exactly_once_on_rerun(spark, source):
     log = stream_copy(spark, SF_SMALL, "orders.parquet", orders.schema, root + "/out", root + "/_ckpt",
                       {"o_totalprice": "DOUBLE"}, max_files_per_trigger=1)
     assert sum(r.n_rows for r in log.collect()) == orders.count()
+    assert all(r.elapsed_ms >= 0 and r.started is not None for r in log.collect())
     again = stream_copy(spark, SF_SMALL, "orders.parquet", orders.schema, root + "/out", root + "/_ckpt")
     assert sum(r.n_rows for r in again.collect()) == 0  # checkpoint: nothing is copied twice
     out = spark.read.parquet(root + "/out")
@@ -171,3 +172,30 @@ def test_transfer_without_length_profile(spark, source):
     assert mapped["c_name"] == "LONGTEXT" and mapped["text"] == "LONGTEXT" and mapped["c_custkey"] == "BIGINT"
     run = jobs.transfer_all(spark, db, new_run_dir(spark, "test-noprofile"), profile_lengths=False)
     assert all(r.is_valid for r in jobs.transfer_report(run).collect())
+
+
+def test_throughput_rows(spark):
+    from datetime import datetime
+
+    from tableferry.streaming import incremental
+
+    def at(ms):
+        return datetime(2024, 1, 1, 0, 0, ms // 1000, ms % 1000 * 1000)
+
+    log = incremental.batch_log(spark, [(0, 100, at(0), 0), (1, 300, at(500), 1500), (2, 0, at(4000), 0)])
+    got = [tuple(r) for r in incremental.throughput(log, 400).orderBy("batch_id").collect()]
+    assert got == [(0, 100, 100, 25.0, 0, 0.0), (1, 300, 400, 100.0, 2000, 200.0), (2, 0, 400, 100.0, 4000, 100.0)]
+    assert incremental.throughput(incremental.batch_log(spark, []), 0).count() == 0
+
+
+def test_a_failed_stream_leaves_no_listener_and_no_setting(spark):
+    import pytest
+
+    from tableferry.streaming.incremental import stream_copy
+
+    root = new_run_dir(spark, "test-stream-fail")
+    spark.createDataFrame([(1, 300)], "id long, v long").write.parquet(root + "/in")
+    before = dict(spark.conf.getAll)
+    with pytest.raises(Exception):
+        stream_copy(spark, root + "/in", "*.parquet", spark.read.parquet(root + "/in").schema, root + "/out", root + "/_ckpt", {"v": "TINYINT"})
+    assert dict(spark.conf.getAll) == before
