@@ -199,3 +199,30 @@ def test_a_failed_stream_leaves_no_listener_and_no_setting(spark):
     with pytest.raises(Exception):
         stream_copy(spark, root + "/in", "*.parquet", spark.read.parquet(root + "/in").schema, root + "/out", root + "/_ckpt", {"v": "TINYINT"})
     assert dict(spark.conf.getAll) == before
+
+
+def test_migration_takes_rows_in_order_where_values_do_not_fit(spark):
+    from tableferry.sources import versioned
+
+    rows = [(i, "x" * 70_000 if i % 2 else f"row {i}") for i in range(40)]  # longer than the legacy TEXT holds
+    src = Database("dbo", {"t": spark.createDataFrame(rows, "id long, body string").repartition(3), "fine": spark.range(3)}, {"t": ["id"]})
+    root = new_run_dir(spark, "test-ordered")
+    got = {r.table_name: r for r in jobs.migrate_database(spark, src, root, ["t"]).collect()}
+    assert got["t"].structure_ok and not got["t"].data_ok and got["t"].error == "11 rows failed, stopped at row 22"
+    assert got["t"].migrated_rows == 11 and got["t"].total_records == 40 and got["fine"].data_ok
+    assert sorted(r.id for r in versioned.read_table(spark, f"{root}/t").collect()) == list(range(0, 22, 2))
+    told = versioned.header(f"{root}/t")
+    assert [(c["name"], c["type"], c["nullable"]) for c in told["columns"]] == [("id", "BIGINT", False), ("body", "TEXT", True)]
+    again = jobs.migrate_database(spark, src, root, ["t"]).collect()  # drop and recreate: nothing twice
+    assert {r.table_name: r.migrated_rows for r in again} == {"t": 11, "fine": 3}
+
+
+def test_maintenance_says_what_it_did(spark):
+    root = new_run_dir(spark, "test-maintain")
+    spark.range(50).repartition(5).write.parquet(root + "/plain")
+    spark.createDataFrame([("x",)], "v string").write.text(root + "/broken")
+    report = {r.table_name: r for r in jobs.maintenance_report(spark, root, ["plain", "broken", "absent"]).collect()}
+    assert (report["plain"].status, report["plain"].files_before, report["plain"].files_after, report["plain"].row_count) == ("optimized", 5, 1, 50)
+    assert report["absent"].status == "missing" and report["absent"].error and report["absent"].row_count is None
+    assert report["broken"].status in ("missing", "error") and report["broken"].error
+    assert sorted(r.id for r in spark.read.parquet(root + "/plain").collect()) == list(range(50))
