@@ -64,3 +64,14 @@ def scrambled_customer(customer: DataFrame) -> DataFrame:
     })
     extra = moved.where(first == "b").withColumn("c_custkey", -1 - F.col("c_custkey"))
     return moved.unionByName(moved.where(first == "a")).unionByName(extra)
+
+
+def near_copy(lineitem: DataFrame) -> DataFrame:
+    """A nearly equal copy of a table without a key: by the md5 of order and line, rows that
+    start with ``00`` are gone, with ``01`` there twice, with ``02`` have one more in quantity."""
+    digest = F.md5(F.concat_ws(":", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).cast("binary"))
+    first = F.substring(digest, 1, 2)
+    more = F.when(first == "02", F.col("l_quantity") + F.lit(1.0)).otherwise(F.col("l_quantity"))
+    times = F.when(first == "00", 0).when(first == "01", 2).otherwise(1)
+    copied = lineitem.withColumn("l_quantity", more).withColumn("_copy", F.explode(F.sequence(F.lit(0), times)))
+    return copied.where("_copy > 0").drop("_copy")
