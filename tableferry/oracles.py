@@ -310,6 +310,43 @@ keys AS MATERIALIZED (SELECT t AS table_name, array_to_string(c, ',') AS key_col
   WHERE u AND NOT EXISTS (SELECT 1 FROM sets y WHERE y.u AND y.t = x.t AND len(y.c) < len(x.c) AND list_has_all(x.c, y.c)))"""
 
 
+def _narrowest(table, column, spark_type, as_text=False) -> str:
+    """The narrowest type of one column: every candidate cast there and back, the first that all values survive."""
+    kind, precision, scale, _ = SOURCE_TYPE[spark_type]
+    text = f"CAST({column} AS VARCHAR)" if spark_type != "double" else f"CAST(CAST({column} AS DECIMAL(18,2)) AS VARCHAR)"
+    value = text if as_text else column
+    kind, spark_type = ("nvarchar", "string") if as_text else (kind, spark_type)
+    mapped = {"int": "INT", "bigint": "BIGINT", "float": "DOUBLE", "nvarchar": "VARCHAR(255)", "datetime2": "DATETIME(6)"}.get(kind, "TEXT")
+    casts = {"TINYINT": "TINYINT", "SMALLINT": "SMALLINT", "INT": "INTEGER", "BIGINT": "BIGINT"}
+
+    def survives(target):
+        there = f"TRY_CAST(v AS {target})"
+        return f"bool_and(coalesce(CAST({there} AS {'VARCHAR' if spark_type == 'string' else 'DOUBLE'}) = v, false))"
+
+    whole = " ".join(f"WHEN {survives(c)} THEN '{t}'" for t, c in casts.items())
+    digits = "max(length(regexp_extract(v, '^-?0*([0-9]*)', 1)))"
+    shown = "length(regexp_extract(v, '[.]([0-9]+)$', 1))"
+    day = "WHEN bool_and(date_trunc('day', v) = v) THEN 'DATE' WHEN bool_and(date_trunc('second', v) = v) THEN 'DATETIME' ELSE 'DATETIME(6)'"
+    rules = {
+        "string": f"""{whole}
+  WHEN bool_and(regexp_full_match(v, '-?(0|[1-9][0-9]*)[.][0-9]+') AND NOT regexp_full_match(v, '-0[.]0+'))
+    AND min({shown}) = max({shown}) AND {digits} + max({shown}) <= 38
+    THEN 'DECIMAL(' || ({digits} + max({shown})) || ',' || max({shown}) || ')'
+  WHEN {survives('DATE')} THEN 'DATE'
+  WHEN {survives('TIMESTAMP')} THEN CASE WHEN bool_and(date_trunc('second', TRY_CAST(v AS TIMESTAMP)) = TRY_CAST(v AS TIMESTAMP))
+    THEN 'DATETIME' ELSE 'DATETIME(6)' END
+  WHEN max(length(v)) <= 16383 THEN 'VARCHAR(' || greatest(max(length(v)), 1) || ')'
+  WHEN max(strlen(v)) <= 65535 THEN 'TEXT' WHEN max(strlen(v)) <= 16777215 THEN 'MEDIUMTEXT' ELSE 'LONGTEXT'""",
+        "double": f"{whole} WHEN {survives('FLOAT')} THEN 'FLOAT' ELSE 'DOUBLE'",
+        "timestamp_ntz": day,
+    }
+    rule = rules.get(spark_type, f"{whole} ELSE 'BIGINT'" if spark_type in ("int", "bigint") else "ELSE 'TEXT'")
+    chosen = f"CASE WHEN count(v) = 0 THEN '{mapped}' {rule} END" if rule[:4] != "ELSE" else f"'{mapped}'"
+    return (f"SELECT '{table}' AS table_name, '{column}' AS column_name, '{kind}' AS source_type, count(v) AS n_values, "
+            f"'{mapped}' AS mapped_type, {chosen} AS target_type FROM (SELECT {value} AS v FROM {table}) "
+            "WHERE v IS NOT NULL")
+
+
 def _inclusions() -> str:
     """Every pair of columns of one family, counted value by value."""
     parts = []
@@ -501,6 +538,9 @@ FROM (VALUES (1, 'doc_id', -5, 'varchar', 'YES'), (2, 'text', 12, 'varchar', 'YE
         f"SELECT table_name FROM ({src_names}) WHERE lower(table_name) NOT IN "
         f"(SELECT lower(upper(table_name)) FROM ({tgt_list}))"
     )
+    o["narrowest_types"] = " UNION ALL ".join(_narrowest(t, c, st) for t in ALL for c, st in SCHEMAS[t])
+    o["narrowest_types_text"] = " UNION ALL ".join(
+        _narrowest(t, c, st, as_text=True) for t in ("orders", "lineitem", "events") for c, st in SCHEMAS[t])
     o["minimal_keys"] = f"WITH {_unique_sets()} SELECT * FROM keys"
     o["inclusion_dependencies"] = f"WITH {_inclusions()} SELECT * FROM inclusions"
     found = f"WITH RECURSIVE {_unique_sets()},\n{_inclusions()},\n{_references()}"
@@ -726,6 +766,27 @@ both_sides AS (
   FROM customer s FULL JOIN t ON s.c_custkey = t.c_custkey)
 SELECT c_custkey, status, CASE WHEN status = 'changed' THEN columns END AS changed_columns
 FROM both_sides WHERE status IS NOT NULL"""
+    parts = [f"SELECT 'customer' AS table_name, c_custkey AS key_value, status, changed_columns FROM ({o['content_diff']})"]
+    for t in ("supplier", "part", "orders"):
+        k = KEYS[t][0]
+        cols = "concat_ws(',', " + ", ".join(
+            f"CASE WHEN s.{c} IS DISTINCT FROM t.{c} THEN '{c}' END" for c, _ in SCHEMAS[t] if c != k
+        ) + ")"
+        parts.append(f"""SELECT '{t}', s.{k}, CASE WHEN t.{k} IS NULL THEN 'missing' ELSE 'changed' END,
+  CASE WHEN t.{k} IS NOT NULL THEN {cols} END FROM {t} s LEFT JOIN {damaged(t)} t ON s.{k} = t.{k}
+WHERE t.{k} IS NULL OR {cols} <> ''""")
+    o["content_diff_tree"] = " UNION ALL ".join(parts)
+    lines = ", ".join(c for c, _ in SCHEMAS["lineitem"])
+    copied = ", ".join("l_quantity + CASE WHEN first = '02' THEN 1 ELSE 0 END AS l_quantity" if c == "l_quantity" else c
+                       for c, _ in SCHEMAS["lineitem"])
+    o["content_diff_sketch"] = f"""WITH marked AS (
+  SELECT *, substring(md5(l_orderkey || ':' || l_linenumber), 1, 2) AS first FROM lineitem),
+target AS (SELECT {copied} FROM marked WHERE first <> '00' UNION ALL SELECT {copied} FROM marked WHERE first = '01'),
+counted AS (SELECT {lines}, sum(side) AS n FROM (SELECT *, 1 AS side FROM lineitem UNION ALL SELECT *, -1 FROM target)
+  GROUP BY {lines})
+SELECT {lines}, CASE WHEN n > 0 THEN 'missing' ELSE 'extra' END AS status, CAST(abs(n) AS BIGINT) AS n_rows
+FROM counted WHERE n <> 0"""
+    o["content_diff_sketch_full"] = o["content_diff_sketch"]
     o["content_diff_digest"] = o["content_diff"]
     o["content_diff_exact"] = o["content_diff"]
     ovals = [c for c, _ in SCHEMAS["orders"] if c != "o_orderkey"]

@@ -13,11 +13,12 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableferry import fixtures
 from tableferry.functions import names as N
 from tableferry.functions import values as V
-from tableferry.operators import conform, ddl, discovery, profile, quality, reconcile, setops
+from tableferry.operators import conform, ddl, diffsketch, difftree, discovery, profile, quality, reconcile, setops, typechoice
 from tableferry.plans import jobs, load, report
 from tableferry.session import apply_defaults, materialize, new_run_dir
 from tableferry.sources import catalog as cat
@@ -496,6 +497,30 @@ def q_lossy_rows(spark, sf_dir):
     return parts[0].unionByName(parts[1]).select("table_name", "column_name", "target_type", "lossy_rows")
 
 
+# --------------------------------------------------------------------------- types from values
+
+
+def q_narrowest_types(spark, sf_dir):
+    """The narrowest lossless target type of every column of all tables."""
+    db = _db(spark, sf_dir)
+    facts = [typechoice.type_facts(df, name) for name, df in db.tables.items()]
+    return typechoice.choose_types(reduce(DataFrame.unionByName, facts))
+
+
+def q_narrowest_types_text(spark, sf_dir):
+    """The types that tables delivered as text turn out to have; facts of both halves of a table merged."""
+    db = _db(spark, sf_dir, ["orders", "lineitem", "events"])
+    facts = []
+    for name, df in db.tables.items():
+        texts = [
+            F.col(f.name).cast("decimal(18,2)" if isinstance(f.dataType, T.DoubleType) else f.dataType).cast("string").alias(f.name)
+            for f in df.schema.fields
+        ]
+        half = F.col(df.columns[0]) % 2
+        facts += [typechoice.type_facts(df.where(half == x).select(*texts), name) for x in (0, 1)]
+    return typechoice.choose_types(typechoice.merge_facts(*facts))
+
+
 # --------------------------------------------------------------------------- keys and references from data
 
 
@@ -592,6 +617,31 @@ def q_content_diff_exact(spark, sf_dir):
     return _customer_diff(spark, sf_dir, "exact")
 
 
+def q_content_diff_tree(spark, sf_dir):
+    """X1 by descending digest trees: the scrambled customers and the damaged tables."""
+    src = _db(spark, sf_dir, ["customer", *fixtures.DAMAGED_COLUMNS])
+    tgt = fixtures.damaged_target(src)
+    parts = []
+    for name in fixtures.DAMAGED_COLUMNS:
+        df, key = src.table(name), src.keys(name)
+        target = fixtures.scrambled_customer(df) if name == "customer" else tgt.table(name)
+        rows = difftree.content_diff_tree(df, target, key)
+        parts.append(rows.select(F.lit(name).alias("table_name"), F.col(key[0]).alias("key_value"), "status", "changed_columns"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def q_content_diff_sketch(spark, sf_dir):
+    """X1 without a key: a nearly equal copy of the line items, by an invertible sketch."""
+    lines = _db(spark, sf_dir, ["lineitem"]).table("lineitem")
+    return diffsketch.content_diff_sketch(lines, fixtures.near_copy(lines))
+
+
+def q_content_diff_sketch_full(spark, sf_dir):
+    """X1 without a key, more differing rows than the sketch holds: signed counts per hash."""
+    lines = _db(spark, sf_dir, ["lineitem"]).table("lineitem")
+    return diffsketch.content_diff_sketch(lines, fixtures.near_copy(lines), cells=2)
+
+
 def q_sample_diff(spark, sf_dir):
     src = _db(spark, sf_dir, ["orders"])
     tgt = fixtures.damaged_target(src)
