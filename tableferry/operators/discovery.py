@@ -2,7 +2,8 @@
 follows from them (T2, JOB3).
 
 * :func:`minimal_keys`: minimal unique column combinations, level by level over the lattice of column sets. A bounded sample
-  refutes most candidates (two equal rows anywhere disprove a key); what it leaves is checked on all rows.
+  refutes most candidates (two equal rows anywhere disprove a key), slices by the hash of a column, each larger than the one
+  before, most of the others; what they leave is checked on all rows.
 * :func:`inclusion_dependencies`: every value is grouped to the set of columns that hold it; a column is included in
   another if all sets that hold the one hold the other. One shuffle of distinct values for all columns of all tables.
 * :func:`reference_candidates`: inclusions into single-column keys, with a mark for names that agree;
@@ -27,6 +28,11 @@ from tableferry.sources.tables import Database
 
 #: Rows of a table that may refute key candidates on the driver; a hint that saves work, never a decision for a key.
 SAMPLE_ROWS = 10_000
+#: Rows of the first slice by hash that may refute key candidates, how much larger each next slice is, and the parts of
+#: a table below which a slice saves nothing against all rows.
+SLICE_ROWS = 50_000
+SLICE_GROWTH = 16
+LEAST_PARTS = 4
 #: Characters of a text's extremes that are compared when inclusions are ruled out.
 EXTREME_CHARS = 64
 KEYS_SCHEMA = "table_name string, key_columns string, size int"
@@ -81,32 +87,65 @@ def _next_level(failed: set[frozenset], keys: list[frozenset], size: int) -> lis
     return sorted((s for s in found if not any(k <= s for k in keys)), key=sorted)
 
 
-def _keys_of(df: DataFrame, max_size: int, sample_rows: int) -> list[list[str]]:
+def _native(kind: T.DataType, name: str) -> Column:
+    """A cell that groups and hashes like :func:`_value`: numbers and times as they are, texts and bytes short."""
+    family = _family(kind)
+    if family == "float":
+        return F.when(F.isnan(_c(name)), F.lit(float("nan"))).otherwise(_c(name).cast("double") + F.lit(0.0))
+    return _value(kind, name) if family in ("text", "binary") else _c(name)
+
+
+def _repeats(df: DataFrame, cells: list[Column]) -> bool:
+    """Whether two of all rows are equal in ``cells``: by their hashes, and where two agree by the cells themselves."""
+    digest = F.xxhash64(*cells)
+    witness = df.groupBy(digest.alias("h")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").limit(1).collect()
+    if not witness:
+        return False
+
+    def found(part: DataFrame) -> bool:
+        return not part.groupBy(*cells).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").limit(1).isEmpty()
+
+    return found(df.where(digest == witness[0]["h"])) or found(df)
+
+
+def _keys_of(df: DataFrame, max_size: int, sample_rows: int, slice_rows: int) -> list[list[str]]:
     order = [f.name for f in df.schema.fields if _family(f.dataType) is not None]
     if not order:
         return []
-    cells = {f.name: _value(f.dataType, f.name) for f in df.schema.fields if f.name in order}
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    cells = {c: _native(kinds[c], c) for c in order}
+    texts = {c: _value(kinds[c], c) for c in order}
     told = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(_c(c)).alias(f"c{i}") for i, c in enumerate(order)], *[F.approx_count_distinct(_c(c)).alias(f"d{i}") for i, c in enumerate(order)]).first()
     rows = told["n"]
     # A key column takes no NULL.
     columns = [c for i, c in enumerate(order) if told[f"c{i}"] == rows]
     distinct = {c: told[f"d{i}"] * 1.5 + 10 for i, c in enumerate(order)}  # far above the sketch's error of 5 %
-    sample = df.select(*[cells[c].alias(f"k{order.index(c)}") for c in columns]).limit(sample_rows).toPandas()
+    sample = df.select(*[texts[c].alias(f"k{order.index(c)}") for c in columns]).limit(sample_rows).toPandas()
 
     def refuted(s: frozenset) -> bool:
         return bool(sample.duplicated([f"k{order.index(c)}" for c in s]).any())
 
-    def repeats(s: frozenset) -> bool:
-        """Whether two of all rows are equal in ``s``."""
-        return not df.groupBy(*[cells[c] for c in s]).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").limit(1).isEmpty()
+    def in_slice(sets: list[frozenset], parts: int) -> list[frozenset]:
+        """The sets without two equal rows among those whose most diverse column falls into one of ``parts`` parts by its hash;
+        equal rows fall into the same part, so what is found is two equal rows of the table. One pass for all sets."""
+        anchors = {s: max(sorted(s), key=distinct.get) for s in sets}
+        hit = {c: F.pmod(F.xxhash64(F.lit(parts), cells[c]), F.lit(parts)) == 0 for c in set(anchors.values())}
+        told = F.array(*[F.when(hit[anchors[s]], F.struct(F.lit(i).alias("i"), F.array(*[texts[c] for c in sorted(s)]).alias("k"))) for i, s in enumerate(sets)])
+        seen = df.where(reduce(Column.__or__, hit.values())).select(F.inline(F.array_compact(told)))
+        twice = {r["i"] for r in seen.groupBy("i", "k").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("i").distinct().collect()}
+        return [s for i, s in enumerate(sets) if i not in twice]
 
     keys: list[frozenset] = []
     level = [frozenset([c]) for c in columns]
     for size in range(1, max_size + 1):
-        # Fewer combinations than rows can't be unique; neither can what repeats in the sample.
+        # Fewer combinations than rows can't be unique; neither can what repeats in the sample or in a slice.
         open_ = [s for s in level if _fits(s, distinct, rows) and not refuted(s)]
+        parts = rows // slice_rows
+        while open_ and parts >= LEAST_PARTS:
+            open_ = in_slice(open_, parts)
+            parts //= SLICE_GROWTH
         with ThreadPoolExecutor(max_workers=4) as pool:
-            unique = [s for s, twice in zip(open_, pool.map(repeats, open_)) if not twice]
+            unique = [s for s, twice in zip(open_, pool.map(lambda s: _repeats(df, [cells[c] for c in sorted(s)]), open_)) if not twice]
         keys += unique
         level = _next_level(set(level) - set(unique), keys, size + 1)
         if not level:
@@ -121,12 +160,13 @@ def _fits(columns: Iterable[str], distinct: dict[str, float], rows: int) -> bool
     return combined >= rows
 
 
-def minimal_keys(spark: SparkSession, db: Database, max_size: int = 3, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+def minimal_keys(spark: SparkSession, db: Database, max_size: int = 3, sample_rows: int = SAMPLE_ROWS, slice_rows: int = SLICE_ROWS) -> DataFrame:
     """(table_name, key_columns, size): every set of up to ``max_size`` columns without NULLs that no two rows share and of which no
     smaller part is one; columns comma-joined in table order. Every single column of an empty or one-row table is a key."""
-    rows = []
-    for t in db.names():
-        rows += [(t, ",".join(k), len(k)) for k in _keys_of(db.table(t), max_size, sample_rows)]
+    names = db.names()
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        found = pool.map(lambda t: _keys_of(db.table(t), max_size, sample_rows, slice_rows), names)
+        rows = [(t, ",".join(k), len(k)) for t, keys in zip(names, found) for k in keys]
     return spark.createDataFrame(rows, KEYS_SCHEMA)
 
 

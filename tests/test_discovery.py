@@ -36,6 +36,19 @@ def test_minimal_keys(spark, sample):
     assert sorted(found["t"]) == brute_keys(rows, columns, 3) and found["empty"] == ["a"] and set(found) == {"t", "empty"}
 
 
+def test_minimal_keys_by_slices(spark, monkeypatch):
+    """Repeats that the sample misses are found in slices; the check of all rows is left to the keys."""
+    checked = []
+    whole = discovery._repeats
+    monkeypatch.setattr(discovery, "_repeats", lambda df, cells: checked.append(len(cells)) or whole(df, cells))
+    rows = [(i // 2, i // 2 % 50, float(i // 2 % 41), f"{i}" + "x" * 40, i % 2, None if i == 5 else i) for i in range(4000)]
+    columns = "a b c id half with_null".split()
+    db = Database("dbo", {"t": spark.createDataFrame(rows, "a int, b long, c double, id string, half int, with_null int")})
+    found = sorted(r.key_columns for r in discovery.minimal_keys(spark, db, 3, 1, 100).collect())
+    assert found == brute_keys(rows, columns, 3) == ["a,half", "b,c,half", "id"]
+    assert sorted(checked) == [1, 2, 3]
+
+
 def brute_inclusions(tables):
     cells = {(t, c): {r[i] for r in rows} - {None} for t, (columns, rows) in tables.items() for i, c in enumerate(columns)}
     kind = {k: {type(x) for x in v} for k, v in cells.items()}
