@@ -457,6 +457,16 @@ def _reported(df: DataFrame, columns: list[str]) -> Column:
     return F.concat_ws(",", *[F.col(f"`{c}`").cast("string") for c in columns])
 
 
+def _dealt(one: DataFrame, keys: list[str], two: DataFrame, other_keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join by four partitions for each that the larger one reads, where that is more than the session's
+    shuffles have; smaller tables, and keys of two types, are left to the session."""
+    n = 4 * max(one.rdd.getNumPartitions(), two.rdd.getNumPartitions())
+    kinds = [(one.schema[a].dataType, two.schema[b].dataType) for a, b in zip(keys, other_keys)]
+    if n <= int(one.sparkSession.conf.get("spark.sql.shuffle.partitions")) or any(a != b for a, b in kinds) or two.rdd.getNumPartitions() == 1:
+        return one, two
+    return one.repartition(n, *keys), two.repartition(n, *other_keys)
+
+
 def orphan_rows(
     database: Database, foreign_keys, child_key: dict[str, str] | None = None
 ) -> DataFrame:
@@ -464,9 +474,8 @@ def orphan_rows(
     nothing and is left out). Keys are single columns or lists of them, compared in their
     own types.
 
-    Distinct FK values are found first (map-side de-duplication collapses hot values),
-    anti-joined with the parent keys, then the child rows are semi-joined to that
-    orphan-value set (AQE broadcasts it when it is small at run time)."""
+    The child's key columns alone are anti-joined with the parent keys; both sides of a large table are dealt to
+    partitions in proportion to its input, so that what a task sorts does not grow with the table."""
     parts = []
     for child, fk, parent, pk in foreign_keys:
         if child not in database.tables or parent not in database.tables:
@@ -475,23 +484,19 @@ def orphan_rows(
         fk_cols, pk_cols = _listed(fk), _listed(pk)
         pairs = [_comparable(c, a, p, b) for a, b in zip(fk_cols, pk_cols)]
         names = [f"_v{i}" for i in range(len(pairs))]
+        ck = _listed((child_key or {}).get(child) or database.keys(child) or fk_cols)
+        held = list(dict.fromkeys([*fk_cols, *ck]))
+        rows = c.select(*[F.col(f"`{x}`") for x in held], *[x[0].alias(n) for x, n in zip(pairs, names)]).dropna(how="any", subset=names)
         parents = p.select(*[x[1].alias(f"_p{i}") for i, x in enumerate(pairs)])
-        values = c.select(*[x[0].alias(n) for x, n in zip(pairs, names)]).dropna(how="any").distinct()
+        rows, parents = _dealt(rows, names, parents, parents.columns)
         same = reduce(lambda a, b: a & b, [F.col(n) == F.col(f"_p{i}") for i, n in enumerate(names)])
-        orphan_values = values.join(parents, same, "left_anti")
-        ck = _listed((child_key or {}).get(child) or database.keys(child) or fk_cols)
-        rows = c.select(
-            _reported(c, ck).alias("child_key"),
-            _reported(c, fk_cols).alias("fk_value"),
-            *[x[0].alias(n) for x, n in zip(pairs, names)],
-        ).join(orphan_values, names, "left_semi")
         parts.append(
-            rows.select(
+            rows.join(parents, same, "left_anti").select(
                 F.lit(child).alias("child_table"),
                 F.lit(",".join(fk_cols)).alias("fk_column"),
                 F.lit(parent).alias("parent_table"),
-                "child_key",
-                "fk_value",
+                _reported(c, ck).alias("child_key"),
+                _reported(c, fk_cols).alias("fk_value"),
             )
         )
     kinds = {f.dataType for x in parts for f in x.schema.fields if f.name in ("child_key", "fk_value")}

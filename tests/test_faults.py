@@ -151,3 +151,18 @@ def test_boundary_rows_of_composite_text_and_null_keys(spark):
     pages = paging.page_summary(paging.page_index(one, keys, 2), keys)
     out = {r.batch_no: (r.first_present, r.last_present, r.batch_ok) for r in reconcile.boundary_rows(pages, two, keys).collect()}
     assert out == {1: (True, True, True), 2: (False, True, False), 3: (True, True, True)}
+
+
+def test_orphan_search_has_more_tasks_for_more_input(spark):
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.autoBroadcastJoinThreshold")}
+    for k, v in zip(kept, ("2", "-1")):
+        spark.conf.set(k, v)
+    try:
+        child = spark.range(0, 2000, 1, 10).select("id", F.when(F.col("id") % 5 != 0, F.col("id")).alias("ref"))
+        db = Database("dbo", {"p": spark.range(0, 1990, 1, 10).toDF("key"), "c": child}, {"c": ["id"]})
+        found = reconcile.orphan_rows(db, [("c", "ref", "p", "key")])
+        assert found.rdd.getNumPartitions() == 40
+        assert sorted((r.child_key, r.fk_value) for r in found.collect()) == [(i, i) for i in range(1991, 2000) if i % 5]
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
