@@ -44,6 +44,10 @@ FACT_TYPES = {
 # A decimal number as a decimal column prints it, without a sign before zero.
 DECIMAL_TEXT = r"^-?(?:0|[1-9][0-9]*)\.[0-9]+$"
 NEGATIVE_ZERO = r"^-0\.0+$"
+# A failed cast of text costs an exception, a match does not. Only text with one run of digits can be a whole number; six
+# or seven digits alone are a year, and a timestamp holds none after 294247.
+ONE_RUN = r"^[^0-9]*+[0-9]++[^0-9]*+\z"
+LATE_YEAR = r"^(?:0?(?:29424[89]|2942[5-9][0-9]|294[3-9][0-9]{2}|29[5-9][0-9]{3}|[3-9][0-9]{5})|[1-9][0-9]{6})\z"
 
 
 def _same(back: Column, v: Column) -> Column:
@@ -51,8 +55,18 @@ def _same(back: Column, v: Column) -> Column:
     return F.when(v.isNotNull(), F.coalesce(back.eqNullSafe(v), F.lit(False)))
 
 
+def _number(v: Column, dt: T.DataType) -> Column:
+    """A value as BIGINT; NULL where it is none."""
+    return (F.when(v.rlike(ONE_RUN), v) if isinstance(dt, T.StringType) else v).try_cast("bigint")
+
+
+def _moment(v: Column) -> Column:
+    """A text as TIMESTAMP; NULL where it is none."""
+    return F.when(~v.rlike(LATE_YEAR), v).try_cast("timestamp_ntz")
+
+
 def _whole(v: Column, dt: T.DataType) -> dict[str, Column]:
-    number = v.try_cast("bigint")
+    number = _number(v, dt)
     return {"whole": _same(number.try_cast(dt), v), "lo": number, "hi": number}
 
 
@@ -76,7 +90,7 @@ def _facts(v: Column, dt: T.DataType) -> dict[str, Column]:
         scale = F.char_length(F.regexp_extract(text, r"\.([0-9]*[1-9])0*$", 1)) if dt.scale else F.when(v.isNotNull(), F.lit(0))
         return {**_whole(v, dt), "digits": _digits(text), "scale_lo": scale, "scale_hi": scale}
     if isinstance(dt, T.StringType):
-        moment = v.try_cast("timestamp_ntz")
+        moment = _moment(v)
         scale = F.char_length(F.regexp_extract(v, r"\.([0-9]+)$", 1))
         length = F.octet_length(v).cast("bigint")
         return {

@@ -8,6 +8,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tableferry.functions import typemap
 from tableferry.operators import conform, typechoice
@@ -105,3 +106,13 @@ def test_a_table_under_its_chosen_types_loses_nothing(source):
 def test_no_columns(spark):
     with pytest.raises(ValueError):
         typechoice.type_facts(spark.range(1).select(), "t")
+
+
+def test_texts_that_a_match_keeps_from_the_casts_are_none(spark):
+    years = [f"{z}{y}{end}" for y in (1, 12345, 99999, 194247, 290000, 294199, 294239, 294246, 294247, 294248, 294250, 294300, 295000, 299999, 300000, 999999, 1000000, 9999999, 10000000) for z in ("", "0", "00", "-", "+", " ") for end in ("", " ", "\n", "-01-01", "-01-10 04:00:54", "-02-01")]
+    odd = ["", " ", "+", "-", "7", "+7", "-7 ", "\t7\n", "\x007", "7\x7f", "7.", ".7", "7.0", "1 2", "1e3", "0x1f", "7L", "\u0667", "\uff17", "a", "9223372036854775807", "9223372036854775808", "-9223372036854775808", "00012", "1-2", "1_000", "1,000", "2020-01-01", "2020-01-01T10:00", None]
+    v = F.col("v")
+    df = spark.createDataFrame([(x,) for x in years + odd], "v string")
+    rows = df.select("v", typechoice._number(v, T.StringType()).alias("n"), v.try_cast("bigint").alias("n0"), typechoice._moment(v).cast("string").alias("m"), v.try_cast("timestamp_ntz").cast("string").alias("m0")).collect()
+    assert [r for r in rows if r.n != r.n0 or r.m != r.m0] == []
+    assert sum(r.n is not None for r in rows) > 50 and sum(r.m is not None for r in rows) > 50
