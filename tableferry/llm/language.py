@@ -26,6 +26,8 @@ BITS = 14
 MAX_N = 3
 MAX_LANGS = 500
 UNKNOWN = "und"
+#: Bytes of text whose n-grams a task holds at a time (or one text that is longer): each takes some hundred bytes beside it.
+GRAM_BYTES = 1 << 19
 
 
 @cache
@@ -73,7 +75,7 @@ def fit(docs: DataFrame, text: str = "text", label: str = "lang", bits: int = BI
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             labels = batch.column(1).to_pylist()
-            for low, high, raw, bounds in chunks(pc.utf8_lower(batch.column(0))):
+            for low, high, raw, bounds in chunks(pc.utf8_lower(batch.column(0)), GRAM_BYTES):
                 names = sorted(set(labels[low:high]))
                 code = {x: i for i, x in enumerate(names)}
                 of_row = np.array([code[x] for x in labels[low:high]])
@@ -115,7 +117,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
         names = pa.array([*m.langs, UNKNOWN], pa.string())
         for batch in batches:
             best, chance = np.full(batch.num_rows, len(m.langs)), np.zeros(batch.num_rows)
-            for low, high, raw, bounds in chunks(pc.utf8_lower(batch.column(batch.num_columns - 1))) if m.langs else ():
+            for low, high, raw, bounds in chunks(pc.utf8_lower(batch.column(batch.num_columns - 1)), GRAM_BYTES) if m.langs else ():
                 total, seen = np.tile(m.log_prior, (high - low, 1)), np.zeros(high - low, bool)
                 for row, bucket in _grams(raw, bounds, m.bits, m.max_n):
                     if len(row):
