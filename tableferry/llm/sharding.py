@@ -56,8 +56,10 @@ def holdings(links: DataFrame, state: DataFrame) -> DataFrame:
 
 def wishes(links: DataFrame, state: DataFrame, held: DataFrame) -> DataFrame:
     """(vertex, weight, own, to, gain) of the vertices whose keys hold more rows in another shard than, without them, in their own."""
-    seen = links.join(state, "vertex").join(held, "key").select("vertex", "weight", F.col("shard").alias("own"), F.explode("held").alias("x"))
-    votes = seen.groupBy("vertex", "weight", "own", F.col("x.shard").alias("shard")).agg(F.sum(F.col("x.n") - F.when(F.col("own") == F.col("x.shard"), F.col("weight")).otherwise(0)).alias("n"))
+    # One row for each link goes to the vertex, with what its key holds as two narrow arrays; they are taken apart where the vertex's rows are together.
+    told = links.join(held, "key").select("vertex", F.col("held.n").alias("n"), F.col("held.shard").alias("at")).hint("merge")
+    seen = told.join(state, "vertex").select("vertex", "weight", F.col("shard").alias("own"), F.explode(F.arrays_zip("n", "at")).alias("x"))
+    votes = seen.groupBy("vertex", "weight", "own", F.col("x.at").alias("shard")).agg(F.sum(F.col("x.n") - F.when(F.col("own") == F.col("x.at"), F.col("weight")).otherwise(0)).alias("n"))
     top = votes.groupBy("vertex", "weight", "own").agg(F.max(F.struct("n", (F.col("shard") == F.col("own")).alias("stay"), (-F.col("shard")).alias("least"), "shard")).alias("best"), F.max(F.when(F.col("shard") == F.col("own"), F.col("n"))).alias("now"))
     return top.select("vertex", "weight", "own", F.col("best.shard").alias("to"), (F.col("best.n") - F.col("now")).alias("gain")).where("gain > 0 AND own <> to")
 
@@ -77,7 +79,6 @@ def allowed(wish: DataFrame, state: DataFrame, shards: int, mean: float, turn: i
     """(vertex, to) of the wishes that the quotas of their pairs of shards let through."""
     place = F.xxhash64("vertex", F.lit(turn))
     wish = wish.withColumns({"gains": F.floor(F.log2("gain")).cast("int"), "size": F.floor(F.log2("weight")).cast("int"), "cell": F.pmod(place, F.lit(CELLS)).cast("int"), "at": F.pmod(F.shiftright(place, 20), F.lit(PARTS)).cast("int")})
-    wish = stored(wish, "wishes")
     cells = stored(wish.groupBy("own", "to", "gains", "size", "cell").agg(F.sum("weight").alias("n"), F.count("*").alias("c")), "cells")
     asked = cells.groupBy("own", "to").agg(F.sum("n").alias("n"))
     back = asked.select(F.col("own").alias("to"), F.col("to").alias("own"), F.col("n").alias("back"))
@@ -119,13 +120,13 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int) -> DataFrame:
         discard(held)
         some = wish.where(F.pmod(F.xxhash64("vertex", F.lit(-1 - turn)), F.lit(part)) == 0)
         with scratch() as keep:
-            moves = stored(allowed(some, best, shards, mean, turn), "moves")
-            keep.append(moves)
+            moves = allowed(some, best, shards, mean, turn)
+            moved = stored(best.join(moves, "vertex", "left").select("vertex", "weight", F.coalesce("to", "shard").alias("shard")), "labels")
+            keep.append(moved)
         turn += 1
         if state is not best:
             discard(state)
-        state = stored(best.join(moves, "vertex", "left").select("vertex", "weight", F.coalesce("to", "shard").alias("shard")), "labels")
-        discard(moves)
+        state = moved
 
 
 def numbered(rows: DataFrame, order: list[str], partitions: int) -> DataFrame:

@@ -166,6 +166,21 @@ def test_quota_passes_over_what_does_not_fit(spark):
     assert moved == set(range(1, 41))
 
 
+def test_wishes_deal_a_link_and_not_each_shard_of_its_key(spark):
+    """What keys hold is taken apart where a vertex's rows are together: no exchange stands above the explode."""
+    state = spark.createDataFrame([(i, 1, i % 4) for i in range(40)], "vertex long, weight long, shard int")
+    links = spark.createDataFrame([(i, f"k{i % 5}") for i in range(40)], "vertex long, key string")
+    held = sharding.holdings(links, state)
+    small = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables that are not small
+    try:
+        plan = sharding.wishes(links, state, held)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", small)
+    above, explode, _ = plan.partition("Generate explode")
+    assert explode and "Exchange" not in above
+
+
 def test_shards_keep_texts_with_a_common_inner_line_together(spark):
     rows = [(i, f"{prose(i, 5)}\n  shared line {i % 40}\r\n\n{prose(1000 + i, 5)}") for i in range(400)]
     texts, links = sharding.document_rows(spark.createDataFrame(rows, "doc_id long, text string"))
