@@ -16,7 +16,9 @@ def components(edges: DataFrame) -> DataFrame:
     edges are ``a`` and ``b`` (long). Each round is written to the shared folder; only its change count is collected.
     """
     edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    while not edges.isEmpty():
+    size = (F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
+    before = edges.agg(*size).first()
+    while before[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -24,9 +26,10 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
         new = stored(small.where("a <> b").distinct(), "small")
-        before, after = (x.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first() for x in (edges, new))
+        after = new.agg(*size).first()
         discard(large, edges)
         edges = new
         if before == after:
             break
+        before = after
     return edges.select(F.col("a").alias("node"), F.col("b").alias("comp")).unionByName(edges.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())

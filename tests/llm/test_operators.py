@@ -378,6 +378,23 @@ def test_keep_one_of_groups_with_null_and_equal_ids(spark):
     assert len({x[1].split()[0] + x[1].split()[1] for x in words_kept}) == 3
 
 
+def test_a_round_of_components_runs_three_queries(spark, monkeypatch):
+    """Two tables are written and one is counted; what the round before counted is not counted again."""
+    from tableferry.llm import components as module
+
+    rounds, write = [], module.stored
+    monkeypatch.setattr(module, "stored", lambda df, label: rounds.append(label) or write(df, label))
+
+    def last() -> int:
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        return spark._jsparkSession.sharedState().statusStore().executionsList().last().executionId()
+
+    spark.range(1).count()
+    before = last()
+    components(spark.createDataFrame([(i, i + 1) for i in range(9)], "a long, b long"))
+    assert last() - before == 2 + 3 * rounds.count("small")
+
+
 def test_components_of_a_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)] + [(7, 7)]
     found = {r["node"]: r["comp"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
