@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableferry.llm.textkit import discard, stored
+from tableferry.llm.textkit import discard, stored, totals
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,8 +16,8 @@ def components(edges: DataFrame) -> DataFrame:
     edges are ``a`` and ``b`` (long). Each round is written to the shared folder; only its change count is collected.
     """
     edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    size = (F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
-    before = edges.agg(*size).first()
+    size = (F.lit(1).cast("long"), F.xxhash64("a", "b"))
+    before = totals(edges, *size)
     while before[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least("a", F.min("b")).alias("m"))
@@ -26,7 +26,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
         new = stored(small.where("a <> b").distinct(), "small")
-        after = new.agg(*size).first()
+        after = totals(new, *size)
         discard(large, edges)
         edges = new
         if before == after:

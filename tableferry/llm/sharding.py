@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tableferry.llm.textkit import discard, read_table, scratch, stored
+from tableferry.llm.textkit import discard, read_table, scratch, stored, totals
 
 SHARDS = 24
 #: The smallest part of a round's moves that is tried: one in so many.
@@ -64,30 +64,38 @@ def wishes(links: DataFrame, state: DataFrame, held: DataFrame) -> DataFrame:
     return top.select("vertex", "weight", "own", F.col("best.shard").alias("to"), (F.col("best.n") - F.col("now")).alias("gain")).where("gain > 0 AND own <> to")
 
 
-def _fitting(cells: pd.DataFrame) -> pd.DataFrame:
+def _fitting(cells: pd.DataFrame, quota: float) -> pd.DataFrame:
     """The cells of one pair of shards with ``part``, how many of :data:`PARTS` fit the quota."""
     cells = cells.sort_values(["gains", "size", "cell"], ascending=False)
-    room, parts = float(cells["quota"].iloc[0]), []
+    room, parts = quota, []
     for n, c in zip(cells["n"], cells["c"], strict=True):
         part = PARTS if n <= room else int(PARTS * room / n) if c > 1 and n <= c * room else 0
         room -= n * part / PARTS
         parts.append(part)
-    return cells.assign(part=parts)[["own", "to", "gains", "size", "cell", "part"]]
+    return cells.assign(part=parts)
+
+
+def _let_in(told: pd.DataFrame, mean: float) -> pd.DataFrame:
+    """What one shard lets in, from the cells that wish into it (``kind`` 0) and out of it (1) and its load (2)."""
+    into, out, load = (told[told["kind"] == kind] for kind in range(3))
+    room = max(0.0, mean - float(load["n"].sum())) if len(load) else mean
+    back, total = out.groupby("to")["n"].sum(), float(into["n"].sum())
+    asked = {own: (cells, int(cells["n"].sum())) for own, cells in into.groupby("own")}
+    found = [_fitting(cells, min(n, int(back.get(own, 0))) + room * (n / total)) for own, (cells, n) in asked.items()]
+    return pd.concat(found or [into.assign(part=0)])[["own", "to", "gains", "size", "cell", "part"]]
 
 
 def allowed(wish: DataFrame, state: DataFrame, shards: int, mean: float, turn: int) -> DataFrame:
     """(vertex, to) of the wishes that the quotas of their pairs of shards let through."""
     place = F.xxhash64("vertex", F.lit(turn))
     wish = wish.withColumns({"gains": F.floor(F.log2("gain")).cast("int"), "size": F.floor(F.log2("weight")).cast("int"), "cell": F.pmod(place, F.lit(CELLS)).cast("int"), "at": F.pmod(F.shiftright(place, 20), F.lit(PARTS)).cast("int")})
-    cells = stored(wish.groupBy("own", "to", "gains", "size", "cell").agg(F.sum("weight").alias("n"), F.count("*").alias("c")), "cells")
-    asked = cells.groupBy("own", "to").agg(F.sum("n").alias("n"))
-    back = asked.select(F.col("own").alias("to"), F.col("to").alias("own"), F.col("n").alias("back"))
-    loads = state.groupBy("shard").agg(F.sum("weight").alias("load"))
-    room = loads.select(F.col("shard").alias("to"), F.greatest(F.lit(0.0), F.lit(mean) - F.col("load")).alias("room"))
-    part = F.col("n") / F.sum("n").over(Window.partitionBy("to"))  # a row for each pair of shards
-    quota = asked.withColumn("part", part).join(back, ["own", "to"], "left").join(room, "to", "left")
-    quota = quota.select("own", "to", (F.least("n", F.coalesce("back", F.lit(0))) + F.coalesce("room", F.lit(mean)) * F.col("part")).alias("quota"))
-    good = cells.join(quota, ["own", "to"]).groupBy("own", "to").applyInPandas(_fitting, "own int, to int, gains int, size int, cell int, part int")
+    cells = wish.groupBy("own", "to", "gains", "size", "cell").agg(F.sum("weight").alias("n"), F.count("*").alias("c"))
+    # Each cell goes to the shard it wishes into and to the one it wishes out of, where the load is too: no joins, few shuffles for the driver to plan.
+    sides = F.explode(F.array(F.struct(F.col("to").alias("shard"), F.lit(0).alias("kind")), F.struct(F.col("own").alias("shard"), F.lit(1).alias("kind"))))
+    told = cells.select(sides.alias("side"), "*").select("side.*", "own", "to", "gains", "size", "cell", "n", "c")
+    loads = state.groupBy("shard").agg(F.sum("weight").alias("n"))
+    loads = loads.select("shard", F.lit(2).alias("kind"), *(F.lit(0).alias(x) for x in ("own", "to", "gains", "size", "cell")), "n", F.lit(0).cast("long").alias("c"))
+    good = told.unionByName(loads).groupBy("shard").applyInPandas(lambda x: _let_in(x, mean), "own int, to int, gains int, size int, cell int, part int")
     return wish.join(good.where("part > 0"), ["own", "to", "gains", "size", "cell"]).where("at < part").select("vertex", "to")
 
 
@@ -102,7 +110,7 @@ def propagate(nodes: DataFrame, links: DataFrame, shards: int) -> DataFrame:
     best, wish, score, first, part, turn = state, None, -1.0, None, 1, 0
     while True:
         held = holdings(links, state)
-        now = held.agg(F.sum(together)).first()[0] or 0.0
+        (now,) = totals(held, together.cast("double"))
         if now > score:
             first = now if first is None else first
             over = part == 1 and turn > 0 and now - score < LEAST * (now - first)

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tableferry.llm import boosting, contamination, html, language, licenses, mixing, neardup, pii, sharding, substrings, vectors
 from tableferry.llm.components import components
+from tableferry.llm.textkit import totals
 
 WORDS = "the of and river stone cloud winter quiet machine garden letter signal copper meadow harbor lantern window engine paper silver".split()
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, id string, digest string, shard string, key string"
@@ -166,6 +167,31 @@ def test_quota_passes_over_what_does_not_fit(spark):
     assert moved == set(range(1, 41))
 
 
+def test_quotas_take_few_shuffles(spark):
+    """The cells and the loads of a shard meet in one group: no pair of shards is joined with another, nothing is broadcast for it."""
+    state = spark.createDataFrame([(i, 1, i % 4) for i in range(40)], "vertex long, weight long, shard int")
+    wish = spark.createDataFrame([(i, 1, i % 4, (i + 1) % 4, 3) for i in range(40)], "vertex long, weight long, own int, to int, gain long")
+    plan = sharding.allowed(wish, state, 4, 10.0, 0)._jdf.queryExecution().executedPlan().toString()
+    below = plan.partition("FlatMapGroupsInPandas")[2]
+    assert below and "Join" not in below and "Broadcast" not in below and below.count("Exchange") <= 3
+
+
+def test_quotas_count_what_moves_the_other_way_and_the_room(spark):
+    """Shard 1 is full and gives back 2 of the 5 that shard 0 asks for; shard 2 is empty and has room for all."""
+    state = spark.createDataFrame([*((i, 1, 0) for i in range(10)), *((i, 1, 1) for i in range(10, 20))], "vertex long, weight long, shard int")
+    wish = [*((i, 1, 0, 1, 1 << i) for i in range(5)), *((i, 1, 0, 2, 1) for i in range(5, 8)), (10, 1, 1, 0, 1), (11, 1, 1, 0, 1)]
+    wish = spark.createDataFrame(wish, "vertex long, weight long, own int, to int, gain long")
+    moved = Counter((x["to"], x["vertex"] >= 10) for x in sharding.allowed(wish, state, 3, 10.0, 0).collect())
+    assert moved == {(1, False): 2, (2, False): 3, (0, True): 2}
+
+
+def test_totals_are_exact_and_take_no_shuffle(spark):
+    values = [(1 << 63) - 1] * 5 + [-(1 << 63)] * 2 + [3]
+    rows = spark.createDataFrame([(v, 0.5) for v in values], "a long, b double").repartition(3)
+    assert totals(rows, F.col("a"), F.col("b")) == [sum(values), 4.0]
+    assert totals(rows.where("a = 0"), F.col("a"), F.col("b")) == [0, 0.0]
+
+
 def test_wishes_deal_a_link_and_not_each_shard_of_its_key(spark):
     """What keys hold is taken apart where a vertex's rows are together: no exchange stands above the explode."""
     state = spark.createDataFrame([(i, 1, i % 4) for i in range(40)], "vertex long, weight long, shard int")
