@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from tableferry.llm import vectors
@@ -37,3 +38,46 @@ def test_one_large_row_is_kept(spark):
     found, edges = vectors.quantise(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
     got = vectors.top_k(found, edges, found.where("vec_id = 5"), 2)
     assert sorted((r.rank, r.vec_id, r.score) for r in got.collect()) == [(1, 0, 64 * 64 * 5_000_001), (2, 6, 64 * 64)]
+
+
+@pytest.mark.parametrize("bits", [0, 40])
+def test_what_is_written_follows_rows_and_queries(spark, monkeypatch, bits):
+    """No table holds the pairs of queries and rows that bounds leave; in several blocks, with equal vectors, as by brute force."""
+    rng = random.Random(bits)
+    rows = [(i, [rng.gauss(0, 1) * 2.0**bits for _ in range(4)]) for i in range(800)]
+    rows += [(800 + i, rows[7][1]) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    found, edges = vectors.quantise(df)
+    queries = found.where("vec_id % 5 = 0")
+    written = []
+    keep = vectors.stored
+
+    def counted(table, label):
+        out = keep(table, label)
+        written.append(out.count() + sum(out.selectExpr(f"sum(size({name})) AS n").first()["n"] or 0 for name in ("top", "found") if name in out.columns))
+        return out
+
+    monkeypatch.setattr(vectors, "stored", counted)
+    monkeypatch.setattr(vectors, "QUERY_BLOCK", 90)
+    got = vectors.top_k(found, edges, queries, 3).join(queries.selectExpr("row AS query", "vec_id AS qid"), "query")
+    assert sorted((r.qid, r.rank, r.vec_id, r.score) for r in got.collect()) == brute(rows, 3, 64)
+    # A block has about 67 queries, whose pairs with all rows are 67,000.
+    assert max(written) <= 600
+
+
+def test_a_task_keeps_the_best_of_each_query(monkeypatch):
+    """However many rows tie or come unsorted, k are kept, and the limit falls to no row that a tie beats."""
+    monkeypatch.setattr(vectors, "PENDING", 40)
+    monkeypatch.setattr(vectors, "ROWS", 16)
+    rng = np.random.default_rng(3)
+    v = rng.integers(-2, 3, (300, 3)).astype(float)
+    row, ids = np.arange(300), rng.integers(0, 150, 300)
+    edges = np.stack([v.min(axis=0), v.max(axis=0)], axis=1)
+    cell = np.floor((v - edges[:, 0]) / (edges[:, 1] - edges[:, 0] + 1) * vectors.CELLS).astype(np.int8)
+    want = {q: sorted((-int(v[q] @ v[r]), int(ids[r]), r) for r in range(300) if r != q)[:5] for q in range(20)}
+    for start in (None, 4):
+        near = vectors._Nearest([(q, 3, v[q], None if start is None else (-want[q][start][0], *want[q][start][1:])) for q in range(20)], edges, 5)
+        near.meet(row, ids, v, cell)
+        assert near.size <= 20 * 5 + 40 + 16 * 20
+        got = [x for part in near.best() for x in zip(*(c.tolist() for c in part), strict=True)]
+        assert sorted(got) == sorted((q, -s, i, r) for q in want for s, i, r in want[q])
