@@ -155,7 +155,7 @@ class _Nearest:
                 least = self._bound(free, below, -1).astype(np.float64)
                 least[self.number[free, None] == row[None, :]] = -np.inf
                 self.reach[free] = np.partition(least, n - self.k, axis=1)[:, n - self.k]
-            query, place = np.nonzero(self._bound(some, above, 1) >= self.reach[some, None].astype(self.kind))
+            query, place = np.divmod(np.flatnonzero(self._bound(some, above, 1) >= self.reach[some, None].astype(self.kind)), n)  # faster than in two dimensions
             query += at
             other = self.number[query] != row[place]
             query, place = query[other], place[other]
